@@ -417,3 +417,98 @@ def _pct_sql(num: str, den: str) -> str:
 def q_report(spark, d):
     """Printed report rows (top classes, then tail)."""
     return report.taxonomy_report(spark, P.ranked(spark, d))
+
+
+# ------------------------------------------------------------------ attempt log (fixture A)
+
+from ..operators import timeline  # noqa: E402
+
+SESSION_START = "2024-01-15 00:00:00"
+_DONE = "state IN ('success', 'miss', 'invalid')"
+
+
+def _line_sql(bucket: bool) -> str:
+    msg = O.compact_error("message") if bucket else "coalesce(message, '')"
+    key = "cast(row_key AS VARCHAR)"
+    return (f"CASE WHEN kind = 'error' THEN 'error ' || {key} || ': ' || {msg} "
+            f"WHEN state = 'success' THEN 'hit ' || {key} WHEN state = 'miss' THEN 'miss ' || {key} "
+            f"ELSE 'error ' || {key} || ': ' || {msg} END")
+
+
+@query("session_delta", O.on_a(
+    f"SELECT count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}') AS completed_at_start, "
+    f"count_if({_DONE}) AS completed_now, greatest(count_if({_DONE}) - "
+    f"count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}'), 0) AS session_completed FROM attempts"))
+def q_session_delta(spark, d):
+    """F8: rows completed since a session started mid-log."""
+    return timeline.session_delta(X.attempts(spark, d), SESSION_START)
+
+
+@query("recent_events", O.on_a(
+    f"SELECT kind, attempt_id, ts, row_key, state, {_line_sql(False)} AS line, "
+    f"least(count(*) OVER (PARTITION BY kind), 8) - rn + 1 AS pos FROM (SELECT *, row_number() "
+    f"OVER (PARTITION BY kind ORDER BY ts DESC, attempt_id DESC) AS rn FROM attempts) WHERE rn <= 8"))
+def q_recent_events(spark, d):
+    """Newest 8 event lines and newest 8 error lines."""
+    return timeline.recent_events(X.attempts(spark, d))
+
+
+@query("last_result", O.on_a(
+    f"SELECT attempt_id, ts, row_key, state, {_line_sql(True)} AS result FROM attempts "
+    f"ORDER BY ts DESC, attempt_id DESC LIMIT 1"))
+def q_last_result(spark, d):
+    """Latest outcome line."""
+    return timeline.last_result(X.attempts(spark, d))
+
+
+@query("daily_status", O.on_a(
+    "SELECT day_end, state, rows, cast(sum(rows) OVER (PARTITION BY state ORDER BY day_end ROWS "
+    "BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_rows FROM (SELECT "
+    "time_bucket(INTERVAL 1 DAY, ts, INTERVAL 18 HOUR) + INTERVAL 1 DAY AS day_end, state, "
+    "count(*) AS rows FROM attempts GROUP BY 1, 2)"))
+def q_daily_status(spark, d):
+    """Counts per state per day ending 18:00 UTC, with running totals."""
+    return timeline.daily_status(X.attempts(spark, d))
+
+
+@query("release_cadence", O.on_a(
+    "SELECT release_no, count(*) AS success_rows, cast(sum(count(*)) OVER (ORDER BY release_no ROWS "
+    "BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_success FROM (SELECT "
+    "(epoch_us(a.ts) - s.start_us) // 604800000000 AS release_no FROM attempts a, "
+    "(SELECT min(epoch_us(ts)) AS start_us FROM attempts) s WHERE a.state = 'success') GROUP BY release_no"))
+def q_release_cadence(spark, d):
+    """Success rows per 7-day release period and so far."""
+    return timeline.release_cadence(X.attempts(spark, d))
+
+
+_THROUGHPUT_SQL = (
+    f"SELECT count_if({_DONE}) AS completed_rows, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1000000 "
+    f"AS elapsed_seconds, count_if({_DONE}) * 60 / greatest((max(epoch_us(ts)) - min(epoch_us(ts))) "
+    f"/ 1000000, 1.0) AS per_minute FROM attempts")
+
+
+@query("throughput", O.on_a(_THROUGHPUT_SQL))
+def q_throughput(spark, d):
+    """Completed rows per minute over the log."""
+    return timeline.throughput(X.attempts(spark, d))
+
+
+@query("backoff_spans", O.on_a(
+    f"SELECT min(ts) AS span_start, max(ts) + INTERVAL 300 SECOND AS span_end, count(*) AS hits FROM ("
+    f"SELECT ts, sum(nw) OVER (ORDER BY ts, attempt_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+    f"AS span FROM (SELECT ts, attempt_id, CASE WHEN lag(ts) OVER (ORDER BY ts, attempt_id) IS NULL OR "
+    f"epoch_us(ts) > epoch_us(lag(ts) OVER (ORDER BY ts, attempt_id)) + 300000000 THEN 1 ELSE 0 END AS nw "
+    f"FROM attempts WHERE state = 'failed' AND {O.backoff_reason('message')} IS NOT NULL)) GROUP BY span"))
+def q_backoff_spans(spark, d):
+    """Merged 300 s gate-closed spans after throttle/HTML failures."""
+    return timeline.backoff_spans(X.attempts(spark, d))
+
+
+@query("eta", O.on_t(
+    f", {X.A_CTE.strip()}, m AS ({_METRICS_SQL}), r AS ({_THROUGHPUT_SQL}) "
+    "SELECT m.pending_rows, r.per_minute, CASE WHEN r.per_minute > 0 THEN m.pending_rows / r.per_minute "
+    "END AS minutes_left, CASE WHEN r.per_minute > 0 THEN m.pending_rows / r.per_minute END / 1440.0 "
+    "AS days_left FROM m, r"))
+def q_eta(spark, d):
+    """Time left for the pending rows at the log's completion rate."""
+    return timeline.eta(_metrics(spark, d), timeline.throughput(X.attempts(spark, d)))
