@@ -64,7 +64,7 @@ WHITESPACE_CLASS = (
 )
 
 # Shard and release formats.
-SHARD_NAME_FORMAT = "success-{:06d}"
+SHARD_NAME_FORMAT = "success-%06d"
 RELEASE_FORMAT = "jsonl"
 
 # ---------------------------------------------------------------------------------------------

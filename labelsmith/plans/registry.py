@@ -512,3 +512,243 @@ def q_backoff_spans(spark, d):
 def q_eta(spark, d):
     """Time left for the pending rows at the log's completion rate."""
     return timeline.eta(_metrics(spark, d), timeline.throughput(X.attempts(spark, d)))
+
+
+# ------------------------------------------------------------------ bitmaps, files, release
+
+from ..operators import bitmaps as B  # noqa: E402
+from ..operators import release as R  # noqa: E402
+from ..operators import states as S  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+from ..sources import lines as L  # noqa: E402
+
+# Shard limits for the fixture: small enough that sf0.01 spreads over several shards.
+FIXTURE_SHARD_RECORDS = 1000
+FIXTURE_SHARD_BYTES = 100_000
+
+
+def _states(spark, d):
+    return P.terminal_states(P.annotated(spark, d)).select("row_index", "state")
+
+
+def _relogged_log(spark, d):
+    st = _states(spark, d)
+    relogged = (st.where(F.col("state") == C.SUCCESS)
+                .join(X.prior_run_rows(spark, d), "row_index", "left_semi")
+                .select("row_index", F.lit(C.MISS).alias("state")))
+    return st.unionByName(relogged)
+
+
+@query("bitmap_encode", O.on_t(
+    "SELECT state, row_index // 32768 AS bucket_no, count(*) AS set_bits, 4096 AS bytes FROM states "
+    "GROUP BY 1, 2"))
+def q_bitmap_encode(spark, d):
+    """State row sets compacted to 4 KiB bitmap buckets."""
+    bm = B.bitmap_encode(_states(spark, d))
+    return bm.select("state", "bucket_no", F.bitmap_count("bitmap").alias("set_bits"),
+                     F.octet_length("bitmap").alias("bytes"))
+
+
+@query("bitmap_popcount", O.on_t(
+    "SELECT s.state, coalesce(c.n, 0) AS set_bits FROM (VALUES ('success'), ('miss'), ('invalid'), "
+    "('failed')) s(state) LEFT JOIN (SELECT state, count(*) AS n FROM states GROUP BY state) c "
+    "ON s.state = c.state"))
+def q_bitmap_popcount(spark, d):
+    """E5: set bits per state from the bitmaps."""
+    return B.bitmap_popcount(spark, B.bitmap_encode(_states(spark, d)))
+
+
+@query("bitmap_membership", O.on_t("SELECT row_index, state FROM states"))
+def q_bitmap_membership(spark, d):
+    """State of every input row looked up in the bitmaps."""
+    return B.bitmap_membership(X.submissions(spark, d).select("row_index"),
+                               B.bitmap_encode(_states(spark, d)))
+
+
+@query("bitmap_merge", O.on_t(
+    ", lg AS (SELECT row_index, state FROM states UNION ALL SELECT t.row_index, 'miss' FROM states t "
+    "JOIN prior_rows p ON t.row_index = p.row_index WHERE t.state = 'success') "
+    "SELECT row_index // 32768 AS bucket_no, count(DISTINCT row_index) AS handled_bits, "
+    "count(*) - count(DISTINCT row_index) AS overlap_bits FROM lg GROUP BY 1"))
+def q_bitmap_merge(spark, d):
+    """Handled rows (union) and overlaps per bucket of a log with re-logged rows."""
+    return B.bitmap_merge(B.bitmap_encode(_relogged_log(spark, d)))
+
+
+@query("scan_state_bitmaps", O.on_t("SELECT row_index, state FROM states"))
+def q_scan_bitmaps(spark, d):
+    """Bitmaps stored as Parquet, read back and exploded into row states."""
+    out = scratch_dir(spark, "bitmaps")
+    B.bitmap_encode(_states(spark, d)).write.mode("overwrite").parquet(out)
+    return B.bitmap_rows(spark.read.parquet(out))
+
+
+def _write_submission_text(spark, d) -> str:
+    """Submissions as text files in row order (file names sort in row order)."""
+    out = scratch_dir(spark, "submissions-text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (X.submissions(spark, d).repartitionByRange(n, "row_index").sortWithinPartitions("row_index")
+     .select("line").write.option("lineSep", "\n").text(out))
+    return out
+
+
+@query("scan_lines", O.on_t("SELECT line FROM submissions"))
+def q_scan_lines(spark, d):
+    """A1: submissions written as text and read back line by line."""
+    return L.scan_lines(spark, _write_submission_text(spark, d)).select("line")
+
+
+@query("number_rows", O.on_t("SELECT row_index, line FROM submissions"))
+def q_number_rows(spark, d):
+    """A2: zero-based line numbers recovered from the text files."""
+    return L.number_lines(spark, _write_submission_text(spark, d))
+
+
+@query("count_input_rows", O.on_t("SELECT count(*) AS input_rows FROM submissions"))
+def q_count_input_rows(spark, d):
+    """A3: line count of the submission text."""
+    return L.count_lines(spark, _write_submission_text(spark, d))
+
+
+@query("input_fingerprint")
+def q_input_fingerprint(spark, d):
+    """A5: stored run fingerprints against the current text files: one unchanged, one with a
+    different size, one with a different mtime, one for a file that is gone."""
+    cur = L.file_metadata(spark, _write_submission_text(spark, d) + "/part-*")
+    runs = cur.select(
+        F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("input_path")).alias("run_id"),
+        "input_path", "input_size_bytes", "input_mtime_epoch")
+    runs = runs.select(
+        "run_id",
+        F.when(F.col("run_id") == 4, F.concat("input_path", F.lit(".moved"))).otherwise(
+            F.col("input_path")).alias("input_path"),
+        F.when(F.col("run_id") == 2, F.col("input_size_bytes") + 1).otherwise(
+            F.col("input_size_bytes")).alias("input_size_bytes"),
+        F.when(F.col("run_id") == 3, F.col("input_mtime_epoch") + 1).otherwise(
+            F.col("input_mtime_epoch")).alias("input_mtime_epoch"))
+    return L.input_fingerprint(cur, runs)
+
+
+def _write_shards(spark, d, fmt="jsonl") -> str:
+    out = scratch_dir(spark, "success-shards")
+    R.write_success_shards(P.records(P.annotated(spark, d)), out,
+                           max_records=FIXTURE_SHARD_RECORDS, fmt=fmt)
+    return out
+
+
+@query("scan_success_records", O.on_t(
+    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records"))
+def q_scan_success_records(spark, d):
+    """A4: records written as JSONL shards and read back (body kept as raw JSON)."""
+    return R.read_success_records(spark, _write_shards(spark, d)).drop("fetched_at")
+
+
+_SHARD_SQL = (
+    "SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
+    f"(row_number() OVER (ORDER BY row_index) - 1) // {FIXTURE_SHARD_RECORDS} + 1 AS shard_by_records, "
+    "cast(coalesce(sum(strlen(classyfire)) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
+    f"AND 1 PRECEDING), 0) AS BIGINT) // {FIXTURE_SHARD_BYTES} + 1 AS shard_by_bytes FROM records")
+
+
+@query("shard_assignment", O.on_t(_SHARD_SQL))
+def q_shard_assignment(spark, d):
+    """H1: shard numbers under a record limit and a byte limit."""
+    sh = R.shard_assignment(P.records(P.annotated(spark, d)), FIXTURE_SHARD_RECORDS,
+                            FIXTURE_SHARD_BYTES)
+    return sh.select("row_index", "pos", "shard_by_records", "shard_by_bytes")
+
+
+@query("write_success_shards", O.on_t(
+    f"SELECT row_index, 'success-' || lpad(cast(shard_by_records AS VARCHAR), 6, '0') AS shard "
+    f"FROM ({_SHARD_SQL})"))
+def q_write_shards(spark, d):
+    """H2: every record lands in the shard directory of its number."""
+    out = _write_shards(spark, d)
+    return spark.read.text(out).select(
+        F.get_json_object("value", "$.row_index").cast("long").alias("row_index"), "shard")
+
+
+@query("merge_release", O.on_t(
+    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records"))
+def q_merge_release(spark, d):
+    """H3: all shards merged into one ordered release dataset."""
+    return R.merge_release(spark, _write_shards(spark, d)).drop("fetched_at")
+
+
+@query("release_manifest", O.on_t(
+    f"SELECT 'jsonl' AS format, success_rows, miss_rows, invalid_rows, failed_rows, "
+    f"cast(ceil(success_rows / {FIXTURE_SHARD_RECORDS}) AS BIGINT) AS shard_dirs FROM counts"))
+def q_release_manifest(spark, d):
+    """H4: manifest counts and the number of shard directories listed."""
+    out = _write_shards(spark, d)
+    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, out))
+    dirs = F.size(F.array_distinct(F.transform(
+        "shards", lambda s: F.regexp_extract(s["filename"], r"^(shard=[^/]+)/", 1))))
+    return m.select("format", *[f"{s}_rows" for s in C.STATES], dirs.cast("long").alias("shard_dirs"))
+
+
+def _states_with_reason(spark, d):
+    return P.terminal_states(P.annotated(spark, d))
+
+
+@query("release_gate", O.on_t(
+    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records "
+    "WHERE (SELECT success_rows FROM counts) > 0"))
+def q_release_gate(spark, d):
+    """H5: the release exists only with successful rows and a non-empty shard."""
+    out = _write_shards(spark, d)
+    counts = P.state_counts(_states_with_reason(spark, d))
+    if not R.release_gate(counts, R.shard_files(spark, out)):
+        return spark.createDataFrame([], R.RECORD_SCHEMA).drop("fetched_at")
+    return R.merge_release(spark, out).drop("fetched_at")
+
+
+def _summary_doc(spark, d):
+    ann = P.annotated(spark, d)
+    ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(
+        taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(ann)))))
+    return report.summary_document(spark, report.crawl_counts(ann), ranked)
+
+
+_SUMMARY_SQL = ORACLE["progress_summary"]
+
+
+@query("write_summary")
+def q_write_summary(spark, d):
+    """H6: the summary document written as one JSON file (read back as text)."""
+    out = scratch_dir(spark, "summary")
+    R.write_json_document(_summary_doc(spark, d), out)
+    return spark.read.text(out).select(F.col("value").alias("document"))
+
+
+@query("read_summary", _SUMMARY_SQL)
+def q_read_summary(spark, d):
+    """The stored summary read back and flattened."""
+    out = scratch_dir(spark, "summary")
+    R.write_json_document(_summary_doc(spark, d), out)
+    return R.flatten_summary(R.read_summary(spark, out))
+
+
+@query("read_manifest_counts", O.on_t(
+    "SELECT success_rows, miss_rows, invalid_rows, failed_rows FROM counts"))
+def q_read_manifest_counts(spark, d):
+    """Four counts from a written release manifest."""
+    out = scratch_dir(spark, "manifest")
+    shards = _write_shards(spark, d)
+    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, shards))
+    R.write_json_document(m, out)
+    return R.read_manifest_counts(spark, out)
+
+
+@query("summary_or_recompute", _SUMMARY_SQL)
+def q_summary_or_recompute(spark, d):
+    """A release without stored summary: recomputed from dataset, manifest counts, total."""
+    rel = scratch_dir(spark, "release")
+    shards = _write_shards(spark, d)
+    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, shards))
+    R.write_json_document(m, rel + "/manifest")
+    dataset = R.merge_release(spark, shards)
+    total = X.submissions(spark, d).count()
+    doc = R.summary_or_recompute(spark, rel, dataset, R.read_manifest_counts(spark, rel + "/manifest"),
+                                 total)
+    return R.flatten_summary(doc)
