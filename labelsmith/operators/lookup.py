@@ -47,14 +47,19 @@ def lookup_key() -> F.Column:
         F.concat(F.lit("~invalid~"), F.col("row_index").cast("string")))
 
 
+def join_answers(parsed: DataFrame, answers: DataFrame) -> DataFrame:
+    """Left outer equi join of parsed rows to answers that are already one row per key."""
+    right = answers.select(F.col("inchikey").alias("lookup_key"), *ANSWER_COLS)
+    left = parsed.withColumn("lookup_key", lookup_key())
+    return left.join(right, "lookup_key", "left").drop("lookup_key")
+
+
 def lookup_join(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     """Left outer equi join of parsed rows to their (deduplicated) answer.
 
     Repeated keys fan the single stored answer out to every row carrying that key.
     """
-    answers = dedupe_responses(responses).withColumnRenamed("inchikey", "lookup_key")
-    left = parsed.withColumn("lookup_key", lookup_key())
-    return left.join(answers, "lookup_key", "left").drop("lookup_key")
+    return join_answers(parsed, dedupe_responses(responses))
 
 
 def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
@@ -63,7 +68,12 @@ def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     ``state`` is invalid / success / miss / failed, or ``pending`` when no answer is stored yet
     (pending rows get no terminal state). ``reason`` carries the invalid or failure message.
     """
-    joined = lookup_join(parsed, responses)
+    return annotate_with_answers(parsed, dedupe_responses(responses))
+
+
+def annotate_with_answers(parsed: DataFrame, answers: DataFrame) -> DataFrame:
+    """``annotate`` against answers that are already one row per key (e.g. a landed table)."""
+    joined = join_answers(parsed, answers)
     a_state, a_reason = answer_state()
     state = (F.when(F.col("invalid_reason").isNotNull(), F.lit(C.INVALID))
              .when(F.col("status").isNull(), F.lit(C.PENDING))

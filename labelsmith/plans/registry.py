@@ -752,3 +752,71 @@ def q_summary_or_recompute(spark, d):
     doc = R.summary_or_recompute(spark, rel, dataset, R.read_manifest_counts(spark, rel + "/manifest"),
                                  total)
     return R.flatten_summary(doc)
+
+
+# ------------------------------------------------------------------ 2.9 streams
+
+from ..streaming import annotate as SA  # noqa: E402
+from ..streaming import status as SS  # noqa: E402
+
+
+def _land_files(df: DataFrame, order_col: str, name: str, spark, files: int = 8) -> str:
+    """Write a frame as several Parquet files in ``order_col`` order (arrivals for a stream).
+
+    The files of one write get arbitrary modification times, while a file stream takes files
+    oldest first; the times are stamped in name order so the files arrive in time order.
+    """
+    out = scratch_dir(spark, name)
+    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(out)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((st.getPath().toString() for st in fs.listStatus(root)
+                    if st.getPath().getName().startswith("part-")))
+    base = 1_700_000_000_000
+    for i, p in enumerate(parts):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
+    return out
+
+
+@query("stream_annotate", O.on_t("SELECT row_index, state FROM states"))
+def q_stream_annotate(spark, d):
+    """Submissions arriving as files, annotated by a resumable stream; rows with a state."""
+    src = _land_files(X.submissions(spark, d), "row_index", "arrivals", spark)
+    answers = SA.land_answers(X.responses(spark, d), scratch_dir(spark, "answers"))
+    out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
+    q = SA.start_annotation_stream(spark, src, answers, out, ckpt, files_per_trigger=2)
+    q.awaitTermination()
+    return SA.read_states(spark, out).select("row_index", "state")
+
+
+def _attempt_source(spark, d) -> tuple[str, object]:
+    att = X.attempts(spark, d)
+    return _land_files(att, "ts", "attempt-arrivals", spark), att.schema
+
+
+@query("stream_state_counts", O.on_a("SELECT state, count(*) AS rows FROM attempts GROUP BY state"))
+def q_stream_state_counts(spark, d):
+    """Running counts per state over an attempt stream (complete mode)."""
+    src, schema = _attempt_source(spark, d)
+    out, ckpt = scratch_dir(spark, "counts-out"), scratch_dir(spark, "counts-ckpt")
+    SS.start_state_counts(SS.attempt_stream(spark, src, schema, 2), out, ckpt).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("stream_daily_status", ORACLE["daily_status"])
+def q_stream_daily_status(spark, d):
+    """I4: daily status per state from a watermarked stream, running totals on read."""
+    src, schema = _attempt_source(spark, d)
+    out, ckpt = scratch_dir(spark, "daily-out"), scratch_dir(spark, "daily-ckpt")
+    SS.start_daily_status(SS.attempt_stream(spark, src, schema, 2), out, ckpt).awaitTermination()
+    return SS.read_daily_status(spark, out)
+
+
+@query("stream_dedupe", O.on_a("SELECT DISTINCT row_key FROM attempts"))
+def q_stream_dedupe(spark, d):
+    """I8: each row key emitted once although it arrives many times."""
+    src, schema = _attempt_source(spark, d)
+    out, ckpt = scratch_dir(spark, "dedupe-out"), scratch_dir(spark, "dedupe-ckpt")
+    SS.start_dedupe(SS.attempt_stream(spark, src, schema, 2), "row_key", out, ckpt).awaitTermination()
+    return spark.read.parquet(out).select("row_key")
