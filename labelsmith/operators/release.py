@@ -91,9 +91,15 @@ def write_success_shards(records: DataFrame, out: str, max_records: int = C.SHAR
         raise ValueError(f"unknown shard format {fmt}")
 
 
-def read_success_records(spark: SparkSession, path: str, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
+def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
     """All shard records; missing paths and zero-length files are skipped, blank lines ignored,
-    a malformed line fails the read (FAILFAST)."""
+    a malformed line fails the read (FAILFAST). Several roots are read one by one and unioned."""
+    if isinstance(path, (list, tuple)):
+        parts = [read_success_records(spark, p, fmt) for p in path]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
     if fmt == "jsonl":
         df = (spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST")
               .option("ignoreMissingFiles", "true").option("recursiveFileLookup", "false").json(path))
@@ -103,7 +109,7 @@ def read_success_records(spark: SparkSession, path: str, fmt: str = C.RELEASE_FO
                        if c in df.columns])
 
 
-def merge_release(spark: SparkSession, shards: str, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
+def merge_release(spark: SparkSession, shards, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
     """Union of all shards as one dataset in ``row_index`` order, one record per row."""
     recs = read_success_records(spark, shards, fmt)
     return recs.dropDuplicates(["row_index"]).orderBy("row_index")

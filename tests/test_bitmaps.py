@@ -1,0 +1,52 @@
+"""State bitmaps: encode, popcount, membership, merge, and the single-file layout."""
+
+import os
+
+from labelsmith.operators import bitmaps as B
+
+
+def _write_bitmap(path, rows):
+    size = max(rows) // 8 + 1 if rows else 1
+    data = bytearray(size)
+    for r in rows:
+        data[r // 8] |= 1 << (r % 8)
+    with open(path, "wb") as f:
+        f.write(bytes(data))
+
+
+def test_single_file_layout_round_trip(spark, tmpdir_path):
+    _write_bitmap(os.path.join(tmpdir_path, "state.success.bits"), [0, 1, 40000])
+    _write_bitmap(os.path.join(tmpdir_path, "state.miss.bits"), [2])
+    _write_bitmap(os.path.join(tmpdir_path, "state.invalid.bits"), [3])
+    _write_bitmap(os.path.join(tmpdir_path, "state.failed.bits"), [4])
+    open(os.path.join(tmpdir_path, "state.extra.bits"), "wb").close()
+    bm = B.read_bitmap_files(spark, tmpdir_path)
+    rows = sorted((r.row_index, r.state) for r in B.bitmap_rows(bm).collect())
+    assert rows == [(0, "success"), (1, "success"), (2, "miss"), (3, "invalid"), (4, "failed"),
+                    (40000, "success")]
+    counts = {r.state: r.set_bits for r in B.bitmap_popcount(spark, bm).collect()}
+    assert counts == {"success": 3, "miss": 1, "invalid": 1, "failed": 1}
+
+
+def test_missing_file_counts_zero(spark, tmpdir_path):
+    _write_bitmap(os.path.join(tmpdir_path, "state.success.bits"), [5])
+    bm = B.read_bitmap_files(spark, tmpdir_path)
+    counts = {r.state: r.set_bits for r in B.bitmap_popcount(spark, bm).collect()}
+    assert counts == {"success": 1, "miss": 0, "invalid": 0, "failed": 0}
+
+
+def test_encode_matches_single_file_bytes(spark):
+    st = spark.createDataFrame([(0, "success"), (1, "success"), (9, "success"), (32770, "miss")],
+                               "row_index BIGINT, state STRING")
+    bm = {(r.state, r.bucket_no): bytes(r.bitmap) for r in B.bitmap_encode(st).collect()}
+    assert bm[("success", 0)][:2] == bytes([0b11, 0b10])
+    assert bm[("miss", 1)][0] == 0b100
+    probe = spark.createDataFrame([(i,) for i in (0, 1, 2, 9, 32770, 99999)], "row_index BIGINT")
+    got = sorted((r.row_index, r.state) for r in B.bitmap_membership(probe, B.bitmap_encode(st)).collect())
+    assert got == [(0, "success"), (1, "success"), (9, "success"), (32770, "miss")]
+
+
+def test_merge_detects_overlap(spark):
+    st = spark.createDataFrame([(0, "success"), (0, "miss"), (1, "failed")], "row_index BIGINT, state STRING")
+    m = B.bitmap_merge(B.bitmap_encode(st)).first()
+    assert (m.handled_bits, m.overlap_bits) == (2, 1)

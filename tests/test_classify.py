@@ -1,0 +1,70 @@
+import pytest
+from pyspark.sql import functions as F
+
+from labelsmith import config as C
+from labelsmith.functions import backoff_reason, compact_error, html_summary
+from labelsmith.operators.classify import classify_answers
+
+CLASSIFIED = ('{"kingdom":{"name":"Organic compounds","chemont_id":"CHEMONTID:0000000"},'
+              '"superclass":null}')
+
+CASES = [
+    # (status, content_type, body, state, reason prefix)
+    (200, "application/json", CLASSIFIED, C.SUCCESS, None),
+    (404, "text/html", "<html><title>Missing</title></html>", C.FAILED, "entity request returned HTML"),
+    (404, "application/json", "{}", C.MISS, None),
+    (200, None, "<p>the page you were looking for doesn't exist</p>", C.MISS, None),
+    (429, "application/json", CLASSIFIED, C.FAILED, "entity request was throttled"),
+    (200, "text/html; charset=utf-8", "<html>x</html>", C.FAILED, "entity request returned HTML"),
+    (200, "application/json", "<!DOCTYPE html><p>hi</p>", C.FAILED, "entity request returned HTML"),
+    (200, "application/json", "{", C.FAILED, "failed to parse entity response JSON"),
+    (200, "application/json", '{"kingdom":{}} trailing', C.FAILED, "failed to parse entity response JSON"),
+    (200, "application/json", "[1,2,3,4,5]", C.FAILED, "failed to parse entity response JSON"),
+    (500, "application/json", CLASSIFIED, C.FAILED, "entity request failed with status 500"),
+    (200, "application/json", "  \n ", C.MISS, None),
+    (200, "application/json", '{"superclass":{"name":"Benzenoids"}}', C.SUCCESS, None),
+    (200, "application/json", '{"kingdom":null,"class":null}', C.MISS, None),
+    (200, "application/json", '{"kingdom":false}', C.SUCCESS, None),
+    (200, "application/json", '{"other":1}', C.MISS, None),
+]
+
+
+@pytest.fixture(scope="module")
+def classified(spark):
+    df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(CASES)],
+                               "i INT, status INT, content_type STRING, body STRING")
+    return {r.i: r for r in classify_answers(df).collect()}
+
+
+@pytest.mark.parametrize("i", range(len(CASES)))
+def test_cascade(classified, i):
+    _, _, _, state, reason = CASES[i]
+    r = classified[i]
+    assert r.state == state
+    if reason is None:
+        assert r.reason is None
+    else:
+        assert r.reason.startswith(reason)
+
+
+def test_html_404_reason_has_title(classified):
+    assert classified[1].reason == "entity request returned HTML (title: Missing)"
+
+
+def test_html_summary(spark):
+    df = spark.createDataFrame([("<html><body>  Service \n unavailable </body></html>",), ("  ",),
+                                ("<TITLE>  Hi  </Title>",), ("<title> </title>abc",)], "b STRING")
+    got = [r.s for r in df.select(html_summary("b").alias("s")).collect()]
+    assert got[0] == "snippet: <html><body> Service unavailable </body></html>"
+    assert got[1] == "empty HTML body"
+    assert got[2] == "title: Hi"
+    assert got[3] == "snippet: <title> </title>abc"
+
+
+def test_error_buckets_and_backoff(spark):
+    msgs = ["entity request was throttled", "entity request returned HTML (title: x)",
+            "operation timed out", "failed GET /entities request", "something else"]
+    df = spark.createDataFrame([(m,) for m in msgs], "m STRING")
+    rows = df.select(compact_error("m").alias("b"), backoff_reason("m").alias("r")).collect()
+    assert [r.b for r in rows] == ["throttled", "html", "timeout", "transport", "error"]
+    assert [r.r for r in rows] == ["throttle", "html", None, None, None]
