@@ -57,11 +57,17 @@ ERROR_BUCKETS = (
 )
 ERROR_BUCKET_DEFAULT = "error"
 
-# Unicode White_Space characters (what the original's `trim` and whitespace split use),
-# written as a regex character class usable by Java regex and RE2 alike.
-WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# Unicode White_Space code points (what the original's `trim` and whitespace split use):
+# U+0009-U+000D, U+0020, U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F,
+# U+3000.
+WHITESPACE_CODEPOINTS = (
+    list(range(0x09, 0x0E)) + [0x20, 0x85, 0xA0, 0x1680] + list(range(0x2000, 0x200B))
+    + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
+WHITESPACE_CHARS = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
+# The same set as a compact regex character class (Java regex and RE2): U+0009-U+000D, U+0085
+# and the Unicode separators Zs/Zl/Zp (which are exactly the remaining code points above).
+WHITESPACE_CLASS = r"[\t-\r\x{85}\p{Z}]"
 
 # Shard and release formats.
 SHARD_NAME_FORMAT = "success-%06d"

@@ -17,11 +17,23 @@ def valid_key(c) -> Column:
     return F.coalesce((F.octet_length(k) == 27) & k.rlike(KEY_PATTERN), F.lit(False))
 
 
-def json_object_body(body) -> Column:
+def parsed_body(body) -> Column:
+    """The body parsed once as VARIANT, wrapped in ``[...]`` so that trailing garbage after the
+    value fails the parse (NULL); repeated keys fail too."""
+    return F.try_parse_json(F.concat(F.lit("["), as_col(body), F.lit("]")))
+
+
+def json_object_body(body, parsed: Column | None = None) -> Column:
     """Body is exactly one JSON object (no trailing garbage, no repeated keys)."""
     b = as_col(body)
-    parsed = F.try_parse_json(F.concat(F.lit("["), b, F.lit("]")))
-    return F.coalesce(parsed.isNotNull() & b.rlike(r"^[ \t\n\r]*\{"), F.lit(False))
+    v = parsed_body(b) if parsed is None else parsed
+    return F.coalesce(v.isNotNull() & b.rlike(r"^[ \t\n\r]*\{"), F.lit(False))
+
+
+def has_classification_parsed(parsed: Column) -> Column:
+    """From the parsed VARIANT: any of the five fields present and not JSON null."""
+    fields = [F.try_variant_get(parsed, f"$[0].{name}", "string") for name in LAYER_NAMES]
+    return F.coalesce(*fields).isNotNull()
 
 
 PROBE_SCHEMA = ", ".join(f"`{name}` STRING" for name in LAYER_NAMES)
@@ -34,5 +46,4 @@ def classification_probe(body) -> Column:
 
 def has_classification(body) -> Column:
     """Any of the five fields present and not JSON null (any value type counts)."""
-    probe = classification_probe(body)
-    return F.coalesce(*[probe[name] for name in LAYER_NAMES]).isNotNull()
+    return has_classification_parsed(parsed_body(body))

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import (ERROR_BUCKET_DEFAULT, ERROR_BUCKETS, HTML_MARKERS, HTML_PREFIX_CHARS,
-                      HTML_SNIPPET_CHARS, NOT_FOUND_TEXT, UNNAMED_CLASS, WHITESPACE_CLASS)
+                      HTML_SNIPPET_CHARS, NOT_FOUND_TEXT, UNNAMED_CLASS, WHITESPACE_CHARS,
+                      WHITESPACE_CLASS)
 
 _WS = WHITESPACE_CLASS
 
@@ -16,8 +17,10 @@ def as_col(c) -> Column:
 
 
 def trim_ws(c) -> Column:
-    """Strip Unicode White_Space at both ends (``trim`` only strips ASCII spaces)."""
-    return F.regexp_replace(as_col(c), f"^{_WS}+|{_WS}+$", "")
+    """Strip Unicode White_Space at both ends (plain ``trim`` strips ASCII spaces only).
+
+    ``trim`` with an explicit character set touches only the two ends of the string."""
+    return F.trim(as_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def strip_line_end(c) -> Column:
@@ -30,6 +33,19 @@ def collapse_ws(c) -> Column:
     return F.regexp_replace(trim_ws(c), f"{_WS}+", " ")
 
 
+def collapsed_head(c, n: int) -> Column:
+    """First ``n`` characters of ``collapse_ws(c)``, exactly.
+
+    Every word is at least one character, so the first ``n`` words joined by single spaces
+    already hold the first ``n`` collapsed characters. The regex takes the shortest leading
+    stretch holding ``n`` words (possessive, no backtracking) and only that stretch is
+    collapsed, instead of rewriting every whitespace run of a long text.
+    """
+    word = f"[^{_WS[1:-1]}]"
+    head = F.regexp_extract(as_col(c), f"^(?:{_WS}*+{word}++){{0,{n}}}", 0)
+    return F.substring(collapse_ws(head), 1, n)
+
+
 def ascii_lower(c) -> Column:
     """Lower-case A-Z only, like an ASCII case fold."""
     return F.translate(as_col(c), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -54,7 +70,7 @@ def html_title(body) -> Column:
 def html_summary(body) -> Column:
     """``title: ...`` if a non-empty title exists, else ``snippet: <80 chars>``, else empty."""
     title = html_title(body)
-    snippet = F.substring(collapse_ws(body), 1, HTML_SNIPPET_CHARS)
+    snippet = collapsed_head(body, HTML_SNIPPET_CHARS)
     return (F.when(title != "", F.concat(F.lit("title: "), title))
             .when(snippet != "", F.concat(F.lit("snippet: "), snippet))
             .otherwise(F.lit("empty HTML body")))

@@ -6,35 +6,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import (backoff_reason, compact_error, has_classification, html_summary,
-                         json_object_body, looks_html, looks_not_found, trim_ws)
+from ..functions import (backoff_reason, compact_error, html_summary, json_object_body,
+                         looks_html, looks_not_found, trim_ws)
+from ..functions.answers import has_classification_parsed, parsed_body
 
 
-def answer_state(status="status", content_type="content_type", body="body") -> tuple[Column, Column]:
-    """(state, reason) of one answer; first matching rule wins.
+_HELPERS = ("_st", "_html", "_nf", "_blank", "_json")
+
+
+def answer_helpers(status="status", content_type="content_type", body="body") -> dict[str, Column]:
+    """Per-answer checks, computed once per row (the state and the reason both read them)."""
+    st, ct, b = F.col(status), F.col(content_type), F.col(body)
+    return {"_st": st, "_html": looks_html(ct, b), "_nf": (st == 404) | looks_not_found(b),
+            "_blank": trim_ws(b) == "", "_json": parsed_body(b)}
+
+
+def answer_state(body="body") -> tuple[Column, Column]:
+    """(state, reason) of one answer over the helper columns; first matching rule wins.
 
     429 -> failed (throttled); HTML -> failed; 404 or not-found page -> miss; >= 400 -> failed;
     blank -> miss; not one JSON object -> failed; classified -> success; else miss.
     """
-    st, ct, b = F.col(status), F.col(content_type), F.col(body)
-    is_html = looks_html(ct, b)
-    not_found = (st == 404) | looks_not_found(b)
-    blank = trim_ws(b) == ""
-    good_json = json_object_body(b)
+    st, html, nf, blank, v = (F.col(c) for c in _HELPERS)
+    b = F.col(body)
+    good_json = json_object_body(b, v)
     state = (
         F.when(st == 429, F.lit(C.FAILED))
-        .when(is_html, F.lit(C.FAILED))
-        .when(not_found, F.lit(C.MISS))
+        .when(html, F.lit(C.FAILED))
+        .when(nf, F.lit(C.MISS))
         .when(st >= 400, F.lit(C.FAILED))
         .when(blank, F.lit(C.MISS))
         .when(~good_json, F.lit(C.FAILED))
-        .when(has_classification(b), F.lit(C.SUCCESS))
+        .when(has_classification_parsed(v), F.lit(C.SUCCESS))
         .otherwise(F.lit(C.MISS))
     )
     reason = (
         F.when(st == 429, F.lit(C.MSG_THROTTLED))
-        .when(is_html, F.concat(F.lit(C.MSG_HTML_PREFIX + " ("), html_summary(b), F.lit(")")))
-        .when(not_found, F.lit(None).cast("string"))
+        .when(html, F.concat(F.lit(C.MSG_HTML_PREFIX + " ("), html_summary(b), F.lit(")")))
+        .when(nf, F.lit(None).cast("string"))
         .when(st >= 400, F.concat(F.lit(C.MSG_STATUS_PREFIX), st.cast("string")))
         .when(blank, F.lit(None).cast("string"))
         .when(~good_json, F.lit(C.MSG_BAD_JSON))
@@ -42,10 +51,19 @@ def answer_state(status="status", content_type="content_type", body="body") -> t
     return state, reason
 
 
+def with_answer_state(df: DataFrame, guard: Column | None = None) -> DataFrame:
+    """Add ``state`` and ``reason`` from the answer columns; rows where ``guard`` is false get
+    NULLs (their checks are skipped)."""
+    helpers = answer_helpers()
+    if guard is not None:
+        helpers = {k: F.when(guard, v) for k, v in helpers.items()}
+    state, reason = answer_state()
+    return df.withColumns(helpers).withColumns({"state": state, "reason": reason}).drop(*_HELPERS)
+
+
 def classify_answers(answers: DataFrame) -> DataFrame:
     """Add ``state`` and ``reason`` to a frame of answers."""
-    state, reason = answer_state()
-    return answers.withColumns({"state": state, "reason": reason})
+    return with_answer_state(answers)
 
 
 def with_error_bucket(df: DataFrame, message_col: str = "reason") -> DataFrame:

@@ -20,24 +20,27 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import backoff_reason, valid_key
-from .classify import answer_state
+from .classify import with_answer_state
 
 ANSWER_COLS = ("status", "content_type", "body")
 
 
 def dedupe_responses(responses: DataFrame) -> DataFrame:
-    """One answer per well-formed key: the newest by ``fetched_at`` when present.
+    """One answer per well-formed key: the newest by ``fetched_at`` when present, ties (and
+    tables without ``fetched_at``) broken by a hash of the answer, so the pick is deterministic.
 
-    Without ``fetched_at`` the greatest (status, content_type, body) is kept, which makes the
-    pick deterministic.
+    An aggregate rather than a window: partial aggregation collapses a key asked a million
+    times to one row per task before the shuffle, so a hot key cannot overload a reducer.
     """
     ans = responses.where(valid_key(F.col("inchikey")))
-    payload = F.struct(*[F.col(c) for c in ANSWER_COLS])
+    content_hash = F.xxhash64(*[F.col(c) for c in ANSWER_COLS])
+    cols = list(ANSWER_COLS)
     if "fetched_at" in responses.columns:
-        payload = F.struct(*[F.col(c) for c in ANSWER_COLS], F.col("fetched_at"))
-        pick = F.max_by(payload, F.struct("fetched_at", *ANSWER_COLS))
+        cols.append("fetched_at")
+        order = F.struct(F.col("fetched_at"), content_hash)
     else:
-        pick = F.max(payload)
+        order = content_hash
+    pick = F.max_by(F.struct(*[F.col(c) for c in cols]), order)
     return ans.groupBy("inchikey").agg(pick.alias("a")).select("inchikey", "a.*")
 
 
@@ -74,14 +77,14 @@ def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
 def annotate_with_answers(parsed: DataFrame, answers: DataFrame) -> DataFrame:
     """``annotate`` against answers that are already one row per key (e.g. a landed table)."""
     joined = join_answers(parsed, answers)
-    a_state, a_reason = answer_state()
+    answered = F.col("invalid_reason").isNull() & F.col("status").isNotNull()
+    out = with_answer_state(joined, guard=answered)
     state = (F.when(F.col("invalid_reason").isNotNull(), F.lit(C.INVALID))
              .when(F.col("status").isNull(), F.lit(C.PENDING))
-             .otherwise(a_state))
+             .otherwise(F.col("state")))
     reason = (F.when(F.col("invalid_reason").isNotNull(), F.col("invalid_reason"))
-              .when(F.col("status").isNull(), F.lit(None).cast("string"))
-              .otherwise(a_reason))
-    return joined.withColumns({"state": state, "reason": reason})
+              .otherwise(F.col("reason")))
+    return out.withColumns({"state": state, "reason": reason})
 
 
 def unprocessed_rows(rows: DataFrame, states: DataFrame) -> DataFrame:

@@ -68,3 +68,21 @@ def test_error_buckets_and_backoff(spark):
     rows = df.select(compact_error("m").alias("b"), backoff_reason("m").alias("r")).collect()
     assert [r.b for r in rows] == ["throttled", "html", "timeout", "transport", "error"]
     assert [r.r for r in rows] == ["throttle", "html", None, None, None]
+
+
+def test_whitespace_class_is_exactly_the_code_point_list(spark):
+    from labelsmith import config as C
+    cps = [c for c in range(0, 0x3100) if not (0xD800 <= c <= 0xDFFF)]
+    df = spark.createDataFrame([(c, chr(c)) for c in cps], "c INT, ch STRING")
+    got = {r.c for r in df.where(F.col("ch").rlike("^" + C.WHITESPACE_CLASS + "$")).collect()}
+    assert got == set(C.WHITESPACE_CODEPOINTS)
+
+
+def test_collapsed_head_equals_full_collapse(spark):
+    from labelsmith.functions.text import collapse_ws, collapsed_head
+    texts = ["", "   ", " a  b\\t\\nc ", "x" * 200, ("w " * 100) + "   " * 50,
+             "\\u3000lead\\u2003mid\\u00a0end\\u0085", " ".join(str(i) for i in range(300))]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    rows = df.select(collapsed_head("t", 80).alias("h"),
+                     F.substring(collapse_ws("t"), 1, 80).alias("full")).collect()
+    assert all(r.h == r.full for r in rows)
