@@ -7,7 +7,7 @@ no key, so nothing is shuffled but one row per task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -18,12 +18,13 @@ from . import taxonomy
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a keyless aggregate (exactly one row) to every row of ``df``.
 
-    Equi-join on a constant key with the one-row side broadcast: its size is fixed at one row,
-    so this is a map-side lookup, not a pairing of two data sets.
+    The aggregate becomes a scalar subquery: it runs once, its single value is embedded in the
+    projection, and no join (let alone a pairing of two data sets) is planned.
     """
-    key = "__one_row_key"
-    return (df.withColumn(key, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(key, F.lit(1))), key).drop(key))
+    cols = [c for c in one_row.columns if c not in df.columns]
+    packed = one_row.select(F.struct(*cols).alias("__one_row")).scalar()
+    return df.select("*", packed.alias("__one_row")).select(
+        *[F.col(c) for c in df.columns], *[F.col("__one_row")[c].alias(c) for c in cols])
 
 
 def crawl_counts(annotated: DataFrame) -> DataFrame:
@@ -92,30 +93,46 @@ def taxonomy_report(spark: SparkSession, ranked: DataFrame) -> DataFrame:
     """Printed rows per layer: shown classes, then one tail row when hidden labels exist.
 
     ``(layer_no, layer, line_no, label, percent, count)``; percent of the layer's records with
-    two decimals, count with thousands separators.
+    two decimals, count with thousands separators. One pass over the ranked classes: layer
+    totals and tail figures are windows on the rank partitioning, and the tail row is emitted
+    from the first hidden class, so no branch recomputes the classes.
     """
-    totals = ranked.groupBy("layer_no").agg(F.sum("label_count").cast("long").alias("assigned"))
-    top = taxonomy.taxonomy_topk(spark, ranked).join(totals, "layer_no").select(
-        "layer_no", "layer", F.col("rk").alias("line_no"), F.col("name").alias("label"),
-        format_percent("label_count", "assigned").alias("percent"),
-        format_count("label_count").alias("count"))
-    tail = taxonomy.taxonomy_tail(spark, ranked).join(totals, "layer_no").where(
-        F.col("tail_labels") > 0)
-    tail_rows = tail.select(
-        "layer_no", "layer", F.lit(None).cast("int").alias("line_no"),
-        F.concat(F.lit("Tail: "), format_count("tail_classes"), F.lit(" classes")).alias("label"),
-        format_percent("tail_labels", "assigned").alias("percent"),
-        format_count("tail_labels").alias("count"))
-    return top.unionByName(tail_rows)
+    r = taxonomy.with_panel_limit(spark, ranked)
+    w = Window.partitionBy("layer_no")
+    hidden = F.col("rk") > F.col("panel_limit")
+    r = (r.withColumn("assigned", F.sum("label_count").over(w))
+         .withColumn("tail_classes", F.count(F.when(hidden, 1)).over(w))
+         .withColumn("tail_labels", F.sum(F.when(hidden, F.col("label_count")).otherwise(0)).over(w)))
+    shown = F.col("rk") <= F.col("panel_limit")
+    first_hidden = (F.col("rk") == F.col("panel_limit") + 1) & (F.col("tail_labels") > 0)
+    rows = r.where(shown | first_hidden)
+    return rows.select(
+        "layer_no", "layer",
+        F.when(shown, F.col("rk")).cast("int").alias("line_no"),
+        F.when(shown, F.col("name")).otherwise(
+            F.concat(F.lit("Tail: "), format_count("tail_classes"), F.lit(" classes"))).alias("label"),
+        F.when(shown, format_percent("label_count", "assigned")).otherwise(
+            format_percent("tail_labels", "assigned")).alias("percent"),
+        F.when(shown, format_count("label_count")).otherwise(format_count("tail_labels")).alias("count"))
 
 
 def summary_rows(spark: SparkSession, counts: DataFrame, ranked: DataFrame) -> DataFrame:
     """Long form of the progress summary: one row per (layer, class); empty layers keep one row
-    with NULL class fields. Counts and the total repeat on each row (they are one row)."""
-    layers = taxonomy.all_layers(spark, ranked)
-    classes = ranked.select("layer_no", F.col("rk").alias("class_no"), "name", "chemont_id",
-                            "label_count")
-    body = layers.join(classes, "layer_no", "left")
+    with NULL class fields. Counts and the total repeat on each row (they are one row).
+
+    One pass over the ranked classes: layer totals are windows, and the five-row layer table
+    (broadcast) is the preserved side of an outer join so empty layers survive."""
+    w = Window.partitionBy("layer_no")
+    classes = ranked.select(
+        "layer_no", F.col("rk").alias("class_no"), "name", "chemont_id", "label_count",
+        F.sum("label_count").over(w).cast("long").alias("assigned_records"),
+        F.count(F.lit(1)).over(w).alias("unique_class_count"))
+    dim = F.broadcast(taxonomy.layers_dim(spark).select("layer_no", "layer"))
+    body = classes.join(dim, "layer_no", "right").select(
+        "layer_no", "layer",
+        F.coalesce("assigned_records", F.lit(0).cast("long")).alias("assigned_records"),
+        F.coalesce("unique_class_count", F.lit(0).cast("long")).alias("unique_class_count"),
+        "class_no", "name", "chemont_id", "label_count")
     return attach_one_row(body, counts).select(
         "total_rows", *[f"{s}_rows" for s in C.STATES], "layer_no", "layer",
         "assigned_records", "unique_class_count", "class_no", "name", "chemont_id",

@@ -783,7 +783,8 @@ def _land_files(df: DataFrame, order_col: str, name: str, spark, files: int = 8)
 def q_stream_annotate(spark, d):
     """Submissions arriving as files, annotated by a resumable stream; rows with a state."""
     src = _land_files(X.submissions(spark, d), "row_index", "arrivals", spark)
-    answers = SA.land_answers(X.responses(spark, d), scratch_dir(spark, "answers"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    answers = SA.land_answers(X.responses(spark, d), scratch_dir(spark, "answers"), buckets)
     out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
     q = SA.start_annotation_stream(spark, src, answers, out, ckpt, files_per_trigger=2)
     q.awaitTermination()

@@ -11,6 +11,8 @@ get no state; a later back-fill over ``unprocessed_rows`` picks them up.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +24,22 @@ SUBMISSION_SCHEMA = T.StructType([T.StructField("row_index", T.LongType()),
                                   T.StructField("line", T.StringType())])
 
 
-def land_answers(responses: DataFrame, path: str) -> DataFrame:
-    """Write the deduplicated answers once; the stream joins against this table."""
-    lookup.dedupe_responses(responses).write.mode("overwrite").parquet(path)
-    return responses.sparkSession.read.parquet(path)
+def land_answers(responses: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
+    """Write the deduplicated answers once; the stream joins against this table.
+
+    With ``buckets`` the table is bucketed (and sorted) by ``inchikey`` as an external table at
+    ``path``: a micro-batch join then shuffles only the batch's own rows into the bucket layout
+    instead of re-shuffling the whole answers table every trigger.
+    """
+    spark = responses.sparkSession
+    deduped = lookup.dedupe_responses(responses)
+    if not buckets:
+        deduped.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    name = "answers_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+    (deduped.write.mode("overwrite").bucketBy(int(buckets), "inchikey").sortBy("inchikey")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def _write_batch(out_dir: str):
