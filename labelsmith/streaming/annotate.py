@@ -44,18 +44,18 @@ def land_answers(responses: DataFrame, path: str, buckets: int | None = None) ->
 
 def _write_batch(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         batch = batch.persist()
         try:
             tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             (tagged.where(F.col("state") != C.PENDING)
              .select("row_index", "state", "reason", "batch_id")
-             .write.mode("overwrite").partitionBy("batch_id").parquet(f"{out_dir}/states"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{out_dir}/states"))
             (tagged.where(F.col("state") == C.SUCCESS)
              .select("row_index", "cid", "inchi", "inchikey", F.col("body").alias("classyfire"),
                      "batch_id")
-             .write.mode("overwrite").partitionBy("batch_id").parquet(f"{out_dir}/records"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{out_dir}/records"))
         finally:
             batch.unpersist()
     return write

@@ -25,10 +25,9 @@ def _overwrite(path: str):
 
 def _append_batches(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
     return write
 
 
