@@ -8,8 +8,6 @@ between writing it and recording its state) and sorted by ``row_index`` with a r
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,6 +192,3 @@ def summary_or_recompute(spark: SparkSession, release_dir: str, dataset: DataFra
         taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(dataset))))
     return report.summary_document(spark, counts, ranked)
 
-
-def manifest_json(row: dict) -> str:
-    return json.dumps(row, indent=2)

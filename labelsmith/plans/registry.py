@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .. import fixtures as X
-from ..functions import (backoff_reason, compact_error, has_classification, html_summary,
-                         json_object_body, looks_html, looks_not_found, valid_key)
+from ..functions import (has_classification, html_summary, json_object_body, looks_html,
+                         looks_not_found, valid_key)
 from ..operators import classify, lookup, parse, report, taxonomy
 from ..session import apply_query_conf
 from . import annotate as P
@@ -615,9 +615,9 @@ def q_input_fingerprint(spark, d):
     """A5: stored run fingerprints against the current text files: one unchanged, one with a
     different size, one with a different mtime, one for a file that is gone."""
     cur = L.file_metadata(spark, _write_submission_text(spark, d) + "/part-*")
-    runs = cur.select(
-        F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("input_path")).alias("run_id"),
-        "input_path", "input_size_bytes", "input_mtime_epoch")
+    # one row per written file (a handful): an unpartitioned window is fine here
+    runs = cur.select(F.row_number().over(Window.orderBy("input_path")).alias("run_id"),
+                      "input_path", "input_size_bytes", "input_mtime_epoch")
     runs = runs.select(
         "run_id",
         F.when(F.col("run_id") == 4, F.concat("input_path", F.lit(".moved"))).otherwise(

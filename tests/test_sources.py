@@ -59,3 +59,14 @@ def test_fingerprint_mismatch_order(spark, tmpdir_path):
         "run_id INT, input_path STRING, input_size_bytes BIGINT, input_mtime_epoch BIGINT")
     got = {r.run_id: r.mismatch for r in L.input_fingerprint(cur, runs).collect()}
     assert got == {1: None, 2: "input path", 3: "input size", 4: "input mtime", 5: "input size"}
+
+
+def test_multi_frame_zstd_input(spark, tmpdir_path):
+    import zstandard
+    data = "".join(f"{i}\tInChI\tKEY\n" for i in range(1000)).encode()
+    c = zstandard.ZstdCompressor(level=3)
+    with open(os.path.join(tmpdir_path, "in.tsv.zst"), "wb") as f:
+        f.write(c.compress(data[:5000]) + c.compress(data[5000:]))
+    open(os.path.join(tmpdir_path, "empty.tsv.zst"), "wb").close()
+    rows = L.number_lines(spark, tmpdir_path).orderBy("row_index").collect()
+    assert len(rows) == 1000 and rows[-1].row_index == 999 and rows[-1].line == "999\tInChI\tKEY"
