@@ -2,13 +2,15 @@
 
 Scale notes
 -----------
-* Answers are reduced to one row per key with a hash aggregate on ``inchikey``; the equi join
-  then reuses that hash partitioning, so the answer side is shuffled once.
+* Answers are reduced to one row per key with an aggregate on ``inchikey`` (partial aggregation
+  collapses a key answered many times); the join then shuffles the deduplicated answers once
+  more (see ``join_answers``) so that AQE may split a hot submission key.
 * Invalid rows must not meet any answer. Instead of a NULL join key (all NULLs hash to one
   reducer: a hot partition when a third of the input is bad) they get a per-row key that can
   never match a well-formed key, which spreads them evenly.
 * A key repeated by a third of all rows is a hot key on the submission side only (the answer
-  side has one row per key); AQE's skew-join split handles it for the left outer join.
+  side has one row per key); AQE's skew-join split divides that partition for the left outer
+  join (tested in tests/test_skew.py).
 * AQE turns the sort-merge join into a broadcast join when the deduplicated answers turn out
   small at run time; nothing is broadcast on a guess.
 """
@@ -50,9 +52,23 @@ def lookup_key() -> F.Column:
         F.concat(F.lit("~invalid~"), F.col("row_index").cast("string")))
 
 
-def join_answers(parsed: DataFrame, answers: DataFrame) -> DataFrame:
-    """Left outer equi join of parsed rows to answers that are already one row per key."""
-    right = answers.select(F.col("inchikey").alias("lookup_key"), *ANSWER_COLS)
+def join_answers(parsed: DataFrame, answers: DataFrame, split_hot_keys: bool = True) -> DataFrame:
+    """Left outer equi join of parsed rows to answers that are already one row per key.
+
+    AQE splits a hot join partition only across a shuffle that the planner itself inserted for
+    the join. Joined on the bare key, the answers would keep the dedupe aggregate's hash
+    partitioning, no such shuffle would exist, and a key held by a third of the submissions
+    would stay in one task. The answer side's key is therefore ``upper(inchikey)``: identical
+    for every well-formed key (A-Z and '-', enforced by the filter), but not the aggregate's
+    partitioning expression, so the planner adds a join shuffle of the deduplicated answers
+    (one row per key) and the skew split applies.
+
+    ``split_hot_keys=False`` joins on the bare key instead, which keeps a table bucketed by
+    ``inchikey`` usable without a shuffle (the stream path, whose micro-batches are bounded).
+    """
+    key = F.upper(F.col("inchikey")) if split_hot_keys else F.col("inchikey")
+    right = answers.where(valid_key(F.col("inchikey"))).select(
+        key.alias("lookup_key"), *ANSWER_COLS)
     left = parsed.withColumn("lookup_key", lookup_key())
     return left.join(right, "lookup_key", "left").drop("lookup_key")
 
@@ -74,9 +90,10 @@ def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     return annotate_with_answers(parsed, dedupe_responses(responses))
 
 
-def annotate_with_answers(parsed: DataFrame, answers: DataFrame) -> DataFrame:
+def annotate_with_answers(parsed: DataFrame, answers: DataFrame,
+                          split_hot_keys: bool = True) -> DataFrame:
     """``annotate`` against answers that are already one row per key (e.g. a landed table)."""
-    joined = join_answers(parsed, answers)
+    joined = join_answers(parsed, answers, split_hot_keys)
     answered = F.col("invalid_reason").isNull() & F.col("status").isNotNull()
     out = with_answer_state(joined, guard=answered)
     state = (F.when(F.col("invalid_reason").isNotNull(), F.lit(C.INVALID))

@@ -67,7 +67,9 @@ def start_annotation_stream(spark: SparkSession, source_dir: str, answers: DataF
     """Start the stream; returns the ``StreamingQuery``."""
     rows = (spark.readStream.schema(SUBMISSION_SCHEMA)
             .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
-    annotated = lookup.annotate_with_answers(parse.parse_submissions(rows), answers)
+    # bare-key join: a bucketed answers table is then joined without shuffling it per batch
+    annotated = lookup.annotate_with_answers(parse.parse_submissions(rows), answers,
+                                             split_hot_keys=False)
     writer = (annotated.writeStream.foreachBatch(_write_batch(out_dir))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
