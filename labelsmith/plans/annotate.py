@@ -25,6 +25,18 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.annotate(parsed(spark, sf_dir), fixtures.responses(spark, sf_dir))
 
 
+def land_annotation(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    """Write the annotation once, partitioned by state, and read it back.
+
+    This is the output a run keeps anyway (states for resume, records for the report). Readers
+    then prune: counts read only the partition column, the taxonomy reads ``state=success``,
+    so a report built from it does not evaluate the lookup join a second time.
+    """
+    cols = ["row_index", "cid", "inchi", "inchikey", "reason", "status", "body", "state"]
+    annotated(spark, sf_dir).select(*cols).write.mode("overwrite").partitionBy("state").parquet(out)
+    return spark.read.parquet(out)
+
+
 def terminal_states(ann: DataFrame) -> DataFrame:
     """``(row_index, state, reason)`` for rows that reached a terminal state."""
     return ann.where(F.col("state") != C.PENDING).select("row_index", "state", "reason")

@@ -17,7 +17,7 @@ from .. import fixtures as X
 from ..functions import (has_classification, html_summary, json_object_body, looks_html,
                          looks_not_found, valid_key)
 from ..operators import classify, lookup, parse, report, taxonomy
-from ..session import apply_query_conf
+from ..session import apply_query_conf, scratch_dir
 from . import annotate as P
 from . import oracle as O
 
@@ -312,7 +312,7 @@ def q_progress_ratios(spark, d):
     "(SELECT * FROM counts, totals) c"))
 def q_progress_summary(spark, d):
     """the summary document in long form (one row per layer and class)."""
-    ann = P.annotated(spark, d)
+    ann = P.land_annotation(spark, d, scratch_dir(spark, "annotation"))
     counts = report.crawl_counts(ann)
     ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(
         taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(ann)))))
@@ -519,7 +519,6 @@ def q_eta(spark, d):
 from ..operators import bitmaps as B  # noqa: E402
 from ..operators import release as R  # noqa: E402
 from ..operators import states as S  # noqa: E402
-from ..session import scratch_dir  # noqa: E402
 from ..sources import lines as L  # noqa: E402
 
 # Shard limits for the fixture: small enough that sf0.01 spreads over several shards.
@@ -704,7 +703,7 @@ def q_release_gate(spark, d):
 
 
 def _summary_doc(spark, d):
-    ann = P.annotated(spark, d)
+    ann = P.land_annotation(spark, d, scratch_dir(spark, "annotation"))
     ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(
         taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(ann)))))
     return report.summary_document(spark, report.crawl_counts(ann), ranked)
