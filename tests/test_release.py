@@ -94,3 +94,13 @@ def test_summary_round_trip(spark, tmpdir_path):
     assert again.taxonomy_layers[4].classes[0].label_count == 2
     stored = R.summary_or_recompute(spark, tmpdir_path, None, None, None, summary_name="summary")
     assert stored.first().pubchem_total_rows == 5
+
+
+def test_recompute_needs_a_total(spark, tmpdir_path):
+    import pytest
+    with pytest.raises(ValueError):
+        R.summary_or_recompute(spark, tmpdir_path, _records(spark), None, None)
+    counts = spark.createDataFrame([(1, 0, 0, 0)], "success_rows BIGINT, miss_rows BIGINT, "
+                                   "invalid_rows BIGINT, failed_rows BIGINT")
+    with pytest.raises(ValueError):
+        R.summary_or_recompute(spark, tmpdir_path, _records(spark), counts, 0)

@@ -70,3 +70,11 @@ def test_multi_frame_zstd_input(spark, tmpdir_path):
     open(os.path.join(tmpdir_path, "empty.tsv.zst"), "wb").close()
     rows = L.number_lines(spark, tmpdir_path).orderBy("row_index").collect()
     assert len(rows) == 1000 and rows[-1].row_index == 999 and rows[-1].line == "999\tInChI\tKEY"
+
+
+def test_land_lines_pins_numbering(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(os.path.join(src, "a.tsv"), "x\ny\n")
+    landed = L.land_lines(spark, src, os.path.join(tmpdir_path, "landed"))
+    assert sorted((r.row_index, r.line) for r in landed.collect()) == [(0, "x"), (1, "y")]

@@ -62,3 +62,11 @@ def test_cumulative_share_ends_at_one(spark):
     rows = sorted(taxonomy.cumulative_share(ranked).collect(), key=lambda r: r.rk)
     assert rows[0].start_share == 0.0 and rows[-1].end_share == 1.0
     assert rows[1].start_share == rows[0].end_share
+
+
+def test_bad_nodes_are_counted(spark):
+    recs = spark.createDataFrame(
+        [(0, json.dumps({"kingdom": {"name": "A"}})), (1, json.dumps({"kingdom": {"chemont_id": "x"}})),
+         (2, json.dumps({"class": "not an object", "subclass": {"name": "B"}}))],
+        "row_index BIGINT, classyfire STRING")
+    assert taxonomy.bad_nodes(recs).first().bad_nodes == 2
