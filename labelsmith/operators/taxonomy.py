@@ -57,6 +57,13 @@ def bad_nodes(records: DataFrame, body_col: str = "classyfire") -> DataFrame:
     return records.agg(F.sum(bad).cast("long").alias("bad_nodes"))
 
 
+def check_nodes(records: DataFrame, body_col: str = "classyfire") -> None:
+    """Strict mode: fail like the original when a present node has no string ``name``."""
+    bad = bad_nodes(records, body_col).first().bad_nodes or 0
+    if bad:
+        raise ValueError(f"{bad} taxonomy node(s) without a name")
+
+
 def taxonomy_counts(nodes: DataFrame) -> DataFrame:
     """``(layer_no, layer, class_key, name, chemont_id, label_count)``.
 

@@ -70,3 +70,7 @@ def test_bad_nodes_are_counted(spark):
          (2, json.dumps({"class": "not an object", "subclass": {"name": "B"}}))],
         "row_index BIGINT, classyfire STRING")
     assert taxonomy.bad_nodes(recs).first().bad_nodes == 2
+    import pytest
+    with pytest.raises(ValueError):
+        taxonomy.check_nodes(recs)
+    taxonomy.check_nodes(recs.where("row_index = 0"))
