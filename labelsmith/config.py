@@ -69,6 +69,9 @@ WHITESPACE_CHARS = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
 # and the Unicode separators Zs/Zl/Zp (which are exactly the remaining code points above).
 WHITESPACE_CLASS = r"[\t-\r\x{85}\p{Z}]"
 
+# JSON key under which a success record keeps the raw answer (record format of the shards).
+ANSWER_FIELD = "classyfire"
+
 # Shard and release formats.
 SHARD_NAME_FORMAT = "success-%06d"
 RELEASE_FORMAT = "jsonl"

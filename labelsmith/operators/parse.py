@@ -51,7 +51,7 @@ def quarantine_counts(parsed: DataFrame) -> DataFrame:
 
 def success_records(classified: DataFrame) -> DataFrame:
     """Successful rows projected to the record layout; the answer body is kept verbatim."""
-    cols = ["row_index", "cid", "inchi", "inchikey", F.col("body").alias("classyfire")]
+    cols = ["row_index", "cid", "inchi", "inchikey", F.col("body").alias(C.ANSWER_FIELD)]
     if "fetched_at" in classified.columns:
         cols.insert(4, "fetched_at")
     return classified.where(F.col("state") == C.SUCCESS).select(*cols)

@@ -21,7 +21,7 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("inchi", T.StringType()),
     T.StructField("inchikey", T.StringType()),
     T.StructField("fetched_at", T.StringType()),
-    T.StructField("classyfire", T.StringType()),  # raw JSON text of the answer
+    T.StructField(C.ANSWER_FIELD, T.StringType()),  # raw JSON text of the answer
 ])
 
 SUMMARY_SCHEMA = (
@@ -48,7 +48,7 @@ def shard_assignment(records: DataFrame, max_records: int = C.SHARD_MAX_RECORDS,
     if max_bytes is None:
         pos = with_positions(records, "row_index")
     else:
-        sized = records.withColumn("_size", F.octet_length("classyfire").cast("long"))
+        sized = records.withColumn("_size", F.octet_length(C.ANSWER_FIELD).cast("long"))
         pos = with_positions(sized, "row_index", "_size").drop("_size")
     cols = ["*", F.expr(f"pos div {int(max_records)} + 1").alias("shard_by_records")]
     if max_bytes is not None:
@@ -61,8 +61,8 @@ def record_line(df: DataFrame) -> F.Column:
     body become spaces: they cannot occur inside JSON strings, only between tokens)."""
     head = F.to_json(F.struct("row_index", "cid", "inchi", "inchikey",
                               *(["fetched_at"] if "fetched_at" in df.columns else [])))
-    body = F.regexp_replace(F.col("classyfire"), r"[\r\n]+", " ")
-    return F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"classyfire":'), body, F.lit("}"))
+    body = F.regexp_replace(F.col(C.ANSWER_FIELD), r"[\r\n]+", " ")
+    return F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(f',"{C.ANSWER_FIELD}":'), body, F.lit("}"))
 
 
 def write_success_shards(records: DataFrame, out: str, max_records: int = C.SHARD_MAX_RECORDS,
@@ -103,7 +103,7 @@ def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT)
               .option("ignoreMissingFiles", "true").option("recursiveFileLookup", "false").json(path))
     else:
         df = spark.read.option("ignoreMissingFiles", "true").parquet(path)
-    return df.select(*[c for c in ["row_index", "cid", "inchi", "inchikey", "fetched_at", "classyfire"]
+    return df.select(*[c for c in ["row_index", "cid", "inchi", "inchikey", "fetched_at", C.ANSWER_FIELD]
                        if c in df.columns])
 
 

@@ -26,7 +26,7 @@ def layers_dim(spark: SparkSession) -> DataFrame:
                                  "layer_no INT, layer STRING, label STRING, panel_limit INT")
 
 
-def taxonomy_long(records: DataFrame, body_col: str = "classyfire") -> DataFrame:
+def taxonomy_long(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
     """``(row_index, layer_no, layer, name, chemont_id)``: one row per present node."""
     tax = F.from_json(F.col(body_col), RECORD_SCHEMA)
     nodes = F.array(*[
@@ -46,7 +46,7 @@ def taxonomy_nodes(long: DataFrame) -> DataFrame:
         "class_key", F.coalesce(F.col("chemont_id"), ascii_lower(F.col("name"))))
 
 
-def bad_nodes(records: DataFrame, body_col: str = "classyfire") -> DataFrame:
+def bad_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
     """One-row count of nodes that exist but lack a string ``name`` (the original rejects them)."""
     from ..functions import classification_probe
     probe = classification_probe(F.col(body_col))
@@ -57,7 +57,7 @@ def bad_nodes(records: DataFrame, body_col: str = "classyfire") -> DataFrame:
     return records.agg(F.sum(bad).cast("long").alias("bad_nodes"))
 
 
-def check_nodes(records: DataFrame, body_col: str = "classyfire") -> None:
+def check_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> None:
     """Strict mode: fail like the original when a present node has no string ``name``."""
     bad = bad_nodes(records, body_col).first().bad_nodes or 0
     if bad:

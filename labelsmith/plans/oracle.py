@@ -104,11 +104,11 @@ annotated AS (SELECT *,
     CASE WHEN invalid_reason IS NOT NULL THEN invalid_reason WHEN status IS NULL THEN NULL
          ELSE ({ANSWER_REASON}) END AS reason FROM joined),
 states AS (SELECT row_index, state, reason FROM annotated WHERE state <> '{C.PENDING}'),
-records AS (SELECT row_index, cid, inchi, inchikey, body AS classyfire FROM annotated WHERE state = '{C.SUCCESS}')"""
+records AS (SELECT row_index, cid, inchi, inchikey, body AS {C.ANSWER_FIELD} FROM annotated WHERE state = '{C.SUCCESS}')"""
 
 
 def _layer_select(no: int, name: str) -> str:
-    node = f"json_extract(classyfire, '$.{name}')"
+    node = f"json_extract({C.ANSWER_FIELD}, '$.{name}')"
     return (f"SELECT row_index, {no} AS layer_no, '{name}' AS layer, "
             f"json_extract_string({node}, '$.name') AS name, "
             f"json_extract_string({node}, '$.chemont_id') AS chemont_id FROM records "

@@ -75,7 +75,7 @@ def q_quarantine(spark, d):
 
 
 @query("success_records", O.on_t(
-    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
 def q_success_records(spark, d):
     """Successful rows as records, body verbatim."""
     return P.records(P.annotated(spark, d))
@@ -636,7 +636,7 @@ def _write_shards(spark, d, fmt="jsonl") -> str:
 
 
 @query("scan_success_records", O.on_t(
-    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
 def q_scan_success_records(spark, d):
     """A4: records written as JSONL shards and read back (body kept as raw JSON)."""
     return R.read_success_records(spark, _write_shards(spark, d)).drop("fetched_at")
@@ -645,7 +645,7 @@ def q_scan_success_records(spark, d):
 _SHARD_SQL = (
     "SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
     f"(row_number() OVER (ORDER BY row_index) - 1) // {FIXTURE_SHARD_RECORDS} + 1 AS shard_by_records, "
-    "cast(coalesce(sum(strlen(classyfire)) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
+    f"cast(coalesce(sum(strlen({C.ANSWER_FIELD})) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
     f"AND 1 PRECEDING), 0) AS BIGINT) // {FIXTURE_SHARD_BYTES} + 1 AS shard_by_bytes FROM records")
 
 
@@ -668,7 +668,7 @@ def q_write_shards(spark, d):
 
 
 @query("merge_release", O.on_t(
-    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
 def q_merge_release(spark, d):
     """H3: all shards merged into one ordered release dataset."""
     return R.merge_release(spark, _write_shards(spark, d)).drop("fetched_at")
@@ -691,7 +691,7 @@ def _states_with_reason(spark, d):
 
 
 @query("release_gate", O.on_t(
-    "SELECT row_index, cid, inchi, inchikey, classyfire FROM records "
+    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records "
     "WHERE (SELECT success_rows FROM counts) > 0"))
 def q_release_gate(spark, d):
     """H5: the release exists only with successful rows and a non-empty shard."""

@@ -52,7 +52,7 @@ def _write_batch(out_dir: str):
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{out_dir}/states"))
             (tagged.where(F.col("state") == C.SUCCESS)
-             .select("row_index", "cid", "inchi", "inchikey", F.col("body").alias("classyfire"),
+             .select("row_index", "cid", "inchi", "inchikey", F.col("body").alias(C.ANSWER_FIELD),
                      "batch_id")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{out_dir}/records"))
