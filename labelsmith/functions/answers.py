@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from ..config import LAYER_NAMES
 from .text import as_col
 
-KEY_PATTERN = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]$"
+KEY_PATTERN = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]\z"
 
 
 def valid_key(c) -> Column:
-    """27 bytes: 14 A-Z, '-', 10 A-Z, '-', 1 A-Z. Length test rules out a trailing newline."""
-    k = as_col(c)
-    return F.coalesce((F.octet_length(k) == 27) & k.rlike(KEY_PATTERN), F.lit(False))
+    r"""27 bytes: 14 A-Z, '-', 10 A-Z, '-', 1 A-Z.
+
+    ``\z`` (not ``$``) so a trailing newline fails; one reference to the key, so a key that is
+    itself an expression is evaluated once when the filter is pushed below its projection."""
+    return F.coalesce(as_col(c).rlike(KEY_PATTERN), F.lit(False))
 
 
 def parsed_body(body) -> Column:
