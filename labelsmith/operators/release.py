@@ -107,10 +107,17 @@ def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT)
                        if c in df.columns])
 
 
-def merge_release(spark: SparkSession, shards, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
-    """Union of all shards as one dataset in ``row_index`` order, one record per row."""
+def merge_release(spark: SparkSession, shards, fmt: str = C.RELEASE_FORMAT,
+                  partitions: int | None = None) -> DataFrame:
+    """Union of all shards as one dataset in ``row_index`` order, one record per row.
+
+    One shuffle: range partitioning on ``row_index`` already clusters equal keys, so dropping
+    duplicates reuses it, and sorting inside the ranges gives the global order.
+    """
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     recs = read_success_records(spark, shards, fmt)
-    return recs.dropDuplicates(["row_index"]).orderBy("row_index")
+    return (recs.repartitionByRange(n, "row_index").dropDuplicates(["row_index"])
+            .sortWithinPartitions("row_index"))
 
 
 def shard_files(spark: SparkSession, shards: str) -> DataFrame:
