@@ -124,13 +124,13 @@ tax_first AS (SELECT layer_no, layer, class_key,
     FROM tax_nodes GROUP BY layer_no, layer, class_key),
 tax_counts AS (SELECT layer_no, layer, class_key, f.name AS name, f.chemont_id AS chemont_id, label_count
     FROM tax_first),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY layer_no ORDER BY label_count DESC, name, class_key) AS rk
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY layer_no ORDER BY label_count DESC, name, class_key) AS INTEGER) AS rk
     FROM tax_counts),
 layers AS (SELECT * FROM (VALUES {', '.join(f"({no}, '{name}', '{label}', {lim})" for no, name, label, lim in C.LAYERS)})
     AS v(layer_no, layer, label, panel_limit))"""
 
 COUNTS_CTE = f"""
-counts AS (SELECT {', '.join(f"count_if(state = '{s}') AS {s}_rows" for s in C.STATES)} FROM states),
+counts AS (SELECT {', '.join(f"CAST(count_if(state = '{s}') AS BIGINT) AS {s}_rows" for s in C.STATES)} FROM states),
 totals AS (SELECT count(*) AS total_rows FROM submissions)"""
 
 BASE = ("WITH " + T_CTE.strip() + "," + PARSED_CTE + "," + ANNOTATED_CTE + "," + TAXONOMY_CTE

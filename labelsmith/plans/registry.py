@@ -366,9 +366,9 @@ def q_topk(spark, d):
 
 
 @query("taxonomy_tail", O.on_t(
-    "SELECT r.layer_no, r.layer, count_if(r.rk > l.panel_limit) AS tail_classes, "
+    "SELECT r.layer_no, r.layer, CAST(count_if(r.rk > l.panel_limit) AS BIGINT) AS tail_classes, "
     "cast(sum(CASE WHEN r.rk > l.panel_limit THEN r.label_count ELSE 0 END) AS BIGINT) AS tail_labels, "
-    "count_if(r.rk > l.panel_limit) > 0 AS has_tail "
+    "CAST(count_if(r.rk > l.panel_limit) AS BIGINT) > 0 AS has_tail "
     "FROM ranked r JOIN layers l ON r.layer_no = l.layer_no GROUP BY r.layer_no, r.layer"))
 def q_tail(spark, d):
     """Hidden classes and labels per layer."""
@@ -404,7 +404,7 @@ def _pct_sql(num: str, den: str) -> str:
 
 @query("taxonomy_report", O.on_t(
     ", tot AS (SELECT layer_no, cast(sum(label_count) AS BIGINT) AS assigned FROM ranked GROUP BY layer_no), "
-    "tl AS (SELECT r.layer_no, r.layer, count_if(r.rk > l.panel_limit) AS tc, "
+    "tl AS (SELECT r.layer_no, r.layer, CAST(count_if(r.rk > l.panel_limit) AS BIGINT) AS tc, "
     "cast(sum(CASE WHEN r.rk > l.panel_limit THEN r.label_count ELSE 0 END) AS BIGINT) AS tlab "
     "FROM ranked r JOIN layers l ON r.layer_no = l.layer_no GROUP BY r.layer_no, r.layer) "
     f"SELECT r.layer_no, r.layer, cast(r.rk AS INTEGER) AS line_no, r.name AS label, "
@@ -436,9 +436,9 @@ def _line_sql(bucket: bool) -> str:
 
 
 @query("session_delta", O.on_a(
-    f"SELECT count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}') AS completed_at_start, "
-    f"count_if({_DONE}) AS completed_now, greatest(count_if({_DONE}) - "
-    f"count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}'), 0) AS session_completed FROM attempts"))
+    f"SELECT CAST(count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}') AS BIGINT) AS completed_at_start, "
+    f"CAST(count_if({_DONE}) AS BIGINT) AS completed_now, greatest(CAST(count_if({_DONE}) AS BIGINT) - "
+    f"CAST(count_if({_DONE} AND ts < TIMESTAMP '{SESSION_START}') AS BIGINT), 0) AS session_completed FROM attempts"))
 def q_session_delta(spark, d):
     """F8: rows completed since a session started mid-log."""
     return timeline.session_delta(X.attempts(spark, d), SESSION_START)
@@ -482,8 +482,8 @@ def q_release_cadence(spark, d):
 
 
 _THROUGHPUT_SQL = (
-    f"SELECT count_if({_DONE}) AS completed_rows, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1000000 "
-    f"AS elapsed_seconds, count_if({_DONE}) * 60 / greatest((max(epoch_us(ts)) - min(epoch_us(ts))) "
+    f"SELECT CAST(count_if({_DONE}) AS BIGINT) AS completed_rows, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1000000 "
+    f"AS elapsed_seconds, CAST(count_if({_DONE}) AS BIGINT) * 60 / greatest((max(epoch_us(ts)) - min(epoch_us(ts))) "
     f"/ 1000000, 1.0) AS per_minute FROM attempts")
 
 

@@ -56,11 +56,21 @@ def _key(row):
     return tuple((x is None, repr(type(x)), repr(x)) for x in row)
 
 
+SPARK_TYPES = {"int": "int32", "bigint": "int64", "string": "str", "double": "float64",
+               "boolean": "bool", "timestamp_ntz": "ts", "timestamp": "ts", "binary": "bin"}
+DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "VARCHAR": "str", "DOUBLE": "float64",
+              "BOOLEAN": "bool", "TIMESTAMP": "ts", "BLOB": "bin"}
+
+
 def compare(spark, name: str, fn, sql: str, sf_dir: str, float_tol: bool = False):
     sdf = fn(spark, sf_dir)
     s_cols = list(sdf.columns)
+    s_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     con = duck(sf_dir)
+    rel = con.sql(sql)
+    d_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
@@ -68,6 +78,9 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, float_tol: bool = False
     if sorted(s_cols) != sorted(d_cols):
         out["error"] = f"columns differ: {sorted(s_cols)} vs {sorted(d_cols)}"
         return out
+    if s_types != d_types:
+        out["error"] = f"types differ: {[(c, s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]]}"
+        return out
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
