@@ -71,6 +71,8 @@ WHITESPACE_CLASS = r"[\t-\r\x{85}\p{Z}]"
 
 # JSON key under which a success record keeps the raw answer (record format of the shards).
 ANSWER_FIELD = "classyfire"
+# Field of the summary document that holds the total number of input rows.
+SUMMARY_TOTAL_FIELD = "pubchem_total_rows"
 
 # Shard and release formats.
 SHARD_NAME_FORMAT = "success-%06d"

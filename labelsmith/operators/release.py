@@ -25,7 +25,7 @@ RECORD_SCHEMA = T.StructType([
 ])
 
 SUMMARY_SCHEMA = (
-    "generated_at STRING, pubchem_total_rows BIGINT, "
+    f"generated_at STRING, {C.SUMMARY_TOTAL_FIELD} BIGINT, "
     "counts STRUCT<success_rows: BIGINT, miss_rows: BIGINT, invalid_rows: BIGINT, failed_rows: BIGINT>, "
     "taxonomy_layers ARRAY<STRUCT<layer: STRING, assigned_records: BIGINT, unique_class_count: BIGINT, "
     "classes: ARRAY<STRUCT<name: STRING, chemont_id: STRING, label_count: BIGINT>>>>")
@@ -168,13 +168,14 @@ def read_manifest_counts(spark: SparkSession, path: str) -> DataFrame:
 def flatten_summary(doc: DataFrame) -> DataFrame:
     """Long form of a summary document, same columns as ``report.summary_rows``."""
     layer_no = {name: no for no, name, _, _ in C.LAYERS}
-    lay = doc.select("pubchem_total_rows", "counts.*", F.posexplode("taxonomy_layers").alias("li", "l"))
+    lay = doc.select(C.SUMMARY_TOTAL_FIELD, "counts.*",
+                     F.posexplode("taxonomy_layers").alias("li", "l"))
     lay = lay.select("*", "l.*").drop("l")
     mapping = F.create_map(*[x for k, v in layer_no.items() for x in (F.lit(k), F.lit(v))])
     rows = lay.select("*", F.explode_outer(F.transform(
         "classes", lambda c, i: F.struct((i + 1).alias("class_no"), c.alias("c")))).alias("x"))
     return rows.select(
-        F.col("pubchem_total_rows").alias("total_rows"), *[f"{s}_rows" for s in C.STATES],
+        F.col(C.SUMMARY_TOTAL_FIELD).alias("total_rows"), *[f"{s}_rows" for s in C.STATES],
         mapping[F.col("layer")].alias("layer_no"), "layer", "assigned_records",
         "unique_class_count", F.col("x.class_no").alias("class_no"), F.col("x.c.name").alias("name"),
         F.col("x.c.chemont_id").alias("chemont_id"), F.col("x.c.label_count").alias("label_count"))

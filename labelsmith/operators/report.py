@@ -161,6 +161,6 @@ def summary_document(spark: SparkSession, counts: DataFrame, ranked: DataFrame,
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return attach_one_row(doc_layers, counts).select(
         ts.alias("generated_at"),
-        F.col("total_rows").alias("pubchem_total_rows"),
+        F.col("total_rows").alias(C.SUMMARY_TOTAL_FIELD),
         F.struct(*[f"{s}_rows" for s in C.STATES]).alias("counts"),
         F.transform("ls", lambda x: x["l"]).alias("taxonomy_layers"))
