@@ -41,3 +41,24 @@ def test_stream_dedupe_and_counts(spark):
     got = {r.state: r.rows for r in spark.read.parquet(out2).collect()}
     want = {r.state: r["count"] for r in att.groupBy("state").count().collect()}
     assert got == want
+
+
+def test_daily_status_stream_drops_rows_behind_the_watermark(spark):
+    import datetime as dt
+    schema = ("attempt_id BIGINT, ts TIMESTAMP_NTZ, row_key BIGINT, state STRING, kind STRING, "
+              "message STRING")
+    src = scratch_dir(spark, "t-late")
+    early = [(1, dt.datetime(2026, 1, 10, 12), 1, "success", "event", None),
+             (2, dt.datetime(2026, 1, 12, 12), 2, "success", "event", None)]
+    late = [(3, dt.datetime(2026, 1, 5, 12), 3, "success", "event", None),   # 7 days behind
+            (4, dt.datetime(2026, 1, 12, 13), 4, "miss", "event", None)]
+    spark.createDataFrame(early, schema).coalesce(1).write.parquet(src + "/a")
+    out, ckpt = scratch_dir(spark, "t-late-out"), scratch_dir(spark, "t-late-ckpt")
+    stream = SS.attempt_stream(spark, src + "/*", spark.createDataFrame([], schema).schema, 1)
+    q = SS.start_daily_status(stream, out, ckpt, watermark="1 day")
+    q.awaitTermination()
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(src + "/b")
+    SS.start_daily_status(SS.attempt_stream(spark, src + "/*", stream.schema, 1), out, ckpt,
+                          watermark="1 day").awaitTermination()
+    got = {(r.day_end.day, r.state): r.rows for r in SS.read_daily_status(spark, out).collect()}
+    assert got == {(10, "success"): 1, (12, "success"): 1, (12, "miss"): 1}
