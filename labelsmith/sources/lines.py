@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,16 +43,32 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
         (F.col("_off") + F.col("_local") - F.col("_first")).cast("long").alias("row_index"), "line")
 
 
-def land_lines(spark: SparkSession, path: str, out: str) -> DataFrame:
+def land_lines(spark: SparkSession, path: str, out: str, buckets: int | None = None) -> DataFrame:
     """Number the lines once and store them as Parquet; later runs read the landed table.
 
     The numbering reads the text twice (split counts, then rows); landing pins the result so
-    that a lost executor or a rerun cannot renumber anything.
+    that a lost executor or a rerun cannot renumber anything. With ``buckets`` the table is
+    bucketed by ``row_index`` (see ``bucketed_by_row``), so the resume anti join against a state
+    table bucketed the same way runs without a shuffle.
     """
-    number_lines(spark, path).write.mode("overwrite").parquet(out)
+    rows = number_lines(spark, path)
+    if buckets:
+        return bucketed_by_row(rows, out, buckets)
+    rows.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
+def bucketed_by_row(df: DataFrame, out: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Write ``df`` as an external table at ``out`` bucketed and sorted by ``row_index``.
+
+    Two tables written this way with the same bucket count join on ``row_index`` partition by
+    partition: no exchange on either side."""
+    name = "rows_" + hashlib.sha1(out.encode()).hexdigest()[:16]
+    (df.write.mode(mode).bucketBy(int(buckets), "row_index").sortBy("row_index")
+     .option("path", out).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def count_lines(spark: SparkSession, path: str, override: int | None = None) -> DataFrame:
     """One row ``input_rows``; an override replaces the count and must be positive."""
     if override is not None:

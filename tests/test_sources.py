@@ -78,3 +78,21 @@ def test_land_lines_pins_numbering(spark, tmpdir_path):
     _write(os.path.join(src, "a.tsv"), "x\ny\n")
     landed = L.land_lines(spark, src, os.path.join(tmpdir_path, "landed"))
     assert sorted((r.row_index, r.line) for r in landed.collect()) == [(0, "x"), (1, "y")]
+
+
+def test_bucketed_resume_join_needs_no_shuffle(spark, tmpdir_path):
+    from labelsmith.operators import lookup
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    _write(os.path.join(src, "a.tsv"), "".join(f"{i}\tx\tK\n" for i in range(500)))
+    rows = L.land_lines(spark, src, os.path.join(tmpdir_path, "rows"), buckets=4)
+    done = rows.where("row_index % 3 = 0").select("row_index", F.lit("success").alias("state"))
+    states = L.bucketed_by_row(done, os.path.join(tmpdir_path, "states"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        todo = lookup.unprocessed_rows(rows, states)
+        assert todo.count() == 500 - 167
+        plan = todo._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
