@@ -20,11 +20,20 @@ def append_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
         "row_index", "existing_state", "new_state")
 
 
-def append_states(existing: DataFrame, new: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append ``new`` to the state table at ``path``; a row that already has a state fails."""
+def append_states(existing: DataFrame, new: DataFrame, path: str,
+                  buckets: int | None = None) -> None:
+    """Append ``new`` to the state table at ``path``; a row that already has a state fails.
+
+    With ``buckets`` the table stays bucketed by ``row_index`` (see
+    ``sources.lines.bucketed_by_row``) so the next resume joins it without a shuffle."""
     if not append_conflicts(existing, new).isEmpty():
         raise ValueError("row already has a terminal state")
-    new.select("row_index", "state", "reason").write.mode("append").format(fmt).save(path)
+    rows = new.select("row_index", "state", "reason")
+    if buckets:
+        from ..sources.lines import bucketed_by_row
+        bucketed_by_row(rows, path, buckets, mode="append")
+    else:
+        rows.write.mode("append").parquet(path)
 
 
 def state_conflicts(states: DataFrame) -> DataFrame:

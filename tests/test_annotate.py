@@ -93,3 +93,17 @@ def test_metrics_and_panels(spark):
     zero = spark.createDataFrame([(0, 0, 0, 0, 0)], counts.schema)
     z = report.progress_ratios(report.progress_metrics(zero)).first()
     assert z.coverage == 0.0 and z.request_success == 0.0
+
+
+def test_append_states_rejects_conflicts_and_appends(spark, tmpdir_path):
+    import os
+    import pytest
+    path = os.path.join(tmpdir_path, "states")
+    schema = "row_index BIGINT, state STRING, reason STRING"
+    first = spark.createDataFrame([(0, "success", None)], schema)
+    states.append_states(spark.createDataFrame([], schema), first, path, buckets=2)
+    table = spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        states.append_states(table, spark.createDataFrame([(0, "miss", None)], schema), path, buckets=2)
+    states.append_states(table, spark.createDataFrame([(1, "failed", "x")], schema), path, buckets=2)
+    assert sorted(r.row_index for r in spark.read.parquet(path).collect()) == [0, 1]
