@@ -143,19 +143,28 @@ def summary_document(spark: SparkSession, counts: DataFrame, ranked: DataFrame,
                      generated_at: str | None = None) -> DataFrame:
     """The nested summary: one row with counts and five layers, each with its sorted classes.
 
-    The class lists are gathered per layer after aggregation; their length is the number of
-    distinct classes (bounded by the taxonomy vocabulary), never the number of records.
+    One pass over the ranked classes (layer totals are windows; the five-row layer table is the
+    preserved side of an outer join). The class lists are gathered per layer after aggregation;
+    their length is the number of distinct classes (bounded by the taxonomy vocabulary), never
+    the number of records.
     """
+    w = Window.partitionBy("layer_no")
     cls = F.struct(F.col("name"), F.col("chemont_id"), F.col("label_count"))
-    per_layer = (ranked.groupBy("layer_no")
-                 .agg(F.sort_array(F.collect_list(F.struct("rk", cls.alias("c")))).alias("cs"))
-                 .select("layer_no", F.transform("cs", lambda x: x["c"]).alias("classes")))
-    layers = taxonomy.all_layers(spark, ranked).join(per_layer, "layer_no", "left").select(
+    per_layer = (ranked.select("layer_no", F.struct("rk", cls.alias("c")).alias("rc"),
+                               F.sum("label_count").over(w).cast("long").alias("assigned"),
+                               F.count(F.lit(1)).over(w).alias("uniq"))
+                 .groupBy("layer_no")
+                 .agg(F.sort_array(F.collect_list("rc")).alias("cs"),
+                      F.max("assigned").alias("assigned_records"),
+                      F.max("uniq").alias("unique_class_count")))
+    dim = F.broadcast(taxonomy.layers_dim(spark).select("layer_no", "layer"))
+    empty = F.array().cast("array<struct<name:string,chemont_id:string,label_count:bigint>>")
+    layers = per_layer.join(dim, "layer_no", "right").select(
         "layer_no", F.struct(
-            "layer", "assigned_records", "unique_class_count",
-            F.coalesce("classes", F.array().cast(
-                "array<struct<name:string,chemont_id:string,label_count:bigint>>")).alias("classes")
-        ).alias("l"))
+            "layer",
+            F.coalesce("assigned_records", F.lit(0).cast("long")).alias("assigned_records"),
+            F.coalesce("unique_class_count", F.lit(0).cast("long")).alias("unique_class_count"),
+            F.coalesce(F.transform("cs", lambda x: x["c"]), empty).alias("classes")).alias("l"))
     doc_layers = layers.agg(F.sort_array(F.collect_list(F.struct("layer_no", "l"))).alias("ls"))
     ts = F.lit(generated_at) if generated_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
