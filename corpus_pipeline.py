@@ -10,10 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labelsmith.llm import decontaminate, exact_dedup, simhash
+from labelsmith.llm import decontaminate, exact_dedup, packing, simhash, toxicity
 from labelsmith.llm.common import documents, landed
 
 
+def polite(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold stay."""
+    return toxicity.keep_clean(docs, documents(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup.keep_one(docs)
@@ -29,8 +34,13 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.keep_clean(docs, documents(spark, sf_dir, "benchmark"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids, each with its sequence and offset."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact_dedup", exact), ("near_dedup", near), ("decontamination", clean)]
+    ("toxicity", polite), ("exact_dedup", exact), ("near_dedup", near), ("decontamination", clean), ("packing", packed)]
 ORACLE_SQL = None
 
 
