@@ -102,7 +102,7 @@ def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
     An entry with over ``crowded`` fingerprints would yield the square of its size in candidates.
     For up to two bits such entries are indexed once more by the ball around the remaining bits:
     two fingerprints within two bits share a point that is at most one bit from either, so an entry
-    of this second index has at most 65 members, all linked to its least one. Every link is
+    of this second index has at most 65 members, all linked to its least one (for one bit: to that point). Every link is
     verified; pairs of a crowded entry may be joined over a third member instead of directly, so
     the components are those of all pairs. Above two bits crowded entries are paired directly.
     """
@@ -113,8 +113,8 @@ def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
     of = lambda s, key, own: F.struct(F.lit(s).alias("seg"), key.alias("key"), F.lit(own).alias("own"))
     fp = F.col("fp")
     table = fps.select("fp", F.inline(F.array(*[of(s, _segment(fp, *cut), True) for s, cut in enumerate(segments)])))
-    balls = F.flatten(F.array(*[F.transform(_flips(_segment(fp, *cut), cut[1], True), lambda key, s=s: of(s, key, False))
-                                for s, cut in enumerate(segments)]))
+    around = lambda s, cut: F.transform(_flips(_segment(fp, *cut), cut[1], True), lambda key: of(s, key, False))
+    balls = F.flatten(F.array(*[around(s, cut) for s, cut in enumerate(segments)]))
     probes = table.union(fps.select("fp", F.inline(balls)))
     sizes = table.groupBy("seg", "key").agg(F.count("*").alias("size"))
     full = sizes.where(F.col("size") > crowded) if max_bits <= 2 else sizes.limit(0)
@@ -133,8 +133,9 @@ def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
                          for s, cut in enumerate(segments)])
     points = F.when(F.col("own"), F.concat(F.array(fp), near)).otherwise(F.array(moved))
     second = probes.join(full.drop("size"), ["seg", "key"]).select("seg", "fp", F.explode(points).alias("point"))
+    center = F.array_min("fps") if max_bits == 2 else F.col("point")  # at one bit, links lead to the point itself
     stars = (second.groupBy("seg", "point").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
-             .select(F.array_min("fps").alias("a"), F.explode("fps").alias("b"))
+             .where(F.array_contains("fps", center)).select(center.alias("a"), F.explode("fps").alias("b"))
              .where((F.col("a") != F.col("b")) & (_distance(F.col("a"), F.col("b")) <= max_bits)))
     return pairs.union(stars)
 
