@@ -70,7 +70,7 @@ WHITESPACE_CHARS = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
 WHITESPACE_CLASS = r"[\t-\r\x{85}\p{Z}]"
 
 # JSON key under which a success record keeps the raw answer (record format of the shards).
-ANSWER_FIELD = "classyfire"
+ANSWER_FIELD = "answer"
 # Field of the summary document that holds the total number of input rows.
 SUMMARY_TOTAL_FIELD = "pubchem_total_rows"
 
@@ -81,8 +81,6 @@ RELEASE_FORMAT = "jsonl"
 # ---------------------------------------------------------------------------------------------
 # Defaults of the run configuration (keyword arguments of the operators)
 # ---------------------------------------------------------------------------------------------
-REQUEST_TIMEOUT_SECONDS = 30
-REQUEST_INTERVAL_SECONDS = 5
 THROTTLE_BACKOFF_SECONDS = 300
 SHARD_MAX_RECORDS = 100_000
 SHARD_MAX_BYTES = 128 * 1024 * 1024

@@ -60,7 +60,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(inchikey, status INT, content_type, body)``: one stored answer per looked-up key."""
+    """``(inchikey, status INT, content_type, body, fetched_at)``: one stored answer per looked-up key."""
     k = keyed_orders(spark, sf_dir)
     ri = F.col("row_index")
     status = (F.when(ri % 11 == 0, 404).when(ri % 13 == 0, 429).when(ri % 17 == 0, 500)
@@ -84,7 +84,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Keys of rows 37k never got an answer (pending); rows 101k+5 repeat the previous key,
     # whose answer is already stored once.
     return k.where((ri % 37 != 0) & (ri % 101 != 5)).select(
-        "inchikey", status.alias("status"), ctype.alias("content_type"), body.alias("body"))
+        "inchikey", status.alias("status"), ctype.alias("content_type"), body.alias("body"),
+        F.concat(F.lit("2024-01-"), F.lpad((ri % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z")).alias("fetched_at"))
 
 
 def prior_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +154,8 @@ responses AS (SELECT inchikey,
          ELSE concat('{"kingdom":{"name":"',r_name,'","chemont_id":"ID:',r_name,'"},"superclass":{"name":" ',
               CASE WHEN row_index % 2 = 0 THEN n_name ELSE lower(n_name) END,' "},"class":',
               CASE WHEN row_index % 3 = 0 THEN 'null' ELSE concat('{"name":"',c_mktsegment,'","chemont_id":null}') END,
-              ',"direct_parent":{"name":"',CASE WHEN row_index % 41 = 0 THEN ' ' ELSE o_orderpriority END,'"}}') END AS body
+              ',"direct_parent":{"name":"',CASE WHEN row_index % 41 = 0 THEN ' ' ELSE o_orderpriority END,'"}}') END AS body,
+    concat('2024-01-', lpad(cast(row_index % 28 + 1 AS string), 2, '0'), 'T00:00:00Z') AS fetched_at
   FROM k1 WHERE row_index % 37 <> 0 AND row_index % 101 <> 5)"""
 
 PRIOR_CTE = """

@@ -1,14 +1,24 @@
-"""Key shape and answer-body checks."""
+"""Key shape and answer-body checks.
+
+An answer body is parsed once, as the entries of its outermost object with their values as JSON text
+(``read_answers``); validity, classification and the five taxonomy nodes all come from that.
+The built-in parser refuses some valid bodies (nesting or strings beyond its limits), so its NULL says
+nothing about a body: what it refuses is read again by ``jsoncheck``, which has no such limits, and
+only a body that this rejects too is bad JSON.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LAYER_NAMES
+from .jsoncheck import checked_answer
 from .text import as_col
 
 KEY_PATTERN = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]\z"
+NODE = "STRUCT<name: STRING, chemont_id: STRING, bad: BOOLEAN>"
+NODES = "STRUCT<" + ", ".join(f"`{name}`: {NODE}" for name in LAYER_NAMES) + ">"
 
 
 def valid_key(c) -> Column:
@@ -20,32 +30,67 @@ def valid_key(c) -> Column:
 
 
 def parsed_body(body) -> Column:
-    """The body parsed once as VARIANT, wrapped in ``[...]`` so that trailing garbage after the
-    value fails the parse (NULL); repeated keys fail too."""
-    return F.try_parse_json(F.concat(F.lit("["), as_col(body), F.lit("]")))
+    """``[(key, value as JSON text)]`` of the outermost object, or NULL where the parser refuses.
+
+    The parser stops where a value ends, so the body stands in a list before an object with the body's
+    hash as key: whatever follows the body's own object fails the parse or keeps that object away from
+    the second place.
+    """
+    b = as_col(body)
+    mark = F.hex(F.xxhash64(b))
+    objects = F.from_json(F.concat(F.lit("["), b, F.lit(',{"'), mark, F.lit('":0}]')), "array<map<string,string>>",
+                          {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
+    whole = (F.size(objects) == 2) & F.map_contains_key(F.get(objects, 1), mark)
+    return F.when(whole, F.map_entries(F.get(objects, 0)))
+
+
+def taxonomy_entries(body) -> Column:
+    """Entries of the five taxonomy keys alone; NULL where the built-in parser refuses the body."""
+    return F.filter(parsed_body(body), lambda e: e["key"].isin(*LAYER_NAMES))
 
 
-def json_object_body(body, parsed: Column | None = None) -> Column:
-    """Body is exactly one JSON object (no trailing garbage, no repeated keys)."""
+def refused_body(body, entries: Column) -> Column:
+    """The body where the built-in parser refused what begins like an object, else NULL."""
     b = as_col(body)
-    v = parsed_body(b) if parsed is None else parsed
-    return F.coalesce(v.isNotNull() & b.rlike(r"^[ \t\n\r]*\{"), F.lit(False))
+    return F.when(entries.isNull() & b.rlike(r"^[ \t\n\r]*\{"), b)
 
 
-def has_classification_parsed(parsed: Column) -> Column:
-    """From the parsed VARIANT: any of the five fields present and not JSON null."""
-    fields = [F.try_variant_get(parsed, f"$[0].{name}", "string") for name in LAYER_NAMES]
-    return F.coalesce(*fields).isNotNull()
+def single_entries(entries: Column) -> Column:
+    """Entries unless a taxonomy key stands twice (a bad answer; other repeated keys are ignored)."""
+    keys = F.transform(entries, lambda e: e["key"])
+    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), entries)
 
 
-PROBE_SCHEMA = ", ".join(f"`{name}` STRING" for name in LAYER_NAMES)
+def read_answers(df: DataFrame, usable: Column | None = None, body: str = "body", out: str = "_entries") -> DataFrame:
+    """Add ``out``: entries of the five taxonomy keys of a body that is one JSON object, else NULL.
 
+    In steps, so that the body is parsed once. Rows where ``usable`` is false are not parsed.
+    """
+    b = F.col(body) if usable is None else F.when(usable, F.col(body))
+    step = df.withColumn("_parsed", taxonomy_entries(b))
+    step = step.withColumn("_refused", refused_body(b, F.col("_parsed")))
+    step = step.withColumn("_checked", checked_answer(F.col("_refused")))
+    return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_parsed", "_refused", "_checked")
 
-def classification_probe(body) -> Column:
-    """The five taxonomy fields as raw JSON text (NULL when absent or JSON null), one parse."""
-    return F.from_json(as_col(body), PROBE_SCHEMA)
 
+def json_object_body(entries: Column) -> Column:
+    """Body is exactly one JSON object, without trailing text and without a repeated taxonomy key."""
+    return entries.isNotNull()
 
-def has_classification(body) -> Column:
+
+def has_classification(entries: Column) -> Column:
     """Any of the five fields present and not JSON null (any value type counts)."""
-    return has_classification_parsed(parsed_body(body))
+    return F.coalesce(F.exists(entries, lambda x: x["value"].isNotNull()), F.lit(False))
+
+
+def taxonomy_of(entries: Column) -> Column:
+    """The five nodes of an answer's entries; ``bad``: present, but no object with a string ``name``."""
+    def node(name: str) -> Column:
+        text = F.get(F.transform(F.filter(entries, lambda e: e["key"] == name), lambda e: e["value"]), 0)
+        fields = F.from_json(text, "name VARIANT, chemont_id VARIANT")
+        named = text.rlike(r"^[ \t\n\r]*\{") & F.coalesce(F.schema_of_variant(fields["name"]) == "STRING", F.lit(False))
+        return F.when(text.isNotNull(), F.struct(
+            F.try_variant_get(fields["name"], "$", "string").alias("name"),
+            F.try_variant_get(fields["chemont_id"], "$", "string").alias("chemont_id"), (~named).alias("bad"))).alias(name)
+
+    return F.struct(*[node(name) for name in LAYER_NAMES])

@@ -6,19 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import (backoff_reason, compact_error, html_summary, json_object_body,
-                         looks_html, looks_not_found, trim_ws)
-from ..functions.answers import has_classification_parsed, parsed_body
+from ..functions import (backoff_reason, compact_error, has_classification, html_summary,
+                         json_object_body, looks_html, looks_not_found, read_answers, taxonomy_of,
+                         trim_ws)
 
+_HELPERS = ("_st", "_html", "_nf", "_blank", "_entries")
 
-_HELPERS = ("_st", "_html", "_nf", "_blank", "_json")
 
+def with_helpers(answers: DataFrame) -> DataFrame:
+    """Per-answer checks, computed once per row (state, reason and nodes all read them).
 
-def answer_helpers(status="status", content_type="content_type", body="body") -> dict[str, Column]:
-    """Per-answer checks, computed once per row (the state and the reason both read them)."""
-    st, ct, b = F.col(status), F.col(content_type), F.col(body)
-    return {"_st": st, "_html": looks_html(ct, b), "_nf": (st == 404) | looks_not_found(b),
-            "_blank": trim_ws(b) == "", "_json": parsed_body(b)}
+    A body is parsed only where no earlier rule decides."""
+    st, ct, b = F.col("status"), F.col("content_type"), F.col("body")
+    checked = answers.withColumns({"_st": st, "_html": looks_html(ct, b), "_nf": (st == 404) | looks_not_found(b),
+                                   "_blank": trim_ws(b) == ""})
+    early = F.col("_html") | F.col("_nf") | (F.col("_st") >= 400) | F.col("_blank")
+    return read_answers(checked, ~F.coalesce(early, F.lit(False)))
 
 
 def answer_state(body="body") -> tuple[Column, Column]:
@@ -27,9 +30,9 @@ def answer_state(body="body") -> tuple[Column, Column]:
     429 -> failed (throttled); HTML -> failed; 404 or not-found page -> miss; >= 400 -> failed;
     blank -> miss; not one JSON object -> failed; classified -> success; else miss.
     """
-    st, html, nf, blank, v = (F.col(c) for c in _HELPERS)
+    st, html, nf, blank, entries = (F.col(c) for c in _HELPERS)
     b = F.col(body)
-    good_json = json_object_body(b, v)
+    good_json = json_object_body(entries)
     state = (
         F.when(st == 429, F.lit(C.FAILED))
         .when(html, F.lit(C.FAILED))
@@ -37,7 +40,7 @@ def answer_state(body="body") -> tuple[Column, Column]:
         .when(st >= 400, F.lit(C.FAILED))
         .when(blank, F.lit(C.MISS))
         .when(~good_json, F.lit(C.FAILED))
-        .when(has_classification_parsed(v), F.lit(C.SUCCESS))
+        .when(has_classification(entries), F.lit(C.SUCCESS))
         .otherwise(F.lit(C.MISS))
     )
     reason = (
@@ -51,19 +54,17 @@ def answer_state(body="body") -> tuple[Column, Column]:
     return state, reason
 
 
-def with_answer_state(df: DataFrame, guard: Column | None = None) -> DataFrame:
-    """Add ``state`` and ``reason`` from the answer columns; rows where ``guard`` is false get
-    NULLs (their checks are skipped)."""
-    helpers = answer_helpers()
-    if guard is not None:
-        helpers = {k: F.when(guard, v) for k, v in helpers.items()}
+def with_answer_state(answers: DataFrame) -> DataFrame:
+    """Add ``state``, ``reason`` and ``nodes`` (the five taxonomy nodes) to a frame of answers."""
     state, reason = answer_state()
-    return df.withColumns(helpers).withColumns({"state": state, "reason": reason}).drop(*_HELPERS)
+    return (with_helpers(answers)
+            .withColumns({"state": state, "reason": reason, "nodes": taxonomy_of(F.col("_entries"))})
+            .drop(*_HELPERS))
 
 
 def classify_answers(answers: DataFrame) -> DataFrame:
     """Add ``state`` and ``reason`` to a frame of answers."""
-    return with_answer_state(answers)
+    return with_answer_state(answers).drop("nodes")
 
 
 def with_error_bucket(df: DataFrame, message_col: str = "reason") -> DataFrame:

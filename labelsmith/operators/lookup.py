@@ -2,15 +2,15 @@
 
 Scale notes
 -----------
-* Answers are reduced to one row per key with an aggregate on ``inchikey`` (partial aggregation
-  collapses a key answered many times); the join then shuffles the deduplicated answers once
-  more (see ``join_answers``) so that AQE may split a hot submission key.
+* Answers are read where they are scanned: one parse per answer gives state, reason and the five
+  taxonomy nodes, tens of bytes. Then they are reduced to one row per key by an aggregate with an
+  expression per column, so that a plan moves only the columns it uses: counts and reports shuffle no
+  body, and ``lookup_join`` parses none.
+* Partial aggregation collapses a key answered many times before the shuffle. The join shuffles the
+  deduplicated answers once more (see ``join_answers``) so that AQE may split a hot submission key.
 * Invalid rows must not meet any answer. Instead of a NULL join key (all NULLs hash to one
   reducer: a hot partition when a third of the input is bad) they get a per-row key that can
   never match a well-formed key, which spreads them evenly.
-* A key repeated by a third of all rows is a hot key on the submission side only (the answer
-  side has one row per key); AQE's skew-join split divides that partition for the left outer
-  join (tested in tests/test_skew.py).
 * AQE turns the sort-merge join into a broadcast join when the deduplicated answers turn out
   small at run time; nothing is broadcast on a guess.
 """
@@ -25,25 +25,27 @@ from ..functions import backoff_reason, valid_key
 from .classify import with_answer_state
 
 ANSWER_COLS = ("status", "content_type", "body")
+READ_COLS = ("state", "reason", "nodes")
 
 
 def dedupe_responses(responses: DataFrame) -> DataFrame:
-    """One answer per well-formed key: the newest by ``fetched_at`` when present, ties (and
-    tables without ``fetched_at``) broken by a hash of the answer, so the pick is deterministic.
+    """One answer per well-formed key, read (``state, reason, nodes``): the newest by ``fetched_at``
+    when present, ties (and tables without ``fetched_at``) broken by a hash of the answer, so the
+    pick is deterministic. ``answered`` is true in every row (a NULL status is an answer too).
 
     An aggregate rather than a window: partial aggregation collapses a key asked a million
     times to one row per task before the shuffle, so a hot key cannot overload a reducer.
     """
-    ans = responses.where(valid_key(F.col("inchikey")))
+    ans = with_answer_state(responses.where(valid_key(F.col("inchikey"))))
     content_hash = F.xxhash64(*[F.col(c) for c in ANSWER_COLS])
-    cols = list(ANSWER_COLS)
+    cols = [*ANSWER_COLS, *READ_COLS]
     if "fetched_at" in responses.columns:
         cols.append("fetched_at")
         order = F.struct(F.col("fetched_at"), content_hash)
     else:
         order = content_hash
-    pick = F.max_by(F.struct(*[F.col(c) for c in cols]), order)
-    return ans.groupBy("inchikey").agg(pick.alias("a")).select("inchikey", "a.*")
+    ans = ans.withColumn("_order", order)
+    return ans.groupBy("inchikey").agg(F.lit(True).alias("answered"), *[F.max_by(c, "_order").alias(c) for c in cols])
 
 
 def lookup_key() -> F.Column:
@@ -68,7 +70,7 @@ def join_answers(parsed: DataFrame, answers: DataFrame, split_hot_keys: bool = T
     """
     key = F.upper(F.col("inchikey")) if split_hot_keys else F.col("inchikey")
     right = answers.where(valid_key(F.col("inchikey"))).select(
-        key.alias("lookup_key"), *ANSWER_COLS)
+        key.alias("lookup_key"), *[c for c in answers.columns if c != "inchikey"])
     left = parsed.withColumn("lookup_key", lookup_key())
     return left.join(right, "lookup_key", "left").drop("lookup_key")
 
@@ -78,14 +80,15 @@ def lookup_join(parsed: DataFrame, responses: DataFrame) -> DataFrame:
 
     Repeated keys fan the single stored answer out to every row carrying that key.
     """
-    return join_answers(parsed, dedupe_responses(responses))
+    return join_answers(parsed, dedupe_responses(responses)).drop("answered", *READ_COLS)
 
 
 def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     """Every parsed row with exactly one outcome.
 
     ``state`` is invalid / success / miss / failed, or ``pending`` when no answer is stored yet
-    (pending rows get no terminal state). ``reason`` carries the invalid or failure message.
+    (pending rows get no terminal state). ``reason`` carries the invalid or failure message, ``nodes``
+    the taxonomy nodes of the answer.
     """
     return annotate_with_answers(parsed, dedupe_responses(responses))
 
@@ -94,14 +97,12 @@ def annotate_with_answers(parsed: DataFrame, answers: DataFrame,
                           split_hot_keys: bool = True) -> DataFrame:
     """``annotate`` against answers that are already one row per key (e.g. a landed table)."""
     joined = join_answers(parsed, answers, split_hot_keys)
-    answered = F.col("invalid_reason").isNull() & F.col("status").isNotNull()
-    out = with_answer_state(joined, guard=answered)
     state = (F.when(F.col("invalid_reason").isNotNull(), F.lit(C.INVALID))
-             .when(F.col("status").isNull(), F.lit(C.PENDING))
+             .when(F.col("answered").isNull(), F.lit(C.PENDING))
              .otherwise(F.col("state")))
     reason = (F.when(F.col("invalid_reason").isNotNull(), F.col("invalid_reason"))
               .otherwise(F.col("reason")))
-    return out.withColumns({"state": state, "reason": reason})
+    return joined.withColumns({"state": state, "reason": reason}).drop("answered")
 
 
 def unprocessed_rows(rows: DataFrame, states: DataFrame) -> DataFrame:

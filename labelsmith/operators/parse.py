@@ -55,3 +55,8 @@ def success_records(classified: DataFrame) -> DataFrame:
     if "fetched_at" in classified.columns:
         cols.insert(4, "fetched_at")
     return classified.where(F.col("state") == C.SUCCESS).select(*cols)
+
+
+def success_nodes(classified: DataFrame) -> DataFrame:
+    """``(row_index, nodes)`` of successful rows: all that the taxonomy report needs of a record."""
+    return classified.where(F.col("state") == C.SUCCESS).select("row_index", "nodes")

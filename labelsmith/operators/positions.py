@@ -2,12 +2,13 @@
 
 Rows are grouped into fixed-width value buckets of the order column (``bucket = value div
 width``). Inside a bucket a window ranks the rows (and sums sizes); per-bucket counts (and size
-totals) form a table of one row per non-empty bucket whose running sums become the bucket
-offsets, broadcast back. Everything depends on data values only (no partition ids, no
+totals) form a table of one row per non-empty bucket whose running sums, taken in two levels (buckets
+within a group of 4,096, then groups), are joined back as offsets. Everything depends on data values only (no partition ids, no
 ``monotonically_increasing_id``), so recomputation after a lost executor gives the same numbers.
 
 Bounds: a bucket holds at most ``width`` rows because the column is unique; the offset table has
-``max(value) / width`` rows at most (1M rows per bucket -> 1M buckets for 10^12 rows).
+``max(value) / width`` rows at most, and the one window without a key runs over the groups (10^12
+rows: 15M buckets, 3,726 groups). Callers pass narrow rows, not bodies.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_WIDTH = 1 << 20
+DEFAULT_WIDTH = 1 << 16
+GROUP = 1 << 12
 
 
 def with_positions(df: DataFrame, order_col: str, size_col: str | None = None,
@@ -27,19 +29,22 @@ def with_positions(df: DataFrame, order_col: str, size_col: str | None = None,
     if size_col is not None:
         aggs.append(F.sum(size_col).cast("long").alias("_bytes"))
     per = b.groupBy("_bucket").agg(*aggs)
-    # one row per non-empty bucket: an unpartitioned window over that small table
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.withColumn("_row_off", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    keep = ["_bucket", "_row_off"]
+    sums = ["_rows"] + (["_bytes"] if size_col is not None else [])
+    per = per.withColumn("_group", F.expr(f"_bucket div {GROUP}"))
+    inside = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = per.groupBy("_group").agg(*[F.sum(c).alias(c) for c in sums])
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("_group", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before{c}") for c in sums])
+    offs = per.select("_group", "_bucket", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_in{c}") for c in sums]).join(groups, "_group")
+    keep = ["_bucket", (F.col("_before_rows") + F.col("_in_rows")).alias("_row_off")]
     if size_col is not None:
-        offs = offs.withColumn("_byte_off", F.coalesce(F.sum("_bytes").over(before), F.lit(0)))
-        keep.append("_byte_off")
+        keep.append((F.col("_before_bytes") + F.col("_in_bytes")).alias("_byte_off"))
     inb = Window.partitionBy("_bucket").orderBy(order_col)
     ranked = b.withColumn("_rank", F.row_number().over(inb) - 1)
     if size_col is not None:
         ranked = ranked.withColumn("_local_before", F.coalesce(F.sum(size_col).over(
             inb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = ranked.join(F.broadcast(offs.select(*keep)), "_bucket").withColumn(
+    out = ranked.join(offs.select(*keep), "_bucket").withColumn(
         "pos", (F.col("_row_off") + F.col("_rank")).cast("long"))
     drop = ["_bucket", "_rank", "_row_off"]
     if size_col is not None:

@@ -8,11 +8,12 @@ between writing it and recording its state) and sorted by ``row_index`` with a r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..sources.lines import path_exists
 from .positions import with_positions
 
 RECORD_SCHEMA = T.StructType([
@@ -36,24 +37,24 @@ MANIFEST_SCHEMA = (
 
 
 def shard_assignment(records: DataFrame, max_records: int = C.SHARD_MAX_RECORDS,
-                     max_bytes: int | None = C.SHARD_MAX_BYTES) -> DataFrame:
-    """Shard numbers (from 1) in ``row_index`` order.
+                     max_bytes: int = C.SHARD_MAX_BYTES) -> DataFrame:
+    """Shard numbers (from 1) in ``row_index`` order: ``shard_no``, cut by whichever limit comes first.
 
-    ``shard_by_records = pos div max_records + 1``; with ``max_bytes`` also
-    ``shard_by_bytes = bytes before the record div max_bytes + 1``, a record's size being the
-    byte length of its answer body. Without ``max_bytes`` everything stays JVM-side.
+    ``shard_by_records = pos div max_records + 1`` and ``shard_by_bytes = bytes before the record div
+    max_bytes + 1`` (a record's size is the byte length of its answer) never fall, so their sum less one
+    changes exactly where either does: a number per shard, with a gap where both limits meet. A shard
+    holds at most ``max_records`` records and, but for its last record, ``max_bytes`` bytes.
+
+    Positions are found on ``(row_index, size)`` alone and joined back, so no window sorts answers.
     """
-    if max_records <= 0 or (max_bytes is not None and max_bytes <= 0):
+    if max_records <= 0 or max_bytes <= 0:
         raise ValueError("shard limits must be positive")
-    if max_bytes is None:
-        pos = with_positions(records, "row_index")
-    else:
-        sized = records.withColumn("_size", F.octet_length(C.ANSWER_FIELD).cast("long"))
-        pos = with_positions(sized, "row_index", "_size").drop("_size")
-    cols = ["*", F.expr(f"pos div {int(max_records)} + 1").alias("shard_by_records")]
-    if max_bytes is not None:
-        cols.append(F.expr(f"size_before div {int(max_bytes)} + 1").alias("shard_by_bytes"))
-    return pos.select(*cols)
+    sized = records.select("row_index", F.octet_length(C.ANSWER_FIELD).cast("long").alias("_size"))
+    pos = with_positions(sized, "row_index", "_size").select(
+        "row_index", "pos", F.expr(f"pos div {int(max_records)} + 1").alias("shard_by_records"),
+        F.expr(f"size_before div {int(max_bytes)} + 1").alias("shard_by_bytes"))
+    pos = pos.withColumn("shard_no", F.col("shard_by_records") + F.col("shard_by_bytes") - 1)
+    return records.join(pos, "row_index")
 
 
 def record_line(df: DataFrame) -> F.Column:
@@ -66,17 +67,16 @@ def record_line(df: DataFrame) -> F.Column:
 
 
 def write_success_shards(records: DataFrame, out: str, max_records: int = C.SHARD_MAX_RECORDS,
-                         fmt: str = C.RELEASE_FORMAT) -> None:
-    """Write records into shard directories ``shard=success-NNNNNN`` (record-count rule).
+                         fmt: str = C.RELEASE_FORMAT, max_bytes: int = C.SHARD_MAX_BYTES) -> None:
+    """Write records into shard directories ``shard=success-NNNNNN`` (record and byte limit).
 
-    ``fmt`` is ``jsonl`` (gzip text, one JSON record per line) or ``parquet`` (zstd). Rows are
-    clustered by shard (each shard is at most ``max_records`` rows, so no writer task is hot)
-    and sorted by ``row_index`` inside it.
+    ``fmt`` is ``jsonl`` (gzip text, one JSON record per line) or ``parquet`` (zstd). Rows are ranged by
+    ``row_index``, so a writer task holds runs of whole shards (a shard cut by a range becomes two files
+    in its directory), and sorted by shard and ``row_index`` inside it.
     """
-    sh = shard_assignment(records, max_records=max_records, max_bytes=None)
-    # positions come out clustered by row_index bucket, so a writer task holds runs of whole
-    # shards (a shard cut by a bucket border becomes two files in its directory): no reshuffle.
-    named = sh.withColumn("shard", F.format_string(C.SHARD_NAME_FORMAT, F.col("shard_by_records")))
+    sh = shard_assignment(records, max_records=max_records, max_bytes=max_bytes)
+    named = sh.withColumn("shard", F.format_string(C.SHARD_NAME_FORMAT, F.col("shard_no")))
+    named = named.repartitionByRange("row_index").sortWithinPartitions("shard", "row_index")
     if fmt == "jsonl":
         out_df = named.select("shard", record_line(named).alias("value"))
         (out_df.write.mode("overwrite").partitionBy("shard").option("compression", "gzip")
@@ -89,35 +89,58 @@ def write_success_shards(records: DataFrame, out: str, max_records: int = C.SHAR
         raise ValueError(f"unknown shard format {fmt}")
 
 
-def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT) -> DataFrame:
+def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT,
+                         answer_field: str = C.ANSWER_FIELD) -> DataFrame:
     """All shard records; missing paths and zero-length files are skipped, blank lines ignored,
-    a malformed line fails the read (FAILFAST). Several roots are read one by one and unioned."""
-    if isinstance(path, (list, tuple)):
-        parts = [read_success_records(spark, p, fmt) for p in path]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
-    if fmt == "jsonl":
-        df = (spark.read.schema(RECORD_SCHEMA).option("mode", "FAILFAST")
-              .option("ignoreMissingFiles", "true").option("recursiveFileLookup", "false").json(path))
-    else:
-        df = spark.read.option("ignoreMissingFiles", "true").parquet(path)
-    return df.select(*[c for c in ["row_index", "cid", "inchi", "inchikey", "fetched_at", C.ANSWER_FIELD]
-                       if c in df.columns])
+    a malformed line fails the read (FAILFAST). ``answer_field`` names the answer in shards of others."""
+    there = [p for p in ([path] if isinstance(path, str) else list(path)) if path_exists(spark, p)]
+    schema = T.StructType([T.StructField(answer_field if f.name == C.ANSWER_FIELD else f.name, f.dataType) for f in RECORD_SCHEMA.fields])
+    out = spark.createDataFrame([], schema) if not there else None
+    for p in there:
+        if fmt == "jsonl":
+            df = spark.read.schema(schema).option("mode", "FAILFAST").option("ignoreMissingFiles", "true").json(p)
+        else:
+            df = spark.read.option("ignoreMissingFiles", "true").parquet(p)
+        df = df.select(*[c for c in schema.names if c in df.columns])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out.withColumnRenamed(answer_field, C.ANSWER_FIELD)
 
 
 def merge_release(spark: SparkSession, shards, fmt: str = C.RELEASE_FORMAT,
                   partitions: int | None = None) -> DataFrame:
     """Union of all shards as one dataset in ``row_index`` order, one record per row.
 
-    One shuffle: range partitioning on ``row_index`` already clusters equal keys, so dropping
-    duplicates reuses it, and sorting inside the ranges gives the global order.
+    Of different records of one row the one fetched last stays, of equally old ones that of the larger
+    hash. One shuffle: range partitioning on ``row_index`` already clusters equal keys, so the pick
+    reuses it, and sorting inside the ranges gives the global order. AQE sets the number of ranges
+    from the data unless ``partitions`` is given.
     """
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     recs = read_success_records(spark, shards, fmt)
-    return (recs.repartitionByRange(n, "row_index").dropDuplicates(["row_index"])
-            .sortWithinPartitions("row_index"))
+    ranged = recs.repartitionByRange(partitions, "row_index") if partitions else recs.repartitionByRange("row_index")
+    rest = [c for c in recs.columns if c != "row_index"]
+    order = [F.desc_nulls_last(c) for c in ("fetched_at",) if c in recs.columns] + [F.desc(F.xxhash64(*rest))]
+    best = F.row_number().over(Window.partitionBy("row_index").orderBy(*order))
+    return ranged.withColumn("_n", best).where("_n = 1").drop("_n").sortWithinPartitions("row_index")
+
+
+def cut_release(spark: SparkSession, shards, out: str, states: DataFrame, total_rows: int, fmt: str = C.RELEASE_FORMAT,
+                generated_at: str | None = None) -> bool:
+    """Gate, merged dataset, summary and manifest of one release; False when the gate is shut.
+
+    The manifest is written last: a folder without one is no release, and a cut that failed is cut
+    again into another folder.
+    """
+    from . import report, taxonomy
+    from .states import state_counts
+    counts, files = state_counts(states), shard_files(spark, shards)
+    if not release_gate(counts, files):
+        return False
+    merge_release(spark, shards, fmt).write.parquet(f"{out}/dataset")
+    dataset = spark.read.parquet(f"{out}/dataset")
+    ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(dataset))))
+    write_json_document(report.summary_document(spark, report.with_total(counts, total_rows), ranked, generated_at), f"{out}/progress-summary")
+    write_json_document(release_manifest(counts, files, fmt, generated_at), f"{out}/manifest")
+    return True
 
 
 def shard_files(spark: SparkSession, shards: str) -> DataFrame:
@@ -133,8 +156,8 @@ def shard_files(spark: SparkSession, shards: str) -> DataFrame:
 
 def release_manifest(counts: DataFrame, files: DataFrame, fmt: str = C.RELEASE_FORMAT,
                      generated_at: str | None = None) -> DataFrame:
-    """One row: format, four counts and the sorted shard file list (file count is bounded by
-    data size / shard size, a few thousand at most)."""
+    """One row: format, four counts and the sorted shard file list (a row per file of at
+    most 128 MiB of answers: some hundred bytes each, 800,000 of them at 100 TB)."""
     from .report import attach_one_row
     flist = files.agg(F.sort_array(F.collect_list(F.struct("filename", "bytes"))).alias("shards"))
     ts = F.lit(generated_at) if generated_at else F.date_format(
@@ -188,10 +211,7 @@ def summary_or_recompute(spark: SparkSession, release_dir: str, dataset: DataFra
     counts and a given total (which is then required)."""
     from . import report, taxonomy
     path = release_dir.rstrip("/") + "/" + summary_name
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hpath):
+    if path_exists(spark, path):
         return read_summary(spark, path)
     if total_rows is None or dataset is None or manifest_counts is None:
         raise ValueError("no stored summary: dataset, manifest counts and total rows are needed")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import scratch_dir
 
 
 def append_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -22,13 +23,19 @@ def append_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 def append_states(existing: DataFrame, new: DataFrame, path: str,
                   buckets: int | None = None) -> None:
-    """Append ``new`` to the state table at ``path``; a row that already has a state fails.
+    """Append ``new`` to the state table at ``path``; a row that already has a state fails, and so
+    does one that ``new`` holds twice. ``new`` is landed first, so what is written is what was checked.
 
     With ``buckets`` the table stays bucketed by ``row_index`` (see
     ``sources.lines.bucketed_by_row``) so the next resume joins it without a shuffle."""
-    if not append_conflicts(existing, new).isEmpty():
+    spark = new.sparkSession
+    landing = scratch_dir(spark, "new-states")
+    new.select("row_index", "state", "reason").write.parquet(landing)
+    rows = spark.read.parquet(landing)
+    if not rows.groupBy("row_index").count().where("count > 1").isEmpty():
+        raise ValueError("row has more than one new state")
+    if not append_conflicts(existing, rows).isEmpty():
         raise ValueError("row already has a terminal state")
-    rows = new.select("row_index", "state", "reason")
     if buckets:
         from ..sources.lines import bucketed_by_row
         bucketed_by_row(rows, path, buckets, mode="append")

@@ -1,7 +1,7 @@
 """Five-layer taxonomy roll-up (F1-F5) and class ranking.
 
-One scan of the records feeds all five layers: the body is parsed once with a narrow schema
-(only ``name`` and ``chemont_id`` of the five nodes), unpivoted with ``inline`` and grouped once
+One scan of the records feeds all five layers: the nodes that annotation read from the answer (or
+that are read here, once, from a stored body) are unpivoted with ``inline`` and grouped
 on ``(layer, class_key)``. Partial aggregation runs map-side, so the shuffle carries at most one
 row per (task, layer, class): the skew of a hot class never reaches a single reducer.
 Windows (ranking, shares) run only on the aggregated classes, whose number is bounded by the
@@ -14,11 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import ascii_lower, display_class_name
-
-NODE = "STRUCT<name: STRING, chemont_id: STRING>"
-RECORD_SCHEMA = ", ".join(f"`{name}` {NODE}" for name in C.LAYER_NAMES)
-
+from ..functions import ascii_lower, display_class_name, read_answers, taxonomy_of
 
 def layers_dim(spark: SparkSession) -> DataFrame:
     """Five-row layer dimension ``(layer_no, layer, label, panel_limit)``."""
@@ -26,17 +22,35 @@ def layers_dim(spark: SparkSession) -> DataFrame:
                                  "layer_no INT, layer STRING, label STRING, panel_limit INT")
 
 
-def taxonomy_long(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
-    """``(row_index, layer_no, layer, name, chemont_id)``: one row per present node."""
-    tax = F.from_json(F.col(body_col), RECORD_SCHEMA)
+def with_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
+    """``(row_index, nodes)``: the nodes as annotation left them, or read from the stored answer."""
+    if "nodes" in records.columns:
+        return records.select("row_index", "nodes")
+    return read_answers(records.select("row_index", body_col), body=body_col).select("row_index", taxonomy_of(F.col("_entries")).alias("nodes"))
+
+
+def _unpivoted(records: DataFrame, body_col: str) -> DataFrame:
+    tax = F.col("nodes")
     nodes = F.array(*[
-        F.struct(F.lit(no).alias("layer_no"), F.lit(name).alias("layer"),
-                 tax[name]["name"].alias("name"), tax[name]["chemont_id"].alias("chemont_id"),
-                 tax[name].isNotNull().alias("present"))
+        F.struct(F.lit(no).alias("layer_no"), F.lit(name).alias("layer"), tax[name]["name"].alias("name"),
+                 tax[name]["chemont_id"].alias("chemont_id"), tax[name]["bad"].alias("bad"))
         for no, name, _, _ in C.LAYERS
     ])
-    return (records.select("row_index", F.inline(nodes))
-            .where("present").drop("present"))
+    return with_nodes(records, body_col).select("row_index", F.inline(nodes)).where("bad is not null")
+
+
+def taxonomy_long(records: DataFrame, body_col: str = C.ANSWER_FIELD, strict: bool = True) -> DataFrame:
+    """``(row_index, layer_no, layer, name, chemont_id)``: one row per present node.
+
+    A node that is no object with a string ``name`` fails the query, in the same pass; with
+    ``strict=False`` it is left to ``bad_nodes`` and not returned.
+    """
+    long = _unpivoted(records, body_col)
+    if not strict:
+        return long.where("not bad").drop("bad")
+    checked = F.when(~F.col("bad"), F.col("name")).otherwise(F.raise_error(F.concat(
+        F.lit("taxonomy node without a name: row "), F.col("row_index").cast("string"), F.lit(", "), F.col("layer"))))
+    return long.withColumn("name", checked).drop("bad")
 
 
 def taxonomy_nodes(long: DataFrame) -> DataFrame:
@@ -47,31 +61,29 @@ def taxonomy_nodes(long: DataFrame) -> DataFrame:
 
 
 def bad_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
-    """One-row count of nodes that exist but lack a string ``name`` (the original rejects them)."""
-    from ..functions import classification_probe
-    probe = classification_probe(F.col(body_col))
-    tax = F.from_json(F.col(body_col), RECORD_SCHEMA)
-    bad = F.lit(0)
-    for name in C.LAYER_NAMES:
-        bad = bad + F.when(probe[name].isNotNull() & tax[name]["name"].isNull(), 1).otherwise(0)
-    return records.agg(F.sum(bad).cast("long").alias("bad_nodes"))
+    """``(row_index, layer_no, layer)`` of the nodes that exist but are no object with a string name."""
+    return _unpivoted(records, body_col).where("bad").select("row_index", "layer_no", "layer")
 
 
 def check_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> None:
-    """Strict mode: fail like the original when a present node has no string ``name``."""
-    bad = bad_nodes(records, body_col).first().bad_nodes or 0
-    if bad:
-        raise ValueError(f"{bad} taxonomy node(s) without a name")
+    """Raise when any present node has no string ``name``."""
+    first = bad_nodes(records, body_col).first()
+    if first:
+        raise ValueError(f"taxonomy node without a name: row {first.row_index}, {first.layer}")
 
 
 def taxonomy_counts(nodes: DataFrame) -> DataFrame:
     """``(layer_no, layer, class_key, name, chemont_id, label_count)``.
 
-    Name and id shown for a class are those of its first record (smallest ``row_index``).
+    Name and id shown for a class are those of its first record (smallest ``row_index``). Nodes are
+    first counted per spelling, a hash aggregate with numbers alone as its state; the first spelling
+    is then picked among the few of a class.
     """
-    first = F.min_by(F.struct("name", "chemont_id"), F.col("row_index"))
-    return (nodes.groupBy("layer_no", "layer", "class_key")
-            .agg(F.count(F.lit(1)).alias("label_count"), first.alias("f"))
+    spelled = nodes.groupBy("layer_no", "layer", "class_key", "name", "chemont_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_index").alias("first_row"))
+    first = F.min_by(F.struct("name", "chemont_id"), F.col("first_row"))
+    return (spelled.groupBy("layer_no", "layer", "class_key")
+            .agg(F.sum("n").alias("label_count"), first.alias("f"))
             .select("layer_no", "layer", "class_key", "f.name", "f.chemont_id", "label_count"))
 
 

@@ -102,38 +102,41 @@ def throughput(attempts: DataFrame) -> DataFrame:
                           / F.greatest(F.col("elapsed_seconds"), F.lit(1.0)))
 
 
-def gap_islands(events: DataFrame, ts_col: str, tie_col: str, gap_seconds: int,
-                partitions: int | None = None) -> DataFrame:
+def throughput_windows(attempts: DataFrame) -> DataFrame:
+    """``(minute, completed_rows, attempts)``: completed rows of each minute that has attempts."""
+    done = F.col("state").isin(*COMPLETED)
+    return attempts.groupBy(F.date_trunc("minute", F.col("ts")).cast(attempts.schema["ts"].dataType).alias("minute")).agg(
+        F.count_if(done).alias("completed_rows"), F.count(F.lit(1)).alias("attempts"))
+
+
+def gap_islands(events: DataFrame, ts_col: str, gap_seconds: int, bucket_seconds: int = 3600) -> DataFrame:
     """Merge events into spans: a new span starts when an event comes more than ``gap_seconds``
     after the previous one. Returns ``(span_start, span_last, hits)``.
 
-    Distributed gap-and-island without a global window: range-partition by time (ties split by
-    ``tie_col``, so even one hot instant spreads), find islands inside each partition, then
-    stitch islands across partition borders using a per-partition summary whose size is the
-    partition count (a proven bound), broadcast back.
+    Events of one instant are counted first, so a hot instant is one row. Islands are found within
+    buckets of time, each a window of its own, and stitched across the borders of buckets by a
+    summary of one row per non-empty bucket. Everything depends on values alone.
     """
-    gap = gap_seconds * 1_000_000
-    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ev = (events.select(micros(ts_col).alias("t"), F.col(tie_col).alias("tie"))
-          .repartitionByRange(n, "t", "tie")
-          .withColumn("pid", F.spark_partition_id()))
-    w = Window.partitionBy("pid").orderBy("t", "tie")
+    gap, width = gap_seconds * 1_000_000, bucket_seconds * 1_000_000
+    ev = events.groupBy(micros(ts_col).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    ev = ev.withColumn("bucket", F.floor(F.col("t") / width).cast("long"))
+    w = Window.partitionBy("bucket").orderBy("t")
     prev = F.lag("t").over(w)
     local = (ev.withColumn("new", F.when(prev.isNull() | (F.col("t") > prev + gap), 1).otherwise(0))
              .withColumn("local_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    islands = local.groupBy("pid", "local_id").agg(
-        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count(F.lit(1)).alias("hits"))
-    parts = islands.groupBy("pid").agg(F.min("first_t").alias("p_first"),
-                                       F.max("last_t").alias("p_last"),
-                                       F.count(F.lit(1)).alias("p_islands"))
-    # one row per non-empty partition: an unpartitioned window over at most n rows
-    pw = Window.orderBy("pid")
+    islands = local.groupBy("bucket", "local_id").agg(
+        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum("n").alias("hits"))
+    parts = islands.groupBy("bucket").agg(F.min("first_t").alias("p_first"),
+                                          F.max("last_t").alias("p_last"),
+                                          F.count(F.lit(1)).alias("p_islands"))
+    # one row per hour that has events (a century: 876,000): an unpartitioned window
+    pw = Window.orderBy("bucket")
     parts = parts.withColumn(
         "cont", F.when(F.col("p_first") <= F.lag("p_last").over(pw) + gap, 1).otherwise(0))
     parts = parts.withColumn(
         "offset", F.coalesce(F.sum(F.col("p_islands") - F.col("cont")).over(
             pw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    glob = islands.join(F.broadcast(parts.select("pid", "cont", "offset")), "pid").withColumn(
+    glob = islands.join(parts.select("bucket", "cont", "offset"), "bucket").withColumn(
         "span_id", F.col("offset") - F.col("cont") + F.col("local_id"))
     spans = glob.groupBy("span_id").agg(F.min("first_t").alias("s"), F.max("last_t").alias("l"),
                                         F.sum("hits").cast("long").alias("hits"))
@@ -146,15 +149,20 @@ def backoff_spans(attempts: DataFrame, backoff_seconds: int = C.THROTTLE_BACKOFF
     overlapping closures merge. ``(span_start, span_end, hits)``."""
     hits = attempts.where((F.col("state") == C.FAILED)
                           & backoff_reason(F.col("message")).isNotNull())
-    spans = gap_islands(hits, "ts", "attempt_id", backoff_seconds)
+    spans = gap_islands(hits, "ts", backoff_seconds)
     return spans.select("span_start",
                         (F.col("span_last") + F.expr(f"INTERVAL {backoff_seconds} SECONDS"))
                         .alias("span_end"), "hits")
 
 
-def eta(metrics: DataFrame, rate: DataFrame) -> DataFrame:
-    """Remaining rows / completed-per-minute rate -> minutes and days left (NULL at rate 0)."""
+def eta(metrics: DataFrame, rate: DataFrame, attempts: DataFrame) -> DataFrame:
+    """Remaining rows / completed-per-minute rate -> minutes and days left, and the UTC day on which the
+    last one is done, counted from the log's last attempt (NULLs at rate 0)."""
     both = attach_one_row(metrics.select("pending_rows"), rate.select("per_minute"))
+    both = attach_one_row(both, attempts.agg(F.max(micros()).alias("last_us")))
     minutes = F.when(F.col("per_minute") > 0, F.col("pending_rows") / F.col("per_minute"))
+    day = 86_400_000_000
+    ahead = F.ceil((F.col("last_us") % day) / F.lit(float(day)) + minutes / F.lit(1440.0)) - 1
+    finish = F.date_from_unix_date((F.expr(f"last_us div {day}") + ahead).cast("int")).cast("string")
     return both.select("pending_rows", "per_minute", minutes.alias("minutes_left"),
-                       (minutes / F.lit(1440.0)).alias("days_left"))
+                       (minutes / F.lit(1440.0)).alias("days_left"), finish.alias("finish_date"))

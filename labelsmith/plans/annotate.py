@@ -1,9 +1,8 @@
 """Batch plans over fixture T: submissions -> parsed -> looked up -> classified -> rolled up.
 
 Each function returns a lazy DataFrame; nothing is cached or collected. Physical shape of the
-main plan: parquet scans (column-pruned) -> broadcastable dimension joins -> one shuffle on
-``inchikey`` for the lookup (answers aggregated on the same key, so no second exchange on that
-side) -> projection with the classification CASE -> optional aggregation on (layer, class).
+main plan: parquet scans (column-pruned) -> answers read where scanned (state, reason, nodes) and
+reduced to one light row per key -> shuffle join on the key -> optional aggregation on (layer, class).
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .. import fixtures
 from ..operators import lookup, parse, taxonomy
+from ..operators.states import state_counts  # noqa: F401 - part of the plans' interface
 
 
 def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,14 +26,12 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_annotation(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
-    """Write the annotation once, partitioned by state, and read it back.
+    """Write the light annotation (no bodies) once, partitioned by state, and read it back.
 
-    This is the output a run keeps anyway (states for resume, records for the report). Readers
-    then prune: counts read only the partition column, the taxonomy reads ``state=success``,
+    Readers then prune: counts read only the partition column, the taxonomy reads ``state=success``,
     so a report built from it does not evaluate the lookup join a second time.
     """
-    cols = ["row_index", "cid", "inchi", "inchikey", "reason", "status", "body", "state"]
-    annotated(spark, sf_dir).select(*cols).write.mode("overwrite").partitionBy("state").parquet(out)
+    annotated(spark, sf_dir).select("row_index", "reason", "nodes", "state").write.mode("overwrite").partitionBy("state").parquet(out)
     return spark.read.parquet(out)
 
 
@@ -47,16 +45,10 @@ def records(ann: DataFrame) -> DataFrame:
 
 
 def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = records(annotated(spark, sf_dir))
+    recs = parse.success_nodes(annotated(spark, sf_dir))
     nodes = taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(recs))
     return taxonomy.taxonomy_counts(nodes)
 
 
 def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.taxonomy_ranked(class_counts(spark, sf_dir))
-
-
-def state_counts(states: DataFrame) -> DataFrame:
-    """One row of four counts (zero when a state is absent)."""
-    st = F.col("state")
-    return states.agg(*[F.count_if(st == s).alias(f"{s}_rows") for s in C.STATES])

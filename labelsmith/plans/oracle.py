@@ -96,7 +96,7 @@ ANSWER_REASON = f"""CASE WHEN status = 429 THEN '{C.MSG_THROTTLED}'
     WHEN NOT {json_object('body')} THEN '{C.MSG_BAD_JSON}' END"""
 
 ANNOTATED_CTE = f"""
-joined AS (SELECT p.*, r.status, r.content_type, r.body FROM parsed p
+joined AS (SELECT p.*, r.status, r.content_type, r.body, r.fetched_at FROM parsed p
     LEFT JOIN responses r ON p.invalid_reason IS NULL AND p.inchikey = r.inchikey),
 annotated AS (SELECT *,
     CASE WHEN invalid_reason IS NOT NULL THEN '{C.INVALID}' WHEN status IS NULL THEN '{C.PENDING}'
@@ -104,7 +104,7 @@ annotated AS (SELECT *,
     CASE WHEN invalid_reason IS NOT NULL THEN invalid_reason WHEN status IS NULL THEN NULL
          ELSE ({ANSWER_REASON}) END AS reason FROM joined),
 states AS (SELECT row_index, state, reason FROM annotated WHERE state <> '{C.PENDING}'),
-records AS (SELECT row_index, cid, inchi, inchikey, body AS {C.ANSWER_FIELD} FROM annotated WHERE state = '{C.SUCCESS}')"""
+records AS (SELECT row_index, cid, inchi, inchikey, fetched_at, body AS {C.ANSWER_FIELD} FROM annotated WHERE state = '{C.SUCCESS}')"""
 
 
 def _layer_select(no: int, name: str) -> str:

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .. import fixtures as X
 from ..functions import (has_classification, html_summary, json_object_body, looks_html,
-                         looks_not_found, valid_key)
+                         looks_not_found, read_answers, valid_key)
 from ..operators import classify, lookup, parse, report, taxonomy
 from ..session import apply_query_conf, scratch_dir
 from . import annotate as P
@@ -75,7 +75,7 @@ def q_quarantine(spark, d):
 
 
 @query("success_records", O.on_t(
-    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
 def q_success_records(spark, d):
     """Successful rows as records, body verbatim."""
     return P.records(P.annotated(spark, d))
@@ -117,7 +117,7 @@ def q_looks_not_found(spark, d):
 def q_json_valid(spark, d):
     """C4: body is exactly one JSON object."""
     r = X.responses(spark, d)
-    return r.select("inchikey", json_object_body("body").alias("json_object"))
+    return read_answers(r).select("inchikey", json_object_body(F.col("_entries")).alias("json_object"))
 
 
 @query("has_classification", O.on_t(
@@ -125,8 +125,8 @@ def q_json_valid(spark, d):
     f"WHERE {O.json_object('body')}"))
 def q_has_classification(spark, d):
     """Any of the five taxonomy fields present and not null."""
-    r = X.responses(spark, d).where(json_object_body("body"))
-    return r.select("inchikey", has_classification("body").alias("has_classification"))
+    r = read_answers(X.responses(spark, d)).where(json_object_body(F.col("_entries")))
+    return r.select("inchikey", has_classification(F.col("_entries")).alias("has_classification"))
 
 
 @query("classify_answer", O.on_t(
@@ -242,13 +242,13 @@ def q_resume_point(spark, d):
 @query("taxonomy_long", O.on_t("SELECT * FROM tax_long"))
 def q_taxonomy_long(spark, d):
     """one row per present node of every record."""
-    return taxonomy.taxonomy_long(P.records(P.annotated(spark, d)))
+    return taxonomy.taxonomy_long(parse.success_nodes(P.annotated(spark, d)))
 
 
 @query("taxonomy_nodes", O.on_t("SELECT * FROM tax_nodes"))
 def q_taxonomy_nodes(spark, d):
     """display name and grouping key per node."""
-    return taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(P.annotated(spark, d))))
+    return taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(parse.success_nodes(P.annotated(spark, d))))
 
 
 @query("taxonomy_counts", O.on_t("SELECT * FROM tax_counts"))
@@ -315,7 +315,7 @@ def q_progress_summary(spark, d):
     ann = P.land_annotation(spark, d, scratch_dir(spark, "annotation"))
     counts = report.crawl_counts(ann)
     ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(
-        taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(ann)))))
+        taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(parse.success_nodes(ann)))))
     return report.summary_rows(spark, counts, ranked)
 
 
@@ -504,14 +504,24 @@ def q_backoff_spans(spark, d):
     return timeline.backoff_spans(X.attempts(spark, d))
 
 
+@query("throughput_windows", O.on_a(
+    f"SELECT date_trunc('minute', ts) AS minute, CAST(count_if({_DONE}) AS BIGINT) AS completed_rows, count(*) AS attempts "
+    "FROM attempts GROUP BY 1"))
+def q_throughput_windows(spark, d):
+    """Completed rows of each minute of the log."""
+    return timeline.throughput_windows(X.attempts(spark, d))
+
+
 @query("eta", O.on_t(
-    f", {X.A_CTE.strip()}, m AS ({_METRICS_SQL}), r AS ({_THROUGHPUT_SQL}) "
+    f", {X.A_CTE.strip()}, m AS ({_METRICS_SQL}), r AS ({_THROUGHPUT_SQL}), e AS (SELECT max(epoch_us(ts)) AS last_us FROM attempts) "
     "SELECT m.pending_rows, r.per_minute, CASE WHEN r.per_minute > 0 THEN m.pending_rows / r.per_minute "
     "END AS minutes_left, CASE WHEN r.per_minute > 0 THEN m.pending_rows / r.per_minute END / 1440.0 "
-    "AS days_left FROM m, r"))
+    "AS days_left, CASE WHEN r.per_minute > 0 THEN make_timestamp((e.last_us // 86400000000 + "
+    "cast(ceil((e.last_us % 86400000000) / 86400000000.0 + m.pending_rows / r.per_minute / 1440.0) AS BIGINT) - 1) * 86400000000)::DATE::VARCHAR END AS finish_date FROM m, r, e"))
 def q_eta(spark, d):
-    """Time left for the pending rows at the log's completion rate."""
-    return timeline.eta(_metrics(spark, d), timeline.throughput(X.attempts(spark, d)))
+    """Time left for the pending rows at the log's completion rate, and the day they are done."""
+    att = X.attempts(spark, d)
+    return timeline.eta(_metrics(spark, d), timeline.throughput(att), att)
 
 
 # ------------------------------------------------------------------ bitmaps, files, release
@@ -609,56 +619,55 @@ def q_count_input_rows(spark, d):
     return L.count_lines(spark, _write_submission_text(spark, d))
 
 
-@query("input_fingerprint")
+@query("input_fingerprint", "SELECT * FROM (VALUES (1, NULL), (2, 'input size'), (3, 'input mtime'), "
+       "(4, 'input path'), (5, 'input path')) AS v(run_id, mismatch)")
 def q_input_fingerprint(spark, d):
-    """A5: stored run fingerprints against the current text files: one unchanged, one with a
-    different size, one with a different mtime, one for a file that is gone."""
+    """A5: five stored runs against the current text files: unchanged, one file of another size, one of
+    another mtime, one file gone, one file added since."""
     cur = L.file_metadata(spark, _write_submission_text(spark, d) + "/part-*")
-    # one row per written file (a handful): an unpartitioned window is fine here
-    runs = cur.select(F.row_number().over(Window.orderBy("input_path")).alias("run_id"),
-                      "input_path", "input_size_bytes", "input_mtime_epoch")
-    runs = runs.select(
-        "run_id",
-        F.when(F.col("run_id") == 4, F.concat("input_path", F.lit(".moved"))).otherwise(
-            F.col("input_path")).alias("input_path"),
-        F.when(F.col("run_id") == 2, F.col("input_size_bytes") + 1).otherwise(
-            F.col("input_size_bytes")).alias("input_size_bytes"),
-        F.when(F.col("run_id") == 3, F.col("input_mtime_epoch") + 1).otherwise(
-            F.col("input_mtime_epoch")).alias("input_mtime_epoch"))
-    return L.input_fingerprint(cur, runs)
+    one = cur.agg(F.min("input_path")).first()[0]  # the file that each run differs in
+    hit = F.col("input_path") == one
+    stored = L.run_fingerprint(cur, 1)
+    for run_id, change in ((2, stored.withColumn("input_size_bytes", F.col("input_size_bytes") + hit.cast("long"))),
+                           (3, stored.withColumn("input_mtime_epoch", F.col("input_mtime_epoch") + hit.cast("long"))),
+                           (4, stored.withColumn("input_path", F.when(hit, F.concat("input_path", F.lit(".moved"))).otherwise(F.col("input_path")))),
+                           (5, stored.where(~hit))):
+        stored = stored.unionByName(change.where("run_id = 1").withColumn("run_id", F.lit(run_id)))
+    return L.input_fingerprint(cur, stored)
 
 
 def _write_shards(spark, d, fmt="jsonl") -> str:
     out = scratch_dir(spark, "success-shards")
     R.write_success_shards(P.records(P.annotated(spark, d)), out,
-                           max_records=FIXTURE_SHARD_RECORDS, fmt=fmt)
+                           max_records=FIXTURE_SHARD_RECORDS, max_bytes=FIXTURE_SHARD_BYTES, fmt=fmt)
     return out
 
 
 @query("scan_success_records", O.on_t(
-    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
 def q_scan_success_records(spark, d):
     """A4: records written as JSONL shards and read back (body kept as raw JSON)."""
-    return R.read_success_records(spark, _write_shards(spark, d)).drop("fetched_at")
+    return R.read_success_records(spark, _write_shards(spark, d))
 
 
 _SHARD_SQL = (
-    "SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
+    "SELECT row_index, pos, shard_by_records, shard_by_bytes, shard_by_records + shard_by_bytes - 1 AS shard_no "
+    "FROM (SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
     f"(row_number() OVER (ORDER BY row_index) - 1) // {FIXTURE_SHARD_RECORDS} + 1 AS shard_by_records, "
     f"cast(coalesce(sum(strlen({C.ANSWER_FIELD})) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
-    f"AND 1 PRECEDING), 0) AS BIGINT) // {FIXTURE_SHARD_BYTES} + 1 AS shard_by_bytes FROM records")
+    f"AND 1 PRECEDING), 0) AS BIGINT) // {FIXTURE_SHARD_BYTES} + 1 AS shard_by_bytes FROM records)")
 
 
 @query("shard_assignment", O.on_t(_SHARD_SQL))
 def q_shard_assignment(spark, d):
-    """H1: shard numbers under a record limit and a byte limit."""
+    """H1: one shard number under a record limit and a byte limit, and the two it comes from."""
     sh = R.shard_assignment(P.records(P.annotated(spark, d)), FIXTURE_SHARD_RECORDS,
                             FIXTURE_SHARD_BYTES)
-    return sh.select("row_index", "pos", "shard_by_records", "shard_by_bytes")
+    return sh.select("row_index", "pos", "shard_by_records", "shard_by_bytes", "shard_no")
 
 
 @query("write_success_shards", O.on_t(
-    f"SELECT row_index, 'success-' || lpad(cast(shard_by_records AS VARCHAR), 6, '0') AS shard "
+    f"SELECT row_index, 'success-' || lpad(cast(shard_no AS VARCHAR), 6, '0') AS shard "
     f"FROM ({_SHARD_SQL})"))
 def q_write_shards(spark, d):
     """H2: every record lands in the shard directory of its number."""
@@ -668,15 +677,15 @@ def q_write_shards(spark, d):
 
 
 @query("merge_release", O.on_t(
-    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records"))
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
 def q_merge_release(spark, d):
     """H3: all shards merged into one ordered release dataset."""
-    return R.merge_release(spark, _write_shards(spark, d)).drop("fetched_at")
+    return R.merge_release(spark, _write_shards(spark, d))
 
 
 @query("release_manifest", O.on_t(
     f"SELECT 'jsonl' AS format, success_rows, miss_rows, invalid_rows, failed_rows, "
-    f"cast(ceil(success_rows / {FIXTURE_SHARD_RECORDS}) AS BIGINT) AS shard_dirs FROM counts"))
+    f"(SELECT count(DISTINCT shard_no) FROM ({_SHARD_SQL})) AS shard_dirs FROM counts"))
 def q_release_manifest(spark, d):
     """H4: manifest counts and the number of shard directories listed."""
     out = _write_shards(spark, d)
@@ -691,33 +700,37 @@ def _states_with_reason(spark, d):
 
 
 @query("release_gate", O.on_t(
-    f"SELECT row_index, cid, inchi, inchikey, {C.ANSWER_FIELD} FROM records "
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records "
     "WHERE (SELECT success_rows FROM counts) > 0"))
 def q_release_gate(spark, d):
     """H5: the release exists only with successful rows and a non-empty shard."""
     out = _write_shards(spark, d)
     counts = P.state_counts(_states_with_reason(spark, d))
     if not R.release_gate(counts, R.shard_files(spark, out)):
-        return spark.createDataFrame([], R.RECORD_SCHEMA).drop("fetched_at")
-    return R.merge_release(spark, out).drop("fetched_at")
+        return spark.createDataFrame([], R.RECORD_SCHEMA)
+    return R.merge_release(spark, out)
 
 
-def _summary_doc(spark, d):
+def _summary_doc(spark, d, generated_at=None):
     ann = P.land_annotation(spark, d, scratch_dir(spark, "annotation"))
     ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(
-        taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(P.records(ann)))))
-    return report.summary_document(spark, report.crawl_counts(ann), ranked)
+        taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(parse.success_nodes(ann)))))
+    return report.summary_document(spark, report.crawl_counts(ann), ranked, generated_at)
 
 
 _SUMMARY_SQL = ORACLE["progress_summary"]
 
 
-@query("write_summary")
+SUMMARY_TIME = "2024-01-31T18:00:00.000000Z"
+
+
+@query("write_summary", f"SELECT '{SUMMARY_TIME}' AS generated_at, s.* FROM ({_SUMMARY_SQL}) s")
 def q_write_summary(spark, d):
-    """H6: the summary document written as one JSON file (read back as text)."""
+    """H6: the summary document written as one JSON file with a given time, read back field by field."""
     out = scratch_dir(spark, "summary")
-    R.write_json_document(_summary_doc(spark, d), out)
-    return spark.read.text(out).select(F.col("value").alias("document"))
+    R.write_json_document(_summary_doc(spark, d, SUMMARY_TIME), out)
+    doc = R.read_summary(spark, out)
+    return report.attach_one_row(R.flatten_summary(doc), doc.agg(F.max("generated_at").alias("generated_at")))
 
 
 @query("read_summary", _SUMMARY_SQL)

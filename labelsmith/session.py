@@ -8,6 +8,7 @@ local mode (tests, bench) is a private temporary folder created and registered.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,10 +47,9 @@ def apply_query_conf(spark: SparkSession) -> None:
     for key, value in _SESSION_CONF.items():
         if key == "spark.sql.execution.arrow.pyspark.enabled":
             continue
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # noqa: BLE001 - static conf on a foreign session: leave as is
-            pass
+        spark.conf.set(key, value)
+        if spark.conf.get(key) != value and key == "spark.sql.session.timeZone":
+            raise RuntimeError(f"{key} must be {value}; the session holds {spark.conf.get(key)}")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -60,15 +60,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="labelsmith-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    try:
-        spark.conf.set("spark.checkpoint.dir", root)
-    except Exception:  # noqa: BLE001
-        pass
     return root
 
 

@@ -4,9 +4,9 @@
   the line and is stripped by parsing).
 * ``number_lines``: zero-based position of every line (blank and bad ones too) in file order:
   files by name, then byte offset. Computed from ``_metadata`` (file and split start) plus the
-  position inside the split, with per-split counts turned into offsets (one row per split, a
-  bound set by input size / split size). No global window, no driver loop; the result is meant
-  to be landed once as Parquet and reused.
+  position inside the split, with per-split counts turned into offsets in two levels (splits
+  within a file, then one row per file). Nothing is broadcast on a guess and no driver loop runs;
+  the result is meant to be landed once as Parquet and reused.
 * ``count_lines``: number of lines (``\\n`` count, plus one for an unterminated last line).
 * ``input_fingerprint``: compare stored (path, size, mtime) with the files' current metadata.
 """
@@ -35,11 +35,14 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
         "_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
     splits = raw.groupBy("file", "split_start").agg(
         F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    # one row per input split: an unpartitioned window over that small table
-    w = Window.orderBy("file", "split_start").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.withColumn("_off", F.coalesce(F.sum("_rows").over(w), F.lit(0)))
-    return raw.join(F.broadcast(offs.select("file", "split_start", "_first", "_off")),
-                    ["file", "split_start"]).select(
+    # two levels: splits within their file, then files (one row each)
+    inside = Window.partitionBy("file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("file").agg(F.sum("_rows").alias("_file_rows"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("_file_rows").over(before), F.lit(0)).alias("_file_off"))
+    offs = splits.withColumn("_in", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(files, "file")
+    offs = offs.select("file", "split_start", "_first", (F.col("_file_off") + F.col("_in")).alias("_off"))
+    return raw.join(offs, ["file", "split_start"]).select(
         (F.col("_off") + F.col("_local") - F.col("_first")).cast("long").alias("row_index"), "line")
 
 
@@ -89,14 +92,39 @@ def file_metadata(spark: SparkSession, path: str) -> DataFrame:
                         F.unix_seconds(F.col("modificationTime")).alias("input_mtime_epoch"))
 
 
+def run_fingerprint(current: DataFrame, run_id: int) -> DataFrame:
+    """The rows that a run stores about its input: ``run_id`` and the three fields of every file."""
+    return current.select(F.lit(run_id).alias("run_id"), "input_path", "input_size_bytes", "input_mtime_epoch")
+
+
+def record_run(current: DataFrame, run_id: int, path: str) -> None:
+    """Store the fingerprint of a run that begins; a run id is stored once."""
+    spark = current.sparkSession
+    rows = run_fingerprint(current, run_id)
+    if path_exists(spark, path) and not spark.read.parquet(path).where(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} is stored already")
+    rows.write.mode("append").parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def input_fingerprint(current: DataFrame, runs: DataFrame) -> DataFrame:
-    """For every stored run: the first mismatch (path, size, mtime) with the current input, or
-    NULL when the run may resume. ``runs`` carries ``run_id`` and the three stored fields."""
-    cur = current.select(F.col("input_path").alias("cur_path"),
-                         F.col("input_size_bytes").alias("cur_size"),
+    """``(run_id, mismatch)``: per stored run the first mismatch of its files with the current ones.
+
+    Paths are compared as whole sets (a file gone or added since is ``input path``), then sizes, then
+    mtimes; NULL when the run may resume. ``runs`` has a row per run and file.
+    """
+    cur = current.select(F.col("input_path").alias("cur_path"), F.col("input_size_bytes").alias("cur_size"),
                          F.col("input_mtime_epoch").alias("cur_mtime"))
+    n_current = current.agg(F.count(F.lit(1)).alias("n")).scalar()
     j = runs.join(cur, runs.input_path == cur.cur_path, "left")
-    reason = (F.when(F.col("cur_path").isNull(), F.lit("input path"))
-              .when(F.col("cur_size") != F.col("input_size_bytes"), F.lit("input size"))
-              .when(F.col("cur_mtime") != F.col("input_mtime_epoch"), F.lit("input mtime")))
-    return j.select("run_id", "input_path", reason.alias("mismatch"))
+    per = j.groupBy("run_id").agg(
+        F.count("cur_path").alias("found"), F.count(F.lit(1)).alias("stored"),
+        F.bool_or(F.col("cur_size") != F.col("input_size_bytes")).alias("size"),
+        F.bool_or(F.col("cur_mtime") != F.col("input_mtime_epoch")).alias("mtime"))
+    reason = (F.when((F.col("found") < F.col("stored")) | (F.col("found") < n_current), F.lit("input path"))
+              .when(F.col("size"), F.lit("input size")).when(F.col("mtime"), F.lit("input mtime")))
+    return per.select("run_id", reason.alias("mismatch"))

@@ -2,8 +2,8 @@
 
 Source: a directory of landed submission files ``(row_index, line)`` read as a file stream;
 ``maxFilesPerTrigger`` paces the work. Each micro-batch is parsed, joined stream-static to a
-landed answers table (one row per key, written once before the stream starts so no batch
-re-aggregates it) and classified. The ``foreachBatch`` sink writes states and records into
+landed answers table (one row per key, read and written once before the stream starts, so no batch
+parses or aggregates it). The ``foreachBatch`` sink writes states and records into
 ``batch_id=<id>`` partitions with dynamic partition overwrite: a batch replayed after a failure
 rewrites exactly its own output, so every row is finished once. Rows whose key has no answer yet
 get no state; a later back-fill over ``unprocessed_rows`` picks them up.
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators import lookup, parse
+from ..sources.lines import path_exists
 
 SUBMISSION_SCHEMA = T.StructType([T.StructField("row_index", T.LongType()),
                                   T.StructField("line", T.StringType())])
@@ -42,18 +43,29 @@ def land_answers(responses: DataFrame, path: str, buckets: int | None = None) ->
     return spark.table(name)
 
 
-def _write_batch(out_dir: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+def unfinished(rows: DataFrame, out_dir: str, batch_id: int) -> DataFrame:
+    """Rows of a batch that no earlier batch gave a state (its own output does not count: a replay)."""
+    spark = rows.sparkSession
+    if not path_exists(spark, f"{out_dir}/states"):
+        return rows
+    done = spark.read.parquet(f"{out_dir}/states").where(F.col("batch_id") < batch_id)
+    return lookup.unprocessed_rows(rows, done)
+
+
+def _write_batch(out_dir: str, answers: DataFrame):
+    def write(rows: DataFrame, batch_id: int) -> None:
+        todo = unfinished(rows.dropDuplicates(["row_index"]), out_dir, batch_id)
+        # bare-key join: a bucketed answers table is then joined without shuffling it per batch
+        batch = lookup.annotate_with_answers(parse.parse_submissions(todo), answers, split_hot_keys=False)
+        batch = batch.drop("nodes", "content_type", "status").persist()
         try:
             tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             (tagged.where(F.col("state") != C.PENDING)
              .select("row_index", "state", "reason", "batch_id")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{out_dir}/states"))
-            (tagged.where(F.col("state") == C.SUCCESS)
-             .select("row_index", "cid", "inchi", "inchikey", F.col("body").alias(C.ANSWER_FIELD),
-                     "batch_id")
+            records = parse.success_records(tagged)
+            (records.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{out_dir}/records"))
         finally:
@@ -63,17 +75,14 @@ def _write_batch(out_dir: str):
 
 def start_annotation_stream(spark: SparkSession, source_dir: str, answers: DataFrame,
                             out_dir: str, checkpoint: str, files_per_trigger: int = 1,
-                            available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery``."""
+                            available_now: bool = True, every: str = "10 seconds"):
+    """Start the stream; returns the ``StreamingQuery``. A row that is finished already is skipped."""
     rows = (spark.readStream.schema(SUBMISSION_SCHEMA)
             .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
-    # bare-key join: a bucketed answers table is then joined without shuffling it per batch
-    annotated = lookup.annotate_with_answers(parse.parse_submissions(rows), answers,
-                                             split_hot_keys=False)
-    writer = (annotated.writeStream.foreachBatch(_write_batch(out_dir))
+    writer = (rows.writeStream.foreachBatch(_write_batch(out_dir, answers))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="10 seconds")
+        processingTime=every)
     return writer.start()
 
 

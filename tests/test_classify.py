@@ -5,7 +5,7 @@ from labelsmith import config as C
 from labelsmith.functions import backoff_reason, compact_error, html_summary
 from labelsmith.operators.classify import classify_answers
 
-CLASSIFIED = ('{"kingdom":{"name":"Organic compounds","chemont_id":"CHEMONTID:0000000"},'
+CLASSIFIED = ('{"kingdom":{"name":"Things","chemont_id":"T:0"},'
               '"superclass":null}')
 
 CASES = [
@@ -22,7 +22,7 @@ CASES = [
     (200, "application/json", "[1,2,3,4,5]", C.FAILED, "failed to parse entity response JSON"),
     (500, "application/json", CLASSIFIED, C.FAILED, "entity request failed with status 500"),
     (200, "application/json", "  \n ", C.MISS, None),
-    (200, "application/json", '{"superclass":{"name":"Benzenoids"}}', C.SUCCESS, None),
+    (200, "application/json", '{"superclass":{"name":"Rings"}}', C.SUCCESS, None),
     (200, "application/json", '{"kingdom":null,"class":null}', C.MISS, None),
     (200, "application/json", '{"kingdom":false}', C.SUCCESS, None),
     (200, "application/json", '{"other":1}', C.MISS, None),

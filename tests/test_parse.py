@@ -1,8 +1,8 @@
-from pyspark.sql import functions as F
-
 from labelsmith import config as C
 from labelsmith.functions import valid_key
-from labelsmith.operators.parse import parse_submissions, quarantine_counts
+from labelsmith.operators.parse import parse_submissions, quarantine_counts, quarantine_split
+
+KEY = "ABCDEFGHIJKLMN-OPQRSTUVWX-Y"
 
 
 def _parse(spark, lines):
@@ -10,45 +10,34 @@ def _parse(spark, lines):
     return {r.row_index: r for r in parse_submissions(df).collect()}
 
 
-def test_parse_line(spark):
-    r = _parse(spark, ["123\tInChI=1S/CH4/h1H4\tVNWKTOKETHGBQD-UHFFFAOYSA-N"])[0]
-    assert (r.cid, r.inchi, r.inchikey, r.invalid_reason) == (
-        123, "InChI=1S/CH4/h1H4", "VNWKTOKETHGBQD-UHFFFAOYSA-N", None)
+def test_fields_are_typed_and_trimmed(spark):
+    rows = _parse(spark, [f"-40\tInChI=made up\t{KEY}", f" 7 \t a b \t {KEY}\r\n", f"　9 \tq\t{KEY}"])
+    assert [(r.cid, r.inchi, r.inchikey, r.invalid_reason) for r in rows.values()] == [
+        (-40, "InChI=made up", KEY, None), (7, "a b", KEY, None), (9, "q", KEY, None)]
 
 
 def test_key_shape(spark):
-    df = spark.createDataFrame([("VNWKTOKETHGBQD-UHFFFAOYSA-N",), ("bad",),
-                                ("VNWKTOKETHGBQD-UHFFFAOYSA-1",), ("VNWKTOKETHGBQD-UHFFFAOYSA-N\n",)],
-                               "k STRING")
-    got = [r.ok for r in df.select(valid_key("k").alias("ok")).collect()]
-    assert got == [True, False, False, False]
-
-
-def test_invalid_reasons_in_check_order(spark):
-    key = "VNWKTOKETHGBQD-UHFFFAOYSA-N"
-    rows = _parse(spark, [
-        "bad-row",                      # id parsed first
-        "12",                           # no second field
-        "12\tInChI",                    # no third field
-        "12\t \t" + key,                # empty after trim
-        "12\tInChI\tbad",               # key shape
-        "",                             # blank line
-        "1.5\tInChI\t" + key,           # not an integer
-        "+7\tInChI\t" + key + "\r\r",   # leading + and trailing CRs are fine
-        "\u00a08\u2003\tInChI\t" + key,  # Unicode spaces trimmed
-        "9\tInChI\t" + key + "\textra",  # third part keeps later tabs -> bad key
-        "99999999999999999999\tInChI\t" + key,  # overflow
-    ])
-    reasons = [rows[i].invalid_reason for i in range(len(rows))]
-    assert reasons == [C.MSG_CID_NOT_INTEGER, C.MSG_MISSING_INCHI, C.MSG_MISSING_INCHIKEY,
-                       C.MSG_EMPTY_FIELD, C.MSG_BAD_KEY, C.MSG_CID_NOT_INTEGER,
-                       C.MSG_CID_NOT_INTEGER, None, None, C.MSG_BAD_KEY, C.MSG_CID_NOT_INTEGER]
-    assert rows[7].cid == 7 and rows[8].cid == 8
-    assert rows[9].inchikey == key + "\textra"
-
-
-def test_quarantine_counts(spark):
-    df = spark.createDataFrame([(0, "1\ta\tVNWKTOKETHGBQD-UHFFFAOYSA-N"), (1, "x")],
-                               "row_index BIGINT, line STRING")
-    got = {r.split: r.rows for r in quarantine_counts(parse_submissions(df)).collect()}
-    assert got == {"valid": 1, "invalid": 1}
+    keys = {KEY: True, KEY.lower(): False, KEY[:-1]: False, KEY + "Z": False, KEY.replace("-", "_"): False,
+            "ABCDEFGHIJKLM0-OPQRSTUVWX-Y": False, "\n" + KEY: False, KEY + "\n": False, "": False, "ÀBCDEFGHIJKLMN-OPQRSTUVWX-Y": False}
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)], "k STRING")
+    got = {r.k: r.ok for r in df.select("k", valid_key("k").alias("ok")).collect()}
+    assert got == keys | {None: False}
+
+
+def test_the_first_failing_check_names_the_reason(spark):
+    cases = [
+        ("no tabs at all", C.MSG_CID_NOT_INTEGER), ("", C.MSG_CID_NOT_INTEGER), ("0x1f\ta\t" + KEY, C.MSG_CID_NOT_INTEGER),
+        ("3e2\ta\t" + KEY, C.MSG_CID_NOT_INTEGER), ("9223372036854775808\ta\t" + KEY, C.MSG_CID_NOT_INTEGER), ("a\t\t", C.MSG_CID_NOT_INTEGER),
+        ("31", C.MSG_MISSING_INCHI), ("31\r", C.MSG_MISSING_INCHI), ("31\tsome", C.MSG_MISSING_INCHIKEY), ("31\t", C.MSG_MISSING_INCHIKEY),
+        ("31\t\t" + KEY, C.MSG_EMPTY_FIELD), ("31\tsome\t ", C.MSG_EMPTY_FIELD), ("31\t\tshort", C.MSG_EMPTY_FIELD),
+        ("31\tsome\tshort", C.MSG_BAD_KEY), (f"31\tsome\t{KEY}\tmore", C.MSG_BAD_KEY), (f"+31\tsome\t{KEY}", None), ("9223372036854775807\ta\t" + KEY, None)]
+    rows = _parse(spark, [line for line, _ in cases])
+    assert [rows[i].invalid_reason for i in range(len(cases))] == [reason for _, reason in cases]
+
+
+def test_quarantine_sides_add_up(spark):
+    lines = [f"{i}\ta\t{KEY}" if i % 3 else f"{i}\ta" for i in range(10)]
+    parsed = parse_submissions(spark.createDataFrame(list(enumerate(lines)), "row_index BIGINT, line STRING"))
+    assert {r.split: r.rows for r in quarantine_counts(parsed).collect()} == {"valid": 6, "invalid": 4}
+    valid, invalid = quarantine_split(parsed)
+    assert (valid.count(), invalid.count()) == (6, 4)

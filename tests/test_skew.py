@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from labelsmith import config as C
 from labelsmith.operators import lookup, parse
 
-HOT = "VNWKTOKETHGBQD-UHFFFAOYSA-N"
-BODY = '{"kingdom":{"name":"Organic compounds"}}'
+HOT = "HHHHHHHHHHHHHH-OOOOOOOOOO-T"
+BODY = '{"kingdom":{"name":"Things"}}'
 
 
 def _key(i):
     s = "".join(chr(65 + (i // 26 ** k) % 26) for k in range(14))
-    return f"{s}-UHFFFAOYSA-N"
+    return f"{s}-KKKKKKKKKK-E"
 
 
 def test_hot_key_join_is_split_and_exact(spark):

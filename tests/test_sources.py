@@ -61,6 +61,20 @@ def test_fingerprint_mismatch_order(spark, tmpdir_path):
     assert got == {1: None, 2: "input path", 3: "input size", 4: "input mtime", 5: "input size"}
 
 
+def test_added_files_and_stored_runs(spark, tmpdir_path):
+    src, runs = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "runs")
+    os.makedirs(src)
+    _write(os.path.join(src, "a.tsv"), "1\n")
+    L.record_run(L.file_metadata(spark, src), 1, runs)
+    with pytest.raises(ValueError):
+        L.record_run(L.file_metadata(spark, src), 1, runs)
+    assert [r.mismatch for r in L.input_fingerprint(L.file_metadata(spark, src), spark.read.parquet(runs)).collect()] == [None]
+    _write(os.path.join(src, "b.tsv"), "2\n")
+    L.record_run(L.file_metadata(spark, src), 2, runs)
+    got = {r.run_id: r.mismatch for r in L.input_fingerprint(L.file_metadata(spark, src), spark.read.parquet(runs)).collect()}
+    assert got == {1: "input path", 2: None}
+
+
 def test_multi_frame_zstd_input(spark, tmpdir_path):
     import zstandard
     data = "".join(f"{i}\tInChI\tKEY\n" for i in range(1000)).encode()

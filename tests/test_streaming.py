@@ -28,6 +28,20 @@ def test_stream_annotate_equals_batch_and_restarts_cleanly(spark):
     assert SA.read_states(spark, out).count() == len(batch)
 
 
+def test_a_finished_row_that_comes_again_is_skipped(spark):
+    src = scratch_dir(spark, "t-again")
+    rows = X.submissions(spark, SF_SMALL).where("row_index < 400")
+    rows.write.parquet(src + "/a")
+    answers = SA.land_answers(X.responses(spark, SF_SMALL), scratch_dir(spark, "t-answers"))
+    out, ckpt = scratch_dir(spark, "t-out"), scratch_dir(spark, "t-ckpt")
+    SA.start_annotation_stream(spark, src + "/*", answers, out, ckpt).awaitTermination()
+    before = [spark.read.parquet(f"{out}/{x}").count() for x in ("states", "records")]
+    rows.write.parquet(src + "/b")
+    SA.start_annotation_stream(spark, src + "/*", answers, out, ckpt).awaitTermination()
+    assert [spark.read.parquet(f"{out}/{x}").count() for x in ("states", "records")] == before
+    assert "fetched_at" in spark.read.parquet(f"{out}/records").columns
+
+
 def test_stream_dedupe_and_counts(spark):
     att = X.attempts(spark, SF_SMALL)
     src = scratch_dir(spark, "t-att")
