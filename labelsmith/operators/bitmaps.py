@@ -6,8 +6,8 @@ as rows ``(state, bucket_no, bitmap BINARY)``; concatenating a state's buckets i
 single-file layout, and a single file cut into 4 KiB chunks gives the buckets back.
 
 Scale: building bitmaps is a partial aggregate keyed by (state, bucket); a bucket holds at most
-32,768 rows, so no key can be hot. Membership joins probe rows to at most four 4 KiB bitmaps per
-bucket (one per state).
+32,768 rows, so no key can be hot. Membership joins a probe row to one row per bucket, which holds
+the bucket's four 4 KiB bitmaps.
 """
 
 from __future__ import annotations
@@ -43,12 +43,19 @@ def _byte_at(bitmap: F.Column, byte_index: F.Column) -> F.Column:
 
 
 def bitmap_membership(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``(row_index, state)`` for every probe row whose bit is set in a state's bitmap."""
+    """``(row_index, state)`` for every probe row whose bit is set in a state's bitmap.
+
+    The bitmaps of a bucket (one per state) are put into one row first, so a probe row meets one row.
+    """
+    wide = bitmaps.groupBy("bucket_no").agg(
+        F.map_from_entries(F.collect_list(F.struct("state", "bitmap"))).alias("maps"))
     probe = rows.select("row_index", F.expr(f"row_index div {BUCKET}").alias("bucket_no"),
                         (F.col("row_index") % BUCKET).cast("int").alias("bit_no"))
-    j = probe.join(bitmaps, "bucket_no")
-    j = j.withColumn("_byte", _byte_at(F.col("bitmap"), F.expr("bit_no div 8")))
-    return j.where(F.expr("(_byte >> (bit_no % 8)) & 1 = 1")).select("row_index", "state")
+    byte_no, bit = F.expr("bit_no div 8"), F.expr("bit_no % 8")
+    is_set = lambda state: F.coalesce(
+        F.call_function("getbit", _byte_at(F.try_element_at("maps", state), byte_no).cast("long"), bit) == 1, F.lit(False))
+    found = F.filter(F.array(*[F.lit(x) for x in C.STATES]), is_set)
+    return probe.join(wide, "bucket_no").select("row_index", F.explode(found).alias("state"))
 
 
 def bitmap_merge(bitmaps: DataFrame) -> DataFrame:
