@@ -17,8 +17,6 @@ from .jsoncheck import checked_answer
 from .text import as_col
 
 KEY_PATTERN = r"^[A-Z]{14}-[A-Z]{10}-[A-Z]\z"
-NODE = "STRUCT<name: STRING, chemont_id: STRING, bad: BOOLEAN>"
-NODES = "STRUCT<" + ", ".join(f"`{name}`: {NODE}" for name in LAYER_NAMES) + ">"
 
 
 def valid_key(c) -> Column:
@@ -29,24 +27,25 @@ def valid_key(c) -> Column:
     return F.coalesce(as_col(c).rlike(KEY_PATTERN), F.lit(False))
 
 
-def parsed_body(body) -> Column:
-    """``[(key, value as JSON text)]`` of the outermost object, or NULL where the parser refuses.
+def body_mark(body) -> Column:
+    return F.hex(F.xxhash64(as_col(body)))
 
-    The parser stops where a value ends, so the body stands in a list before an object with the body's
-    hash as key: whatever follows the body's own object fails the parse or keeps that object away from
-    the second place.
+
+def parsed_objects(body) -> Column:
+    """The body's object with its values as JSON text, and an object with the body's mark as key.
+
+    The parser stops where a value ends, so the body stands in a list before the marked object: whatever
+    follows the body's own object fails the parse or keeps the mark away from the second place.
     """
     b = as_col(body)
-    mark = F.hex(F.xxhash64(b))
-    objects = F.from_json(F.concat(F.lit("["), b, F.lit(',{"'), mark, F.lit('":0}]')), "array<map<string,string>>",
-                          {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
-    whole = (F.size(objects) == 2) & F.map_contains_key(F.get(objects, 1), mark)
-    return F.when(whole, F.map_entries(F.get(objects, 0)))
+    return F.from_json(F.concat(F.lit("["), b, F.lit(',{"'), body_mark(b), F.lit('":0}]')), "array<map<string,string>>",
+                       {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"})
 
 
-def taxonomy_entries(body) -> Column:
-    """Entries of the five taxonomy keys alone; NULL where the built-in parser refuses the body."""
-    return F.filter(parsed_body(body), lambda e: e["key"].isin(*LAYER_NAMES))
+def taxonomy_entries(objects: Column, mark: Column) -> Column:
+    """Entries of the five taxonomy keys alone; NULL where the built-in parser refused the body."""
+    whole = (F.size(objects) == 2) & F.map_contains_key(F.get(objects, 1), mark)
+    return F.filter(F.when(whole, F.map_entries(F.get(objects, 0))), lambda e: e["key"].isin(*LAYER_NAMES))
 
 
 def refused_body(body, entries: Column) -> Column:
@@ -67,10 +66,11 @@ def read_answers(df: DataFrame, usable: Column | None = None, body: str = "body"
     In steps, so that the body is parsed once. Rows where ``usable`` is false are not parsed.
     """
     b = F.col(body) if usable is None else F.when(usable, F.col(body))
-    step = df.withColumn("_parsed", taxonomy_entries(b))
+    step = df.withColumn("_objects", parsed_objects(b))
+    step = step.withColumn("_parsed", taxonomy_entries(F.col("_objects"), body_mark(b)))
     step = step.withColumn("_refused", refused_body(b, F.col("_parsed")))
     step = step.withColumn("_checked", checked_answer(F.col("_refused")))
-    return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_parsed", "_refused", "_checked")
+    return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_objects", "_parsed", "_refused", "_checked")
 
 
 def json_object_body(entries: Column) -> Column:
@@ -83,14 +83,17 @@ def has_classification(entries: Column) -> Column:
     return F.coalesce(F.exists(entries, lambda x: x["value"].isNotNull()), F.lit(False))
 
 
-def taxonomy_of(entries: Column) -> Column:
-    """The five nodes of an answer's entries; ``bad``: present, but no object with a string ``name``."""
+def with_taxonomy(df: DataFrame, entries: str = "_entries", out: str = "nodes") -> DataFrame:
+    """Add ``out``: the five nodes of an answer's entries; ``bad``: present, but no object with a string
+    ``name``. In two steps, so that a node is parsed once."""
+    fields = F.transform(entries, lambda e: F.struct(
+        e["key"].alias("key"), e["value"].alias("value"), F.from_json(e["value"], "name VARIANT, chemont_id VARIANT").alias("fields")))
+
     def node(name: str) -> Column:
-        text = F.get(F.transform(F.filter(entries, lambda e: e["key"] == name), lambda e: e["value"]), 0)
-        fields = F.from_json(text, "name VARIANT, chemont_id VARIANT")
-        named = text.rlike(r"^[ \t\n\r]*\{") & F.coalesce(F.schema_of_variant(fields["name"]) == "STRING", F.lit(False))
-        return F.when(text.isNotNull(), F.struct(
-            F.try_variant_get(fields["name"], "$", "string").alias("name"),
-            F.try_variant_get(fields["chemont_id"], "$", "string").alias("chemont_id"), (~named).alias("bad"))).alias(name)
-
-    return F.struct(*[node(name) for name in LAYER_NAMES])
+        n = F.get(F.filter("_fields", lambda e: e["key"] == name), 0)
+        named = n["value"].rlike(r"^[ \t\n\r]*\{") & F.coalesce(F.schema_of_variant(n["fields"]["name"]) == "STRING", F.lit(False))
+        return F.when(n["value"].isNotNull(), F.struct(
+            F.try_variant_get(n["fields"]["name"], "$", "string").alias("name"),
+            F.try_variant_get(n["fields"]["chemont_id"], "$", "string").alias("chemont_id"), (~named).alias("bad"))).alias(name)
+
+    return df.withColumn("_fields", fields).withColumn(out, F.struct(*[node(name) for name in LAYER_NAMES])).drop("_fields")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import (backoff_reason, compact_error, has_classification, html_summary,
-                         json_object_body, looks_html, looks_not_found, read_answers, taxonomy_of,
-                         trim_ws)
+                         json_object_body, looks_html, looks_not_found, read_answers, trim_ws,
+                         with_taxonomy)
 
 _HELPERS = ("_st", "_html", "_nf", "_blank", "_entries")
 
@@ -57,9 +57,7 @@ def answer_state(body="body") -> tuple[Column, Column]:
 def with_answer_state(answers: DataFrame) -> DataFrame:
     """Add ``state``, ``reason`` and ``nodes`` (the five taxonomy nodes) to a frame of answers."""
     state, reason = answer_state()
-    return (with_helpers(answers)
-            .withColumns({"state": state, "reason": reason, "nodes": taxonomy_of(F.col("_entries"))})
-            .drop(*_HELPERS))
+    return with_taxonomy(with_helpers(answers)).withColumns({"state": state, "reason": reason}).drop(*_HELPERS)
 
 
 def classify_answers(answers: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import ascii_lower, display_class_name, read_answers, taxonomy_of
+from ..functions import ascii_lower, display_class_name, read_answers, with_taxonomy
 
 def layers_dim(spark: SparkSession) -> DataFrame:
     """Five-row layer dimension ``(layer_no, layer, label, panel_limit)``."""
@@ -26,7 +26,7 @@ def with_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
     """``(row_index, nodes)``: the nodes as annotation left them, or read from the stored answer."""
     if "nodes" in records.columns:
         return records.select("row_index", "nodes")
-    return read_answers(records.select("row_index", body_col), body=body_col).select("row_index", taxonomy_of(F.col("_entries")).alias("nodes"))
+    return with_taxonomy(read_answers(records.select("row_index", body_col), body=body_col)).select("row_index", "nodes")
 
 
 def _unpivoted(records: DataFrame, body_col: str) -> DataFrame:

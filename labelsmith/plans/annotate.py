@@ -44,6 +44,13 @@ def records(ann: DataFrame) -> DataFrame:
     return parse.success_records(ann)
 
 
+def land_records(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    """The success records written once and read back: shards are cut from stored records, so that their
+    positions cost a scan of narrow columns and not the lookup join again."""
+    records(annotated(spark, sf_dir)).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = parse.success_nodes(annotated(spark, sf_dir))
     nodes = taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(recs))

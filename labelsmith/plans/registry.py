@@ -638,7 +638,7 @@ def q_input_fingerprint(spark, d):
 
 def _write_shards(spark, d, fmt="jsonl") -> str:
     out = scratch_dir(spark, "success-shards")
-    R.write_success_shards(P.records(P.annotated(spark, d)), out,
+    R.write_success_shards(P.land_records(spark, d, scratch_dir(spark, "records")), out,
                            max_records=FIXTURE_SHARD_RECORDS, max_bytes=FIXTURE_SHARD_BYTES, fmt=fmt)
     return out
 
@@ -661,7 +661,7 @@ _SHARD_SQL = (
 @query("shard_assignment", O.on_t(_SHARD_SQL))
 def q_shard_assignment(spark, d):
     """H1: one shard number under a record limit and a byte limit, and the two it comes from."""
-    sh = R.shard_assignment(P.records(P.annotated(spark, d)), FIXTURE_SHARD_RECORDS,
+    sh = R.shard_assignment(P.land_records(spark, d, scratch_dir(spark, "records")), FIXTURE_SHARD_RECORDS,
                             FIXTURE_SHARD_BYTES)
     return sh.select("row_index", "pos", "shard_by_records", "shard_by_bytes", "shard_no")
 

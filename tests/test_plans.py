@@ -32,6 +32,13 @@ def test_flagship_prunes_columns_and_runs_once(spark):
     assert plan.count("FileScan parquet") == 8
 
 
+@pytest.mark.parametrize("name,parses", [("taxonomy_topk", 1), ("success_records", 1), ("state_counts", 1), ("lookup_join", 0),
+                                         ("shard_assignment", 0), ("progress_summary", 0)])  # the last two read what they landed
+def test_an_answer_is_parsed_once(spark, name, parses):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(MapType") == parses
+
+
 def test_report_is_one_pass(spark):
     assert _plan(spark, "taxonomy_report").count("FileScan parquet") == 8
 
