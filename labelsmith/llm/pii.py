@@ -23,20 +23,22 @@ ENDINGS = {("latin", "m"): "n", ("latin", "f"): "a", ("latin", ""): "rt", ("cyri
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
 _WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9_%+-][\w.%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
-    "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])\+?\d{0,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
-    "card": r"(?<!\d)(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<!\d)\d{13,19}+(?!\d)",
-    "name": rf"(?<![\p{{L}}])(?:{_NAMES})(?= {_WORD})"
-            rf"|(?<=(?<![\p{{L}}])(?:{'|'.join(TITLES)})\.? ){_WORD}"
-            rf"|(?<=(?<![\p{{L}}])(?:{_NAMES}) ){_WORD}"
-            rf"|(?<=(?<![\p{{L}}])(?:{'|'.join(TITLES)})\.? \p{{Lu}}[\p{{L}}'’-]{{1,30}} ){_WORD}",
+    "email": r"[A-Za-z0-9_%+-][\w.%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
+    "secret": r"[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
+    "ip": r"(?<!\d\.)(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
+    "ssn": r"(?<!\d-)\d{3}-\d{2}-\d{4}(?![\d-])",
+    "phone": r"\+?\d{0,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    "card": r"(?:\d{4}[ -]){3}\d{4}(?!\d)|\d{13,19}+(?!\d)",
+    # for all but given names looks back only from a capital after a space
+    "name": rf"(?:{_NAMES})(?= {_WORD})"
+            rf"|(?<= )(?:(?<=(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? )|(?<=(?<!\p{{L}})(?:{_NAMES}) )"
+            rf"|(?<=(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? \p{{Lu}}[\p{{L}}'’-]{{1,30}} )){_WORD}",
 }
-#: One pattern for all; a first look at the next character spares most places the alternatives.
-ANY = "(?=[0-9A-Za-z_%+(\\p{Lu}])(?:" + "|".join(PATTERNS.values()) + ")"
+#: What a string of a type may begin with: the next character decides which patterns are tried.
+_BEGIN = {"[A-Za-z0-9_%+-]": ("email",), "[0-9a-fA-F]": ("secret",), "[A-Z]": ("iban",), r"[\d+(]": ("ip", "ssn", "phone", "card"), r"\p{Lu}": ("name",)}
+#: One pattern for all; a match begins where neither letter nor digit stands before.
+ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?={c})(?:{'|'.join(PATTERNS[n] for n in names)})" for c, names in _BEGIN.items()) + ")"
 
 
 def _kind(raw: Column) -> Column:
@@ -151,11 +153,10 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     handled like any other; an empty table gives an empty result; other columns are not read. Only
     entities and the texts that hold some are shuffled, equal texts once.
     """
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(ANY), F.lit(0)).alias("raws"))
-    holds = F.size("raws") > 0
-    keyed = found.where(holds).select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "raws")
-    texts = landed(keyed.groupBy("digest").agg(F.first("raws").alias("raws")), "entity-lists")
-    places = texts.select("digest", F.posexplode("raws").alias("at", "raw")).withColumn("kind", _kind(F.col("raw")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
+    found = rows.select("text", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("at", "raw"))
+    places = landed(found.select(digest, "at", "raw").distinct(), "entity-places").withColumn("kind", _kind(F.col("raw")))
     places = places.withColumn("canonical", _canonical(F.col("raw"), F.col("kind")))
     new = surrogates(places, key)
     put = (places.join(new, ["kind", "canonical"])
@@ -163,10 +164,11 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     lists = put.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "new", "kind"))).alias("put"))
     between = F.split(F.col("text"), ANY, -1)
     rewritten = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size("put")), F.col("put"), lambda a, b: F.concat(a, b["new"])), ""), F.element_at(between, -1))
-    changed = (found.where(holds).select("id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("digest")).join(lists, "digest")
+    holds = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    changed = (rows.where(holds).select("id", "text", digest).join(lists, "digest")
                .select("id", rewritten.alias("text"), F.size("put").cast("long").alias("n_entities"),
                        F.array_join(F.array_sort(F.array_distinct(F.transform("put", lambda x: x["kind"]))), ",").alias("kinds")))
-    same = found.where(~holds).select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
+    same = rows.where(~holds).select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
     return changed.unionByName(same).select(F.col("id").alias(id_col), "text", "n_entities", "kinds")
 
 
