@@ -262,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings
         rows.unpersist()
 
 
-def score(docs: DataFrame, model: Model, payload: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score, n_passages, passages`` per row; passages: the significant ones ``(start, end, p)`` in words.
 
     Nothing but the text enters the score. Null and empty texts have no passage and get the
@@ -279,11 +279,11 @@ def score(docs: DataFrame, model: Model, payload: tuple[str, ...] = ()) -> DataF
                 scores.append(probability(min(60.0, evidence(n, segments, model)), model))
                 found.append([{"start": a, "end": b + 1, "p": math.exp(p)} for a, b, s in segments if (p := log_p(s, n, model)) <= limit])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(scores, pa.float64()), pa.array(found, kind)], ["own", "score", "passages"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(found, kind)], ["doc_id", "score", "passages"])
 
-    own = docs.select(F.struct("doc_id", *[c for c in payload if c != "doc_id"]).alias("own"), "text")
-    out = own.mapInArrow(run, f"own {own.schema['own'].dataType.simpleString()}, score double, passages {spark_type}")
-    return out.select("own.*", "score", F.size("passages").alias("n_passages"), "passages")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, score double, passages {spark_type}")
+    return out.select("doc_id", "score", F.size("passages").alias("n_passages"), "passages")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +296,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with their columns unchanged."""
     model = train(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), crc32_mod("doc_id", 3) != 1)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    own = docs.select("doc_id", "text", F.struct("text", *rest).alias("rest"))
-    kept = score(own, model, ("rest",)).where(F.col("score") < threshold)
-    return kept.select("doc_id", "rest.*").select(*docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = Weights(model.weights)
+        for batch in batches:
+            keep = []
+            for text in batch.column("text"):
+                n, segments = passages(text.as_py() or "", weights, model.settings.drift)
+                keep.append(probability(min(60.0, evidence(n, segments, model)), model) < threshold)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
