@@ -204,7 +204,8 @@ def _scan(shards: int, length: int, q: int, chunk: int, flush: int):
             return _batch(rows)
 
         for batch in batches:
-            for doc, tie, text in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "text"))):
+            for doc, tie, text in zip(*(batch.column(c) for c in ("doc", "tie", "text"))):
+                doc, tie, text = doc.as_py(), tie.as_py(), text.as_py()
                 for base in range(0, max(1, len(text) - length + 1), chunk):
                     parts.append((doc, tie, base, text[base:base + chunk + length - 1]))
                     size += len(parts[-1][3])
@@ -289,7 +290,8 @@ def _fetch(shards: int, length: int, flush: int):
             return _batch(rows)
 
         for batch in batches:
-            for doc, tie, text, blobs in zip(*(batch.column(c).to_pylist() for c in ("doc", "tie", "text", "blobs"))):
+            for row in zip(*(batch.column(c) for c in ("doc", "tie", "text", "blobs"))):
+                doc, tie, text, blobs = (x.as_py() for x in row)
                 first, gram, n, mark = (np.concatenate(x) for x in zip(*map(_unpack, blobs)))
                 for f, g, m in zip(first[mark == 0].tolist(), gram[mark == 0].tolist(), n[mark == 0].tolist()):
                     near.append((doc, tie, g, f, m, text[f:f + m + length]))
@@ -381,7 +383,8 @@ def _apply(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, blobs in zip(batch.column("text").to_pylist(), batch.column("blobs").to_pylist()):
+            for text, blobs in zip(batch.column("text"), batch.column("blobs")):
+                text, blobs = text.as_py(), blobs.as_py()
                 removed = spans = at = 0
                 digest = hashlib.sha256()
                 if blobs:
@@ -401,7 +404,7 @@ def _apply(length: int):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, q: int = 32,
-                   shard_bytes: int = 16 << 20, chunk: int = 4 << 20, crowded: int = 1 << 16) -> DataFrame:
+                   shard_bytes: int = 16 << 20, chunk: int = 1 << 20, crowded: int = 1 << 14) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` per row: texts without their repeated bytes.
 
     A byte goes if a string of ``length`` bytes covers it that also starts earlier: in a document of
@@ -428,11 +431,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = max(4, 1 << (total // shard_bytes).bit_length())
     long_ = F.octet_length("text") >= length
     dealt = lambda df: df.repartition(shards, "shard").sortWithinPartitions("kind", "shard")
-    scanned = rows.where(long_).select("doc", "tie", "text").mapInArrow(_scan(shards, length, q, chunk, 1_500_000), SCHEMA)
+    scanned = rows.where(long_).select("doc", "tie", "text").mapInArrow(_scan(shards, length, q, chunk, 1_000_000), SCHEMA)
     merged = landed(dealt(scanned).mapInArrow(_merge(crowded), SCHEMA), "repeats-merged")
     wanted = merged.where(F.col("kind") == FETCH).groupBy("doc", "tie").agg(F.collect_list("blob").alias("blobs"))
     fetched = rows.where(long_).select("doc", "tie", "text").join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "blobs").mapInArrow(_fetch(shards, length, 16 << 20), SCHEMA)
-    resolved = landed(dealt(fetched).mapInArrow(_resolve(length, 4 << 20), SCHEMA), "repeats-resolved")
+    resolved = landed(dealt(fetched).mapInArrow(_resolve(length, 1 << 20), SCHEMA), "repeats-resolved")
     gone = (merged.where(F.col("kind") == REMOVE).unionByName(resolved.where(F.col("kind") == REMOVE))
             .groupBy("doc", "tie").agg(F.collect_list("blob").alias("blobs")))
     kind = docs.schema[id_col].dataType.simpleString()
