@@ -446,3 +446,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, encode(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, i, h[i + 1:i + 100] AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM w) WHERE r > 1),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k
+      FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM f)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, k),
+pieces AS (SELECT s.doc_id, a, b, hex(d.h[coalesce(lag(b) OVER (PARTITION BY s.doc_id ORDER BY a), 0) + 1:a]) AS piece
+           FROM spans s JOIN d USING (doc_id)),
+kept AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(piece, '' ORDER BY a) AS front, max(b) AS last FROM pieces GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k.front, '') || hex(d.h[coalesce(k.last, 0) + 1:n]))) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
