@@ -6,17 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Every edge with its node's least neighbour ``m``.
+
+    Joined on a mark made of the node, not on the node itself: the aggregate's partitioning then does
+    not serve the join, the planner shuffles both sides for it, and AQE may split a node that holds a
+    large share of all edges.
+    """
+    mark = F.col("a").bitwiseXOR(F.lit(1)).alias("mark")
+    return edges.select("a", "b", mark).join(least.select("m", mark), "mark").drop("mark")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to the least node it knows."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    return _with_least(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the least of them (edges point downwards)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a")
+    moved = _with_least(edges, least)
     return (moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
 
