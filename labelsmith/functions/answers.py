@@ -61,7 +61,8 @@ def single_entries(entries: Column) -> Column:
 
 
 def read_answers(df: DataFrame, usable: Column | None = None, body: str = "body", out: str = "_entries") -> DataFrame:
-    """Add ``out``: entries of the five taxonomy keys of a body that is one JSON object, else NULL.
+    """Add ``out``: entries of the five taxonomy keys of a body that is one JSON object, else NULL; and
+    ``_refused``: the body where the built-in parser refused it.
 
     In steps, so that the body is parsed once. Rows where ``usable`` is false are not parsed.
     """
@@ -70,7 +71,7 @@ def read_answers(df: DataFrame, usable: Column | None = None, body: str = "body"
     step = step.withColumn("_parsed", taxonomy_entries(F.col("_objects"), body_mark(b)))
     step = step.withColumn("_refused", refused_body(b, F.col("_parsed")))
     step = step.withColumn("_checked", checked_answer(F.col("_refused")))
-    return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_objects", "_parsed", "_refused", "_checked")
+    return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_objects", "_parsed", "_checked")
 
 
 def json_object_body(entries: Column) -> Column:
@@ -83,17 +84,28 @@ def has_classification(entries: Column) -> Column:
     return F.coalesce(F.exists(entries, lambda x: x["value"].isNotNull()), F.lit(False))
 
 
-def with_taxonomy(df: DataFrame, entries: str = "_entries", out: str = "nodes") -> DataFrame:
-    """Add ``out``: the five nodes of an answer's entries; ``bad``: present, but no object with a string
-    ``name``. In two steps, so that a node is parsed once."""
-    fields = F.transform(entries, lambda e: F.struct(
-        e["key"].alias("key"), e["value"].alias("value"), F.from_json(e["value"], "name VARIANT, chemont_id VARIANT").alias("fields")))
+NODES = ", ".join(f"`{name}` STRUCT<name: VARIANT, chemont_id: VARIANT>" for name in LAYER_NAMES)
+
+
+def with_taxonomy(df: DataFrame, entries: str = "_entries", body: str = "body", out: str = "nodes") -> DataFrame:
+    """Add ``out``: the five nodes of an answer; ``bad``: present, but no object with a string ``name``.
+
+    The nodes of a classified answer are read at once, with their two fields alone; where the built-in
+    parser refused the body, from its entries. In steps, so that nothing is read twice.
+    """
+    e = F.col(entries)
+    present = F.transform(F.filter(e, lambda x: x["value"].isNotNull()), lambda x: x["key"])
+    rebuilt = F.concat(F.lit("{"), F.array_join(F.transform(F.filter(e, lambda x: x["value"].isNotNull()), lambda x: F.concat(
+        F.lit('"'), x["key"], F.lit('":'), x["value"])), ","), F.lit("}"))
+    step = df.withColumn("_present", present)
+    text = F.when(F.size("_present") > 0, F.when(F.col("_refused").isNull(), F.col(body)).otherwise(rebuilt))
+    step = step.withColumn("_tax", F.from_json(text, NODES))
 
     def node(name: str) -> Column:
-        n = F.get(F.filter("_fields", lambda e: e["key"] == name), 0)
-        named = n["value"].rlike(r"^[ \t\n\r]*\{") & F.coalesce(F.schema_of_variant(n["fields"]["name"]) == "STRING", F.lit(False))
-        return F.when(n["value"].isNotNull(), F.struct(
-            F.try_variant_get(n["fields"]["name"], "$", "string").alias("name"),
-            F.try_variant_get(n["fields"]["chemont_id"], "$", "string").alias("chemont_id"), (~named).alias("bad"))).alias(name)
+        n = F.col("_tax")[name]
+        named = F.coalesce(F.schema_of_variant(n["name"]) == "STRING", F.lit(False))
+        return F.when(F.array_contains("_present", name), F.struct(
+            F.try_variant_get(n["name"], "$", "string").alias("name"),
+            F.try_variant_get(n["chemont_id"], "$", "string").alias("chemont_id"), (~named).alias("bad"))).alias(name)
 
-    return df.withColumn("_fields", fields).withColumn(out, F.struct(*[node(name) for name in LAYER_NAMES])).drop("_fields")
+    return step.withColumn(out, F.struct(*[node(name) for name in LAYER_NAMES])).drop("_present", "_tax", "_refused")

@@ -26,7 +26,7 @@ def with_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
     """``(row_index, nodes)``: the nodes as annotation left them, or read from the stored answer."""
     if "nodes" in records.columns:
         return records.select("row_index", "nodes")
-    return with_taxonomy(read_answers(records.select("row_index", body_col), body=body_col)).select("row_index", "nodes")
+    return with_taxonomy(read_answers(records.select("row_index", body_col), body=body_col), body=body_col).select("row_index", "nodes")
 
 
 def _unpivoted(records: DataFrame, body_col: str) -> DataFrame:
