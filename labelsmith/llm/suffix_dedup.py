@@ -17,6 +17,8 @@ from .common import documents, landed
 from .tokens import BASE, INVERSE, mix
 
 POSITION_BITS = 24
+#: Entries of one Arrow batch of rows per document, and most grams that are dealt by run.
+ROWS, MOST_HOT = 1 << 16, 1 << 20
 
 
 class Sums:
@@ -141,6 +143,14 @@ def _runs(kind: int, doc: np.ndarray, tie: np.ndarray, *cols: np.ndarray) -> lis
     return rows
 
 
+def _run_batches(kind: int, doc: np.ndarray, tie: np.ndarray, *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_runs`` in batches of at most ``ROWS`` entries; a document's entries may stand in two."""
+    by = np.lexsort((tie, doc))
+    for a in range(0, len(by), ROWS):
+        of = by[a:a + ROWS]
+        yield _batch(_runs(kind, doc[of], tie[of], *(c[of] for c in cols)))
+
+
 def _union(first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
     """Runs of starts united where they touch."""
     by = np.argsort(first, kind="stable")
@@ -175,48 +185,73 @@ def _classes(gram, span, lead, n) -> np.ndarray:
     return mix(gram ^ mix(span + lead.astype(np.uint64) * BASE + n.astype(np.uint64) * INVERSE))
 
 
-def _scan(shards: int, length: int, q: int, chunk: int, flush: int):
-    """Task: anchors of its texts, folded; first places go to their gram's shard, later ones are removed at once."""
+def _gram_shard(gram: np.ndarray, span: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """A run's shard: its gram's, or, where the gram is hot, one of the run's own."""
+    own = np.where(np.isin(gram, hot), mix(gram ^ mix(span)), gram) if len(hot) else gram
+    return (own >> np.uint64(32)).astype(np.int64) % shards
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], length: int, q: int, chunk: int, flush: int) -> Iterator[list[np.ndarray]]:
+    """Gram, span, lead, first, last, doc and tie of the anchors of a task's texts, about ``flush`` at a time."""
+    sums, held, parts, size, found = Sums(), [], [], 0, 0
+
+    def work():
+        nonlocal size, found
+        texts = [p[3] for p in parts]
+        a = anchors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]), length, q, sums)
+        doc, tie, base = (np.array([p[k] for p in parts], np.int64) for k in range(3))
+        held.append((a.gram, a.span, a.lead, a.first + base[a.doc], a.last + base[a.doc], doc[a.doc], tie[a.doc]))
+        found += len(a.gram)
+        parts.clear()
+        size = 0
+
+    def out() -> list[np.ndarray]:
+        nonlocal found
+        cols = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        found = 0
+        return cols
+
+    for batch in batches:
+        for doc, tie, text in zip(*(batch.column(c) for c in ("doc", "tie", "text"))):
+            doc, tie, text = doc.as_py(), tie.as_py(), text.as_py()
+            for base in range(0, max(1, len(text) - length + 1), chunk):
+                parts.append((doc, tie, base, text[base:base + chunk + length - 1]))
+                size += len(parts[-1][3])
+                if size >= chunk:
+                    work()
+                    if found >= flush:
+                        yield out()
+    if parts:
+        work()
+    if found:
+        yield out()
+
+
+def _tally(length: int, q: int, chunk: int, flush: int):
+    """Task: grams with at least two different runs among those of a flush, and how many.
+
+    A gram that is left out has one run a flush, so it cannot crowd a shard.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, held, parts, size, found = Sums(), [], [], 0, 0
-
-        def work():
-            nonlocal size, found
-            texts = [p[3] for p in parts]
-            a = anchors(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts]), length, q, sums)
-            doc, tie, base = (np.array([p[k] for p in parts], np.int64) for k in range(3))
-            held.append((a.gram, a.span, a.lead, a.first + base[a.doc], a.last + base[a.doc], doc[a.doc], tie[a.doc]))
-            found += len(a.gram)
-            parts.clear()
-            size = 0
+        for gram, span, lead, first, last, _, _ in _scanned(batches, length, q, chunk, flush):
+            _, one = np.unique(_classes(gram, span, lead, last - first), return_index=True)
+            keys, counts = np.unique(gram[one], return_counts=True)
+            some = counts > 1
+            yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some].astype(np.int64))], ["gram", "n"])
 
-        def out() -> pa.RecordBatch:
-            nonlocal found
-            gram, span, lead, first, last, doc, tie = map(np.concatenate, zip(*held))
-            held.clear()
-            found = 0
+    return run
+
+
+def _scan(shards: int, hot: np.ndarray, length: int, q: int, chunk: int, flush: int):
+    """Task: anchors of its texts, folded; first places go to their run's shard, later ones are removed at once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, span, lead, first, last, doc, tie in _scanned(batches, length, q, chunk, flush):
             kept, gone = _firsts(_classes(gram, span, lead, last - first), (_ranks(doc, tie) << 40) | first)
-            rows = _runs(REMOVE, doc[gone], tie[gone], first[gone], last[gone])
+            yield from _run_batches(REMOVE, doc[gone], tie[gone], first[gone], last[gone])
             kept = kept[np.argsort(gram[kept])]
-            shard = (gram[kept] >> np.uint64(32)).astype(np.int64) % shards
-            rows += _sharded(SHARD, shard, doc[kept], tie[kept],
-                             [gram[kept], span[kept], lead[kept].astype(np.uint8), (last - first)[kept].astype(np.uint8), first[kept]])
-            return _batch(rows)
-
-        for batch in batches:
-            for doc, tie, text in zip(*(batch.column(c) for c in ("doc", "tie", "text"))):
-                doc, tie, text = doc.as_py(), tie.as_py(), text.as_py()
-                for base in range(0, max(1, len(text) - length + 1), chunk):
-                    parts.append((doc, tie, base, text[base:base + chunk + length - 1]))
-                    size += len(parts[-1][3])
-                    if size >= chunk:
-                        work()
-                        if found >= flush:
-                            yield out()
-        if parts:
-            work()
-        if found:
-            yield out()
+            yield _batch(_sharded(SHARD, _gram_shard(gram[kept], span[kept], hot, shards), doc[kept], tie[kept],
+                                  [gram[kept], span[kept], lead[kept].astype(np.uint8), (last - first)[kept].astype(np.uint8), first[kept]]))
 
     return run
 
@@ -241,9 +276,10 @@ def _per_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, i
         yield now, blobs
 
 
-def _merge(crowded: int):
+def _merge(crowded: int, hot: np.ndarray):
     """Task: the anchors of a shard from all tasks. Later places of a run are removed; where a bucket has
-    several classes, each class's first place has its bytes fetched (mark 1: a bucket of over ``crowded``)."""
+    several classes, each class's first place has its bytes fetched (mark 1: a bucket of over ``crowded``,
+    or a hot gram's, whose classes stand in all shards)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, blobs in _per_shard(batches):
             if key is None:
@@ -254,13 +290,12 @@ def _merge(crowded: int):
                 cols.append((docs[number], ties[number], *rest))
             doc, tie, gram, span, lead, n, first = map(np.concatenate, zip(*cols))
             kept, gone = _firsts(_classes(gram, span, lead, n), (_ranks(doc, tie) << 40) | first)
-            rows = _runs(REMOVE, doc[gone], tie[gone], first[gone], (first + n)[gone])
+            yield from _run_batches(REMOVE, doc[gone], tie[gone], first[gone], (first + n)[gone])
             kept = kept[np.argsort(gram[kept], kind="stable")]
             _, number, size = np.unique(gram[kept], return_inverse=True, return_counts=True)
-            size = size[number]
+            size = np.where(np.isin(gram[kept], hot), crowded + 2, size[number])
             some, size = kept[size > 1], size[size > 1]
-            rows += _runs(FETCH, doc[some], tie[some], first[some], gram[some], n[some], (size > crowded).astype(np.uint8))
-            yield _batch(rows)
+            yield from _run_batches(FETCH, doc[some], tie[some], first[some], gram[some], n[some], (size > crowded).astype(np.uint8))
 
     return run
 
@@ -283,7 +318,8 @@ def _fetch(shards: int, length: int, flush: int):
                 doc, tie, first, head, tail = map(np.concatenate, zip(*far))
                 kept, gone = _firsts(mix(head) + tail, (_ranks(doc, tie) << 40) | first)
                 rows += _runs(REMOVE, doc[gone], tie[gone], first[gone], first[gone])
-                rows += _sharded(WINDOW, (head[kept] >> np.uint64(32)).astype(np.int64) % shards, doc[kept], tie[kept], [first[kept], head[kept], tail[kept]])
+                whole = mix(mix(head[kept]) + tail[kept])
+                rows += _sharded(WINDOW, (whole >> np.uint64(32)).astype(np.int64) % shards, doc[kept], tie[kept], [first[kept], head[kept], tail[kept]])
             near.clear()
             far.clear()
             size = 0
@@ -403,8 +439,15 @@ def _apply(length: int):
     return run
 
 
+def hot_grams(texts: DataFrame, length: int, q: int, chunk: int, crowded: int, flush: int) -> np.ndarray:
+    """Grams with over ``crowded`` different runs, as counted flush by flush (equal runs of two flushes count twice)."""
+    counted = texts.mapInArrow(_tally(length, q, chunk, flush), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") > crowded).orderBy(F.col("n").desc(), "gram").limit(MOST_HOT).collect()
+    return np.sort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, q: int = 32,
-                   shard_bytes: int = 16 << 20, chunk: int = 1 << 20, crowded: int = 1 << 14) -> DataFrame:
+                   shard_bytes: int = 16 << 20, chunk: int = 1 << 20, crowded: int = 1 << 14, flush: int = 1_000_000) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` per row: texts without their repeated bytes.
 
     A byte goes if a string of ``length`` bytes covers it that also starts earlier: in a document of
@@ -417,7 +460,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     2. The other buckets hold runs that are alike in part. The bytes of the first place of each class are
        fetched, and bucket-pointer refinement (``refine``) finds their equal windows.
     3. A bucket of over ``crowded`` classes would be too much for one task: its windows go by their own
-       128-bit hash instead, folded in the task before.
+       128-bit hash instead, folded in the task before. Grams that may have so many are counted before
+       anything is dealt (a first scan; at most ``MOST_HOT`` of them); their runs go to shards by run, so
+       equal ones still meet, and no task holds the whole bucket.
 
     Windows are equal by bytes (2.) or by two 64-bit hashes (1. and 3.). Null texts are empty, null ids
     come before all others; rows that repeat an id with another text are told apart by the text's
@@ -431,10 +476,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = max(4, 1 << (total // shard_bytes).bit_length())
     long_ = F.octet_length("text") >= length
     dealt = lambda df: df.repartition(shards, "shard").sortWithinPartitions("kind", "shard")
-    scanned = rows.where(long_).select("doc", "tie", "text").mapInArrow(_scan(shards, length, q, chunk, 1_000_000), SCHEMA)
-    merged = landed(dealt(scanned).mapInArrow(_merge(crowded), SCHEMA), "repeats-merged")
+    texts = rows.where(long_).select("doc", "tie", "text")
+    hot = hot_grams(texts, length, q, chunk, crowded, flush)
+    scanned = texts.mapInArrow(_scan(shards, hot, length, q, chunk, flush), SCHEMA)
+    merged = landed(dealt(scanned).mapInArrow(_merge(crowded, hot), SCHEMA), "repeats-merged")
     wanted = merged.where(F.col("kind") == FETCH).groupBy("doc", "tie").agg(F.collect_list("blob").alias("blobs"))
-    fetched = rows.where(long_).select("doc", "tie", "text").join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "blobs").mapInArrow(_fetch(shards, length, 16 << 20), SCHEMA)
+    fetched = texts.join(wanted, ["doc", "tie"]).select("doc", "tie", "text", "blobs").mapInArrow(_fetch(shards, length, 16 << 20), SCHEMA)
     resolved = landed(dealt(fetched).mapInArrow(_resolve(length, 1 << 20), SCHEMA), "repeats-resolved")
     gone = (merged.where(F.col("kind") == REMOVE).unionByName(resolved.where(F.col("kind") == REMOVE))
             .groupBy("doc", "tie").agg(F.collect_list("blob").alias("blobs")))

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from conftest import SF_SMALL
@@ -136,6 +137,49 @@ def test_repeats_of_small_alphabets(spark, length, q, crowded):
     assert suffix_dedup.remove_repeats(df.limit(0)).collect() == []
 
 
+def _dealt(kind, batches):
+    """Entries of a kind in each shard."""
+    out = {}
+    for row in (r for b in batches for r in b.to_pylist() if r["kind"] == kind):
+        out[row["shard"]] = out.get(row["shard"], 0) + len(suffix_dedup._unpack(row["blob"])[2])
+    return out
+
+
+def test_hot_gram_is_dealt_over_the_shards(spark):
+    rnd = random.Random(7)
+    noise = lambda n: "".join(rnd.choice("abcdefghijklmnop") for _ in range(n))
+    phrase = noise(80)
+    rows = [(k, noise(200) + phrase + noise(200)) for k in range(400)] + [(1000 + k, noise(150)) for k in range(10)]
+    rows += [(2000 + k, rows[k][1]) for k in range(0, 400, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for args in ({"crowded": 100}, {"crowded": 100, "flush": 500}):
+        got = suffix_dedup.remove_repeats(df, shard_bytes=5000, **args)
+        assert sorted(map(tuple, got.collect())) == sorted(_removed(rows, 100))
+    texts = df.selectExpr("doc_id AS doc", "0L AS tie", "CAST(text AS binary) AS text")
+    hot = suffix_dedup.hot_grams(texts, 100, 32, 1 << 20, 100, 1_000_000)
+    assert len(hot)
+    batch = texts.toArrow().combine_chunks().to_batches()
+    merged = [b for b in suffix_dedup._scan(16, hot, 100, 32, 1 << 20, 1_000_000)(iter(batch))]
+    rows_of = {}
+    for row in (r for b in merged for r in b.to_pylist() if r["kind"] == suffix_dedup.SHARD):
+        gram = suffix_dedup._unpack(row["blob"])[3]
+        rows_of[row["shard"]] = np.isin(gram, hot).sum()
+    assert len(rows_of) == 16 and max(rows_of.values()) < sum(rows_of.values()) / 4
+    first = rows[0][1].index(phrase)
+    blob = suffix_dedup._pack(np.array([first - 20]), hot[:1], np.array([40], np.uint8), np.array([1], np.uint8))
+    wanted = pa.RecordBatch.from_pylist([{"doc": i, "tie": 0, "text": t.encode(), "blobs": [blob]} for i, t in rows[:400]])
+    windows = _dealt(suffix_dedup.WINDOW, suffix_dedup._fetch(16, 100, 16 << 20)(iter([wanted])))
+    assert max(windows.values()) < sum(windows.values()) / 8
+
+
+def test_rows_of_documents_come_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ROWS", 10)
+    doc = np.arange(95) // 3
+    batches = list(suffix_dedup._run_batches(suffix_dedup.FETCH, doc, doc * 0, np.arange(95)))
+    assert len(batches) == 10 and max(b.num_rows for b in batches) <= 10
+    assert sorted(x for b in batches for r in b.to_pylist() for x in suffix_dedup._unpack(r["blob"])[0]) == list(range(95))
+
+
 def test_repeated_rows_are_one_document(spark):
     rows = [(1, "x" * 50 + "y" * 90), (1, "x" * 50 + "y" * 90), (2, "x" * 50 + "y" * 90)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
