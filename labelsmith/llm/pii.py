@@ -22,13 +22,21 @@ ENDINGS = {("latin", "m"): "n", ("latin", "f"): "a", ("latin", ""): "rt", ("cyri
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
 _WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
+_GAP = r"[ .()/\u00A0\u202F\u2010\u2011\u2013-]{0,3}"
+_V4 = r"(?:\d{1,3}\.){3}\d{1,3}"
+_H = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
     "email": r"[A-Za-z0-9_%+-][\w.%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
     "secret": r"[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<!\d\.)(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "ssn": r"(?<!\d-)\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"\+?\d{0,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    # eight groups, or fewer around "::"; of letters alone at least three
+    "ip6": rf"(?:(?:{_H}:){{6}}(?:{_V4}|{_H}:{_H})"
+           rf"|(?=[A-Fa-f:]{{0,40}}\d|(?:[A-Fa-f]{{1,4}}::?){{2}})(?:{_H}(?::{_H}){{0,6}})?::(?:(?:{_H}:){{0,5}}{_V4}|{_H}(?::{_H}){{0,6}})?)(?![\p{{L}}\p{{N}}:]|\.\d)",
+    # with + and 7 to 15 digits in any grouping; the North American layout; ten digits in a row
+    "phone": rf"\+(?!1[ .-]?(?:\(\d{{2,4}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}(?!\d))\(?\d(?:{_GAP}\d){{6,14}}(?!\d)|"
+             r"\+?\d{0,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<!\d\.)\d{10}(?!\d|\.\d)",
     "card": r"(?:\d{4}[ -]){3}\d{4}(?!\d)|\d{13,19}+(?!\d)",
     # for all but given names looks back only from a capital after a space
     "name": rf"(?:{_NAMES})(?= {_WORD})"
@@ -36,7 +44,7 @@ PATTERNS = {
             rf"|(?<=(?<!\p{{L}})(?:{'|'.join(TITLES)})\.? \p{{Lu}}[\p{{L}}'’-]{{1,30}} )){_WORD}",
 }
 #: What a string of a type may begin with: the next character decides which patterns are tried.
-_BEGIN = {"[A-Za-z0-9_%+-]": ("email",), "[0-9a-fA-F]": ("secret",), "[A-Z]": ("iban",), r"[\d+(]": ("ip", "ssn", "phone", "card"), r"\p{Lu}": ("name",)}
+_BEGIN = {"[A-Za-z0-9_%+-]": ("email",), "[0-9a-fA-F:]": ("ip6", "secret"), "[A-Z]": ("iban",), r"[\d+(]": ("ip", "ssn", "phone", "card"), r"\p{Lu}": ("name",)}
 #: One pattern for all; a match begins where neither letter nor digit stands before.
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?={c})(?:{'|'.join(PATTERNS[n] for n in names)})" for c, names in _BEGIN.items()) + ")"
 
@@ -47,14 +55,24 @@ def _kind(raw: Column) -> Column:
     for (script, gender), names in reversed(GIVEN.items()):
         out = F.when(raw.isin(names), f"given {gender} {script}").otherwise(out)
     out = F.coalesce(out, F.when(raw.rlike(r"\p{IsCyrillic}"), "surname cyrillic").otherwise("surname latin"))
-    for name in ("card", "phone", "ssn", "ip", "iban", "secret", "email"):
+    for name in ("card", "phone", "ssn", "ip", "ip6", "iban", "secret", "email"):
         out = F.when(raw.rlike(rf"\A(?:{PATTERNS[name]})\z"), name).otherwise(out)
     return out
 
 
+def _groups(raw: Column) -> Column:
+    """The eight groups of an IPv6 address, without leading zeros, joined by colons."""
+    octet = lambda g, i: F.split_part(g, F.lit("."), F.lit(i)).cast("int")
+    pair = lambda g, i: F.hex((octet(g, i) * 256 + octet(g, i + 1)).cast("long"))
+    side = lambda i: F.flatten(F.transform(F.filter(F.split(F.split_part(raw, F.lit("::"), F.lit(i)), ":"), lambda g: g != ""),
+                                           lambda g: F.when(g.contains("."), F.array(pair(g, 1), pair(g, 3))).otherwise(F.array(g))))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(side(1)) - F.size(side(2)))
+    return F.lower(F.array_join(F.transform(F.concat(side(1), zeros, side(2)), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":"))
+
+
 def _canonical(raw: Column, kind: Column) -> Column:
-    """What all ways of writing one entity share: letters and digits, lower-cased, for all but e-mail and IP."""
-    return F.when(kind.isin("email", "ip"), F.lower(raw)).when(kind.isin("card", "phone", "ssn", "iban", "secret"),
+    """What all ways of writing one entity share: letters and digits, lower-cased, for all but e-mail and IP; of IPv6 all groups."""
+    return F.when(kind.isin("email", "ip"), F.lower(raw)).when(kind == "ip6", _groups(raw)).when(kind.isin("card", "phone", "ssn", "iban", "secret"),
                                                                F.lower(F.regexp_replace(raw, "[^0-9A-Za-z]", ""))).otherwise(F.lower(raw))
 
 
@@ -77,7 +95,7 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     """Replacement of a canonical entity, in canonical form; a pure function of its arguments.
 
     Digits give digits (a leading one stays above zero), letters give letters, of hexadecimal strings
-    hexadecimal digits; IP addresses give octets from 1 to 254; the last label of an e-mail's domain
+    hexadecimal digits; IP addresses give octets from 1 to 254 or eight groups of four hexadecimal digits; the last label of an e-mail's domain
     and an IBAN's country stay; names give syllables of their script with an ending of their gender,
     and a syllable more every four attempts.
     """
@@ -92,13 +110,15 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
         .when(c.rlike("[0-9]"), _pick(s, i, "0123456789"))
         .when(c.rlike("[a-z]"), _pick(s, i, "abcdefghijklmnopqrstuvwxyz")).otherwise(c))), "")
     octets = F.array_join(F.transform(F.split(canonical, "\\."), lambda _, i: (F.pmod(_draw(s, i), F.lit(254)) + 1).cast("string")), ".")
+    groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(
+        _pick(s, i * 4, "123456789abcdef"), *(_pick(s, i * 4 + k, "0123456789abcdef") for k in (1, 2, 3)))), ":")
     extra = F.floor(attempt / 4).cast("int")
 
     def name(script: str, gender: str, n: int) -> Column:
         syllable = lambda i: F.element_at(F.array(*map(F.lit, SYLLABLES[script])), F.pmod(_draw(s, i), F.lit(16)) + 1)
         return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), n - 1 + extra), syllable), ""), F.lit(ENDINGS[script, gender]))
 
-    out = F.when(kind == "ip", octets)
+    out = F.when(kind == "ip", octets).when(kind == "ip6", groups)
     for script, gender in GIVEN:
         out = out.when(kind == f"given {gender} {script}", name(script, gender, 2))
     return out.when(kind == "surname latin", name("latin", "", 3)).when(kind == "surname cyrillic", name("cyrillic", "", 3)).otherwise(mapped)
@@ -115,7 +135,7 @@ def _pour(raw: Column, kind: Column, new: Column) -> Column:
     cased = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(new)).when(raw == F.lower(raw), new).otherwise(F.initcap(new))
     hexa = F.when(raw == F.upper(raw), F.upper(new)).otherwise(new)
     return (F.when(kind.startswith("given") | kind.startswith("surname"), cased).when(kind == "ip", new)
-            .when(kind == "secret", hexa).when(kind == "email", F.when(raw == F.upper(raw), F.upper(new)).otherwise(new)).otherwise(poured))
+            .when(kind.isin("secret", "ip6"), hexa).when(kind == "email", F.when(raw == F.upper(raw), F.upper(new)).otherwise(new)).otherwise(poured))
 
 
 def surrogates(entities: DataFrame, key: str, max_rounds: int = 60) -> DataFrame:

@@ -253,6 +253,34 @@ def test_pii_surrogates(spark):
     assert pii.replace_pii(df.limit(0), "key").collect() == []
 
 
+NUMBERS = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 123456", "+447911123456", "+15551234567", "5551234567", "+1 555 123 4567",
+           "+44 (0)20 7946 0958", "+7 (495) 123-45-67", "+380.44.123.45.67", "+49\u00a030\u00a0123456", "+(33) 1 23 45 67 89", "+86-138-0013-8000"]
+ADDRESSES = ["2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1", "::1", "2001:DB8::", "::ffff:192.0.2.128", "64:ff9b::192.0.2.33", "dead:beef::cafe"]
+PLAIN = ["12:30:45", "std::vector", "::", "0.1234567890", "1234567890.5", "10:20", "a:b:c", "2024-01-02 2024-01-03", "key::value", "+5 to +7", "+123456"]
+
+
+@pytest.mark.parametrize("text", ["call {} now", "{}", "({}), then"])
+def test_pii_international_numbers_and_addresses(spark, text):
+    rows = [(k, text.format(x)) for k, x in enumerate(NUMBERS + ADDRESSES + PLAIN)]
+    got = {r.doc_id: r for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    shape = lambda x: re.sub(r"\d", "9", x)
+    for k, x in enumerate(NUMBERS + ADDRESSES + PLAIN):
+        left, right = text.split("{}")
+        if x in PLAIN:
+            assert (got[k].text, got[k].n_entities) == (rows[k][1], 0)
+            continue
+        assert got[k].n_entities == 1 and got[k].kinds == ("phone" if x in NUMBERS else "ip6"), (x, got[k])
+        assert got[k].text.startswith(left) and got[k].text.endswith(right) and x not in got[k].text
+        new = got[k].text[len(left):len(got[k].text) - len(right)]
+        assert shape(new) == shape(x) if x in NUMBERS else re.fullmatch("(?:[0-9a-f]{4}:){7}[0-9a-f]{4}", new.lower())
+
+
+def test_pii_one_address_in_all_spellings(spark):
+    same = ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "2001:db8:0::0.0.0.1", "2001:0db8:0000::0001"]
+    got = pii.replace_pii(spark.createDataFrame(list(enumerate(same)), "doc_id long, text string"), "key").collect()
+    assert len({r.text.lower() for r in got}) == 1
+
+
 def test_pii_collisions_are_drawn_again(spark):
     ips = [f"10.0.{a}.{b}" for a, b in itertools.product(range(4), range(100))]
     names = [("given m latin", f"n{k}") for k in range(300)] + [("ip", x) for x in ips]
