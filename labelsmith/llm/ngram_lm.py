@@ -101,6 +101,11 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(values[by], first, axis=0)
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Unsigned in 4 bytes, or in 8 where a value needs them."""
+    return values.astype(np.uint64 if values.size and values.max() >= 1 << 32 else np.uint32)
+
+
 def _write(folder: str, name: str, array: np.ndarray) -> None:
     """An array as a raw file that appears whole or not at all; a task run again writes the same."""
     store, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
@@ -214,7 +219,7 @@ def _pairs(folder: str, shards: int):
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             context, word, count = context[first], word[first], np.add.reduceat(count, first)
             _write(folder, f"pairs-{shard}.keys", keys[first])
-            _write(folder, f"pairs-{shard}.counts", count.astype(np.uint32))
+            _write(folder, f"pairs-{shard}.counts", _narrow(count))
             stats = np.zeros((2 * len(count), 6), np.int64)
             half = stats[:len(count)]
             half[:, CONTEXT_TOTAL], half[:, ONCE], half[:, TWICE], half[:, MORE] = count, count == 1, count == 2, count > 2
@@ -224,7 +229,7 @@ def _pairs(folder: str, shards: int):
             of = (mix(words) >> np.uint64(20)).astype(np.int64) & (shards - 1)
             by = np.argsort(of, kind="stable")
             present, cuts = np.unique(of[by], return_index=True)
-            rows = [(int(s), _pack(words[at], *(stats[at].T.astype(np.uint64 if stats.max() >= 1 << 32 else np.uint32))))
+            rows = [(int(s), _pack(words[at], *_narrow(stats[at].T)))
                     for s, at in zip(present, np.split(by, cuts[1:]))]
             top = np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64)
             yield _rows([*rows, (shards + shard, _pack(top))])
@@ -243,7 +248,7 @@ def _words(folder: str, shards: int):
                 cols = [_unpack(b) for b in blobs]
                 keys, stats = _sum_by(np.concatenate([c[0] for c in cols]), np.concatenate([np.stack(c[1:], axis=1).astype(np.int64) for c in cols]))
                 _write(folder, f"words-{shard}.keys", keys)
-                _write(folder, f"words-{shard}.stats", stats.astype(np.uint64 if stats.size and stats.max() >= 1 << 32 else np.uint32))
+                _write(folder, f"words-{shard}.stats", _narrow(stats))
                 kinds = stats[:, CONTEXTS]
                 level, sums[:] = 1, [*((kinds == k).sum() for k in (1, 2, 3, 4)), (kinds > 2).sum(), kinds.sum(), stats[:, COUNT].sum()]
                 sums = np.append(sums, (stats[:, COUNT] > 0).sum())

@@ -153,6 +153,15 @@ def test_long_texts_are_cut_exactly():
         assert (np.concatenate([b[k] for b in whole]) == np.concatenate([b[k] for b in cut])).all()
 
 
+def test_pair_counts_beyond_32_bits(tmpdir_path):
+    context, word = np.array([5], np.uint64), np.array([7, 8], np.uint64)
+    blob = ngram_lm._pack(context, np.array([2], np.uint32), word, np.array([0, 1], np.uint32), np.array([3_000_000_000, 4], np.uint32))
+    rows = ngram_lm._rows([(0, blob)] * 2)
+    list(ngram_lm._pairs(tmpdir_path, 1)(iter([rows])))
+    reader = ngram_lm.Reader(ngram_lm.Model(tmpdir_path, 1, np.zeros(0, np.uint64), np.zeros(4), np.zeros(4), (0, 0, 0), 0, 0, 0))
+    assert reader.pairs(np.array([5, 5, 5], np.uint64), np.array([7, 8, 9], np.uint64)).tolist() == [6_000_000_000, 8, 0]
+
+
 # ---- packing
 
 def _pieces_ok(rows, docs, encode):
