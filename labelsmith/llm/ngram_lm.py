@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, mapped by workers (operator 4)."""
+"""Interpolated modified Kneser-Ney model of any order from 2, counted in Spark, mapped by workers (operator 4)."""
 
 from __future__ import annotations
 
@@ -26,17 +26,23 @@ from .tokens import WordHashes, mix
 
 BEGIN, END = (mix(np.array([n], np.uint64))[0] for n in (1, 2))
 CHUNK = 4 << 20
-#: Columns of a word's statistics: as context its occurrences and followers seen once, twice, more
-#: often; as word its different contexts and its occurrences.
+#: Order of the registered query's model.
+ORDER = 3
+#: Columns of the statistics of a word or shorter n-gram: as context its occurrences and followers seen
+#: once, twice, more often (below the highest order by their different contexts); as word its different
+#: contexts and its occurrences.
 CONTEXT_TOTAL, ONCE, TWICE, MORE, CONTEXTS, COUNT = range(6)
 
 
-def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk: int = CHUNK, order: int = 2) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(text number, context hash, word hash)`` of all tokens, in blocks of about ``chunk`` bytes.
 
-    A text's tokens are its words and one end; the first has the beginning as context. A text longer
-    than a block is cut at white space, its last word carried on as context.
+    A text's tokens are its words and one end; the first has beginnings as context. Above order 2 the
+    context is a row of hashes per place, the nearest last. A text longer than a block is cut at white
+    space, its last words carried on as context.
     """
+    wide = order - 1
+    shaped = lambda rows: rows[0] if order == 2 else rows
     held: list[tuple[int, bytes]] = []
     size = 0
 
@@ -47,19 +53,23 @@ def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk:
         inner = np.ones(len(token), bool)
         inner[last] = False
         token[inner], token[last] = words, END
-        context = np.concatenate([np.array([BEGIN]), token[:-1]])
-        context[last[:-1] + 1] = BEGIN
-        return np.repeat(np.array([k for k, _ in held], np.int64), n + 1), context, token
+        place = np.arange(len(token)) - np.repeat(last - n, n + 1)
+        context = np.full((wide, len(token)), BEGIN)
+        for back in range(1, order):
+            some = np.flatnonzero(place >= back)
+            context[wide - back, some] = token[some - back]
+        return np.repeat(np.array([k for k, _ in held], np.int64), n + 1), shaped(context), token
 
     for k, text in texts:
         if len(text) > chunk:
-            before = BEGIN
+            before = np.full(wide, BEGIN)
             for part in word_blocks(text, chunk):
                 words, _ = hashes([part])
                 if len(words):
-                    yield np.full(len(words), k), np.concatenate([np.array([before]), words[:-1]]), words
-                    before = words[-1]
-            yield np.array([k]), np.array([before]), np.array([END])
+                    row = np.concatenate([before, words])
+                    yield np.full(len(words), k), shaped(np.stack([row[a:a + len(words)] for a in range(wide)])), words
+                    before = row[-wide:]
+            yield np.array([k]), shaped(before[:, None]), np.array([END])
             continue
         held.append((k, text))
         size += len(text)
@@ -75,12 +85,25 @@ def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(3) + np.uint64(1)) + word
 
 
-def _shard(context: np.ndarray, word: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    """A pair's shard: its context's, or, where the context is hot, one of the pair's own."""
-    own = np.where(np.isin(context, hot), _pair(context, word), context) if len(hot) else context
+def _key(words: np.ndarray) -> np.ndarray:
+    """Hash of n-grams given as a row of word hashes per place."""
+    key = words[0]
+    for word in words[1:]:
+        key = _pair(key, word)
+    return key
+
+
+def _shard(words: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of an n-gram of highest order: its first word's, or, where that is hot, one of its own."""
+    own = np.where(np.isin(words[0], hot), _key(words), words[0]) if len(hot) else words[0]
     return (mix(own) >> np.uint64(40)).astype(np.int64) & (shards - 1)
 
 
+def _low_shard(key: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of a word or of an n-gram below the highest order."""
+    return (mix(key) >> np.uint64(20)).astype(np.int64) & (shards - 1)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     planes = [(x.dtype.str, len(x), np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()) for x in arrays]
     return zstandard.compress(pickle.dumps(planes), 1)
@@ -102,8 +125,8 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
-    """Unsigned in 4 bytes, or in 8 where a value needs them."""
-    return values.astype(np.uint64 if values.size and values.max() >= 1 << 32 else np.uint32)
+    """Unsigned in as few bytes as the greatest value needs."""
+    return values.astype(np.min_scalar_type(int(values.max()) if values.size else 0))
 
 
 def _write(folder: str, name: str, array: np.ndarray) -> None:
@@ -170,31 +193,32 @@ def _frequent(share: float):
     return run
 
 
-def _count(shards: int, hot: np.ndarray, flush: int):
-    """Task: the pairs of its tokens with counts, folded, a blob per shard: contexts, followers, counts."""
+def _count(order: int, shards: int, hot: np.ndarray, flush: int):
+    """Task: the n-grams of its tokens with counts, folded, a blob per shard: first words, later words, counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            context, word = (np.concatenate(x) for x in zip(*held))
+            grams = np.concatenate(held, axis=1)
             held.clear()
-            by = np.lexsort((word, context))
-            context, word = context[by], word[by]
-            first = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1]))))
-            counts = np.diff(np.append(first, len(word)))
-            context, word = context[first], word[first]
-            shard = _shard(context, word, hot, shards)
+            grams = grams[:, np.lexsort(grams[::-1])]
+            first = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0))))
+            counts = np.diff(np.append(first, grams.shape[1]))
+            grams = grams[:, first]
+            shard = _shard(grams, hot, shards)
             rows, by = [], np.argsort(shard, kind="stable")
             present, cuts = np.unique(shard[by], return_index=True)
             for s, of in zip(present, np.split(by, cuts[1:])):
-                new = np.flatnonzero(np.concatenate(([True], context[of][1:] != context[of][:-1])))
-                words, number = np.unique(word[of], return_inverse=True)
-                rows.append((int(s), _pack(context[of][new], np.diff(np.append(new, len(of))).astype(np.uint32), words, number.astype(np.uint32), counts[of].astype(np.uint32))))
+                lead = grams[0, of]
+                new = np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1])))
+                words, number = np.unique(grams[1:, of], return_inverse=True)
+                rows.append((int(s), _pack(lead[new], np.diff(np.append(new, len(of))).astype(np.uint32), words,
+                                           *number.reshape(order - 1, -1).astype(np.uint32), counts[of].astype(np.uint32))))
             return _rows(rows)
 
-        for _, context, word in token_blocks(_texts(batches), WordHashes()):
-            held.append((context, word))
+        for _, context, word in token_blocks(_texts(batches), WordHashes(), order=order):
+            held.append(np.concatenate([np.atleast_2d(context), word[None]]))
             size += len(word)
             if size >= flush:
                 yield out()
@@ -205,34 +229,81 @@ def _count(shards: int, hot: np.ndarray, flush: int):
     return run
 
 
+def _lower(grams: np.ndarray, value: np.ndarray, raw: np.ndarray, shards: int, shard: int) -> pa.RecordBatch:
+    """Statistics of the prefixes and suffixes of a shard's n-grams, a blob per shard of the level below, and
+    the sums for the discounts.
+
+    ``value`` is what the n-grams' level counts, ``raw`` their occurrences.
+    """
+    stats = np.zeros((2 * len(value), 6), np.int64)
+    half = stats[:len(value)]
+    half[:, CONTEXT_TOTAL], half[:, ONCE], half[:, TWICE], half[:, MORE] = value, value == 1, value == 2, value > 2
+    half = stats[len(value):]
+    half[:, CONTEXTS], half[:, COUNT] = 1, raw
+    parts, stats = _sum_grams(np.concatenate([grams[:-1], grams[1:]], axis=1), stats)
+    of = _low_shard(_key(parts), shards)
+    by = np.argsort(of, kind="stable")
+    present, cuts = np.unique(of[by], return_index=True)
+    rows = []
+    for s, at in zip(present, np.split(by, cuts[1:])):
+        words, number = np.unique(parts[:, at], return_inverse=True)
+        rows.append((int(s), _pack(words, *number.reshape(len(parts), -1).astype(np.uint32), *map(_narrow, stats[at].T))))
+    top = np.array([(value == k).sum() for k in (1, 2, 3, 4)], np.int64)
+    return _rows([*rows, ((len(grams) - 1) * shards + shard, _pack(top))])
+
+
+def _sum_grams(grams: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams and the sums of the rows of ``stats``."""
+    by = np.lexsort(grams[::-1])
+    grams = grams[:, by]
+    first = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0)))) if len(by) else by
+    return grams[:, first], np.add.reduceat(stats[by], first, axis=0) if len(by) else stats
+
+
+def _stats(blobs: list[bytes], level: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams and statistics that ``_lower`` packed, summed."""
+    grams, stats = [], []
+    for words, *cols in map(_unpack, blobs):
+        grams.append(np.stack([words[c] for c in cols[:level]]))
+        stats.append(np.stack(cols[level:], axis=1).astype(np.int64))
+    return _sum_grams(np.concatenate(grams, axis=1), np.concatenate(stats))
+
+
 def _pairs(folder: str, shards: int):
-    """Task: all counts of a shard's pairs, written by sorted hash; its words' statistics, a blob per shard of words."""
+    """Task: all counts of a shard's n-grams of highest order, written by sorted hash; ``_lower`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blobs in _by_shard(batches):
-            cols = []
-            for contexts, runs, words, number, counts in map(_unpack, blobs):
-                cols.append((np.repeat(contexts, runs), words[number], counts.astype(np.int64)))
-            context, word, count = map(np.concatenate, zip(*cols))
-            by = np.argsort(_pair(context, word))
-            context, word, count = context[by], word[by], count[by]
-            keys = _pair(context, word)
+            cols, counts = [], []
+            for lead, runs, words, *number, count in map(_unpack, blobs):
+                cols.append(np.stack([np.repeat(lead, runs), *(words[x] for x in number)]))
+                counts.append(count.astype(np.int64))
+            grams, count = np.concatenate(cols, axis=1), np.concatenate(counts)
+            keys = _key(grams)
+            by = np.argsort(keys)
+            grams, count, keys = grams[:, by], count[by], keys[by]
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            context, word, count = context[first], word[first], np.add.reduceat(count, first)
+            grams, count = grams[:, first], np.add.reduceat(count, first)
             _write(folder, f"pairs-{shard}.keys", keys[first])
             _write(folder, f"pairs-{shard}.counts", _narrow(count))
-            stats = np.zeros((2 * len(count), 6), np.int64)
-            half = stats[:len(count)]
-            half[:, CONTEXT_TOTAL], half[:, ONCE], half[:, TWICE], half[:, MORE] = count, count == 1, count == 2, count > 2
-            half = stats[len(count):]
-            half[:, CONTEXTS], half[:, COUNT] = 1, count
-            words, stats = _sum_by(np.concatenate([context, word]), stats)
-            of = (mix(words) >> np.uint64(20)).astype(np.int64) & (shards - 1)
-            by = np.argsort(of, kind="stable")
-            present, cuts = np.unique(of[by], return_index=True)
-            rows = [(int(s), _pack(words[at], *_narrow(stats[at].T)))
-                    for s, at in zip(present, np.split(by, cuts[1:]))]
-            top = np.array([(count == k).sum() for k in (1, 2, 3, 4)], np.int64)
-            yield _rows([*rows, (shards + shard, _pack(top))])
+            yield _lower(grams, count, count, shards, shard)
+
+    return run
+
+
+def _middle(folder: str, shards: int, level: int):
+    """Task: a shard's n-grams of a level between, with their statistics, written by sorted hash; ``_lower`` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, blobs in _by_shard(batches):
+            if shard >= shards:
+                yield _rows([(shard, b) for b in blobs])
+                continue
+            grams, stats = _stats(blobs, level)
+            keys = _key(grams)
+            by = np.argsort(keys)
+            _write(folder, f"grams{level}-{shard}.keys", keys[by])
+            _write(folder, f"grams{level}-{shard}.stats", _narrow(stats[by, :COUNT]))
+            some = np.flatnonzero(stats[:, CONTEXTS])
+            yield _lower(grams[:, some], stats[some, CONTEXTS], stats[some, COUNT], shards, shard)
 
     return run
 
@@ -243,10 +314,9 @@ def _words(folder: str, shards: int):
         for shard, blobs in _by_shard(batches):
             level, sums = 2, np.zeros(7, np.int64)
             if shard >= shards:
-                sums[:4] = sum(_unpack(b)[0] for b in blobs)
+                level, sums[:4] = shard // shards + 1, sum(_unpack(b)[0] for b in blobs)
             else:
-                cols = [_unpack(b) for b in blobs]
-                keys, stats = _sum_by(np.concatenate([c[0] for c in cols]), np.concatenate([np.stack(c[1:], axis=1).astype(np.int64) for c in cols]))
+                (keys,), stats = _stats(blobs, 1)
                 _write(folder, f"words-{shard}.keys", keys)
                 _write(folder, f"words-{shard}.stats", _narrow(stats))
                 kinds = stats[:, CONTEXTS]
@@ -273,12 +343,13 @@ class Model:
     folder: str
     shards: int
     hot: np.ndarray
-    pair_discounts: np.ndarray
+    gram_discounts: tuple[np.ndarray, ...]
     word_discounts: np.ndarray
     word_counts: tuple[int, int, int]
     contexts: int
     tokens: int
     vocabulary: int
+    order: int = 2
 
 
 class Reader:
@@ -316,25 +387,34 @@ class Reader:
                 names = [x.base_name for x in store.get_file_info(fs.FileSelector(path, allow_not_found=True))]
             else:
                 names = os.listdir(self.m.folder) if os.path.isdir(self.m.folder) else []
-            self.names = {k: {int(x[len(k) + 1:-5]) for x in names if x.startswith(f"{k}-") and x.endswith(".keys")} for k in ("pairs", "words")}
-        return self.names[kind]
+            self.names = {}
+            for name, number in (x[:-5].rsplit("-", 1) for x in names if x.endswith(".keys")):
+                self.names.setdefault(name, set()).add(int(number))
+        return self.names.get(kind, set())
 
     def words(self, words: np.ndarray) -> np.ndarray:
-        return self._found("words", "stats", (mix(words) >> np.uint64(20)).astype(np.int64) & (self.m.shards - 1), words, 6)
+        return self._found("words", "stats", _low_shard(words, self.m.shards), words, 6)
+
+    def pairs(self, *words: np.ndarray) -> np.ndarray:
+        """Counts of n-grams of highest order."""
+        return self._found("pairs", "counts", _shard(np.stack(words), self.m.hot, self.m.shards), _key(np.stack(words)), 1)[:, 0]
 
-    def pairs(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return self._found("pairs", "counts", _shard(context, word, self.m.hot, self.m.shards), _pair(context, word), 1)[:, 0]
+    def grams(self, words: np.ndarray) -> np.ndarray:
+        """Statistics of n-grams of a level between, each looked up once."""
+        key, some, back = np.unique(_key(words), return_index=True, return_inverse=True)
+        return self._found(f"grams{len(words)}", "stats", _low_shard(key, self.m.shards), key, COUNT)[back]
 
 
 def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token its probability after its context, its training count, and its add-one probability.
 
-    Modified Kneser-Ney, interpolated: a pair's discounted share of its context, plus the context's
-    discounts times the word's discounted share of all different pairs, plus those discounts spread
-    evenly over the vocabulary and one unknown word.
+    Modified Kneser-Ney, interpolated: an n-gram's discounted share of its context, plus the context's
+    discounts times the probability after the context without its first word. Below the highest order an
+    n-gram counts by its different contexts; a word's share of all different pairs gets those discounts
+    spread evenly over the vocabulary and one unknown word. ``context`` is as in ``token_blocks``.
     """
-    m = reader.m
-    words, number = np.unique(np.concatenate([word, context]), return_inverse=True)
+    m, context = reader.m, np.atleast_2d(context)
+    words, number = np.unique(np.concatenate([word, context[-1]]), return_inverse=True)
     stats = reader.words(words)
     kinds = stats[:, CONTEXTS]
     even = 1.0 / (m.vocabulary + 1)
@@ -345,32 +425,39 @@ def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tupl
     else:
         low = np.full(len(words), even)
     of_word, of_context = number[:len(word)], number[len(word):]
-    pair, back = np.unique(_pair(context, word), return_inverse=True)
-    some = np.zeros(len(pair), np.int64)
-    some[back] = np.arange(len(back))
-    count = reader.pairs(context[some], word[some])[back]
-    total = stats[of_context, CONTEXT_TOTAL]
-    d = m.pair_discounts
-    left = (stats[:, ONCE] * d[1] + stats[:, TWICE] * d[2] + stats[:, MORE] * d[3])[of_context]
-    safe = np.maximum(total, 1)
-    p = np.where(total > 0, (count - d[np.minimum(count, 3)]) / safe + left / safe * low[of_word], low[of_word])
+    p, of = low[of_word], stats[of_context]
+    for level, d in enumerate(m.gram_discounts, 2):
+        gram = np.concatenate([context[m.order - level:], word[None]])
+        if level == m.order:
+            _, some, back = np.unique(_key(gram), return_index=True, return_inverse=True)
+            count = reader.pairs(*gram[:, some])[back]
+        else:
+            count = reader.grams(gram)[:, CONTEXTS]
+        total, left = of[:, CONTEXT_TOTAL], of[:, ONCE] * d[1] + of[:, TWICE] * d[2] + of[:, MORE] * d[3]
+        safe = np.maximum(total, 1)
+        p = np.where(total > 0, (count - d[np.minimum(count, 3)]) / safe + left / safe * p, p)
+        if level < m.order:
+            of = reader.grams(context[m.order - 1 - level:])
     seen = stats[of_word, COUNT]
     return p, seen, (seen + 1) / (m.tokens + m.vocabulary + 1)
 
 
-def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: int = 16 << 20, flush: int = 5_000_000) -> Model:
-    """Model of the documents for which ``learn`` holds.
+def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: int = 16 << 20, flush: int = 5_000_000, order: int = 2) -> Model:
+    """Model of the documents for which ``learn`` holds, of n-grams of ``order`` words.
 
-    Tasks count and fold the pairs of their own tokens; a pair goes to its context's shard. Contexts that
-    hold over a quarter of a shard's fair share (found first, at most ``8 * shards`` of them) are dealt
-    over all shards by pair. Shards write their pairs as sorted hash arrays and pass on each word's
-    statistics, which the shards of words sum and write likewise. Number of shards, files and shuffled
-    bytes grow with the corpus; only the discounts' sums come to the driver.
+    Tasks count and fold the n-grams of their own tokens; an n-gram goes to its first word's shard. Words
+    that hold over a quarter of a shard's fair share (found first, at most ``8 * shards`` of them) are
+    dealt over all shards by n-gram. Shards write their n-grams as sorted hash arrays and pass on the
+    statistics of their prefixes and suffixes, which the shards of the level below sum, write and pass on
+    likewise, down to the words. Number of shards, files and shuffled bytes grow with the corpus; only
+    the discounts' sums come to the driver.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     texts = docs.where(learn).select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(4, 1 << (total // shard_bytes).bit_length())
+    shards = max(4, 1 << (total * (order - 1) // shard_bytes).bit_length())
     share = 1 / (4 * shards)
     frequent = texts.mapInArrow(_frequent(share / 2), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     least = share * total / 12
@@ -378,12 +465,14 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: i
     folder = scratch_dir(spark, "ngram-model")
     folder = folder if "://" in folder else os.path.normpath(folder).replace("//", "/")
     dealt = lambda df: df.repartition(shards, "shard").sortWithinPartitions("shard")
-    counted = texts.mapInArrow(_count(shards, hot, flush), ROW)
-    paired = dealt(counted).mapInArrow(_pairs(folder, shards), ROW)
-    sums = dealt(paired).mapInArrow(_words(folder, shards), "level int, " + ", ".join(f"{c} long" for c in "abcdefgh"))
+    counted = texts.mapInArrow(_count(order, shards, hot, 2 * flush // order), ROW)
+    rows = dealt(counted).mapInArrow(_pairs(folder, shards), ROW)
+    for level in range(order - 1, 1, -1):
+        rows = dealt(rows).mapInArrow(_middle(folder, shards, level), ROW)
+    sums = dealt(rows).mapInArrow(_words(folder, shards), "level int, " + ", ".join(f"{c} long" for c in "abcdefgh"))
     got = {r["level"]: [r[f"sum({c})"] for c in "abcdefgh"] for r in sums.groupBy("level").sum(*"abcdefgh").collect()}
-    one, two = got.get(1, [0] * 8), got.get(2, [0] * 8)
-    return Model(folder, shards, hot, _discounts(two[:4]), _discounts(one[:4]), (one[0], one[1], one[4]), one[5], one[6], one[7])
+    one, *more = (got.get(level, [0] * 8) for level in range(1, order + 1))
+    return Model(folder, shards, hot, tuple(_discounts(x[:4]) for x in more), _discounts(one[:4]), (one[0], one[1], one[4]), one[5], one[6], one[7], order)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -398,7 +487,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             texts = enumerate(batch.column("text").to_pylist())
             sums = np.zeros((batch.num_rows, 4))
-            for number, context, word in token_blocks(texts, hashes):
+            for number, context, word in token_blocks(texts, hashes, order=model.order):
                 p, seen, base = probabilities(reader, context, word)
                 for k, x in enumerate((np.ones(len(word)), seen > 0, np.log10(base), np.log10(p))):
                     sums[:, k] += np.bincount(number, x, batch.num_rows)
@@ -413,5 +502,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from documents whose crc32 of the id modulo 7 is not 2, and scores all documents."""
     docs, held = documents(spark, sf_dir).select("doc_id", "text"), crc32_mod("doc_id", 7) == 2
-    model = train(docs, ~held)
+    model = train(docs, ~held, order=ORDER)
     return score(docs, model).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

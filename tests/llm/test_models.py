@@ -153,12 +153,77 @@ def test_long_texts_are_cut_exactly():
         assert (np.concatenate([b[k] for b in whole]) == np.concatenate([b[k] for b in cut])).all()
 
 
+def _brute_of_order(train, order):
+    """Probability of a word after ``order - 1`` words, by definition."""
+    levels = {order: Counter()}
+    for t in train:
+        w = [b"\0begin"] * (order - 1) + _tokens(t)
+        levels[order].update(zip(*(w[k:] for k in range(order))))
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    words = {g[-1] for g in levels[order]}
+
+    def discounts(values):
+        n1, n2, n3, n4 = (sum(x == k for x in values) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0
+        return [0, *(min(max(d, 0), k) for k, d in ((1, 1 - 2 * y * n2 / n1 if n1 else 0), (2, 2 - 3 * y * n3 / n2 if n2 else 0), (3, 3 - 4 * y * n4 / n3 if n3 else 0)))]
+
+    ds, after = {k: discounts(list(c.values())) for k, c in levels.items()}, defaultdict(list)
+    for c in levels.values():
+        for g, n in c.items():
+            after[g[:-1]].append(n)
+
+    def p(g):
+        if not g:
+            return 1 / (len(words) + 1)
+        d, ns = ds[len(g)], after.get(g[:-1], [])
+        if not ns:
+            return p(g[1:])
+        c = levels[len(g)][g]
+        return (c - d[min(c, 3)] + sum(d[min(n, 3)] for n in ns) * p(g[1:])) / sum(ns)
+
+    return words, p
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+@pytest.mark.parametrize("blocks", [(16 << 20, 5_000_000), (500, 300)], ids=["large", "small shards"])
+def test_language_model_of_higher_order(spark, order, blocks):
+    texts = ["the cat the dog", "The cat\tsat", None, "", "a b c the cat sat on the mat"] * 3 + ["the " * 500, "b c the cat the cat sat", "c the dog sat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = ngram_lm.train(docs, F.lit(True), shard_bytes=blocks[0], flush=blocks[1], order=order)
+    words, p = _brute_of_order(texts, order)
+    new = [(100, "cat sat on the dog unseen cat"), (101, "mat")]
+    scored = docs.union(spark.createDataFrame(new, docs.schema))
+    for r in ngram_lm.score(scored, model).collect():
+        w = [b"\0begin"] * (order - 1) + _tokens(dict([*enumerate(texts), *new])[r.doc_id])
+        assert math.isclose(r.score, sum(math.log10(p(g)) for g in zip(*(w[k:] for k in range(order)))), rel_tol=1e-9)
+    assert (model.order, model.vocabulary) == (order, len(words))
+
+
+def test_registered_model_sees_two_words_of_context(spark):
+    got = {r.doc_id: r.score for r in QUERIES["op4_ngram_lm"](spark, SF_SMALL).collect()}
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    _, p = _brute_of_order([t for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2], 3)
+    for i, t in docs[:20]:
+        w = [b"\0begin"] * 2 + _tokens(t)
+        assert math.isclose(got[i], sum(math.log10(p(g)) for g in zip(w, w[1:], w[2:])), rel_tol=1e-9)
+
+
+def test_long_texts_are_cut_exactly_with_more_context():
+    text = b" ".join(b"w%d" % (k % 97) for k in range(5000))
+    whole = list(ngram_lm.token_blocks(iter([(0, text)]), ngram_lm.WordHashes(), order=4))
+    cut = list(ngram_lm.token_blocks(iter([(0, text)]), ngram_lm.WordHashes(), chunk=100, order=4))
+    assert len(cut) > 100
+    for k in (1, 2):
+        assert (np.concatenate([b[k] for b in whole], axis=-1) == np.concatenate([b[k] for b in cut], axis=-1)).all()
+
+
 def test_pair_counts_beyond_32_bits(tmpdir_path):
     context, word = np.array([5], np.uint64), np.array([7, 8], np.uint64)
     blob = ngram_lm._pack(context, np.array([2], np.uint32), word, np.array([0, 1], np.uint32), np.array([3_000_000_000, 4], np.uint32))
     rows = ngram_lm._rows([(0, blob)] * 2)
     list(ngram_lm._pairs(tmpdir_path, 1)(iter([rows])))
-    reader = ngram_lm.Reader(ngram_lm.Model(tmpdir_path, 1, np.zeros(0, np.uint64), np.zeros(4), np.zeros(4), (0, 0, 0), 0, 0, 0))
+    reader = ngram_lm.Reader(ngram_lm.Model(tmpdir_path, 1, np.zeros(0, np.uint64), (np.zeros(4),), np.zeros(4), (0, 0, 0), 0, 0, 0))
     assert reader.pairs(np.array([5, 5, 5], np.uint64), np.array([7, 8, 9], np.uint64)).tolist() == [6_000_000_000, 8, 0]
 
 
