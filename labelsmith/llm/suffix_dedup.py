@@ -102,16 +102,20 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _firsts(classes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _firsts(classes: np.ndarray, order: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorting places by class and then order: the first of each class, and those of a later place in theirs.
 
-    Equal places of one class are the same (a row given twice) and not later than each other.
+    Equal places of one class are the same (a row given twice) and not later than each other. Given
+    ``columns``, a class is what all of them share, and ``classes`` a number that equal ones share, too.
     """
     by = np.argsort(order, kind="stable")
     by = by[np.argsort(classes[by], kind="stable")]
     if not len(by):
         return by, by
     new = np.concatenate(([True], classes[by][1:] != classes[by][:-1]))
+    if any(((c[by][1:] != c[by][:-1]) & ~new[1:]).any() for c in columns):
+        by = np.lexsort((order, *columns))
+        new = np.concatenate(([True], np.any([c[by][1:] != c[by][:-1] for c in columns], axis=0)))
     head = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
     return by[new], by[order[by] != order[by][head]]
 
@@ -247,7 +251,7 @@ def _scan(shards: int, hot: np.ndarray, length: int, q: int, chunk: int, flush:
     """Task: anchors of its texts, folded; first places go to their run's shard, later ones are removed at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, span, lead, first, last, doc, tie in _scanned(batches, length, q, chunk, flush):
-            kept, gone = _firsts(_classes(gram, span, lead, last - first), (_ranks(doc, tie) << 40) | first)
+            kept, gone = _firsts(_classes(gram, span, lead, last - first), (_ranks(doc, tie) << 40) | first, gram, span, lead, last - first)
             yield from _run_batches(REMOVE, doc[gone], tie[gone], first[gone], last[gone])
             kept = kept[np.argsort(gram[kept])]
             yield _batch(_sharded(SHARD, _gram_shard(gram[kept], span[kept], hot, shards), doc[kept], tie[kept],
@@ -289,7 +293,7 @@ def _merge(crowded: int, hot: np.ndarray):
             for docs, ties, number, *rest in map(_unpack, blobs):
                 cols.append((docs[number], ties[number], *rest))
             doc, tie, gram, span, lead, n, first = map(np.concatenate, zip(*cols))
-            kept, gone = _firsts(_classes(gram, span, lead, n), (_ranks(doc, tie) << 40) | first)
+            kept, gone = _firsts(_classes(gram, span, lead, n), (_ranks(doc, tie) << 40) | first, gram, span, lead, n)
             yield from _run_batches(REMOVE, doc[gone], tie[gone], first[gone], (first + n)[gone])
             kept = kept[np.argsort(gram[kept], kind="stable")]
             _, number, size = np.unique(gram[kept], return_inverse=True, return_counts=True)
@@ -316,7 +320,7 @@ def _fetch(shards: int, length: int, flush: int):
                                  lambda of: [np.frombuffer(b"".join(context[k] for k in of), np.uint8)])
             if far:
                 doc, tie, first, head, tail = map(np.concatenate, zip(*far))
-                kept, gone = _firsts(mix(head) + tail, (_ranks(doc, tie) << 40) | first)
+                kept, gone = _firsts(mix(head) + tail, (_ranks(doc, tie) << 40) | first, head, tail)
                 rows += _runs(REMOVE, doc[gone], tie[gone], first[gone], first[gone])
                 whole = mix(mix(head[kept]) + tail[kept])
                 rows += _sharded(WINDOW, (whole >> np.uint64(32)).astype(np.int64) % shards, doc[kept], tie[kept], [first[kept], head[kept], tail[kept]])
@@ -406,9 +410,9 @@ def _resolve(length: int, block: int):
                 continue
             cols = [(docs[number], ties[number], *rest) for docs, ties, number, *rest in map(_unpack, blobs)]
             doc, tie, *rest = map(np.concatenate, zip(*cols))
-            parts = windows(doc, tie, *rest) if key[0] == CONTEXT else [(doc, tie, rest[0], mix(rest[1]) + rest[2])]
-            for d, t, start, window in parts:
-                _, gone = _firsts(window, (_ranks(d, t) << 40) | start)
+            parts = windows(doc, tie, *rest) if key[0] == CONTEXT else [(doc, tie, rest[0], mix(rest[1]) + rest[2], *rest[1:])]
+            for d, t, start, window, *halves in parts:
+                _, gone = _firsts(window, (_ranks(d, t) << 40) | start, *halves)
                 yield _batch(_runs(REMOVE, d[gone], t[gone], start[gone], start[gone]))
 
     return run

@@ -172,6 +172,18 @@ def test_hot_gram_is_dealt_over_the_shards(spark):
     assert max(windows.values()) < sum(windows.values()) / 8
 
 
+def test_windows_are_equal_by_both_hashes():
+    mixed = suffix_dedup.mix(np.array([1, 2], np.uint64))
+    head, tail = np.array([1, 2, 1], np.uint64), mixed[[1, 0, 1]]
+    assert len(np.unique(suffix_dedup.mix(head) + tail)) == 1
+    doc = np.array([10, 11, 12])
+    rows = suffix_dedup._sharded(suffix_dedup.WINDOW, doc * 0, doc, doc * 0, [doc * 0, head, tail])
+    out = [r for b in suffix_dedup._resolve(100, 1 << 20)(iter([suffix_dedup._batch(rows)])) for r in b.to_pylist()]
+    assert [r["doc"] for r in out] == [12]
+    kept, gone = suffix_dedup._firsts(np.zeros(4, np.uint64), np.arange(4), np.array([1, 1, 2, 1]), np.array([5, 6, 5, 5]))
+    assert sorted(kept.tolist()) == [0, 1, 2] and gone.tolist() == [3]
+
+
 def test_rows_of_documents_come_in_bounded_batches(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "ROWS", 10)
     doc = np.arange(95) // 3
