@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, landed
 
 #: Bytes of words: digits, a-z and all of non-ASCII; A-Z is lower-cased, the rest separates.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-#: Most bytes of benchmark text that one search holds in a task.
-BLOCK_BYTES = 32 << 20
+#: Most bytes of benchmark text that one search holds in a task; its tables take some 80 times as much.
+BLOCK_BYTES = 2 << 20
+#: Column of the row key that ``keep_clean`` writes with the documents.
+ROW = "__row"
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -72,13 +74,16 @@ def item_windows(items: list[tuple[str, bytes]], size: int = 10) -> dict[tuple[b
     return {w: sorted(x) for w, x in found.items()}
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark in blocks of rows, none of many more than ``block_bytes``."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[int, list[tuple[str, bytes]]]]:
+    """The benchmark in blocks of rows, none of many more than ``block_bytes``, each with their number.
+
+    A block is collected when it is asked for.
+    """
     rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).cast("binary").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-2 * total // block_bytes) if total > block_bytes else 1
     for k in range(n):
-        yield [(r["item"], bytes(r["text"] or b"")) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
+        yield n, [(r["item"], bytes(r["text"] or b"")) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
 def _searches(windows) -> list[WuManber]:
@@ -89,8 +94,8 @@ def _searches(windows) -> list[WuManber]:
     return [WuManber(ws) for ws in lengths.values()]
 
 
-def _search(docs: DataFrame, id_col: str, text_col: str, items: list[tuple[str, bytes]], size: int) -> DataFrame:
-    """``row, id, n_words, hits, items``; hits: places of hit words."""
+def _search(rows: DataFrame, items: list[tuple[str, bytes]], size: int) -> DataFrame:
+    """``row, id, n_words, hits, items`` of ``row, id, text``; hits: places of hit words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = item_windows(items, size)
         searches = _searches(windows)
@@ -110,8 +115,7 @@ def _search(docs: DataFrame, id_col: str, text_col: str, items: list[tuple[str,
                  pa.array(out["hits"], pa.list_(pa.int32())), pa.array(out["items"], pa.list_(pa.string()))],
                 ["row", "id", "n_words", "hits", "items"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"row long, id {kind}, n_words long, hits array<int>, items array<string>")
 
 
@@ -130,13 +134,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     benchmark hits nothing; an empty table gives an empty result; other columns are not read.
 
     A task holds the shift tables of at most about ``block_bytes`` of benchmark text. A larger
-    benchmark is searched in blocks over all documents, and a document's hits are then united.
+    benchmark is searched in blocks over all documents, which are written with a row key before; a block's
+    result is written before the next is collected, and a document's hits are then united.
     """
-    found = [_search(docs, id_col, text_col, items, size) for items in _blocks(benchmark, item_col, item_text_col, block_bytes)]
-    one = found[0]
-    if len(found) > 1:
-        for more in found[1:]:
-            one = one.unionByName(more)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    one = None
+    for n, items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        if n == 1:
+            one = _search(rows, items, size)
+        elif one is None:
+            rows = landed(rows, "contamination-rows")
+            one = landed(_search(rows, items, size), "contamination-block")
+        else:
+            one = one.unionByName(landed(_search(rows, items, size).where(F.size("hits") > 0), "contamination-block"))
+    if n > 1:
         one = one.groupBy("row", "id").agg(
             F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -149,20 +160,27 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without a hit word, with their columns unchanged.
 
-    A search keeps the texts it is given, so the documents pass each block of the benchmark in turn
-    without a shuffle; what one block rejects the next need not search.
+    One block of benchmark filters the documents as they pass, without a shuffle. For more the documents
+    are written with a row key, and the keys of the rows that a block hits before the next is collected.
     """
-    for items in _blocks(benchmark, "item_id", "text", block_bytes):
-        docs = _unhit(docs, text_col, items, size)
-    return docs
-
-
-def _unhit(docs: DataFrame, text_col: str, items: list[tuple[str, bytes]], size: int) -> DataFrame:
+    keyed, hit = None, None
+    for n, items in _blocks(benchmark, "item_id", "text", block_bytes):
+        if n == 1:
+            return _judged(docs, text_col, items, size, hit=False)
+        if keyed is None:
+            keyed = landed(docs.withColumn(ROW, F.monotonically_increasing_id()), "clean-rows")
+        more = landed(_judged(keyed.select(ROW, text_col), text_col, items, size, hit=True).select(ROW), "clean-hits")
+        hit = more if hit is None else hit.unionByName(more)
+    return keyed.join(hit.distinct(), ROW, "left_anti").drop(ROW)
+
+
+def _judged(docs: DataFrame, text_col: str, items: list[tuple[str, bytes]], size: int, hit: bool) -> DataFrame:
+    """The rows with a hit word, or those without."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searches = _searches(item_windows(items, size))
         for batch in batches:
             texts = batch.column(text_col).cast(pa.binary())
-            keep = [not any(next(s.search(words), None) for s in searches) for words in (words_of(t.as_py()) for t in texts)]
+            keep = [any(next(s.search(words), None) for s in searches) == hit for words in (words_of(t.as_py()) for t in texts)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

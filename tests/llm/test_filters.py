@@ -131,6 +131,20 @@ def test_contamination_against_brute_force(spark, block):
     assert {r.n_hit for r in decontaminate.contamination(df, bench.limit(0)).collect()} == {0}
 
 
+def test_blocks_are_landed_one_by_one(spark, monkeypatch):
+    assert decontaminate.BLOCK_BYTES <= 2 << 20
+    docs = spark.createDataFrame([(k, f"a{k % 7} b{k % 5} c d") for k in range(40)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(k, f"a{k} b{k} c") for k in range(7)], "item_id long, text string")
+    names, real = [], decontaminate.landed
+    monkeypatch.setattr(decontaminate, "landed", lambda df, name: names.append(name) or real(df, name))
+    got, kept = (f(docs, bench, size=3, block_bytes=20) for f in (decontaminate.contamination, decontaminate.keep_clean))
+    n = names.count("contamination-block")
+    assert n > 1 and names == ["contamination-rows", *["contamination-block"] * n, "clean-rows", *["clean-hits"] * n]
+    for df in (got, kept):
+        assert "MapInArrow" not in df._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(_contaminated([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()], 3))
+
+
 def test_shift_tables_skip(spark):
     w = decontaminate.WuManber([tuple(b"abcdefghij"[k:k + 1] for k in range(10))])
     looked = []
