@@ -35,6 +35,17 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` landed with a row key, and the name of the key's column, which ``df`` doesn't have.
+
+    Ids may be null or repeat; a stage that drops rows names them by this key, written once.
+    """
+    row = "row"
+    while row in df.columns:
+        row += "_"
+    return landed(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def crc32_mod(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

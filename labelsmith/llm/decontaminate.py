@@ -9,14 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, landed
+from .common import documents, keyed, landed
 
 #: Bytes of words: digits, a-z and all of non-ASCII; A-Z is lower-cased, the rest separates.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: Most bytes of benchmark text that one search holds in a task; its tables take some 80 times as much.
 BLOCK_BYTES = 2 << 20
-#: Column of the row key that ``keep_clean`` writes with the documents.
-ROW = "__row"
 
 
 def words_of(data: bytes | None) -> list[bytes]:
@@ -163,15 +161,15 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     One block of benchmark filters the documents as they pass, without a shuffle. For more the documents
     are written with a row key, and the keys of the rows that a block hits before the next is collected.
     """
-    keyed, hit = None, None
+    rows, row, hit = None, "", None
     for n, items in _blocks(benchmark, "item_id", "text", block_bytes):
         if n == 1:
             return _judged(docs, text_col, items, size, hit=False)
-        if keyed is None:
-            keyed = landed(docs.withColumn(ROW, F.monotonically_increasing_id()), "clean-rows")
-        more = landed(_judged(keyed.select(ROW, text_col), text_col, items, size, hit=True).select(ROW), "clean-hits")
+        if rows is None:
+            rows, row = keyed(docs, "clean-rows")
+        more = landed(_judged(rows.select(row, text_col), text_col, items, size, hit=True).select(row), "clean-hits")
         hit = more if hit is None else hit.unionByName(more)
-    return keyed.join(hit.distinct(), ROW, "left_anti").drop(ROW)
+    return rows.join(hit.distinct(), row, "left_anti").select(*docs.columns)
 
 
 def _judged(docs: DataFrame, text_col: str, items: list[tuple[str, bytes]], size: int, hit: bool) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, documents, landed
+from .common import ascii_lower, documents, keyed, landed
 
 
 def sha256(text: Column) -> Column:
@@ -64,11 +64,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns unchanged."""
-    rest = tuple(c for c in docs.columns if c != id_col)
-    own = docs.select(F.col(id_col), F.col(text_col), F.struct(*[F.col(c) for c in rest]).alias("rest"))
-    return (exact_dedup(own, id_col, text_col, payload=("rest",)).where("kept")
-            .select(id_col, *[F.col(f"rest.{c}").alias(c) for c in rest]).select(*docs.columns))
+    """One row of each distinct text, with its columns unchanged.
+
+    The row with the largest id stays; of rows that share it (or have none, where no row of the text has
+    one) the one with the largest hash of its text, then the last written. Rows are told apart by a key that is
+    written with them. Null texts count as empty; an empty table gives an empty result; a text of any length
+    is compared whole.
+    """
+    rows, row = keyed(docs, "exact-rows")
+    light = rows.select(F.col(id_col), F.col(text_col), F.col(row).alias("row"), F.xxhash64(text_col).alias("hash"))
+    stays = (exact_dedup(light, id_col, text_col, payload=("hash", "row")).where("kept")
+             .groupBy("text_sha256").agg(F.max(F.struct("hash", "row")).alias("best")).select(F.col("best.row").alias(row)))
+    return rows.join(stays, row, "left_semi").select(*docs.columns)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, landed
+from .common import documents, keyed, landed
 from .components import components
 
 BITS = 64
@@ -158,11 +158,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(of_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_least(docs: DataFrame, **args) -> DataFrame:
-    """The rows of ``docs`` whose id is their group's least, with their columns unchanged."""
-    groups = simhash_groups(docs, **args)
-    gone = groups.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+def keep_least(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **args) -> DataFrame:
+    """One row of each group of near copies, with its columns unchanged.
+
+    The row with the least id stays; null ids come behind all others, and rows that share an id are ordered
+    by a hash of their text, then as written. Rows are told apart by a key that is written with them, so a row goes
+    only for its own group. Null and empty texts are one group; an empty table gives an empty result;
+    a text of any length is fingerprinted whole.
+    """
+    rows, row = keyed(docs, "near-rows")
+    own = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(row).alias("row"))
+    groups = simhash_groups(rows.select(own.alias("own"), F.col(text_col)), "own", text_col, **args)
+    gone = groups.where("own <> component_id").select(F.col("own.row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

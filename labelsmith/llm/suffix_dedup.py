@@ -249,13 +249,15 @@ def _tally(length: int, q: int, chunk: int, flush: int):
 
 def _scan(shards: int, hot: np.ndarray, length: int, q: int, chunk: int, flush: int):
     """Task: anchors of its texts, folded; first places go to their run's shard, later ones are removed at once."""
+    small = np.min_scalar_type(length)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, span, lead, first, last, doc, tie in _scanned(batches, length, q, chunk, flush):
             kept, gone = _firsts(_classes(gram, span, lead, last - first), (_ranks(doc, tie) << 40) | first, gram, span, lead, last - first)
             yield from _run_batches(REMOVE, doc[gone], tie[gone], first[gone], last[gone])
             kept = kept[np.argsort(gram[kept])]
             yield _batch(_sharded(SHARD, _gram_shard(gram[kept], span[kept], hot, shards), doc[kept], tie[kept],
-                                  [gram[kept], span[kept], lead[kept].astype(np.uint8), (last - first)[kept].astype(np.uint8), first[kept]]))
+                                  [gram[kept], span[kept], lead[kept].astype(small), (last - first)[kept].astype(small), first[kept]]))
 
     return run
 
@@ -314,9 +316,9 @@ def _fetch(shards: int, length: int, flush: int):
             nonlocal size
             rows = []
             if near:
-                doc, tie, gram, first, n = (np.array([x[k] for x in near], t) for k, t in enumerate((np.int64, np.int64, np.uint64, np.int64, np.uint8)))
+                doc, tie, gram, first, n = (np.array([x[k] for x in near], t) for k, t in enumerate((np.int64, np.int64, np.uint64, np.int64, np.int64)))
                 context = [x[5] for x in near]
-                rows += _sharded(CONTEXT, (gram >> np.uint64(32)).astype(np.int64) % shards, doc, tie, [gram, first, n],
+                rows += _sharded(CONTEXT, (gram >> np.uint64(32)).astype(np.int64) % shards, doc, tie, [gram, first, n.astype(np.min_scalar_type(length))],
                                  lambda of: [np.frombuffer(b"".join(context[k] for k in of), np.uint8)])
             if far:
                 doc, tie, first, head, tail = map(np.concatenate, zip(*far))
@@ -473,6 +475,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crc32, and by nothing else they are one document. An empty table gives an empty result; other
     columns are not read. Long texts are scanned in chunks, so one text and a chunk are in memory.
     """
+    if not 1 <= q <= length <= chunk:
+        raise ValueError("1 <= q <= length <= chunk must hold")
     least = -(1 << 63)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc"), F.crc32(text).alias("tie"), text.alias("text"))

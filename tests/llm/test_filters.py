@@ -86,7 +86,22 @@ def test_exact_dedup(spark, digest):
     assert exact_dedup.exact_dedup(docs.limit(0)).collect() == []
     kept = exact_dedup.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [3, 4, 5, 7, 8, 10, 11, 11]
+    assert sorted((r.doc_id or 0, (r.text or "").lower()[:9]) for r in kept.collect()) == [
+        (0, "lone"), (3, "same text"), (4, "é"), (5, "é"), (7, ""), (8, "lone!"), (10, "x" * 9), (11, "again")]
+
+
+def test_exact_stage_keeps_one_row_of_each_text(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, 1, 2, 3, 4, 5]), rnd.choice(["a", "A", "b", "c d", "C D", "", None, "e"]), rnd.choice("xy")) for _ in range(200)]
+    rows += [(None, "only null ids", "x"), (None, "ONLY null ids", "y"), (5, "dup", "x"), (5, "dup", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(5)
+    kept = [tuple(r) for r in exact_dedup.keep_one(docs).collect()]
+    best = {}
+    for i, t, _ in rows:
+        norm = (t or "").translate(LOWER)
+        best[norm] = max((x for x in (best.get(norm), i) if x is not None), default=None)
+    assert {(t or "").translate(LOWER): i for i, t, _ in kept} == best and len(kept) == len(best) and set(kept) <= set(rows)
+    assert exact_dedup.keep_one(docs.limit(0)).collect() == []
 
 
 # ---- benchmark decontamination
@@ -129,6 +144,8 @@ def test_contamination_against_brute_force(spark, block):
     assert sorted(map(tuple, kept.select("doc_id", "text").collect()), key=str) == sorted(clean, key=str)
     assert decontaminate.contamination(df.limit(0), bench).collect() == []
     assert {r.n_hit for r in decontaminate.contamination(df, bench.limit(0)).collect()} == {0}
+    clash = df.withColumn("row", F.lit("own")).withColumn("__row", F.lit(1))
+    assert decontaminate.keep_clean(clash, bench, size=4, block_bytes=block).columns == clash.columns
 
 
 def test_blocks_are_landed_one_by_one(spark, monkeypatch):

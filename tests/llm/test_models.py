@@ -107,13 +107,17 @@ def _brute(train):
 def test_language_model_against_brute_force(spark):
     got = {r.doc_id: r for r in QUERIES["op4_ngram_lm"](spark, SF_SMALL).collect()}
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
-    c, n, v, p = _brute([t for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2])
+    train = [t for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    _, p = _brute_of_order(train, ngram_lm.ORDER)
+    c = Counter(w for t in train for w in _tokens(t))
+    n, v = sum(c.values()), len(c)
     assert len(got) == len(docs)
     for i, t in docs:
         w = _tokens(t)
+        after = [b"\0begin"] * (ngram_lm.ORDER - 1) + w
         assert (got[i].held_out, got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (zlib.crc32(str(i).encode()) % 7 == 2, len(w), sum(x in c for x in w), n)
         assert math.isclose(got[i].base_score, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
-        assert math.isclose(got[i].score, sum(math.log10(p(a, x)) for a, x in zip([b"\0begin", *w[:-1]], w)), rel_tol=1e-9)
+        assert math.isclose(got[i].score, sum(math.log10(p(g)) for g in zip(*(after[k:] for k in range(ngram_lm.ORDER)))), rel_tol=1e-9)
     assert sum(r.score for r in got.values() if r.held_out) > sum(r.base_score for r in got.values() if r.held_out)
 
 

@@ -125,7 +125,7 @@ def test_repeats_of_the_tables(spark, args):
     assert sorted(map(tuple, got.collect())) == sorted(_removed([(r.doc_id, r.text) for r in df.collect()], 100))
 
 
-@pytest.mark.parametrize("length,q,crowded", [(100, 32, 1 << 16), (20, 8, 3), (9, 9, 1 << 16), (50, 5, 1 << 16)])
+@pytest.mark.parametrize("length,q,crowded", [(300, 32, 1 << 16), (600, 40, 3), (100, 32, 1 << 16), (20, 8, 3), (9, 9, 1 << 16), (50, 5, 1 << 16)])
 def test_repeats_of_small_alphabets(spark, length, q, crowded):
     rnd = random.Random(length)
     pool = ["".join(rnd.choice("abé") for _ in range(rnd.randrange(5, 150))) for _ in range(12)]
@@ -192,6 +192,20 @@ def test_rows_of_documents_come_in_bounded_batches(monkeypatch):
     assert sorted(x for b in batches for r in b.to_pylist() for x in suffix_dedup._unpack(r["blob"])[0]) == list(range(95))
 
 
+def test_lengths_that_cannot_work_are_refused(spark):
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    for args in ({"length": 10, "q": 11}, {"q": 0}, {"length": 5000, "chunk": 4999}):
+        with pytest.raises(ValueError):
+            suffix_dedup.remove_repeats(df, **args)
+
+
+def test_windows_of_any_length(spark):
+    rows = [(1, "q" * 5 + "abcdefghij" * 100), (2, "z" + "abcdefghij" * 100), (3, "".join(chr(97 + k * k % 23) for k in range(1000))), (4, "".join(chr(97 + k * k % 23) for k in range(1000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for length in (288, 300, 600, 990):
+        assert sorted(map(tuple, suffix_dedup.remove_repeats(df, length=length).collect())) == sorted(_removed(rows, length))
+
+
 def test_repeated_rows_are_one_document(spark):
     rows = [(1, "x" * 50 + "y" * 90), (1, "x" * 50 + "y" * 90), (2, "x" * 50 + "y" * 90)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -235,6 +249,49 @@ def test_pipeline_against_brute_force(spark):
         assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())
 
 
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    rows = [(9, "A b c d e f"), (9, "zz yy xx ww vv"), (3, "a b c d e f"), (None, "null ids only here"), (None, "null ids only here"), (None, "a b c d e f"), (3, "A B c d e f"),
+            (None, None), (7, ""), (8, "one two three four"), (8, "one two three four"), (8, "quite another text of its own")]
+    docs = spark.createDataFrame([(*r, k, "x") for k, r in enumerate(rows)], "doc_id long, text string, row int, own string").repartition(3)
+    kept = simhash.keep_least(docs)
+    assert kept.columns == docs.columns
+    kept = [tuple(r)[:2] for r in kept.collect()]
+    root = _groups([_fingerprint(t) for _, t in rows])
+    least = {}
+    for i, t in rows:
+        g = root[_fingerprint(t)]
+        least[g] = min((x for x in (least.get(g), i) if x is not None), default=None)
+    assert sorted((root[_fingerprint(t)], i) for i, t in kept) == sorted(least.items()) and set(kept) <= set(rows)
+    assert (9, "zz yy xx ww vv") in kept
+    assert simhash.keep_least(docs.limit(0)).collect() == []
+
+
+def test_stages_with_null_and_repeated_ids(spark):
+    """Every stage by brute force on its own input: nulls, repeated rows and ids, empty and very long texts, clashing names."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    leak = max((t for _, t in items), key=len)
+    rows = [(1, "same"), (2, "SAME"), (None, "same"), (None, None), (None, ""), (3, None), (4, "x y z " * 40), (4, "other words stand here"), (4, "other words stand here"),
+            (5, "so it goes " + leak), (5, "clean " * 200_000), (6, "x y z " * 41), (None, leak)]
+    docs = spark.createDataFrame([(*r, "row") for r in rows], "doc_id long, text string, row string").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        kept = stage(spark, docs, SF_SMALL)
+        assert kept.columns == docs.columns and stage(spark, docs.limit(0), SF_SMALL).collect() == []
+        kept = [tuple(r)[:2] for r in kept.collect()]
+        assert set(kept) <= set(rows)
+        if name == "decontamination":
+            assert sorted(kept, key=repr) == sorted((r for r, x in zip(rows, _contaminated(rows, items, 10)) if not x[-1]), key=repr)
+            continue
+        root = _groups([_fingerprint(t) for _, t in rows])
+        of = (lambda t: (t or "").translate(LOWER)) if name == "exact_dedup" else (lambda t: root[_fingerprint(t)])  # noqa: B023
+        pick = max if name == "exact_dedup" else min
+        want = {}
+        for i, t in rows:
+            want[of(t)] = pick((x for x in (want.get(of(t)), i) if x is not None), default=None)
+        assert sorted(((of(t), i) for i, t in kept), key=repr) == sorted(want.items(), key=repr)
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, SF_SMALL).collect()
+    assert sum(r.start == 0 for r in packed) == len(rows)
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.createDataFrame([(1, "same", "en", "s", 4), (2, "SAME", "en", "s", 4), (3, None, None, None, None), (None, "x", "en", "s", 1), (4, "x y z " * 40, "en", "s", 4)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
