@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc32_mod, documents
@@ -22,8 +22,8 @@ class Settings:
     """Parameters of the network and its training.
 
     ``window``: bytes of a window; ``widths``: bytes that a filter sees, with ``filters`` of each;
-    ``embed``: numbers per byte. Learnt from: at most ``per_language`` documents of a language and
-    ``max_documents`` in all (those of least hashed id and text), ``slices`` windows of each.
+    ``embed``: numbers per byte. Learnt from: of each language the document of least hash in each of
+    ``per_language`` cells of hashed ids and texts, ``max_documents`` in all, ``slices`` windows of each.
     """
 
     window: int = 128
@@ -142,7 +142,7 @@ def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
           settings: Settings = Settings()) -> Network:
     """Network learnt from the documents with a language for which ``learn`` (a condition on the given columns) holds.
 
-    Tasks cut the documents into a few windows each before anything is moved, and keep at most
+    Tasks cut the documents into a few windows each before anything is moved, and send at most
     ``per_language`` documents of a language; the driver gets ``max_documents`` at most, ``slices``
     windows of each, and trains in numpy. Windows without a letter teach nothing; without labelled text
     the network has no language.
@@ -154,8 +154,8 @@ def train(docs: DataFrame, learn: Column | None = None, id_col: str = "doc_id",
     rows = docs.where(F.lit(True) if learn is None else learn).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("binary").alias("text"),
                                                                       F.xxhash64(F.col(id_col), F.col(text_col)).alias("hash"))
     cut = rows.where(F.col("lang").isNotNull() & (size > 0)).select("lang", "hash", slices.alias("slices"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "slices"))
-    kept = cut.withColumn("rank", rank).where(F.col("rank") <= s.per_language).orderBy("rank", "hash", "lang", "slices").limit(s.max_documents).collect()
+    cells = cut.groupBy("lang", F.pmod("hash", F.lit(s.per_language)).alias("cell")).agg(F.min(F.struct("hash", "slices")).alias("least"))
+    kept = cells.select("lang", "cell", "least.*").orderBy(F.xxhash64("cell"), "lang").limit(s.max_documents).collect()
     cuts = [(r["lang"], bytes(c)) for r in kept for c in r["slices"] if has_letter(bytes(c))]
     languages = sorted({lang for lang, _ in cuts})
     number = {lang: k for k, lang in enumerate(languages)}
