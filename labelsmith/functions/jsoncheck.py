@@ -65,10 +65,15 @@ def object_entries(text: str, wanted: tuple[str, ...] = LAYER_NAMES, raw: bool =
         if done:
             if len(stack) == 1 and key in wanted and stack[0] == "{":
                 value = text[begin:at].strip(" \t\n\r")
-                entries.append((key, None if value == "null" else json.loads(value) if value.startswith('"') and not raw else value))
+                entries.append((key, None if value == "null" else plain(value) if value.startswith('"') and not raw else value))
             expect = "comma or close" if stack else "end"
 
 
+def plain(string: str) -> str:
+    """The text of a JSON string; half a surrogate pair, which no encoding can hold, becomes ``?`` as in the built-in parser."""
+    return json.loads(string).encode("utf-8", "replace").decode()
+
+
 def shallow(node: str | None) -> str | None:
     """A node with its own two fields alone, so that what else it holds meets no limit later."""
     if node is None or not node.startswith("{"):

@@ -12,13 +12,26 @@ the bucket's four 4 KiB bitmaps.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import config as C
+from ..sources.files import data_files, opened, ranges, uri
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 BUCKET = C.BITMAP_BUCKET_BITS
 BUCKET_BYTES = BUCKET // 8
+#: Bytes of a bitmap file that a task reads, and that it reads at a time.
+RANGE, STEP = 64 << 20, 4 << 20
 
 
 def bitmap_encode(states: DataFrame) -> DataFrame:
@@ -85,21 +98,55 @@ def bitmap_rows(bitmaps: DataFrame) -> DataFrame:
 STATE_FILES = {f"state.{s}.bits": s for s in C.STATES}
 
 
-def read_bitmap_files(spark: SparkSession, directory: str) -> DataFrame:
+def read_bitmap_files(spark: SparkSession, directory: str, width: int = RANGE) -> DataFrame:
     """Single-file bitmaps (``state.<state>.bits``) -> ``(state, bucket_no, bitmap)`` buckets.
 
-    Each file is cut into 4 KiB chunks that are spread over tasks before any bit work. A missing
-    file simply contributes nothing.
+    Each file is read in ranges of ``width`` bytes, a task each, whatever its size; 4 KiB chunks without a
+    bit are left out, as ``bitmap_encode`` has none either. A missing file simply contributes nothing.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "state.*.bits")
-             .load(directory))
-    name = F.regexp_extract("path", r"state\.([a-z]+)\.bits$", 1)
-    chunks = files.where(F.col("length") > 0).select(
-        name.alias("state"), "content",
-        F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / BUCKET_BYTES).cast("int") - 1))
-        .alias("bucket_no"))
-    chunks = chunks.where(F.col("state").isin(*C.STATES)).select(
-        "state", F.col("bucket_no").cast("long").alias("bucket_no"),
-        F.col("content").substr(F.col("bucket_no") * BUCKET_BYTES + 1, F.lit(BUCKET_BYTES))
-        .alias("bitmap"))
-    return chunks.repartition("state", "bucket_no")
+    spark.dataSource.register(BitmapFiles)
+    return spark.read.format("labelsmith_bitmap_files").option("path", directory).option("width", str(width)).load()
+
+
+@dataclass
+class Range(InputPartition):
+    path: str
+    begin: int
+    end: int
+    size: int
+
+
+class BitmapReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path, self.width = options["path"], int(options.get("width", RANGE)) // BUCKET_BYTES * BUCKET_BYTES or BUCKET_BYTES
+
+    def partitions(self) -> list[Range]:
+        files = [f for f in data_files(self.path) if f[0].rsplit("/", 1)[-1] in STATE_FILES]
+        return [Range(*r) for r in ranges(files, self.width)] or [Range("", 0, 0, 0)]
+
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        if not partition.size:
+            return
+        store, path = opened(uri(self.path, partition.path))
+        state = STATE_FILES[path.rsplit("/", 1)[-1]]
+        with store.open_input_file(path) as f:
+            for at in range(partition.begin, partition.end, STEP):
+                data = f.read_at(min(STEP, partition.end - at), at)
+                whole = np.frombuffer(data.ljust(-(-len(data) // BUCKET_BYTES) * BUCKET_BYTES, b"\0"), np.uint8).reshape(-1, BUCKET_BYTES)
+                set_ = np.flatnonzero(whole.any(axis=1)).tolist()
+                if set_:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([state] * len(set_)), pa.array([at // BUCKET_BYTES + k for k in set_], pa.int64()),
+                         pa.array([data[k * BUCKET_BYTES:(k + 1) * BUCKET_BYTES] for k in set_], pa.binary())], ["state", "bucket_no", "bitmap"])
+
+
+class BitmapFiles(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "labelsmith_bitmap_files"
+
+    def schema(self) -> str:
+        return "state string, bucket_no long, bitmap binary"
+
+    def reader(self, schema) -> BitmapReader:
+        return BitmapReader(dict(self.options))

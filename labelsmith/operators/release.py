@@ -1,7 +1,7 @@
 """Success shards and release snapshots.
 
-Shards are written by Spark's own writers: one directory per shard (``shard=success-000001``)
-so names sort in shard order. The release is the union of the shard files read back as one
+Shards are directories by Spark's own writers (``shard=success-000001``) or zstd files of the writer in
+``sources.zstd``; either way names sort in shard order. The release is the union of the shard files read back as one
 dataset, with duplicate ``row_index`` dropped (a record can be written twice when a run dies
 between writing it and recording its state) and sorted by ``row_index`` with a range sort.
 """
@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..sources.lines import path_exists
-from .positions import with_positions
+from ..sources.zstd import write_zstd_shards
+from .rotation import rotate
+
+#: Row numbers whose shards are listed in one row.
+SHARD_BUCKET = 1 << 16
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("row_index", T.LongType()),
@@ -38,23 +42,27 @@ MANIFEST_SCHEMA = (
 
 def shard_assignment(records: DataFrame, max_records: int = C.SHARD_MAX_RECORDS,
                      max_bytes: int = C.SHARD_MAX_BYTES) -> DataFrame:
-    """Shard numbers (from 1) in ``row_index`` order: ``shard_no``, cut by whichever limit comes first.
+    """``row_index, pos, size, shard_no``: shard numbers (from 1) in ``row_index`` order.
+
+    A shard ends when it holds ``max_records`` records or at least ``max_bytes`` bytes of answers itself,
+    and the next one counts from nought (``rotation``). Numbers and sizes alone are moved, no answer.
+    """
+    sized = records.select("row_index", F.octet_length(C.ANSWER_FIELD).cast("long").alias("size"))
+    return rotate(sized, int(max_records), int(max_bytes))
+
 
-    ``shard_by_records = pos div max_records + 1`` and ``shard_by_bytes = bytes before the record div
-    max_bytes + 1`` (a record's size is the byte length of its answer) never fall, so their sum less one
-    changes exactly where either does: a number per shard, with a gap where both limits meet. A shard
-    holds at most ``max_records`` records and, but for its last record, ``max_bytes`` bytes.
+def with_shards(records: DataFrame, assigned: DataFrame) -> DataFrame:
+    """``records`` with their ``shard_no``: the only exchange of answers on the way to the shards.
 
-    Positions are found on ``(row_index, size)`` alone and joined back, so no window sorts answers.
+    Answers meet one narrow row per ``SHARD_BUCKET`` row numbers, which lists the shards that begin there; they
+    are hashed into its partitions, never sorted or sampled for it.
     """
-    if max_records <= 0 or max_bytes <= 0:
-        raise ValueError("shard limits must be positive")
-    sized = records.select("row_index", F.octet_length(C.ANSWER_FIELD).cast("long").alias("_size"))
-    pos = with_positions(sized, "row_index", "_size").select(
-        "row_index", "pos", F.expr(f"pos div {int(max_records)} + 1").alias("shard_by_records"),
-        F.expr(f"size_before div {int(max_bytes)} + 1").alias("shard_by_bytes"))
-    pos = pos.withColumn("shard_no", F.col("shard_by_records") + F.col("shard_by_bytes") - 1)
-    return records.join(pos, "row_index")
+    bucket = F.expr(f"row_index div {SHARD_BUCKET}").alias("_bucket")
+    pieces = assigned.groupBy(bucket, "shard_no").agg(F.min("row_index").alias("first"))
+    begins = pieces.groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct("first", "shard_no"))).alias("_begins"))
+    mine = F.element_at(F.filter("_begins", lambda x: x["first"] <= F.col("row_index")), -1)["shard_no"]
+    return (records.withColumn("_bucket", bucket).join(begins.hint("shuffle_hash"), "_bucket")
+            .withColumn("shard_no", mine).drop("_bucket", "_begins"))
 
 
 def record_line(df: DataFrame) -> F.Column:
@@ -68,15 +76,24 @@ def record_line(df: DataFrame) -> F.Column:
 
 def write_success_shards(records: DataFrame, out: str, max_records: int = C.SHARD_MAX_RECORDS,
                          fmt: str = C.RELEASE_FORMAT, max_bytes: int = C.SHARD_MAX_BYTES) -> None:
-    """Write records into shard directories ``shard=success-NNNNNN`` (record and byte limit).
+    """Write records into shards under the record and byte limit.
 
-    ``fmt`` is ``jsonl`` (gzip text, one JSON record per line) or ``parquet`` (zstd). Rows are ranged by
-    ``row_index``, so a writer task holds runs of whole shards (a shard cut by a range becomes two files
-    in its directory), and sorted by shard and ``row_index`` inside it.
+    ``fmt`` is ``jsonl`` (gzip text, one JSON record per line) or ``parquet`` (zstd), both in directories
+    ``shard=success-NNNNNN`` cut by ``shard_assignment`` (a shard over a border of ``SHARD_BUCKET`` row numbers has
+    a file from each side), or ``jsonl.zst``: files ``success-NNNNNN.jsonl.zst`` whose limit is on
+    compressed bytes (``sources.zstd``). ``records`` is read twice but for ``jsonl.zst``: land it first.
     """
-    sh = shard_assignment(records, max_records=max_records, max_bytes=max_bytes)
-    named = sh.withColumn("shard", F.format_string(C.SHARD_NAME_FORMAT, F.col("shard_no")))
-    named = named.repartitionByRange("row_index").sortWithinPartitions("shard", "row_index")
+    if fmt == "jsonl.zst":
+        last = records.agg(F.max("row_index")).first()[0]
+        if last is None:
+            return
+        parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.expr(f"cast(row_index * cast({parts} as decimal(10,0)) div {last + 1} as int)")
+        lines = records.select("row_index", record_line(records).alias("value")).repartitionById(parts, part)
+        write_zstd_shards(lines.sortWithinPartitions("row_index"), out, max_records, max_bytes)
+        return
+    named = with_shards(records, shard_assignment(records, max_records=max_records, max_bytes=max_bytes))
+    named = named.withColumn("shard", F.format_string(C.SHARD_NAME_FORMAT, F.col("shard_no"))).sortWithinPartitions("shard", "row_index")
     if fmt == "jsonl":
         out_df = named.select("shard", record_line(named).alias("value"))
         (out_df.write.mode("overwrite").partitionBy("shard").option("compression", "gzip")
@@ -97,7 +114,7 @@ def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT,
     schema = T.StructType([T.StructField(answer_field if f.name == C.ANSWER_FIELD else f.name, f.dataType) for f in RECORD_SCHEMA.fields])
     out = spark.createDataFrame([], schema) if not there else None
     for p in there:
-        if fmt == "jsonl":
+        if fmt.startswith("jsonl"):
             df = spark.read.schema(schema).option("mode", "FAILFAST").option("ignoreMissingFiles", "true").json(p)
         else:
             df = spark.read.option("ignoreMissingFiles", "true").parquet(p)
@@ -148,8 +165,8 @@ def shard_files(spark: SparkSession, shards: str) -> DataFrame:
 
     Only file metadata is read (the content column is pruned)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "part-*").load(shards))
-    rel = F.regexp_extract("path", r"(shard=[^/]+/[^/]+)$", 1)
+             .option("pathGlobFilter", "{part-*,success-*}").load(shards))
+    rel = F.regexp_extract("path", r"((?:shard=[^/]+/)?[^/]+)$", 1)
     return files.where(F.col("length") > 0).select(rel.alias("filename"),
                                                     F.col("length").alias("bytes"))
 

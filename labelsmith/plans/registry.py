@@ -530,6 +530,7 @@ from ..operators import bitmaps as B  # noqa: E402
 from ..operators import release as R  # noqa: E402
 from ..operators import states as S  # noqa: E402
 from ..sources import lines as L  # noqa: E402
+from ..sources.zstd import write_zstd_shards  # noqa: E402
 
 # Shard limits for the fixture: small enough that sf0.01 spreads over several shards.
 FIXTURE_SHARD_RECORDS = 1000
@@ -613,6 +614,15 @@ def q_number_rows(spark, d):
     return L.number_lines(spark, _write_submission_text(spark, d))
 
 
+@query("number_zstd_rows", O.on_t("SELECT row_index, line FROM submissions"))
+def q_number_zstd_rows(spark, d):
+    """A1: submissions as zstd files of many frames, read in ranges smaller than a file and numbered."""
+    out = scratch_dir(spark, "submissions-zstd")
+    lines = X.submissions(spark, d).select("row_index", F.col("line").alias("value"))
+    write_zstd_shards(lines.repartitionByRange("row_index").sortWithinPartitions("row_index"), out, 1 << 22, 1 << 20, frame=1 << 14)
+    return L.number_lines(spark, out, width=1 << 17)
+
+
 @query("count_input_rows", O.on_t("SELECT count(*) AS input_rows FROM submissions"))
 def q_count_input_rows(spark, d):
     """A3: line count of the submission text."""
@@ -651,19 +661,23 @@ def q_scan_success_records(spark, d):
 
 
 _SHARD_SQL = (
-    "SELECT row_index, pos, shard_by_records, shard_by_bytes, shard_by_records + shard_by_bytes - 1 AS shard_no "
-    "FROM (SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
-    f"(row_number() OVER (ORDER BY row_index) - 1) // {FIXTURE_SHARD_RECORDS} + 1 AS shard_by_records, "
-    f"cast(coalesce(sum(strlen({C.ANSWER_FIELD})) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
-    f"AND 1 PRECEDING), 0) AS BIGINT) // {FIXTURE_SHARD_BYTES} + 1 AS shard_by_bytes FROM records)")
+    "SELECT row_index, pos, size, shard_no FROM (WITH RECURSIVE sized AS (SELECT row_index, row_number() OVER (ORDER BY row_index) - 1 AS pos, "
+    f"strlen({C.ANSWER_FIELD}) AS size, cast(coalesce(sum(strlen({C.ANSWER_FIELD})) OVER (ORDER BY row_index ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0) AS BIGINT) AS before FROM records), "
+    f"follow AS (SELECT pos, least(pos + {FIXTURE_SHARD_RECORDS}, coalesce(min(pos) OVER (ORDER BY before RANGE BETWEEN "
+    f"{FIXTURE_SHARD_BYTES} FOLLOWING AND UNBOUNDED FOLLOWING), pos + {FIXTURE_SHARD_RECORDS})) AS then FROM sized), "
+    "cut AS (SELECT cast(0 AS BIGINT) AS pos, cast(1 AS BIGINT) AS shard_no UNION ALL "
+    "SELECT follow.then, cut.shard_no + 1 FROM cut JOIN follow USING (pos) WHERE follow.then <= (SELECT max(pos) FROM sized)) "
+    "SELECT s.row_index, s.pos, s.size, cast(count(c.pos) OVER (ORDER BY s.pos) AS BIGINT) AS shard_no "
+    "FROM sized s LEFT JOIN cut c ON s.pos = c.pos)")
 
 
 @query("shard_assignment", O.on_t(_SHARD_SQL))
 def q_shard_assignment(spark, d):
-    """H1: one shard number under a record limit and a byte limit, and the two it comes from."""
+    """H1: shards cut by their own records and bytes, counted anew from each begin."""
     sh = R.shard_assignment(P.land_records(spark, d, scratch_dir(spark, "records")), FIXTURE_SHARD_RECORDS,
                             FIXTURE_SHARD_BYTES)
-    return sh.select("row_index", "pos", "shard_by_records", "shard_by_bytes", "shard_no")
+    return sh.select("row_index", "pos", "size", "shard_no")
 
 
 @query("write_success_shards", O.on_t(
@@ -676,6 +690,13 @@ def q_write_shards(spark, d):
         F.get_json_object("value", "$.row_index").cast("long").alias("row_index"), "shard")
 
 
+@query("write_zstd_shards", O.on_t(
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
+def q_write_zstd_shards(spark, d):
+    """H2: zstd JSONL shards under a limit on compressed bytes, read back."""
+    return R.read_success_records(spark, _write_shards(spark, d, "jsonl.zst"), "jsonl.zst")
+
+
 @query("merge_release", O.on_t(
     f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
 def q_merge_release(spark, d):

@@ -18,20 +18,37 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .files import data_files, reachable, uri
+from .zstd import RANGE, read_zstd_lines
+
 _LOW33 = (1 << 33) - 1
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, split_start, line)`` for every line of the text file(s) at ``path``."""
+def scan_lines(spark: SparkSession, path: str, width: int = RANGE) -> DataFrame:
+    """``(file, split_start, line)`` for every line of the text file(s) at ``path``.
+
+    zstd files are read in ranges of ``width`` compressed bytes (``zstd``), so one large file of many frames
+    is many tasks; all else, and stores that only Spark can open, by Spark's text source.
+    """
+    files = [uri(path, p) for p, _ in data_files(path)] if reachable(path) and not any(c in path for c in "*?[{,") else []
+    packed = [f for f in files if f.endswith(".zst")]
+    if not packed:
+        return _scan_text(spark, path)
+    rest = [f for f in files if not f.endswith(".zst")]
+    found = read_zstd_lines(spark, path, width)
+    return found.unionByName(_scan_text(spark, rest)) if rest else found
+
+
+def _scan_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     df = spark.read.option("lineSep", "\n").text(path)
     return df.select(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("split_start"),
                      F.col("value").alias("line"))
 
 
-def number_lines(spark: SparkSession, path: str) -> DataFrame:
+def number_lines(spark: SparkSession, path: str, width: int = RANGE) -> DataFrame:
     """``(row_index, line)``: zero-based line numbers in (file name, byte offset) order."""
-    raw = scan_lines(spark, path).withColumn(
+    raw = scan_lines(spark, path, width).withColumn(
         "_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
     splits = raw.groupBy("file", "split_start").agg(
         F.min("_local").alias("_first"), F.count(F.lit(1)).alias("_rows"))

@@ -86,3 +86,13 @@ def test_collapsed_head_equals_full_collapse(spark):
     rows = df.select(collapsed_head("t", 80).alias("h"),
                      F.substring(collapse_ws("t"), 1, 80).alias("full")).collect()
     assert all(r.h == r.full for r in rows)
+
+
+def test_half_a_surrogate_pair_is_no_crash(spark):
+    """A body that only the unlimited check can read may hold text that no encoding can: judged like the flat one."""
+    deep = "[" * 2000 + "]" * 2000
+    flat, nested = '{"kingdom":"\\ud800"}', '{"kingdom":"\\ud800","x":' + deep + "}"
+    named = '{"kingdom":{"name":"a\\udc00b","x":' + deep + "}}"
+    df = spark.createDataFrame([(k, 200, "application/json", b) for k, b in enumerate((flat, nested, named))], "i INT, status INT, content_type STRING, body STRING")
+    got = {r.i: (r.state, r.reason) for r in classify_answers(df).collect()}
+    assert got[0] == got[1] == (C.SUCCESS, None) and got[2] == (C.SUCCESS, None)
