@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,14 +25,12 @@ BLOCK = 1 << 20
 class Settings:
     """Parameters of training and scoring.
 
-    ``max_labelled``: labelled documents learnt from (more are cut to those of least hashed id);
-    ``max_features``: features kept, of largest z; ``prior``: weight of the Dirichlet prior as a
+    ``max_labelled``: labelled documents learnt from (more are cut to those of least hashed id); ``prior``: weight of the Dirichlet prior as a
     share of the counts; ``min_z``: least z of a kept feature; ``drift``: taken off per word, so that
     passages end; ``alpha``: significance of a passage.
     """
 
     max_labelled: int = 200_000
-    max_features: int = 100_000
     prior: float = 0.1
     min_z: float = 2.5
     drift: float = 0.02
@@ -183,7 +181,8 @@ def _counts(rows: DataFrame) -> DataFrame:
 def _weights(counts: DataFrame, s: Settings) -> dict[str, float]:
     """Log-odds of toxic against clean with a Dirichlet prior in proportion to all counts.
 
-    Features whose z (log-odds over their deviation) reaches ``min_z`` either way, at most ``max_features``.
+    All features whose z (log-odds over their deviation) reaches ``min_z`` either way; with the prior that
+    takes several documents, so their number is bounded by the labelled ones.
     """
     total = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     if not total["t"] or not total["c"]:
@@ -194,44 +193,47 @@ def _weights(counts: DataFrame, s: Settings) -> dict[str, float]:
     odds = lambda y, n: F.log((y + prior) / (F.lit(n + a0) - y - prior))
     delta = odds(F.col("toxic"), t) - odds(F.col("clean"), c)
     z = delta / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    kept = (counts.select("feature", delta.alias("delta"), z.alias("z")).where(F.abs("z") >= s.min_z)
-            .orderBy(F.abs("z").desc(), "feature").limit(s.max_features))
+    kept = counts.select("feature", delta.alias("delta"), z.alias("z")).where(F.abs("z") >= s.min_z)
     return {r["feature"]: r["delta"] for r in kept.collect()}
 
 
-def _scored(rows: DataFrame, weights: list[dict[str, float]], drift: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of each labelled text, with the weights of the other fold: ``toxic, n`` and its segments' scores."""
+def _per_text(rows: DataFrame, weights: list[dict[str, float]], drift: float, value: Callable[[int, list], float]) -> np.ndarray:
+    """Of each labelled text, with the weights of the other fold: ``toxic, n, value`` (of its words and segments)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = [Weights(w) for w in weights]
         for batch in batches:
-            ys, ns, ss = [], [], []
+            ys, ns, vs = [], [], []
             for text, y, fold in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
                 n, segments = passages(text, of[1 - fold], drift)
                 ys.append(y)
                 ns.append(n)
-                ss.append(sorted((x[2] for x in segments), reverse=True)[:64])
-            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(ns, pa.int64()), pa.array(ss, pa.list_(pa.float64()))], ["y", "n", "s"])
-
-    got = rows.mapInArrow(run, "y int, n long, s array<double>").toArrow()
-    head = np.stack([got.column("y").to_numpy().astype(float), got.column("n").to_numpy().astype(float)], axis=1) if got.num_rows else np.zeros((0, 2))
-    return head, [np.array(x or []) for x in got.column("s").to_pylist()]
-
-
-def _calibrate(m: Model, head: np.ndarray, segments: list[np.ndarray]) -> Model:
-    """Gumbel parameters of clean texts' best segments (location grows with log length), then a logistic curve."""
-    clean = head[:, 0] == 0
-    if not clean.any() or clean.all():
-        return m
-    best = np.array([x[0] if len(x) else 0.0 for x in segments])
-    logs = np.log(head[:, 1] + 1)
-    var = logs[clean].var()
-    m.growth = float(max(0.0, np.cov(logs[clean], best[clean])[0, 1] / var)) if clean.sum() > 2 and var > 0 else 0.0
-    rest = best[clean] - m.growth * logs[clean]
+                vs.append(value(n, segments))
+            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(ns, pa.int64()), pa.array(vs, pa.float64())], ["y", "n", "v"])
+
+    got = rows.mapInArrow(run, "y int, n long, v double").toArrow()
+    return np.stack([got.column(c).to_numpy().astype(float) for c in ("y", "n", "v")], axis=1) if got.num_rows else np.zeros((0, 3))
+
+
+def best_of(n: int, segments: list[tuple[int, int, float]]) -> float:
+    return max((s for _, _, s in segments), default=0.0)
+
+
+def _gumbel(m: Model, texts: np.ndarray) -> None:
+    """Gumbel parameters of clean texts' best segments (location grows with log length)."""
+    clean = texts[texts[:, 0] == 0]
+    logs, best = np.log(clean[:, 1] + 1), clean[:, 2]
+    var = logs.var()
+    m.growth = float(max(0.0, np.cov(logs, best)[0, 1] / var)) if len(clean) > 2 and var > 0 else 0.0
+    rest = best - m.growth * logs
     m.scale = float(max(0.25, rest.std() * math.sqrt(6) / math.pi))
     m.location = float(rest.mean() - 0.5772156649 * m.scale)
-    x = np.array([evidence(int(n), [(0, 0, float(s)) for s in ss], m) for n, ss in zip(head[:, 1], segments)])
-    x, y, ab = np.minimum(x, 60), head[:, 0], np.array([math.log(max(1e-3, head[:, 0].mean() / (1 - head[:, 0].mean()))), 0.1])
-    for _ in range(100):  # Newton's method with a small ridge, which bounds the slope where the classes part fully
+
+
+def _logistic(m: Model, texts: np.ndarray) -> None:
+    """Logistic curve from evidence to label: Newton's method with a small ridge, which bounds the slope where the classes part fully."""
+    y, x = texts[:, 0], texts[:, 2]
+    ab = np.array([math.log(max(1e-3, y.mean() / (1 - y.mean()))), 0.1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(ab[0] + ab[1] * x, -40, 40)))
         grad = np.array([(y - p).sum(), ((y - p) * x).sum()]) - 1e-2 * ab
         w = p * (1 - p)
@@ -241,7 +243,6 @@ def _calibrate(m: Model, head: np.ndarray, segments: list[np.ndarray]) -> Model:
         if abs(step).max() < 1e-8:
             break
     m.intercept, m.slope = float(ab[0]), float(max(0.0, ab[1]))
-    return m
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> Model:
@@ -256,7 +257,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings
         both = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         halves = [_weights(counts.where(F.col("fold") == k), settings) for k in (0, 1)]
         model = Model(_weights(both, settings), settings=settings)
-        return _calibrate(model, *_scored(rows, halves, settings.drift))
+        texts = _per_text(rows, halves, settings.drift, best_of)
+        if 0 < texts[:, 0].sum() < len(texts):
+            _gumbel(model, texts)
+            _logistic(model, _per_text(rows, halves, settings.drift, lambda n, segments: evidence(n, segments, model)))
+        return model
     finally:
         counts.unpersist()
         rows.unpersist()
@@ -265,8 +270,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score, n_passages, passages`` per row; passages: the significant ones ``(start, end, p)`` in words.
 
-    Nothing but the text enters the score. Null and empty texts have no passage and get the
-    calibration's base score; repeated rows and null ids are scored like any other.
+    Nothing but the text enters the score, so equal texts score the same. Null and empty texts have no
+    passage and get the calibration's base score; repeated rows and null ids are scored like any other; an empty
+    table gives an empty result; other columns are not read. A text of any length is read whole, a block of
+    words at a time. Of segments that could be cut in two ways at the same score, the search takes the shorter.
     """
     spark_type = "array<struct<start:int,end:int,p:double>>"
 
@@ -276,7 +283,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores, found = [], []
             for text in batch.column("text"):
                 n, segments = passages(text.as_py() or "", weights, model.settings.drift)
-                scores.append(probability(min(60.0, evidence(n, segments, model)), model))
+                scores.append(probability(evidence(n, segments, model), model))
                 found.append([{"start": a, "end": b + 1, "p": math.exp(p)} for a, b, s in segments if (p := log_p(s, n, model)) <= limit])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(found, kind)], ["doc_id", "score", "passages"])
@@ -303,7 +310,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Da
             keep = []
             for text in batch.column("text"):
                 n, segments = passages(text.as_py() or "", weights, model.settings.drift)
-                keep.append(probability(min(60.0, evidence(n, segments, model)), model) < threshold)
+                keep.append(probability(evidence(n, segments, model), model) < threshold)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

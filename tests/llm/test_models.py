@@ -54,6 +54,95 @@ def test_toxicity_held_out(spark):
     assert sum(r.toxic for r in caught) / sum(r.toxic for r in held) >= 0.75
 
 
+def _segments(scores):
+    """Scores of all maximal segments: the best one, then those of what lies left and right of it."""
+    out, todo = [], [(0, len(scores))]
+    while todo:
+        a, b = todo.pop()
+        best, total, start, found = 0.0, 0.0, a, None
+        for i in range(a, b):
+            if total <= 0:
+                total, start = 0.0, i
+            total += scores[i]
+            if total > best + 1e-12:
+                best, found = total, (start, i + 1)
+        if found:
+            out.append(sum(scores[found[0]:found[1]]))
+            todo += [(a, found[0]), (found[1], b)]
+    return out
+
+
+def _toxicity(docs, toxic, folds):
+    """Scores of ``docs`` (id -> text), learnt from the labels ``toxic`` (id -> 0 or 1): every step by its formula, over whole word lists."""
+    words = {i: re.findall(r"\w+", (t or "").lower()) for i, t in docs.items()}
+    feats = lambda w: [w, *[w[:n] + "*" for n in (7, 5) if len(w) > n]]
+
+    def weights(ids):
+        counts = [Counter(), Counter()]
+        for i in ids:
+            counts[toxic[i]].update({f for w in words[i] for f in feats(w)})
+        totals = [sum(c.values()) for c in counts]
+        out, a0 = {}, 0.1 * sum(totals)
+        for f in set(counts[0]) | set(counts[1]):
+            prior = (counts[0][f] + counts[1][f]) * a0 / sum(totals)
+            odds = [math.log((c[f] + prior) / (n + a0 - c[f] - prior)) for c, n in zip(counts, totals)]
+            delta = odds[1] - odds[0]
+            if abs(delta) / math.sqrt(sum(1 / (c[f] + prior) for c in counts)) >= 2.5:
+                out[f] = delta
+        return out
+
+    def segments(i, of):
+        return _segments([next((of[f] for f in feats(w) if f in of), 0.0) - 0.02 for w in words[i]])
+
+    halves = [weights([i for i in toxic if folds[i] == k]) for k in (0, 1)]
+    texts = [(toxic[i], len(words[i]), segments(i, halves[1 - folds[i]])) for i in toxic]
+    clean = [(math.log(n + 1), max(s, default=0.0)) for y, n, s in texts if not y]
+    xs, ys = np.array([c[0] for c in clean]), np.array([c[1] for c in clean])
+    growth = max(0.0, ((xs - xs.mean()) * (ys - ys.mean())).sum() / (len(xs) - 1) / xs.var())
+    rest = ys - growth * xs
+    scale = max(0.25, rest.std() * math.sqrt(6) / math.pi)
+    location = rest.mean() - 0.5772156649 * scale
+
+    def evidence(n, scores):
+        zs = sorted(((s - location - growth * math.log(n + 1)) / scale for s in scores), reverse=True)
+        ps = [math.log(1 - math.exp(-math.exp(-z))) if z < 12 else -z for z in zs]
+        return -sum(p for k, p in enumerate(ps) if not k or p <= math.log(0.05))
+
+    x, y = np.array([evidence(n, s) for _, n, s in texts]), np.array([t[0] for t in texts], float)
+    a, b = math.log(y.mean() / (1 - y.mean())), 0.1
+    loss = lambda a, b: (np.logaddexp(0, a + b * x) - y * (a + b * x)).sum() + 0.005 * (a * a + b * b)
+    step = 0.25
+    while step > 1e-11:  # pattern search: another way to the same minimum
+        moves = [(a + da, b + db) for da in (-step, 0, step) for db in (-step, 0, step)]
+        best = min(moves, key=lambda m: loss(*m))
+        if best == (a, b):
+            step /= 2
+        a, b = best
+    both = weights(list(toxic))
+    return {i: 1 / (1 + math.exp(-max(-40, min(40, a + max(0.0, b) * evidence(len(words[i]), segments(i, both)))))) for i in docs}
+
+
+def test_toxicity_against_brute_force(spark):
+    rnd = random.Random(6)
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    labels = {}
+    for i in docs:  # the small table has few labels: planted passages, some of them not marked
+        labels[i] = int(rnd.random() < 0.35)
+        if labels[i] and rnd.random() < 0.8:
+            words = (docs[i] or "").split(" ")
+            at = rnd.randrange(len(words) + 1)
+            docs[i] = " ".join([*words[:at], *rnd.choices(["vile", "rotten", "scumbags", "scumbag"], k=rnd.randrange(1, 6)), *words[at:]])
+    learn = {i: y for i, y in labels.items() if zlib.crc32(str(i).encode()) % 3 != 1}
+    folds = {r.id: r.f for r in spark.range(max(docs) + 1).select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("f")).collect()}
+    df = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    model = toxicity.train(table, df, F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    assert model.weights and model.slope > 0
+    want = _toxicity(docs, learn, folds)
+    for r in toxicity.score(table, model).collect():
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-5, abs_tol=1e-7)
+
+
 def test_toxicity_edges(spark):
     texts = ["nice calm words here", "vile rotten vile rotten words"] * 40
     docs = spark.createDataFrame([(k, t, 0.5) for k, t in enumerate(texts)] + [(None, "vile", 0.1), (900, None, 0.1), (901, "", 0.1), (901, "", 0.1), (902, "calm " * 300_000, 0.1)],
