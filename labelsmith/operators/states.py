@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..session import scratch_dir
+from ..sources.lines import path_exists, table_name
 
 
 def append_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -21,26 +22,33 @@ def append_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
         "row_index", "existing_state", "new_state")
 
 
-def append_states(existing: DataFrame, new: DataFrame, path: str,
-                  buckets: int | None = None) -> None:
-    """Append ``new`` to the state table at ``path``; a row that already has a state fails, and so
-    does one that ``new`` holds twice. ``new`` is landed first, so what is written is what was checked.
+def append_states(new: DataFrame, path: str, batch: int, buckets: int | None = None) -> None:
+    """Append the states of a batch to the table at ``path``, partitioned by ``batch``.
 
-    With ``buckets`` the table stays bucketed by ``row_index`` (see
-    ``sources.lines.bucketed_by_row``) so the next resume joins it without a shuffle."""
+    A row that has a state from another batch fails, and so does one that ``new`` holds twice; nothing is
+    then written. A batch is one unit: appended again, as after a driver that was lost on the way, it
+    replaces what it wrote. ``new`` is landed first, so what is written is what was checked.
+
+    With ``buckets`` the table is also bucketed by ``row_index`` (see ``sources.lines.bucketed_by_row``) so the
+    next resume joins it without a shuffle."""
     spark = new.sparkSession
     landing = scratch_dir(spark, "new-states")
     new.select("row_index", "state", "reason").write.parquet(landing)
     rows = spark.read.parquet(landing)
     if not rows.groupBy("row_index").count().where("count > 1").isEmpty():
         raise ValueError("row has more than one new state")
-    if not append_conflicts(existing, rows).isEmpty():
+    there = path_exists(spark, path)
+    if there and not append_conflicts(spark.read.parquet(path).where(F.col("batch") != batch), rows).isEmpty():
         raise ValueError("row already has a terminal state")
-    if buckets:
-        from ..sources.lines import bucketed_by_row
-        bucketed_by_row(rows, path, buckets, mode="append")
+    if not buckets:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={int(batch)}")
+        return
+    name = table_name(path)
+    if there:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch = {int(batch)}) SELECT row_index, state, reason FROM {{rows}}", rows=rows)
     else:
-        rows.write.mode("append").parquet(path)
+        (rows.withColumn("batch", F.lit(int(batch))).write.partitionBy("batch").bucketBy(int(buckets), "row_index")
+         .sortBy("row_index").option("path", path).saveAsTable(name))
 
 
 def state_conflicts(states: DataFrame) -> DataFrame:

@@ -195,11 +195,24 @@ def q_retry(spark, d):
 
 # ------------------------------------------------------------------ 2.5 row states (table form)
 
-@query("append_states", O.on_t(
+@query("append_states", O.on_t("SELECT row_index, state, reason FROM states"))
+def q_append_states(spark, d):
+    """The earlier run's states, then the rest in a batch that is appended twice, as after a lost driver."""
+    from ..operators import states as S
+    st = P.terminal_states(P.annotated(spark, d))
+    path, prior = scratch_dir(spark, "state-table"), X.prior_run_rows(spark, d)
+    S.append_states(st.join(prior, "row_index", "left_semi"), path, batch=1)
+    rest = st.join(prior, "row_index", "left_anti")
+    for _ in range(2):
+        S.append_states(rest, path, batch=2)
+    return spark.read.parquet(path).select("row_index", "state", "reason")
+
+
+@query("append_conflicts", O.on_t(
     "SELECT n.row_index, p.state AS existing_state, n.state AS new_state FROM states n "
     "JOIN (SELECT t.row_index, t.state FROM states t JOIN prior_rows r ON t.row_index = r.row_index) p "
     "ON n.row_index = p.row_index"))
-def q_append_states(spark, d):
+def q_append_conflicts(spark, d):
     """Conflicts when a full re-run appends onto the states of the earlier run."""
     from ..operators import states as S
     st = P.terminal_states(P.annotated(spark, d))
@@ -816,14 +829,26 @@ def _land_files(df: DataFrame, order_col: str, name: str, spark, files: int = 8)
 def q_stream_annotate(spark, d):
     """Submissions arriving as files, annotated by a resumable stream; rows with a state."""
     src = _land_files(X.submissions(spark, d), "row_index", "arrivals", spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    answers = SA.land_answers(X.responses(spark, d), scratch_dir(spark, "answers"), buckets)
+    answers = SA.land_answers(X.responses(spark, d), scratch_dir(spark, "answers"), letters=1)
     out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
-    q = SA.start_annotation_stream(spark, src, answers, out, ckpt, files_per_trigger=2)
+    q = SA.start_annotation_stream(spark, src, answers, out, ckpt, files_per_trigger=2, letters=1)
     q.awaitTermination()
     return SA.read_states(spark, out).select("row_index", "state")
 
 
+@query("stream_back_fill", O.on_t("SELECT row_index, state FROM states"))
+def q_stream_back_fill(spark, d):
+    """The stream runs while answers of half the keys are there; a back-fill brings the others."""
+    src = _land_files(X.submissions(spark, d), "row_index", "arrivals", spark, files=4)
+    responses = X.responses(spark, d)
+    early = F.crc32(F.coalesce(F.col("inchikey"), F.lit(""))) % 2 == 0
+    answers = SA.land_answers(responses.where(early), scratch_dir(spark, "answers"), letters=1)
+    out, ckpt = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-ckpt")
+    SA.start_annotation_stream(spark, src, answers, out, ckpt, files_per_trigger=2, letters=1).awaitTermination()
+    SA.back_fill(spark, responses.where(~early), answers, out, run=1, letters=1)
+    return SA.read_states(spark, out).select("row_index", "state")
+
+
 def _attempt_source(spark, d) -> tuple[str, object]:
     att = X.attempts(spark, d)
     return _land_files(att, "ts", "attempt-arrivals", spark), att.schema
@@ -835,7 +860,7 @@ def q_stream_state_counts(spark, d):
     src, schema = _attempt_source(spark, d)
     out, ckpt = scratch_dir(spark, "counts-out"), scratch_dir(spark, "counts-ckpt")
     SS.start_state_counts(SS.attempt_stream(spark, src, schema, 2), out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    return SS.read_state_counts(spark, out)
 
 
 @query("stream_daily_status", ORACLE["daily_status"])
@@ -852,5 +877,5 @@ def q_stream_dedupe(spark, d):
     """I8: each row key emitted once although it arrives many times."""
     src, schema = _attempt_source(spark, d)
     out, ckpt = scratch_dir(spark, "dedupe-out"), scratch_dir(spark, "dedupe-ckpt")
-    SS.start_dedupe(SS.attempt_stream(spark, src, schema, 2), "row_key", out, ckpt).awaitTermination()
+    SS.start_dedupe(SS.attempt_stream(spark, src, schema, 2), "row_key", out, ckpt, bitmap=True).awaitTermination()
     return spark.read.parquet(out).select("row_key")

@@ -78,6 +78,11 @@ def land_lines(spark: SparkSession, path: str, out: str, buckets: int | None = N
     return spark.read.parquet(out)
 
 
+def table_name(path: str) -> str:
+    """Catalog name of the bucketed table at ``path``."""
+    return "rows_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
 def bucketed_by_row(df: DataFrame, out: str, buckets: int, mode: str = "overwrite",
                     name: str | None = None) -> DataFrame:
     """Write ``df`` as an external table at ``out`` bucketed and sorted by ``row_index``.
@@ -85,7 +90,7 @@ def bucketed_by_row(df: DataFrame, out: str, buckets: int, mode: str = "overwrit
     Two tables written this way with the same bucket count join on ``row_index`` partition by
     partition: no exchange on either side. The bucket layout lives in the catalog, so read the
     table back by ``name`` (``spark.table``), not by path."""
-    name = name or "rows_" + hashlib.sha1(out.encode()).hexdigest()[:16]
+    name = name or table_name(out)
     (df.write.mode(mode).bucketBy(int(buckets), "row_index").sortBy("row_index")
      .option("path", out).saveAsTable(name))
     return df.sparkSession.table(name)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .arrivals import first_arrivals, rocksdb
 
 
 def attempt_stream(spark: SparkSession, source_dir: str, schema, files_per_trigger: int = 1):
@@ -17,12 +18,30 @@ def attempt_stream(spark: SparkSession, source_dir: str, schema, files_per_trigg
             .parquet(source_dir))
 
 
-def _overwrite(path: str):
+def _versions(path: str, keep: int = 2):
+    """Each batch writes a version of its own; all but the last ``keep`` are then deleted."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        spark = batch.sparkSession
+        for no in _complete(spark, path)[:-keep]:
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={no}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
     return write
 
 
+def _complete(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose write was committed, oldest first."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+
+
+def read_state_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version: a reader never meets a table that is being replaced."""
+    versions = _complete(spark, path)
+    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else spark.createDataFrame([], "state string, rows long")
+
+
 def _append_batches(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -32,9 +51,9 @@ def _append_batches(path: str):
 
 
 def start_state_counts(stream: DataFrame, out: str, checkpoint: str):
-    """Running count per state; complete output mode, the table is rewritten per batch."""
+    """Running count per state; complete output mode, a new version of the table per batch (``read_state_counts``)."""
     counts = stream.groupBy("state").agg(F.count(F.lit(1)).alias("rows"))
-    return (counts.writeStream.outputMode("complete").foreachBatch(_overwrite(out))
+    return (counts.writeStream.outputMode("complete").foreachBatch(_versions(out))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
@@ -62,17 +81,22 @@ def read_daily_status(spark: SparkSession, out: str) -> DataFrame:
 
 
 def start_dedupe(stream: DataFrame, key: str, out: str, checkpoint: str,
-                 watermark: str | None = None):
+                 watermark: str | None = None, bitmap: bool = False):
     """I8: one output row per key however often it arrives.
 
-    Exact by default (the key set lives in the state store, RocksDB on large runs); with a
-    ``watermark`` the state is bounded and keys are deduplicated within that delay only.
+    With ``bitmap`` the keys, whole numbers from 0, are kept as a bit each (``arrivals``), which a dense
+    key fills to an eighth of a byte. Else the state store holds every key, for ever, or with a
+    ``watermark`` for that delay, within which keys are then deduplicated.
     """
-    if watermark:
+    spark = stream.sparkSession
+    if bitmap:
+        dedup = first_arrivals(stream, key)
+    elif watermark:
         ev = stream.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark(
             "event_time", watermark)
         dedup = ev.dropDuplicatesWithinWatermark([key]).drop("event_time")
     else:
         dedup = stream.dropDuplicates([key])
-    return (dedup.writeStream.outputMode("append").foreachBatch(_append_batches(out))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with rocksdb(spark):
+        return (dedup.writeStream.outputMode("append").foreachBatch(_append_batches(out))
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -7,6 +7,7 @@ import pytest
 from labelsmith import config as C
 from labelsmith.operators import lookup, parse, report, states
 from labelsmith.operators.parse import success_records
+from labelsmith.sources import lines as L
 
 KEYS = [f"{c * 14}-{c * 10}-{c}" for c in "ABCDEFGH"]
 ANSWER = json.dumps({"superclass": {"name": "Made of parts"}})
@@ -136,13 +137,19 @@ def test_append_states_rejects_conflicts_and_appends(spark, tmpdir_path):
     import os
     path = os.path.join(tmpdir_path, "states")
     schema = "row_index BIGINT, state STRING, reason STRING"
-    first = spark.createDataFrame([(0, "success", None)], schema)
-    states.append_states(spark.createDataFrame([], schema), first, path, buckets=2)
-    table = spark.read.parquet(path)
-    with pytest.raises(ValueError):
-        states.append_states(table, spark.createDataFrame([(0, "miss", None)], schema), path, buckets=2)
-    states.append_states(table, spark.createDataFrame([(1, "failed", "x")], schema), path, buckets=2)
-    with pytest.raises(ValueError):
-        twice = spark.createDataFrame([(7, "success", None), (7, "miss", None)], schema)
-        states.append_states(table, twice, path, buckets=2)
-    assert sorted(r.row_index for r in spark.read.parquet(path).collect()) == [0, 1]
+    row = lambda *r: spark.createDataFrame([(*r, None)], schema)
+    for buckets, path in ((None, path), (2, path + "-bucketed")):
+        read = lambda: sorted((r.row_index, r.state) for r in spark.read.parquet(path).collect())  # noqa: B023, E731
+        states.append_states(row(0, "success"), path, 1, buckets)
+        with pytest.raises(ValueError):
+            states.append_states(row(0, "miss"), path, 2, buckets)
+        for _ in range(2):  # a batch again, as after a lost driver
+            states.append_states(row(1, "failed"), path, 2, buckets)
+        with pytest.raises(ValueError):
+            states.append_states(row(7, "success").union(row(7, "miss")), path, 3, buckets)
+        assert read() == [(0, "success"), (1, "failed")]
+        states.append_states(row(2, "miss"), path, 2, buckets)  # and what it holds now replaces what it held
+        assert read() == [(0, "success"), (2, "miss")]
+    name = spark.table(L.table_name(path))
+    plan = lookup.unprocessed_rows(name.select("row_index"), name)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
