@@ -134,10 +134,15 @@ def merge_release(spark: SparkSession, shards, fmt: str = C.RELEASE_FORMAT,
     """
     recs = read_success_records(spark, shards, fmt)
     ranged = recs.repartitionByRange(partitions, "row_index") if partitions else recs.repartitionByRange("row_index")
-    rest = [c for c in recs.columns if c != "row_index"]
-    order = [F.desc_nulls_last(c) for c in ("fetched_at",) if c in recs.columns] + [F.desc(F.xxhash64(*rest))]
+    return newest_of_each_row(ranged).sortWithinPartitions("row_index")
+
+
+def newest_of_each_row(records: DataFrame) -> DataFrame:
+    """Of different records of one row the one fetched last, of equally old ones that of the larger hash."""
+    rest = [c for c in records.columns if c != "row_index"]
+    order = [F.desc_nulls_last(c) for c in ("fetched_at",) if c in records.columns] + [F.desc(F.xxhash64(*rest))]
     best = F.row_number().over(Window.partitionBy("row_index").orderBy(*order))
-    return ranged.withColumn("_n", best).where("_n = 1").drop("_n").sortWithinPartitions("row_index")
+    return records.withColumn("_n", best).where("_n = 1").drop("_n")
 
 
 def cut_release(spark: SparkSession, shards, out: str, states: DataFrame, total_rows: int, fmt: str = C.RELEASE_FORMAT,

@@ -22,30 +22,31 @@ def layers_dim(spark: SparkSession) -> DataFrame:
                                  "layer_no INT, layer STRING, label STRING, panel_limit INT")
 
 
-def with_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> DataFrame:
-    """``(row_index, nodes)``: the nodes as annotation left them, or read from the stored answer."""
+def with_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(row_index, nodes)`` and the columns to ``keep``: the nodes as annotation left them, or read from the stored answer."""
     if "nodes" in records.columns:
-        return records.select("row_index", "nodes")
-    return with_taxonomy(read_answers(records.select("row_index", body_col), body=body_col), body=body_col).select("row_index", "nodes")
+        return records.select("row_index", *keep, "nodes")
+    read = read_answers(records.select("row_index", *keep, body_col), body=body_col)
+    return with_taxonomy(read, body=body_col).select("row_index", *keep, "nodes")
 
 
-def _unpivoted(records: DataFrame, body_col: str) -> DataFrame:
+def _unpivoted(records: DataFrame, body_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     tax = F.col("nodes")
     nodes = F.array(*[
         F.struct(F.lit(no).alias("layer_no"), F.lit(name).alias("layer"), tax[name]["name"].alias("name"),
                  tax[name]["chemont_id"].alias("chemont_id"), tax[name]["bad"].alias("bad"))
         for no, name, _, _ in C.LAYERS
     ])
-    return with_nodes(records, body_col).select("row_index", F.inline(nodes)).where("bad is not null")
+    return with_nodes(records, body_col, keep).select("row_index", *keep, F.inline(nodes)).where("bad is not null")
 
 
-def taxonomy_long(records: DataFrame, body_col: str = C.ANSWER_FIELD, strict: bool = True) -> DataFrame:
-    """``(row_index, layer_no, layer, name, chemont_id)``: one row per present node.
+def taxonomy_long(records: DataFrame, body_col: str = C.ANSWER_FIELD, strict: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(row_index, layer_no, layer, name, chemont_id)``: one row per present node, and the columns to ``keep``.
 
     A node that is no object with a string ``name`` fails the query, in the same pass; with
     ``strict=False`` it is left to ``bad_nodes`` and not returned.
     """
-    long = _unpivoted(records, body_col)
+    long = _unpivoted(records, body_col, keep)
     if not strict:
         return long.where("not bad").drop("bad")
     checked = F.when(~F.col("bad"), F.col("name")).otherwise(F.raise_error(F.concat(
@@ -72,21 +73,31 @@ def check_nodes(records: DataFrame, body_col: str = C.ANSWER_FIELD) -> None:
         raise ValueError(f"taxonomy node without a name: row {first.row_index}, {first.layer}")
 
 
-def taxonomy_counts(nodes: DataFrame) -> DataFrame:
-    """``(layer_no, layer, class_key, name, chemont_id, label_count)``.
+def spelling_counts(nodes: DataFrame, *by: str) -> DataFrame:
+    """``(layer_no, layer, class_key, name, chemont_id, n, first_row)``, for each value of ``by`` where given.
 
-    Name and id shown for a class are those of its first record (smallest ``row_index``). Nodes are
-    first counted per spelling, a hash aggregate with numbers alone as its state; the first spelling
-    is then picked among the few of a class.
-    """
-    spelled = nodes.groupBy("layer_no", "layer", "class_key", "name", "chemont_id").agg(
+    A hash aggregate with numbers alone as its state. Counts of disjoint sets of records add up: sum of
+    ``n``, least ``first_row``."""
+    return nodes.groupBy(*by, "layer_no", "layer", "class_key", "name", "chemont_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("row_index").alias("first_row"))
+
+
+def class_counts(spelled: DataFrame) -> DataFrame:
+    """Counts per class of ``spelling_counts``; the first record's spelling is picked among the few of a class."""
     first = F.min_by(F.struct("name", "chemont_id"), F.col("first_row"))
     return (spelled.groupBy("layer_no", "layer", "class_key")
             .agg(F.sum("n").alias("label_count"), first.alias("f"))
             .select("layer_no", "layer", "class_key", "f.name", "f.chemont_id", "label_count"))
 
 
+def taxonomy_counts(nodes: DataFrame) -> DataFrame:
+    """``(layer_no, layer, class_key, name, chemont_id, label_count)``.
+
+    Name and id shown for a class are those of its first record (smallest ``row_index``).
+    """
+    return class_counts(spelling_counts(nodes))
+
+
 def layer_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("layer_no", "layer").agg(
         F.sum("label_count").cast("long").alias("assigned_records"),

@@ -541,6 +541,7 @@ def q_eta(spark, d):
 
 from ..operators import bitmaps as B  # noqa: E402
 from ..operators import release as R  # noqa: E402
+from ..operators import snapshots as SN  # noqa: E402
 from ..operators import states as S  # noqa: E402
 from ..sources import lines as L  # noqa: E402
 from ..sources.zstd import write_zstd_shards  # noqa: E402
@@ -717,6 +718,35 @@ def q_merge_release(spark, d):
     return R.merge_release(spark, _write_shards(spark, d))
 
 
+def _overlapping_shards(spark, d) -> str:
+    """zstd shards of two writes: all records, then those of the earlier run once more."""
+    out = scratch_dir(spark, "zstd-shards")
+    recs = P.land_records(spark, d, scratch_dir(spark, "records"))
+    again = recs.join(X.prior_run_rows(spark, d), "row_index", "left_semi").where("row_index % 2 = 0")
+    for part in (recs, again):
+        R.write_success_shards(part, out, max_records=FIXTURE_SHARD_RECORDS, max_bytes=FIXTURE_SHARD_BYTES, fmt="jsonl.zst")
+    return out
+
+
+@query("merge_units", O.on_t(
+    f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
+def q_merge_units(spark, d):
+    """H3: shards that overlap merged to one record per row, the others as they stand."""
+    return SN.merge_units(spark, _overlapping_shards(spark, d))
+
+
+@query("release_counts", ORACLE["taxonomy_counts"])
+def q_release_counts(spark, d):
+    """class counts of a release from stored counts of the shards before, and of the new shards alone."""
+    out, store = scratch_dir(spark, "zstd-shards"), scratch_dir(spark, "release-counts")
+    recs = P.land_records(spark, d, scratch_dir(spark, "records"))
+    first = recs.join(X.prior_run_rows(spark, d), "row_index", "left_semi")
+    for part in (first, recs.join(first.select("row_index"), "row_index", "left_anti")):
+        R.write_success_shards(part, out, max_records=FIXTURE_SHARD_RECORDS, max_bytes=FIXTURE_SHARD_BYTES, fmt="jsonl.zst")
+        SN.counted_units(spark, out, store)
+    return SN.release_counts(spark, out, store)
+
+
 @query("release_manifest", O.on_t(
     f"SELECT 'jsonl' AS format, success_rows, miss_rows, invalid_rows, failed_rows, "
     f"(SELECT count(DISTINCT shard_no) FROM ({_SHARD_SQL})) AS shard_dirs FROM counts"))
@@ -872,6 +902,17 @@ def q_stream_daily_status(spark, d):
     return SS.read_daily_status(spark, out)
 
 
+@query("stream_backoff_spans", ORACLE["backoff_spans"])
+def q_stream_backoff_spans(spark, d):
+    """Backoff spans from session windows over an attempt stream; a last attempt two days on closes all."""
+    att = X.attempts(spark, d)
+    beat = att.agg(*[(F.max("ts") + F.expr("INTERVAL 2 DAYS") if f.name == "ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in att.schema])
+    src = _land_files(att.unionByName(beat), "ts", "attempt-arrivals", spark)
+    out, ckpt = scratch_dir(spark, "spans-out"), scratch_dir(spark, "spans-ckpt")
+    SS.start_backoff_spans(SS.attempt_stream(spark, src, att.schema, 2), out, ckpt).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @query("stream_dedupe", O.on_a("SELECT DISTINCT row_key FROM attempts"))
 def q_stream_dedupe(spark, d):
     """I8: each row key emitted once although it arrives many times."""

@@ -67,11 +67,16 @@ def first_arrivals(stream: DataFrame, key: str, done: DataFrame | None = None) -
 
 
 @contextmanager
-def rocksdb(spark: SparkSession):
-    """Streams started inside keep their state in RocksDB, which this state needs; the session's setting comes back after."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def setting(spark: SparkSession, name: str, value: str):
+    """A setting for streams that start inside (they keep it); the session's own comes back after."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, which the state of arrivals needs."""
+    return setting(spark, PROVIDER, ROCKSDB)

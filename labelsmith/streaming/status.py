@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .arrivals import first_arrivals, rocksdb
+from ..functions import backoff_reason
+from .arrivals import first_arrivals, rocksdb, setting
 
 
 def attempt_stream(spark: SparkSession, source_dir: str, schema, files_per_trigger: int = 1):
@@ -100,3 +101,24 @@ def start_dedupe(stream: DataFrame, key: str, out: str, checkpoint: str,
     with rocksdb(spark):
         return (dedup.writeStream.outputMode("append").foreachBatch(_append_batches(out))
                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def start_backoff_spans(stream: DataFrame, out: str, checkpoint: str, backoff_seconds: int = C.THROTTLE_BACKOFF_SECONDS,
+                        watermark: str = "10 minutes"):
+    """I7 as a stream: gate-closed spans ``(span_start, span_end, hits)``, each written once when the watermark
+    (over all attempts, not only those that close the gate) has passed its end.
+
+    The state holds the spans that are still open; a hit that comes later than the watermark is dropped. There is
+    one gate, so one key: tasks merge the hits of a span before they send it, which leaves a row per task and span.
+    """
+    spark = stream.sparkSession
+    ev = stream.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", watermark)
+    # other attempts have a gap of nought, which belongs to no session: a filter would be pushed below the watermark
+    hit = (F.col("state") == C.FAILED) & backoff_reason(F.col("message")).isNotNull()
+    span = F.session_window("event_time", F.when(hit, f"{backoff_seconds} seconds").otherwise("0 seconds"))
+    closed = ev.groupBy(span.alias("w"), F.lit(C.FAILED) == F.col("state")).agg(F.count(F.lit(1)).alias("hits"))
+    to_ts = lambda c: F.col(c).cast("timestamp_ntz")
+    with setting(spark, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"):
+        return (closed.select(to_ts("w.start").alias("span_start"), to_ts("w.end").alias("span_end"), "hits")
+                .writeStream.outputMode("append").foreachBatch(_append_batches(out))
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -187,3 +187,22 @@ def test_daily_status_stream_drops_rows_behind_the_watermark(spark):
                           watermark="1 day").awaitTermination()
     got = {(r.day_end.day, r.state): r.rows for r in SS.read_daily_status(spark, out).collect()}
     assert got == {(10, "success"): 1, (12, "success"): 1, (12, "miss"): 1}
+
+
+def test_backoff_spans_stream_equals_batch(spark):
+    import datetime as dt
+
+    from labelsmith.operators import timeline as TL
+    schema = "attempt_id BIGINT, ts TIMESTAMP_NTZ, row_key BIGINT, state STRING, kind STRING, message STRING"
+    at = dt.datetime(2026, 1, 10)
+    seconds = [0, 299, 300, 600, 601, 1000, 1300, 1601, 1901, 5000, 5000, 5000, 5299, 5599, 9000]
+    hits = [(k, at + dt.timedelta(seconds=s), k, "failed", "request", "entity request was throttled") for k, s in enumerate(seconds)]
+    others = [(100, at + dt.timedelta(seconds=3000), 1, "success", "event", None), (101, at + dt.timedelta(days=2), 1, "success", "event", None)]
+    att = spark.createDataFrame([*hits, *others], schema)
+    batch = sorted(map(tuple, TL.backoff_spans(att).collect()))
+    assert len(batch) > 3
+    src = scratch_dir(spark, "t-spans")
+    att.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(src)
+    out, ckpt = scratch_dir(spark, "t-spans-out"), scratch_dir(spark, "t-spans-ckpt")
+    SS.start_backoff_spans(SS.attempt_stream(spark, src, att.schema, 10), out, ckpt).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(out).drop("batch_id").collect())) == batch
