@@ -21,13 +21,14 @@ SYLLABLES = {"latin": "ba be da do fi go ka le li mo na ra ri so ta ve".split(),
 ENDINGS = {("latin", "m"): "n", ("latin", "f"): "a", ("latin", ""): "rt", ("cyrillic", "m"): "р", ("cyrillic", "f"): "а", ("cyrillic", ""): "нко"}
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
-_WORD = r"\p{Lu}[\p{L}'’-]{1,30}"
+_WORD = r"\p{Lu}[\p{L}'’-]++"
 _GAP = r"[ .()/\u00A0\u202F\u2010\u2011\u2013-]{0,3}"
 _V4 = r"(?:\d{1,3}\.){3}\d{1,3}"
 _H = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
-    "email": r"[A-Za-z0-9_%+-][\w.%+-]{0,63}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
-    "secret": r"[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])",
+    # begins where its run of characters does (dots before it left out), so a run is read once
+    "email": r"(?<![\w%+-]|[\w%+-]\.)[A-Za-z0-9_%+-][\w.%+-]*+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}+",
+    "secret": r"[0-9a-fA-F]{32,}+(?![0-9A-Za-z])",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<!\d\.)(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)",
     "ssn": r"(?<!\d-)\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -49,6 +50,39 @@ _BEGIN = {"[A-Za-z0-9_%+-]": ("email",), "[0-9a-fA-F:]": ("ip6", "secret"), "[A-
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?={c})(?:{'|'.join(PATTERNS[n] for n in names)})" for c, names in _BEGIN.items()) + ")"
 
 
+#: Marks the ends of what was found while a text is cut at them.
+MARK = "\ue000"
+
+
+def _cut(text: Column) -> Column:
+    """The text in pieces, what was found at every odd place: one search. A text that holds the mark itself is searched twice."""
+    marked = F.split(F.regexp_replace(text, ANY, f"{MARK}$0{MARK}"), MARK, -1)
+    pairs = F.zip_with(F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda a, b: F.array(a, b))
+    return F.when(text.contains(MARK), F.filter(F.flatten(pairs), lambda x: x.isNotNull())).otherwise(marked)
+
+
+def _characters(x: Column) -> Column:
+    return F.split(x, "(?!\\A)(?=.)")
+
+
+def _luhn(digits: Column, doubled: int) -> Column:
+    """Sum of a card's digits where every second is doubled, from the last (``doubled`` 1) or the last but one place on (0)."""
+    twice = lambda d: F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+    weighed = F.transform(_characters(F.reverse(digits)), lambda c, i: F.when(i % 2 == doubled, twice(c.cast("int"))).otherwise(c.cast("int")))
+    return F.aggregate(weighed, F.lit(0), lambda a, d: a + d) % 10
+
+
+def _mod97(x: Column) -> Column:
+    """Remainder of the number that digits and letters (a = 10) spell."""
+    return F.aggregate(_characters(F.lower(x)), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 87) % 97)
+
+
+def _checked(kind: Column, canonical: Column) -> Column:
+    """The type, or ``none`` where a card's or an IBAN's check digits are wrong: some other number."""
+    iban = _mod97(F.concat(F.substring(canonical, 5, 99), F.substring(canonical, 1, 4))) == 1
+    return F.when((kind == "card") & (_luhn(canonical, 1) != 0) | (kind == "iban") & ~iban, "none").otherwise(kind)
+
+
 def _kind(raw: Column) -> Column:
     """Type of a found string, names by script and gender."""
     out = F.lit(None).cast("string")
@@ -95,7 +129,7 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     """Replacement of a canonical entity, in canonical form; a pure function of its arguments.
 
     Digits give digits (a leading one stays above zero), letters give letters, of hexadecimal strings
-    hexadecimal digits; IP addresses give octets from 1 to 254 or eight groups of four hexadecimal digits; the last label of an e-mail's domain
+    hexadecimal digits; cards and IBANs get right check digits; IP addresses give octets from 1 to 254 or eight groups of four hexadecimal digits; the last label of an e-mail's domain
     and an IBAN's country stay; names give syllables of their script with an ending of their gender,
     and a syllable more every four attempts.
     """
@@ -109,6 +143,9 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
         .when(kind == "secret", _pick(s, i, "0123456789abcdef"))
         .when(c.rlike("[0-9]"), _pick(s, i, "0123456789"))
         .when(c.rlike("[a-z]"), _pick(s, i, "abcdefghijklmnopqrstuvwxyz")).otherwise(c))), "")
+    payload, bban, country = mapped.substr(F.lit(1), F.length(mapped) - 1), F.substring(mapped, 5, 99), F.substring(mapped, 1, 2)
+    mapped = (F.when(kind == "card", F.concat(payload, F.pmod(10 - _luhn(payload, 0), F.lit(10)).cast("string")))
+              .when(kind == "iban", F.concat(country, F.lpad((98 - _mod97(F.concat(bban, country, F.lit("00")))).cast("string"), 2, "0"), bban)).otherwise(mapped))
     octets = F.array_join(F.transform(F.split(canonical, "\\."), lambda _, i: (F.pmod(_draw(s, i), F.lit(254)) + 1).cast("string")), ".")
     groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(
         _pick(s, i * 4, "123456789abcdef"), *(_pick(s, i * 4 + k, "0123456789abcdef") for k in (1, 2, 3)))), ":")
@@ -169,26 +206,29 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     entities get different surrogates, which no document contains as an entity. ``kinds`` lists the
     types found, sorted.
 
-    A null text stays null with no entity; an empty one stays empty. Repeated rows and null ids are
+    Numbers that look like a card or an IBAN but whose check digits are wrong stay as they are.
+
+    Each text is searched once, cut and written; a very long one is one cell of that table. A null text stays null with no entity; an empty one stays empty. Repeated rows and null ids are
     handled like any other; an empty table gives an empty result; other columns are not read. Only
     entities and the texts that hold some are shuffled, equal texts once.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
-    found = rows.select("text", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("at", "raw"))
-    places = landed(found.select(digest, "at", "raw").distinct(), "entity-places").withColumn("kind", _kind(F.col("raw")))
-    places = places.withColumn("canonical", _canonical(F.col("raw"), F.col("kind")))
-    new = surrogates(places, key)
-    put = (places.join(new, ["kind", "canonical"])
-           .select("digest", "at", _pour(F.col("raw"), F.col("kind"), F.col("new")).alias("new"), F.substring_index("kind", " ", 1).alias("kind")))
+    rows = rows.select("id", _cut(F.col("text")).alias("pieces")).withColumn("digest", F.when(F.size("pieces") > 1, F.sha2(F.array_join("pieces", "").cast("binary"), 256)))
+    rows = landed(rows, "cut-texts")
+    holds = F.coalesce(F.size("pieces"), F.lit(0)) > 1
+    found = rows.where(holds).select("digest", F.posexplode("pieces").alias("at", "raw")).where("at % 2 = 1")
+    places = landed(found.distinct(), "entity-places").withColumn("kind", _kind(F.col("raw")))
+    places = places.withColumn("canonical", _canonical(F.col("raw"), F.col("kind"))).withColumn("kind", _checked(F.col("kind"), F.col("canonical")))
+    new = surrogates(places.where("kind <> 'none'"), key)
+    put = (places.join(new, ["kind", "canonical"], "left")
+           .select("digest", "at", F.coalesce(_pour(F.col("raw"), F.col("kind"), F.col("new")), F.col("raw")).alias("new"), F.substring_index("kind", " ", 1).alias("kind")))
     lists = put.groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("at", "new", "kind"))).alias("put"))
-    between = F.split(F.col("text"), ANY, -1)
+    between = F.filter("pieces", lambda _, i: i % 2 == 0)
     rewritten = F.concat(F.array_join(F.zip_with(F.slice(between, 1, F.size("put")), F.col("put"), lambda a, b: F.concat(a, b["new"])), ""), F.element_at(between, -1))
-    holds = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    changed = (rows.where(holds).select("id", "text", digest).join(lists, "digest")
-               .select("id", rewritten.alias("text"), F.size("put").cast("long").alias("n_entities"),
-                       F.array_join(F.array_sort(F.array_distinct(F.transform("put", lambda x: x["kind"]))), ",").alias("kinds")))
-    same = rows.where(~holds).select("id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
+    kinds = F.filter(F.transform("put", lambda x: x["kind"]), lambda k: k != "none")
+    changed = (rows.where(holds).select("id", "pieces", "digest").join(lists, "digest")
+               .select("id", rewritten.alias("text"), F.size(kinds).cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds")))
+    same = rows.where(~holds).select("id", F.array_join("pieces", "").alias("text"), F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds"))
     return changed.unionByName(same).select(F.col("id").alias(id_col), "text", "n_entities", "kinds")
 
 

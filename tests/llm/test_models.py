@@ -465,4 +465,46 @@ def test_pii_leaves_no_planted_entity(spark):
     pattern = re.compile(r"[\w.]+@[\w.]+\.com|\b\d{16}\b|\b(?:\d{1,3}\.){3}\d{1,3}\b|\(\d{3}\) \d{3}-\d{4}|\b[0-9a-fA-F]{40}\b")
     before = {m for t in found for m in pattern.findall(t)}
     after = {m for r in QUERIES["op10_pii"](spark, SF_SMALL).collect() for m in pattern.findall(r.text)}
-    assert before and len(after) == len(before) and not before & after
+    other = {m for m in before if re.fullmatch(r"\d{16}", m) and not _luhn(m)}  # no card: it stays
+    assert before - other and len(after) == len(before) and before & after == other
+    assert all(_luhn(m) for m in after - other if re.fullmatch(r"\d{16}", m))
+
+
+def _luhn(number):
+    ds = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(ds)) % 10 == 0
+
+
+def _iban(x):
+    x = x.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_pii_check_digits(spark):
+    rnd = random.Random(3)
+    cards = ["4111111111111111", "5555-5555-5555-4444", "3782 8224 6310 0052", "6011000990139424", "4222222222222"]
+    cards += [c for c in ("".join(rnd.choices("0123456789", k=n)) for n in range(13, 20) for _ in range(60)) if _luhn(c)]
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "FR1420041010050500013M02606", "NL91 ABNA 0417 1643 00"]
+    wrong = ["4111111111111112", "1234567890123456", "DE88 3704 0044 0532 0130 00", "GB29NWBK60161331926818"]
+    texts = [*(c for c in cards if _luhn(c)), *ibans, *wrong]
+    got = {r.doc_id: r for r in pii.replace_pii(spark.createDataFrame([(k, f"see {x}, then") for k, x in enumerate(texts)], "doc_id long, text string"), "key").collect()}
+    for k, x in enumerate(texts):
+        new = got[k].text[4:-6]
+        if x in wrong:
+            assert (new, got[k].n_entities, got[k].kinds) == (x, 0, "")
+        else:
+            assert new != x and re.sub(r"\d", "9", new)[:2] == re.sub(r"\d", "9", x)[:2] and [c for c in new if c in " -"] == [c for c in x if c in " -"]
+            assert (_iban(new) and new[:2] == x[:2] if x in ibans else _luhn(new)) and got[k].kinds == ("iban" if x in ibans else "card")
+
+
+def test_pii_has_no_upper_limits(spark):
+    """Names, local parts and secrets of any length go as a whole; a text that holds the operator's own mark stays exact."""
+    word, local, secret = "S" + "c" * 60 + "hmidt", "a" * 50 + "." + "b" * 60, "0f" * 90
+    texts = [f"Herr {word} came", f"Mary {word}.", f"to {local}@mail.com now", f"key {secret} end", f"{pii.MARK}a 10.2.3.4{pii.MARK} b", f"{pii.MARK}", f"..x.y@mail.com {'a.' * 50_000}"]
+    got = {r.doc_id: r for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").collect()}
+    assert re.fullmatch(r"Herr [A-Z][a-z]{1,12} came", got[0].text) and re.fullmatch(r"\w+ [A-Z][a-z]{1,12}\.", got[1].text)
+    assert re.fullmatch(r"to [a-z]{50}\.[a-z]{60}@[a-z]{4}\.com now", got[2].text) and local not in got[2].text
+    assert re.fullmatch(r"key [0-9a-f]{180} end", got[3].text) and secret not in got[3].text
+    assert re.fullmatch(f"{pii.MARK}a [0-9.]+{pii.MARK} b", got[4].text) and got[4].n_entities == 1 and "10.2.3.4" not in got[4].text
+    assert (got[5].text, got[5].n_entities) == (pii.MARK, 0)
+    assert re.fullmatch(r"\.\.[a-z]\.[a-z]@[a-z]{4}\.com (a\.){50000}", got[6].text)
