@@ -83,6 +83,26 @@ def lookup_join(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     return join_answers(parsed, dedupe_responses(responses)).drop("answered", *READ_COLS)
 
 
+def stored_lookup_join(parsed: DataFrame, stored: DataFrame) -> DataFrame:
+    """``lookup_join`` against answers read from Parquet files, which moves each body at most once.
+
+    The answer of a key is picked by its place (file and row there), its time and a hash alone; the rows are joined to
+    that place, and the bodies to the rows at the end. Both sides of that last join are shuffled for it alone, so a key
+    that many rows share is split by AQE. Rows without an answer carry a place of their own that no
+    body has, so they spread evenly.
+    """
+    order = [F.col("fetched_at")] if "fetched_at" in stored.columns else []
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*order, F.xxhash64(*[F.col(c) for c in ANSWER_COLS])])],
+                     F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    best = (stored.where(valid_key(F.col("inchikey"))).select("inchikey", place.alias("place"))
+            .groupBy("inchikey").agg(F.max("place").alias("place")).select("inchikey", "place.file", "place.row"))
+    rows = join_answers(parsed, best).withColumns({
+        "_file": F.coalesce("file", F.lit("")), "_row": F.coalesce("row", -1 - F.col("row_index"))}).drop("file", "row")
+    bodies = stored.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"),
+                           *ANSWER_COLS, *[c for c in ("fetched_at",) if c in stored.columns])
+    return rows.join(bodies, ["_file", "_row"], "left").drop("_file", "_row")
+
+
 def annotate(parsed: DataFrame, responses: DataFrame) -> DataFrame:
     """Every parsed row with exactly one outcome.
 

@@ -172,6 +172,16 @@ def q_lookup_join(spark, d):
     return j.select("row_index", "inchikey", "status", "content_type", "body")
 
 
+@query("stored_lookup_join", O.on_t(
+    "SELECT row_index, inchikey, status, content_type, body FROM joined"))
+def q_stored_lookup_join(spark, d):
+    """D1 over answers stored as Parquet: bodies are fetched last, by their place."""
+    path = scratch_dir(spark, "responses")
+    X.responses(spark, d).write.parquet(path)
+    j = lookup.stored_lookup_join(P.parsed(spark, d), spark.read.parquet(path))
+    return j.select("row_index", "inchikey", "status", "content_type", "body")
+
+
 @query("unprocessed_rows", O.on_t(
     "SELECT s.row_index, s.line FROM submissions s WHERE NOT EXISTS (SELECT 1 FROM states t "
     "JOIN prior_rows p ON t.row_index = p.row_index WHERE t.row_index = s.row_index)"))
