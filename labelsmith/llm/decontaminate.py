@@ -77,7 +77,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
 
     A block is collected when it is asked for.
     """
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).cast("binary").alias("text"))
+    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).cast("binary").alias("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-2 * total // block_bytes) if total > block_bytes else 1
     for k in range(n):

@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from oracle_harness import compare
 from pyspark.sql import functions as F
 
-from labelsmith.llm import chat_format, decontaminate, exact_dedup, url_filter
+from labelsmith.llm import chat_format, common, decontaminate, exact_dedup, url_filter
 from labelsmith.llm.queries import ORACLE, QUERIES
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -148,12 +148,19 @@ def test_contamination_against_brute_force(spark, block):
     assert decontaminate.keep_clean(clash, bench, size=4, block_bytes=block).columns == clash.columns
 
 
+def test_repeated_items_are_one(spark):
+    bench = spark.createDataFrame([(1, "a b c d"), (2, "e f")], "item_id long, text string")
+    many = bench.crossJoin(spark.range(500)).drop("id")
+    assert [len(items) for _, items in decontaminate._blocks(many, "item_id", "text", 100)] == [2]
+
+
 def test_blocks_are_landed_one_by_one(spark, monkeypatch):
     assert decontaminate.BLOCK_BYTES <= 2 << 20
     docs = spark.createDataFrame([(k, f"a{k % 7} b{k % 5} c d") for k in range(40)], "doc_id long, text string").repartition(4)
     bench = spark.createDataFrame([(k, f"a{k} b{k} c") for k in range(7)], "item_id long, text string")
     names, real = [], decontaminate.landed
-    monkeypatch.setattr(decontaminate, "landed", lambda df, name: names.append(name) or real(df, name))
+    for module in (decontaminate, common):
+        monkeypatch.setattr(module, "landed", lambda df, name: names.append(name) or real(df, name))
     got, kept = (f(docs, bench, size=3, block_bytes=20) for f in (decontaminate.contamination, decontaminate.keep_clean))
     n = names.count("contamination-block")
     assert n > 1 and names == ["contamination-rows", *["contamination-block"] * n, "clean-rows", *["clean-hits"] * n]
