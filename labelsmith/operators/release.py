@@ -149,22 +149,49 @@ def cut_release(spark: SparkSession, shards, out: str, states: DataFrame, total_
                 generated_at: str | None = None) -> bool:
     """Gate, merged dataset, summary and manifest of one release; False when the gate is shut.
 
-    The manifest is written last: a folder without one is no release, and a cut that failed is cut
-    again into another folder.
+    Of listed shards (``jsonl.zst``) only overlaps are merged, and class counts of shards that an earlier release saw
+    come from their store beside the shards (``snapshots``). The manifest is written last: a folder without one
+    is no release, and a cut that failed is cut again into another folder.
     """
-    from . import report, taxonomy
+    from . import report, snapshots, taxonomy
     from .states import state_counts
     counts, files = state_counts(states), shard_files(spark, shards)
     if not release_gate(counts, files):
         return False
-    merge_release(spark, shards, fmt).write.parquet(f"{out}/dataset")
-    dataset = spark.read.parquet(f"{out}/dataset")
-    ranked = taxonomy.taxonomy_ranked(taxonomy.taxonomy_counts(taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(dataset))))
+    if fmt == "jsonl.zst":
+        snapshots.merge_units(spark, shards).write.parquet(f"{out}/dataset")
+        classes = snapshots.release_counts(spark, shards, f"{shards.rstrip('/')}/_counts")
+    else:
+        merge_release(spark, shards, fmt).write.parquet(f"{out}/dataset")
+        classes = taxonomy.taxonomy_counts(taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(spark.read.parquet(f"{out}/dataset"))))
+    ranked = taxonomy.taxonomy_ranked(classes)
     write_json_document(report.summary_document(spark, report.with_total(counts, total_rows), ranked, generated_at), f"{out}/progress-summary")
-    write_json_document(release_manifest(counts, files, fmt, generated_at), f"{out}/manifest")
+    write_manifest(counts, files, out, fmt, generated_at)
     return True
 
 
+def write_manifest(counts: DataFrame, files: DataFrame, out: str, fmt: str = C.RELEASE_FORMAT, generated_at: str | None = None) -> None:
+    """``manifest-files`` (a JSON line per file, by name, written by as many tasks as it takes), then ``manifest``.
+
+    The latter is one document: time, format, the four counts, the number of files and their bytes.
+    """
+    from .report import attach_one_row
+    files.orderBy("filename").write.mode("overwrite").json(f"{out}/manifest-files")
+    total = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    head = attach_one_row(counts.select(*[f"{s}_rows" for s in C.STATES]), total)
+    write_json_document(head.select(_generated(generated_at).alias("generated_at"), F.lit(fmt).alias("format"), *[f"{s}_rows" for s in C.STATES], "files", "bytes"),
+                        f"{out}/manifest")
+
+
+def read_manifest_files(spark: SparkSession, out: str) -> DataFrame:
+    """``(filename, bytes)`` of a release's shards."""
+    return spark.read.schema("filename string, bytes long").json(f"{out}/manifest-files")
+
+
+def _generated(at: str | None) -> F.Column:
+    return F.lit(at) if at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
+
 def shard_files(spark: SparkSession, shards: str) -> DataFrame:
     """``(filename, bytes)`` of every non-empty data file below the shard directory, by name.
 
@@ -178,14 +205,11 @@ def shard_files(spark: SparkSession, shards: str) -> DataFrame:
 
 def release_manifest(counts: DataFrame, files: DataFrame, fmt: str = C.RELEASE_FORMAT,
                      generated_at: str | None = None) -> DataFrame:
-    """One row: format, four counts and the sorted shard file list (a row per file of at
-    most 128 MiB of answers: some hundred bytes each, 800,000 of them at 100 TB)."""
+    """The manifest as one row, file list included: for lists that fit in one cell (``write_manifest`` has no such limit)."""
     from .report import attach_one_row
     flist = files.agg(F.sort_array(F.collect_list(F.struct("filename", "bytes"))).alias("shards"))
-    ts = F.lit(generated_at) if generated_at else F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return attach_one_row(counts.select(*[f"{s}_rows" for s in C.STATES]), flist).select(
-        ts.alias("generated_at"), F.lit(fmt).alias("format"),
+        _generated(generated_at).alias("generated_at"), F.lit(fmt).alias("format"),
         *[f"{s}_rows" for s in C.STATES], "shards")
 
 

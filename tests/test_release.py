@@ -101,6 +101,22 @@ def test_cut_release_publishes_the_manifest_last(spark, tmpdir_path):
     doc = R.read_summary(spark, out + "/progress-summary").first()
     assert doc[C.SUMMARY_TOTAL_FIELD] == 9 and doc.counts.miss_rows == 1
     assert R.read_manifest_counts(spark, out + "/manifest").first().success_rows == 2
+    listed = [tuple(r) for r in R.read_manifest_files(spark, out).collect()]
+    assert sorted(listed) == sorted((r.filename, r.bytes) for r in R.shard_files(spark, shards).collect()) and len(listed) == 2
+    head = spark.read.json(out + "/manifest").first()
+    assert (head.files, head.bytes, head.format, head.generated_at) == (2, sum(b for _, b in listed), "jsonl", "2024-01-01T00:00:00Z")
+
+
+def test_releases_of_listed_shards(spark, tmpdir_path):
+    shards, states = os.path.join(tmpdir_path, "z"), spark.createDataFrame([(0, "success"), (3, "success"), (4, "miss")], "row_index BIGINT, state STRING")
+    for k, n in enumerate((2, 3)):  # a second cut, with a record of a row that is there and a new one
+        R.write_success_shards(_records(spark, n).where(f"row_index >= {3 * k}").withColumn("fetched_at", F.lit(f"2024-0{k + 1}-01")), shards, max_records=1, fmt="jsonl.zst")
+        out = os.path.join(tmpdir_path, f"r{k}")
+        assert R.cut_release(spark, shards, out, states, 9, fmt="jsonl.zst")
+        assert sorted(r.row_index for r in spark.read.parquet(out + "/dataset").collect()) == [0, 3, 6][:n]
+        classes = R.read_summary(spark, out + "/progress-summary").first().taxonomy_layers[4].classes
+        assert [(c.name, c.label_count) for c in classes] == [("Alkanes", n)]
+        assert R.read_manifest_files(spark, out).count() == (2, 4)[k]
 
 
 def test_summary_round_trip(spark, tmpdir_path):
