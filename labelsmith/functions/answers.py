@@ -74,6 +74,12 @@ def read_answers(df: DataFrame, usable: Column | None = None, body: str = "body"
     return step.withColumn(out, single_entries(F.coalesce("_parsed", "_checked"))).drop("_objects", "_parsed", "_checked")
 
 
+def held(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` with ``cols`` (moved to the end) as what a generator puts out: a filter on them stays above it, so
+    that their expressions, a parse among them, stand in the plan once and not again in the filter below."""
+    return df.select(*[c for c in df.columns if c not in cols], F.inline(F.array(F.struct(*cols))))
+
+
 def json_object_body(entries: Column) -> Column:
     """Body is exactly one JSON object, without trailing text and without a repeated taxonomy key."""
     return entries.isNotNull()

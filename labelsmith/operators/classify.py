@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import (backoff_reason, compact_error, has_classification, html_summary,
+from ..functions import (backoff_reason, compact_error, has_classification, held, html_summary,
                          json_object_body, looks_html, looks_not_found, read_answers, trim_ws,
                          with_taxonomy)
 
@@ -61,8 +61,8 @@ def with_answer_state(answers: DataFrame) -> DataFrame:
 
 
 def classify_answers(answers: DataFrame) -> DataFrame:
-    """Add ``state`` and ``reason`` to a frame of answers."""
-    return with_answer_state(answers).drop("nodes")
+    """Add ``state`` and ``reason`` to a frame of answers; a filter on them parses no body again."""
+    return held(with_answer_state(answers).drop("nodes"), "state", "reason")
 
 
 def with_error_bucket(df: DataFrame, message_col: str = "reason") -> DataFrame:

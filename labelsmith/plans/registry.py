@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .. import fixtures as X
-from ..functions import (has_classification, html_summary, json_object_body, looks_html,
+from ..functions import (has_classification, held, html_summary, json_object_body, looks_html,
                          looks_not_found, read_answers, valid_key)
 from ..operators import classify, lookup, parse, report, taxonomy
 from ..session import apply_query_conf, scratch_dir
@@ -125,7 +125,7 @@ def q_json_valid(spark, d):
     f"WHERE {O.json_object('body')}"))
 def q_has_classification(spark, d):
     """Any of the five taxonomy fields present and not null."""
-    r = read_answers(X.responses(spark, d)).where(json_object_body(F.col("_entries")))
+    r = held(read_answers(X.responses(spark, d)), "_entries").where(json_object_body(F.col("_entries")))
     return r.select("inchikey", has_classification(F.col("_entries")).alias("has_classification"))
 
 

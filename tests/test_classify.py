@@ -96,3 +96,10 @@ def test_half_a_surrogate_pair_is_no_crash(spark):
     df = spark.createDataFrame([(k, 200, "application/json", b) for k, b in enumerate((flat, nested, named))], "i INT, status INT, content_type STRING, body STRING")
     got = {r.i: (r.state, r.reason) for r in classify_answers(df).collect()}
     assert got[0] == got[1] == (C.SUCCESS, None) and got[2] == (C.SUCCESS, None)
+
+
+def test_a_filter_on_the_outcome_parses_no_body_again(spark):
+    df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(CASES)], "i INT, status INT, content_type STRING, body STRING")
+    failed = classify_answers(df).where(F.col("state") == C.FAILED).select("i", "reason")
+    assert failed._jdf.queryExecution().optimizedPlan().toString().count("from_json(ArrayType(MapType") == 1
+    assert sorted(r.i for r in failed.collect()) == [i for i, c in enumerate(CASES) if c[3] == C.FAILED]

@@ -49,3 +49,9 @@ def test_recent_events_uses_partial_group_limit(spark):
     df.write.format("noop").mode("overwrite").save()
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in opt or "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("name", ["failure_reason", "has_classification"])
+def test_a_filter_on_what_was_read_parses_no_answer_again(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(ArrayType(MapType") == 1
