@@ -111,11 +111,13 @@ def read_success_records(spark: SparkSession, path, fmt: str = C.RELEASE_FORMAT,
     """All shard records; missing paths and zero-length files are skipped, blank lines ignored,
     a malformed line fails the read (FAILFAST). ``answer_field`` names the answer in shards of others."""
     there = [p for p in ([path] if isinstance(path, str) else list(path)) if path_exists(spark, p)]
+    listed = fmt.startswith("jsonl")  # one read of all paths: a plan that does not grow with their number
     schema = T.StructType([T.StructField(answer_field if f.name == C.ANSWER_FIELD else f.name, f.dataType) for f in RECORD_SCHEMA.fields])
     out = spark.createDataFrame([], schema) if not there else None
-    for p in there:
-        if fmt.startswith("jsonl"):
-            df = spark.read.schema(schema).option("mode", "FAILFAST").option("ignoreMissingFiles", "true").json(p)
+    for p in [there] if listed and there else there:
+        if listed:
+            df = (spark.read.schema(schema).option("mode", "FAILFAST").option("ignoreMissingFiles", "true")
+                  .option("recursiveFileLookup", "true").json(p))
         else:
             df = spark.read.option("ignoreMissingFiles", "true").parquet(p)
         df = df.select(*[c for c in schema.names if c in df.columns])

@@ -97,3 +97,14 @@ def test_counts_of_a_failed_run_are_not_added(spark, tmpdir_path):
     taxonomy.spelling_counts(taxonomy.taxonomy_nodes(long), "unit").write.parquet(f"{store}/counts/run=dead")  # died before its units were noted
     assert sorted(map(tuple, SN.release_counts(spark, out, store).collect())) == _recount(spark, out)
     assert SN.shard_index(spark, out).agg(F.sum("records")).first()[0] == 20
+
+
+def test_many_shards_are_one_read(spark, tmpdir_path):
+    out = tmpdir_path + "/z"
+    recs = _write(spark, out, list(range(0, 120)), max_records=4)
+    merged = SN.merge_units(spark, out)
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1  # however many shards
+    assert sorted(map(tuple, merged.select(*recs.columns).collect())) == sorted(map(tuple, recs.collect()))
+    files = SN.shard_index(spark, out).select("path").collect()
+    both = R.read_success_records(spark, [*(r.path for r in files), out + "/success-999999.jsonl.zst"], "jsonl.zst")
+    assert len(files) >= 30 and both.count() == 120
