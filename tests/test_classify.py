@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelsmith import config as C
-from labelsmith.functions import backoff_reason, compact_error, html_summary
+from labelsmith.functions import ascii_lower, backoff_reason, compact_error, html_summary
 from labelsmith.operators.classify import classify_answers
 
 CLASSIFIED = ('{"kingdom":{"name":"Things","chemont_id":"T:0"},'
@@ -103,3 +103,14 @@ def test_a_filter_on_the_outcome_parses_no_body_again(spark):
     failed = classify_answers(df).where(F.col("state") == C.FAILED).select("i", "reason")
     assert failed._jdf.queryExecution().optimizedPlan().toString().count("from_json(ArrayType(MapType") == 1
     assert sorted(r.i for r in failed.collect()) == [i for i, c in enumerate(CASES) if c[3] == C.FAILED]
+
+
+def test_ascii_lower_changes_a_to_z_alone(spark):
+    texts = ["", "ABC xyz", "İSTANBUL ÄÖ", "KK Z", "\x00A\x7f", "ΣΑΣ ABC", "😀 NOT", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t STRING").select(ascii_lower("t")).collect()]
+    assert got == [t if t is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t) for t in texts]
+
+
+def test_ascii_text_is_not_translated_per_character(spark):
+    plan = spark.createDataFrame([("A",)], "t STRING").select(ascii_lower("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and "lower(" in plan
