@@ -57,9 +57,10 @@ def _folders(spark: SparkSession, path: str, prefixes: list[str], schema: T.Stru
 def land_answers(responses: DataFrame, path: str, letters: int = LETTERS, run: int = 0) -> str:
     """Write the deduplicated answers of a run by the first ``letters`` of their key; returns ``path``.
 
-    A run is written whole, so writing it again changes nothing.
+    A run is written whole, so writing it again changes nothing. Outcome and answer alone are landed: the nodes,
+    which no trigger reads, would be most of what the two exchanges move.
     """
-    deduped = lookup.dedupe_responses(responses)
+    deduped = lookup.dedupe_responses(responses).drop("nodes")
     (deduped.withColumn("prefix", _prefix(letters)).repartition("prefix").sortWithinPartitions("prefix", "inchikey")
      .write.mode("overwrite").partitionBy("prefix").parquet(f"{path}/run={int(run)}"))
     return path
@@ -81,10 +82,13 @@ def _write(df: DataFrame, out_dir: str, table: str, batch_id: int, *by: str) ->
 def _finish(spark: SparkSession, parsed: DataFrame, answers: DataFrame, out_dir: str, batch_id: int) -> DataFrame:
     """States and records of the parsed rows that have an outcome; returns all of them with their state, landed.
 
-    Only light columns meet the rows; bodies are read again for the successful ones.
+    Only light columns meet the rows; bodies are read again for the successful ones. Landed rows keep what is still
+    read of them: the line of a pending one, the fields of a successful one.
     """
     light = lookup.annotate_with_answers(parsed, answers.select("inchikey", "answered", "state", "reason"))
     path = scratch_dir(spark, "batch")
+    kept = {"line": C.PENDING, "cid": C.SUCCESS, "inchi": C.SUCCESS}
+    light = light.withColumns({c: F.when(F.col("state") == s, F.col(c)) for c, s in kept.items()})
     light.select("row_index", "line", "cid", "inchi", "inchikey", "state", "reason").write.parquet(path)
     light = spark.read.parquet(path)
     _write(light.where(F.col("state") != C.PENDING).select("row_index", "state", "reason"), out_dir, "states", batch_id)

@@ -206,3 +206,9 @@ def test_backoff_spans_stream_equals_batch(spark):
     out, ckpt = scratch_dir(spark, "t-spans-out"), scratch_dir(spark, "t-spans-ckpt")
     SS.start_backoff_spans(SS.attempt_stream(spark, src, att.schema, 10), out, ckpt).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(out).drop("batch_id").collect())) == batch
+
+
+def test_landed_answers_hold_no_nodes(spark):
+    path = SA.land_answers(_answers(spark, range(5)), scratch_dir(spark, "t-light-answers"), letters=1)
+    assert {"inchikey", "answered", "state", "reason", "body", "fetched_at"} <= set(SA.answer_schema(spark, path).names)
+    assert "nodes" not in SA.answer_schema(spark, path).names
