@@ -51,6 +51,15 @@ def land_records(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def land_outcomes(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
+    """Every row with its state, reason and, of a successful one, its answer, written once and read back: for plans
+    that need the records and the counts of all states."""
+    ann = annotated(spark, sf_dir)
+    body = F.when(F.col("state") == C.SUCCESS, F.col("body")).alias("body")
+    ann.select("row_index", "cid", "inchi", "inchikey", "fetched_at", body, "state", "reason").write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = parse.success_nodes(annotated(spark, sf_dir))
     nodes = taxonomy.taxonomy_nodes(taxonomy.taxonomy_long(recs))

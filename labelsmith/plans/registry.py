@@ -677,6 +677,13 @@ def _write_shards(spark, d, fmt="jsonl") -> str:
     return out
 
 
+def _shards_and_states(spark, d) -> tuple[str, DataFrame]:
+    """Shards of the records and the states of all rows, from one annotation."""
+    out, ann = scratch_dir(spark, "success-shards"), P.land_outcomes(spark, d, scratch_dir(spark, "outcomes"))
+    R.write_success_shards(P.records(ann), out, max_records=FIXTURE_SHARD_RECORDS, max_bytes=FIXTURE_SHARD_BYTES, fmt="jsonl")
+    return out, P.terminal_states(ann)
+
+
 @query("scan_success_records", O.on_t(
     f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records"))
 def q_scan_success_records(spark, d):
@@ -762,24 +769,20 @@ def q_release_counts(spark, d):
     f"(SELECT count(DISTINCT shard_no) FROM ({_SHARD_SQL})) AS shard_dirs FROM counts"))
 def q_release_manifest(spark, d):
     """H4: manifest counts and the number of shard directories listed."""
-    out = _write_shards(spark, d)
-    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, out))
+    out, states = _shards_and_states(spark, d)
+    m = R.release_manifest(P.state_counts(states), R.shard_files(spark, out))
     dirs = F.size(F.array_distinct(F.transform(
         "shards", lambda s: F.regexp_extract(s["filename"], r"^(shard=[^/]+)/", 1))))
     return m.select("format", *[f"{s}_rows" for s in C.STATES], dirs.cast("long").alias("shard_dirs"))
 
 
-def _states_with_reason(spark, d):
-    return P.terminal_states(P.annotated(spark, d))
-
-
 @query("release_gate", O.on_t(
     f"SELECT row_index, cid, inchi, inchikey, fetched_at, {C.ANSWER_FIELD} FROM records "
     "WHERE (SELECT success_rows FROM counts) > 0"))
 def q_release_gate(spark, d):
     """H5: the release exists only with successful rows and a non-empty shard."""
-    out = _write_shards(spark, d)
-    counts = P.state_counts(_states_with_reason(spark, d))
+    out, states = _shards_and_states(spark, d)
+    counts = P.state_counts(states)
     if not R.release_gate(counts, R.shard_files(spark, out)):
         return spark.createDataFrame([], R.RECORD_SCHEMA)
     return R.merge_release(spark, out)
@@ -820,8 +823,8 @@ def q_read_summary(spark, d):
 def q_read_manifest_counts(spark, d):
     """Four counts from a written release manifest."""
     out = scratch_dir(spark, "manifest")
-    shards = _write_shards(spark, d)
-    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, shards))
+    shards, states = _shards_and_states(spark, d)
+    m = R.release_manifest(P.state_counts(states), R.shard_files(spark, shards))
     R.write_json_document(m, out)
     return R.read_manifest_counts(spark, out)
 
@@ -830,8 +833,8 @@ def q_read_manifest_counts(spark, d):
 def q_summary_or_recompute(spark, d):
     """A release without stored summary: recomputed from dataset, manifest counts, total."""
     rel = scratch_dir(spark, "release")
-    shards = _write_shards(spark, d)
-    m = R.release_manifest(P.state_counts(_states_with_reason(spark, d)), R.shard_files(spark, shards))
+    shards, states = _shards_and_states(spark, d)
+    m = R.release_manifest(P.state_counts(states), R.shard_files(spark, shards))
     R.write_json_document(m, rel + "/manifest")
     dataset = R.merge_release(spark, shards)
     total = X.submissions(spark, d).count()

@@ -55,3 +55,12 @@ def test_recent_events_uses_partial_group_limit(spark):
 def test_a_filter_on_what_was_read_parses_no_answer_again(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(ArrayType(MapType") == 1
+
+
+@pytest.mark.parametrize("name", ["release_gate", "summary_or_recompute", "release_manifest", "read_manifest_counts"])
+def test_a_release_annotates_once(spark, name, monkeypatch):
+    from labelsmith.plans import annotate as P
+    done, annotated = [], P.annotated
+    monkeypatch.setattr(P, "annotated", lambda *a: done.append(a) or annotated(*a))
+    QUERIES[name](spark, SF_SMALL)
+    assert len(done) == 1
