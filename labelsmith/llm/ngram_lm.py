@@ -1,7 +1,14 @@
-"""Interpolated modified Kneser-Ney model of any order from 2, counted in Spark, mapped by workers (operator 4)."""
+"""Interpolated modified Kneser-Ney model of any order from 2, counted in Spark, mapped by workers (operator 4).
+
+Words get numbers, frequent ones small. An n-gram goes to the shard of its last context word: all n-grams,
+contexts and shorter n-grams around that word meet there, so the statistics of every level but the words'
+need no other exchange. A shard's file is a tree: contexts by their last word and then leftwards, and per
+context its followers, above level 2 as places among the followers of the context one word shorter.
+"""
 
 from __future__ import annotations
 
+import json
 import os
 import pickle
 import shutil
@@ -9,7 +16,7 @@ import tempfile
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +35,22 @@ BEGIN, END = (mix(np.array([n], np.uint64))[0] for n in (1, 2))
 CHUNK = 4 << 20
 #: Order of the registered query's model.
 ORDER = 3
-#: Columns of the statistics of a word or shorter n-gram: as context its occurrences and followers seen
-#: once, twice, more often (below the highest order by their different contexts); as word its different
-#: contexts and its occurrences.
+#: Number of a word that training has not seen.
+UNKNOWN = np.uint64(2**64 - 1)
+#: Columns of the statistics of a word: as context its occurrences and followers seen once, twice, more
+#: often (below the highest order by their different contexts); as word its different contexts and its
+#: occurrences.
 CONTEXT_TOTAL, ONCE, TWICE, MORE, CONTEXTS, COUNT = range(6)
 
 
-def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk: int = CHUNK, order: int = 2) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk: int = CHUNK, order: int = 2,
+                 begin: np.uint64 = BEGIN, end: np.uint64 = END) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(text number, context hash, word hash)`` of all tokens, in blocks of about ``chunk`` bytes.
 
     A text's tokens are its words and one end; the first has beginnings as context. Above order 2 the
     context is a row of hashes per place, the nearest last. A text longer than a block is cut at white
-    space, its last words carried on as context.
+    space, its last words carried on as context. ``hashes`` may give numbers instead, with those of ``begin``
+    and ``end``.
     """
     wide = order - 1
     shaped = lambda rows: rows[0] if order == 2 else rows
@@ -52,9 +63,9 @@ def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk:
         token = np.empty(len(words) + len(n), np.uint64)
         inner = np.ones(len(token), bool)
         inner[last] = False
-        token[inner], token[last] = words, END
+        token[inner], token[last] = words, end
         place = np.arange(len(token)) - np.repeat(last - n, n + 1)
-        context = np.full((wide, len(token)), BEGIN)
+        context = np.full((wide, len(token)), begin)
         for back in range(1, order):
             some = np.flatnonzero(place >= back)
             context[wide - back, some] = token[some - back]
@@ -62,14 +73,14 @@ def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk:
 
     for k, text in texts:
         if len(text) > chunk:
-            before = np.full(wide, BEGIN)
+            before = np.full(wide, begin)
             for part in word_blocks(text, chunk):
                 words, _ = hashes([part])
                 if len(words):
                     row = np.concatenate([before, words])
                     yield np.full(len(words), k), shaped(np.stack([row[a:a + len(words)] for a in range(wide)])), words
                     before = row[-wide:]
-            yield np.array([k]), shaped(before[:, None]), np.array([END])
+            yield np.array([k]), shaped(before[:, None]), np.array([end])
             continue
         held.append((k, text))
         size += len(text)
@@ -81,26 +92,25 @@ def token_blocks(texts: Iterator[tuple[int, bytes]], hashes: WordHashes, chunk:
         yield block()
 
 
-def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(context * np.uint64(3) + np.uint64(1)) + word
-
-
 def _key(words: np.ndarray) -> np.ndarray:
-    """Hash of n-grams given as a row of word hashes per place."""
+    """Hash of rows of words, a row per place."""
     key = words[0]
     for word in words[1:]:
-        key = _pair(key, word)
+        key = mix(key * np.uint64(3) + np.uint64(1)) + word
     return key
 
 
-def _shard(words: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of an n-gram of highest order: its first word's, or, where that is hot, one of its own."""
-    own = np.where(np.isin(words[0], hot), _key(words), words[0]) if len(hot) else words[0]
-    return (mix(own) >> np.uint64(40)).astype(np.int64) & (shards - 1)
+def _shard(last: np.ndarray, word: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of n-grams: their last context word's, or, where that is hot, one of it and the word."""
+    own = last & np.uint64(shards - 1)
+    if len(hot):
+        some = np.isin(last, hot)
+        own[some] = mix(_key(np.stack([last[some], word[some]]))) >> np.uint64(20) & np.uint64(shards - 1)
+    return own.astype(np.int64)
 
 
 def _low_shard(key: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of a word or of an n-gram below the highest order."""
+    """Shard of a word's or a context's hash; a word's number ends in its shard."""
     return (mix(key) >> np.uint64(20)).astype(np.int64) & (shards - 1)
 
 
@@ -114,14 +124,37 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
             for t, n, p in pickle.loads(zstandard.decompress(blob))]
 
 
-def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of the rows of ``values``."""
-    if not len(keys):
-        return keys, values
-    by = np.argsort(keys)
-    keys = keys[by]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(values[by], first, axis=0)
+def _order(cols: list[np.ndarray]) -> np.ndarray:
+    """Places of the rows in order of unsigned columns, the first above all; columns that fit 64 bits together are sorted as one."""
+    joint, used = [], 0
+    for col in cols:
+        bits = int(col.max()).bit_length() if len(col) else 0
+        if joint and used + bits <= 64:
+            joint[-1] = joint[-1] << np.uint64(bits) | col.astype(np.uint64)
+            used += bits
+        else:
+            joint.append(col.astype(np.uint64))
+            used = bits
+    return np.argsort(joint[0]) if len(joint) == 1 else np.lexsort(joint[::-1])
+
+
+def _new(*cols: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted columns differs from the one before."""
+    new = np.zeros(len(cols[0]), bool)
+    new[:1] = True
+    for col in cols:
+        new[1:] |= col[1:] != col[:-1]
+    return new
+
+
+def _fold(cols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows, sorted, and the sums of their values."""
+    if not len(values):
+        return cols, values
+    by = _order(list(cols))
+    cols = cols[:, by]
+    first = np.flatnonzero(_new(*cols))
+    return cols[:, first], np.add.reduceat(values[by], first, axis=0)
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -129,26 +162,96 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if values.size else 0))
 
 
-def _write(folder: str, name: str, array: np.ndarray) -> None:
-    """An array as a raw file that appears whole or not at all; a task run again writes the same."""
+def _small(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts that are mostly small: a byte each, the others beside them by place."""
+    big = np.flatnonzero(values >= 255)
+    return {name: np.minimum(values, 255).astype(np.uint8), f"{name}@": big.astype(np.int64), f"{name}=": values[big].astype(np.int64)}
+
+
+def _counts(file: dict, name: str, at: np.ndarray) -> np.ndarray:
+    """Counts at places of what ``_small`` made."""
+    out = file[name][at].astype(np.int64)
+    big = np.flatnonzero(out == 255)
+    out[big] = file[f"{name}="][np.searchsorted(file[f"{name}@"], at[big])]
+    return out
+
+
+def _spans(name: str, sizes: np.ndarray) -> dict[str, np.ndarray]:
+    """Sizes, none of them 0, of groups that lie one behind the other: those over 1, and what they have over it till then."""
+    more = np.flatnonzero(sizes > 1)
+    return {f"{name}@": more.astype(np.min_scalar_type(len(sizes))), f"{name}+": _narrow(np.concatenate(([0], np.cumsum(sizes[more] - 1))))}
+
+
+def _find(have: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a sorted array at or before which the wanted come, and whether they are there."""
+    if not len(have):
+        return np.zeros(len(want), np.int64), np.zeros(len(want), bool)
+    fits = want <= np.uint64(have[-1])
+    at = np.searchsorted(have, np.where(fits, want, 0).astype(have.dtype))
+    return at, fits & (have[np.minimum(at, len(have) - 1)] == want)
+
+
+def _span(file: dict, name: str, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of groups, which of them have over one row, and their places among those that do."""
+    more, before = file[f"{name}@"], file[f"{name}+"]
+    at = np.searchsorted(more, of.astype(more.dtype))
+    many = more[np.minimum(at, len(more) - 1)] == of if len(more) else np.zeros(len(of), bool)
+    start = of + before[at].astype(np.int64)
+    return start, of + 1 + before[at + many].astype(np.int64), many, at
+
+
+def _within(values: np.ndarray, start: np.ndarray, end: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted in sorted groups of an array, and whether they are there."""
+    place, size = start.copy(), end - start
+    some = size > 0
+    todo = np.flatnonzero(size > 1)
+    low, left, of = place[todo], size[todo], want[todo]
+    while len(todo):
+        half = left >> 1
+        low += half * (values[low + half] <= of)
+        left -= half
+        more = left > 1
+        if np.count_nonzero(more) < 0.75 * len(todo):
+            place[todo] = low
+            todo, low, left, of = todo[more], low[more], left[more], of[more]
+    return place, some & (values[np.minimum(place, len(values) - 1)] == want)
+
+
+def _write(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
+    """Arrays as one raw file that appears whole or not at all; a task run again writes the same."""
     store, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
     part = f"{path}/.{name}-{uuid.uuid4().hex}"
     store.create_dir(path, recursive=True)
+    head, at = {}, 0
+    for key, x in arrays.items():
+        head[key] = (x.dtype.str, x.shape, at)
+        at += -(-x.nbytes // 8) * 8
+    line = json.dumps(head).encode()
+    line += b" " * (-len(line) % 8)
     with store.open_output_stream(part) as f:
-        f.write(np.ascontiguousarray(array).tobytes())
+        f.write(len(line).to_bytes(8, "little") + line)
+        for x in arrays.values():
+            f.write(np.ascontiguousarray(x).tobytes() + bytes(-x.nbytes % 8))
     store.move(part, f"{path}/{name}")
 
 
-def _map(folder: str, name: str, dtype) -> np.ndarray:
-    """A raw file as a memory-mapped array. From a remote store a copy is mapped, which has no name and
+def _map(folder: str, name: str) -> dict[str, np.ndarray]:
+    """A raw file's arrays, memory-mapped. From a remote store a copy is mapped, which has no name and
     goes with its mapping."""
     if "://" not in folder:
-        path = f"{folder}/{name}"
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    store, path = fs.FileSystem.from_uri(f"{folder}/{name}")
-    with store.open_input_stream(path) as f, tempfile.TemporaryFile() as copy:
-        shutil.copyfileobj(f, copy, 1 << 20)
-        return np.memmap(copy, dtype, "r") if copy.tell() else np.zeros(0, dtype)
+        data = np.memmap(f"{folder}/{name}", np.uint8, "r")
+    else:
+        store, path = fs.FileSystem.from_uri(f"{folder}/{name}")
+        with store.open_input_stream(path) as f, tempfile.TemporaryFile() as copy:
+            shutil.copyfileobj(f, copy, 1 << 20)
+            data = np.memmap(copy, np.uint8, "r")
+    data = np.asarray(data)
+    base = 8 + int.from_bytes(data[:8].tobytes(), "little")
+    out = {}
+    for key, (kind, shape, at) in json.loads(data[8:base].tobytes()).items():
+        size = np.dtype(kind).itemsize * int(np.prod(shape))
+        out[key] = data[base + at:base + at + size].view(kind).reshape(shape)
+    return out
 
 
 ROW = "shard int, blob binary"
@@ -158,6 +261,13 @@ def _rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "blob"])
 
 
+def _split(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that occurs, with the places of its rows in order."""
+    by = np.argsort(_narrow(shard), kind="stable")
+    present, cuts = np.unique(shard[by], return_index=True)
+    return zip(present.tolist(), np.split(by, cuts[1:]))
+
+
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
     """The blobs of each shard (rows come sorted by shard)."""
     now, blobs = None, []
@@ -178,47 +288,71 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
             yield 0, t.as_py()
 
 
-def _frequent(share: float):
-    """Task: words that are at least ``share`` of its tokens, with their counts (at most 1 / share words)."""
+def _tally(shards: int, flush: int):
+    """Task: the words of its texts with counts, folded, a blob per shard. The beginning is among them, with none."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def out() -> pa.RecordBatch:
+            return _rows([(s, _pack(keys[of], _narrow(counts[of]))) for s, of in _split(_low_shard(keys, shards))])
+
+        for _, _, word in token_blocks(_texts(batches), WordHashes()):
+            k, c = np.unique(np.append(word, BEGIN), return_counts=True)
+            c[k == BEGIN] -= 1
+            (keys,), counts = _fold(np.concatenate([keys, k])[None], np.concatenate([counts, c]))
+            if len(keys) >= flush:
+                yield out()
+                keys, counts = keys[:0], counts[:0]
+        if len(keys):
+            yield out()
+
+    return run
+
+
+def _dictionary(folder: str, shards: int, least: float):
+    """Task: a shard's words, written by sorted hash with their ranks and, by rank, counts. A word's number is
+    its rank (the beginning's is 0, then by count) and its shard.
+
+    Numbers and counts of words that occur ``least`` times; under -1 how many words there are, under -2 tokens.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        for _, context, _ in token_blocks(_texts(batches), WordHashes()):
-            n += len(context)
-            k, c = np.unique(context, return_counts=True)
-            some = c >= share * len(context) / 4
-            keys, counts = _sum_by(np.concatenate([keys, k[some]]), np.concatenate([counts, c[some]]))
-        some = counts >= share * n
-        yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some])], ["word", "n"])
+        for shard, blobs in _by_shard(batches):
+            keys, counts = (np.concatenate(x) for x in zip(*map(_unpack, blobs)))
+            (keys,), counts = _fold(keys[None], counts.astype(np.int64))
+            by = np.lexsort((-counts, keys != BEGIN))
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            _write(folder, f"words-{shard}", {"keys": keys, "rank": _narrow(rank), **_small("count", counts[by])})
+            hot = np.flatnonzero(counts >= max(least, 1))
+            yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *(rank[hot] * shards + shard).tolist()], pa.int64()),
+                                              pa.array([int((counts > 0).sum()), int(counts.sum()), *counts[hot].tolist()], pa.int64())], ["id", "n"])
 
     return run
 
 
-def _count(order: int, shards: int, hot: np.ndarray, flush: int):
-    """Task: the n-grams of its tokens with counts, folded, a blob per shard: first words, later words, counts."""
+def _count(model: Model, flush: int):
+    """Task: the n-grams of its tokens with counts, folded, a blob per shard: last context words, then the
+    words before it leftwards and the word itself, counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(model)
         held: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
             grams = np.concatenate(held, axis=1)
             held.clear()
-            grams = grams[:, np.lexsort(grams[::-1])]
-            first = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0))))
-            counts = np.diff(np.append(first, grams.shape[1]))
-            grams = grams[:, first]
-            shard = _shard(grams, hot, shards)
-            rows, by = [], np.argsort(shard, kind="stable")
-            present, cuts = np.unique(shard[by], return_index=True)
-            for s, of in zip(present, np.split(by, cuts[1:])):
+            grams, counts = _fold(grams, np.ones(grams.shape[1], np.int64))
+            rows = []
+            for s, of in _split(_shard(grams[0].astype(np.uint64), grams[-1].astype(np.uint64), model.hot, model.shards)):
                 lead = grams[0, of]
-                new = np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1])))
+                new = np.flatnonzero(_new(lead))
                 words, number = np.unique(grams[1:, of], return_inverse=True)
-                rows.append((int(s), _pack(lead[new], np.diff(np.append(new, len(of))).astype(np.uint32), words,
-                                           *number.reshape(order - 1, -1).astype(np.uint32), counts[of].astype(np.uint32))))
+                rows.append((s, _pack(_narrow(lead[new]), _narrow(np.diff(np.append(new, len(of)))), _narrow(words),
+                                      *map(_narrow, number.reshape(model.order - 1, -1)), _narrow(counts[of]))))
             return _rows(rows)
 
-        for _, context, word in token_blocks(_texts(batches), WordHashes(), order=order):
-            held.append(np.concatenate([np.atleast_2d(context), word[None]]))
+        for _, context, word in token_blocks(_texts(batches), reader.numbers(), order=model.order, begin=reader.begin, end=reader.end):
+            held.append(_narrow(np.concatenate([np.atleast_2d(context)[::-1], word[None]])))
             size += len(word)
             if size >= flush:
                 yield out()
@@ -229,101 +363,93 @@ def _count(order: int, shards: int, hot: np.ndarray, flush: int):
     return run
 
 
-def _lower(grams: np.ndarray, value: np.ndarray, raw: np.ndarray, shards: int, shard: int) -> pa.RecordBatch:
-    """Statistics of the prefixes and suffixes of a shard's n-grams, a blob per shard of the level below, and
-    the sums for the discounts.
+def _pairs(folder: str, shards: int, hot: np.ndarray = np.zeros(0, np.uint64)):
+    """Task: all counts of a shard's n-grams, written as a tree; what its words are as contexts and as followers, a
+    blob per shard of words; the statistics of longer contexts that end in a hot word, so far as they lie
+    here, a blob per shard of their hashes; the sums for the discounts.
 
-    ``value`` is what the n-grams' level counts, ``raw`` their occurrences.
+    Blobs of words have their own shard, those of contexts of ``j`` words follow from ``(j - 1) * shards``,
+    the sums come last.
     """
-    stats = np.zeros((2 * len(value), 6), np.int64)
-    half = stats[:len(value)]
-    half[:, CONTEXT_TOTAL], half[:, ONCE], half[:, TWICE], half[:, MORE] = value, value == 1, value == 2, value > 2
-    half = stats[len(value):]
-    half[:, CONTEXTS], half[:, COUNT] = 1, raw
-    parts, stats = _sum_grams(np.concatenate([grams[:-1], grams[1:]], axis=1), stats)
-    of = _low_shard(_key(parts), shards)
-    by = np.argsort(of, kind="stable")
-    present, cuts = np.unique(of[by], return_index=True)
-    rows = []
-    for s, at in zip(present, np.split(by, cuts[1:])):
-        words, number = np.unique(parts[:, at], return_inverse=True)
-        rows.append((int(s), _pack(words, *number.reshape(len(parts), -1).astype(np.uint32), *map(_narrow, stats[at].T))))
-    top = np.array([(value == k).sum() for k in (1, 2, 3, 4)], np.int64)
-    return _rows([*rows, ((len(grams) - 1) * shards + shard, _pack(top))])
-
-
-def _sum_grams(grams: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct n-grams and the sums of the rows of ``stats``."""
-    by = np.lexsort(grams[::-1])
-    grams = grams[:, by]
-    first = np.flatnonzero(np.concatenate(([True], (grams[:, 1:] != grams[:, :-1]).any(axis=0)))) if len(by) else by
-    return grams[:, first], np.add.reduceat(stats[by], first, axis=0) if len(by) else stats
-
-
-def _stats(blobs: list[bytes], level: int) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams and statistics that ``_lower`` packed, summed."""
-    grams, stats = [], []
-    for words, *cols in map(_unpack, blobs):
-        grams.append(np.stack([words[c] for c in cols[:level]]))
-        stats.append(np.stack(cols[level:], axis=1).astype(np.int64))
-    return _sum_grams(np.concatenate(grams, axis=1), np.concatenate(stats))
-
-
-def _pairs(folder: str, shards: int):
-    """Task: all counts of a shard's n-grams of highest order, written by sorted hash; ``_lower`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blobs in _by_shard(batches):
             cols, counts = [], []
             for lead, runs, words, *number, count in map(_unpack, blobs):
-                cols.append(np.stack([np.repeat(lead, runs), *(words[x] for x in number)]))
+                cols.append(np.stack([np.repeat(lead, runs), *(words[x] for x in number)]).astype(np.uint64))
                 counts.append(count.astype(np.int64))
-            grams, count = np.concatenate(cols, axis=1), np.concatenate(counts)
-            keys = _key(grams)
-            by = np.argsort(keys)
-            grams, count, keys = grams[:, by], count[by], keys[by]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            grams, count = grams[:, first], np.add.reduceat(count, first)
-            _write(folder, f"pairs-{shard}.keys", keys[first])
-            _write(folder, f"pairs-{shard}.counts", _narrow(count))
-            yield _lower(grams, count, count, shards, shard)
+            cols, value = _fold(np.concatenate(cols, axis=1), np.concatenate(counts))
+            del counts
+            word, depth = cols[-1], len(cols) - 1
+            # contexts of 1 to depth words: their first rows, and the number of each row's context
+            first, group, new = [], [], np.zeros(len(word), bool)
+            for j in range(depth):
+                new = new | _new(cols[j])
+                first.append(np.flatnonzero(new))
+                group.append(np.cumsum(new) - 1)
+            arrays = {"last": _narrow(cols[0][first[0]])}
+            for j in range(1, depth):
+                arrays |= {f"left{j}": _narrow(cols[j][first[j]]), **_spans(f"wider{j}", np.bincount(group[j - 1][first[j]]))}
+            rows = []
+            for j in reversed(range(depth)):
+                sizes = np.bincount(group[j])
+                stats = np.add.reduceat(np.stack([value, value == 1, value == 2, value > 2], axis=1), np.cumsum(sizes) - sizes, axis=0)
+                many = np.flatnonzero(sizes > 1)
+                arrays |= {**_spans(f"grams{j}", sizes), **_small(f"value{j}", value)}
+                arrays |= {f"{name}{j}": _narrow(stats[many, k]) for k, name in ((CONTEXT_TOTAL, "total"), (TWICE, "twice"), (MORE, "more"))} if j else {}
+                rows.append(((depth * shards) + j, _pack(np.array([(value == k).sum() for k in (1, 2, 3, 4)], np.int64))))
+                if j == 0:
+                    break
+                if len(hot):
+                    some = np.flatnonzero(np.isin(cols[0][first[j]], hot))
+                    keys = _key(cols[:j + 1, first[j][some]])
+                    for s, at in _split(_low_shard(keys, shards)):
+                        rows.append((j * shards + s, _pack(keys[at], *map(_narrow, stats[some[at]].T))))
+                # the n-grams one word shorter: a row each, counted by their contexts
+                by = _order([group[j - 1], word])
+                start = _new(group[j - 1][by], word[by])
+                place = np.empty(len(by), np.int64)
+                place[by] = np.cumsum(start) - 1
+                by = by[start]
+                lower = np.bincount(group[j - 1][by])
+                arrays[f"follower{j}"] = _narrow(place - (np.cumsum(lower) - lower)[group[j - 1]])
+                value = np.bincount(place)
+                group, word = [x[by] for x in group[:j]], word[by]
+            arrays["follower0"] = _narrow(word)
+            _write(folder, f"grams-{shard}", arrays)
+            last = cols[0][first[0]]
+            words, kinds = np.unique(word, return_counts=True)
+            ids = np.concatenate([last, words])
+            table = np.zeros((len(ids), 5), np.int64)
+            table[:len(last), :4], table[len(last):, CONTEXTS] = stats, kinds
+            (ids,), table = _fold(ids[None], table)
+            for s, at in _split((ids & np.uint64(shards - 1)).astype(np.int64)):
+                rows.append((s, _pack(_narrow(ids[at]), *map(_narrow, table[at].T))))
+            yield _rows(rows)
 
     return run
 
 
-def _middle(folder: str, shards: int, level: int):
-    """Task: a shard's n-grams of a level between, with their statistics, written by sorted hash; ``_lower`` of them."""
+def _words(model: Model):
+    """Task: a shard's words' statistics, written by rank, or those of contexts with a hot word, by sorted hash; sums for the discounts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, shards = Reader(model), model.shards
         for shard, blobs in _by_shard(batches):
-            if shard >= shards:
-                yield _rows([(shard, b) for b in blobs])
-                continue
-            grams, stats = _stats(blobs, level)
-            keys = _key(grams)
-            by = np.argsort(keys)
-            _write(folder, f"grams{level}-{shard}.keys", keys[by])
-            _write(folder, f"grams{level}-{shard}.stats", _narrow(stats[by, :COUNT]))
-            some = np.flatnonzero(stats[:, CONTEXTS])
-            yield _lower(grams[:, some], stats[some, CONTEXTS], stats[some, COUNT], shards, shard)
-
-    return run
-
-
-def _words(folder: str, shards: int):
-    """Task: a shard's words with their statistics, written by sorted hash; sums for the discounts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, blobs in _by_shard(batches):
-            level, sums = 2, np.zeros(7, np.int64)
-            if shard >= shards:
-                level, sums[:4] = shard // shards + 1, sum(_unpack(b)[0] for b in blobs)
+            kind, s = divmod(shard, shards) if shard < (model.order - 1) * shards else (model.order - 1, 0)
+            level, sums = 1, np.zeros(6, np.int64)
+            if kind == model.order - 1:
+                level, sums[:4] = shard - kind * shards + 2, sum(_unpack(b)[0] for b in blobs)
             else:
-                (keys,), stats = _stats(blobs, 1)
-                _write(folder, f"words-{shard}.keys", keys)
-                _write(folder, f"words-{shard}.stats", _narrow(stats))
-                kinds = stats[:, CONTEXTS]
-                level, sums[:] = 1, [*((kinds == k).sum() for k in (1, 2, 3, 4)), (kinds > 2).sum(), kinds.sum(), stats[:, COUNT].sum()]
-                sums = np.append(sums, (stats[:, COUNT] > 0).sum())
-            sums = np.append(sums, np.zeros(8 - len(sums), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([level], pa.int32()), *(pa.array([int(x)], pa.int64()) for x in sums)], ["level", *"abcdefgh"])
+                keys, *stats = (np.concatenate(x) for x in zip(*([x.astype(np.uint64) for x in _unpack(b)] for b in blobs)))
+                (keys,), stats = _fold(keys[None], np.stack(stats, axis=1).astype(np.int64))
+                if kind:
+                    _write(model.folder, f"hot{kind}-{s}", {"keys": keys, "stats": _narrow(stats)})
+                else:
+                    table = np.zeros((len(reader.file(f"words-{s}")["rank"]), 5), np.int64)
+                    table[(keys // np.uint64(shards)).astype(np.int64)] = stats
+                    _write(model.folder, f"stats-{s}", {k: x for n in range(5) for k, x in _small(f"stat{n}", table[:, n]).items()})
+                    kinds = table[:, CONTEXTS]
+                    sums[:] = [*((kinds == k).sum() for k in (1, 2, 3, 4)), (kinds > 2).sum(), kinds.sum()]
+            yield pa.RecordBatch.from_arrays([pa.array([level], pa.int32()), *(pa.array([int(x)], pa.int64()) for x in sums)], ["level", *"abcdef"])
 
     return run
 
@@ -353,59 +479,132 @@ class Model:
 
 
 class Reader:
-    """Looks hashes up in the model's mapped arrays; keeps a bounded number of files open."""
+    """Looks words and n-grams up in the model's mapped arrays; keeps a bounded number of files open."""
 
     def __init__(self, model: Model, files: int = 512):
         self.m, self.files, self.open_ = model, files, OrderedDict()
 
-    def file(self, name: str, dtype) -> np.ndarray:
+    def file(self, name: str) -> dict[str, np.ndarray] | None:
+        if name not in self.present():
+            return None
         if name not in self.open_:
-            self.open_[name] = _map(self.m.folder, name, dtype)
+            self.open_[name] = _map(self.m.folder, name)
             while len(self.open_) > self.files:
                 self.open_.popitem(last=False)
         self.open_.move_to_end(name)
         return self.open_[name]
 
-    def _found(self, kind: str, value: str, shard: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
-        out = np.zeros((len(keys), width), np.int64)
-        by = np.lexsort((keys, shard))
-        cuts = np.flatnonzero(np.concatenate(([True], shard[by][1:] != shard[by][:-1]))) if len(by) else np.zeros(0, int)
-        for a, b in zip(cuts, np.append(cuts[1:], len(by))):
-            of, s = by[a:b], shard[by[a]]
-            have = self.file(f"{kind}-{s}.keys", np.uint64) if s in self.present(kind) else np.zeros(0, np.uint64)
-            if len(have):
-                raw = self.file(f"{kind}-{s}.{value}", np.uint8).reshape(len(have), -1)
-                at = np.minimum(np.searchsorted(have, keys[of]), len(have) - 1)
-                hit = have[at] == keys[of]
-                out[of[hit]] = np.ascontiguousarray(raw[at[hit]]).view(f"<u{raw.shape[1] // width}")
-        return out
-
-    def present(self, kind: str) -> set[int]:
+    def present(self) -> set[str]:
         if not hasattr(self, "names"):
             if "://" in self.m.folder:
                 store, path = fs.FileSystem.from_uri(self.m.folder)
-                names = [x.base_name for x in store.get_file_info(fs.FileSelector(path, allow_not_found=True))]
+                self.names = {x.base_name for x in store.get_file_info(fs.FileSelector(path, allow_not_found=True))}
             else:
-                names = os.listdir(self.m.folder) if os.path.isdir(self.m.folder) else []
-            self.names = {}
-            for name, number in (x[:-5].rsplit("-", 1) for x in names if x.endswith(".keys")):
-                self.names.setdefault(name, set()).add(int(number))
-        return self.names.get(kind, set())
+                self.names = set(os.listdir(self.m.folder)) if os.path.isdir(self.m.folder) else set()
+        return self.names
+
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words given by hash."""
+        keys, back = np.unique(hashes, return_inverse=True)
+        out = np.full(len(keys), UNKNOWN)
+        for s, of in _split(_low_shard(keys, self.m.shards)):
+            if file := self.file(f"words-{s}"):
+                at, there = _find(file["keys"], keys[of])
+                out[of[there]] = file["rank"][at[there]] * np.uint64(self.m.shards) + np.uint64(s)
+        return out[back].reshape(np.shape(hashes))
+
+    @property
+    def begin(self) -> np.uint64:
+        return self.ids(np.array([BEGIN]))[0]
+
+    @property
+    def end(self) -> np.uint64:
+        return self.ids(np.array([END]))[0]
+
+    def numbers(self):
+        """Numbers of the words of texts, as ``WordHashes`` gives hashes."""
+        hashes = WordHashes()
+
+        def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            words, n = hashes(texts)
+            return self.ids(words), n
+
+        return of
 
     def words(self, words: np.ndarray) -> np.ndarray:
-        return self._found("words", "stats", _low_shard(words, self.m.shards), words, 6)
+        """Statistics of words."""
+        out = np.zeros((len(words), 6), np.int64)
+        known = np.flatnonzero(words != UNKNOWN)
+        for s, of in _split((words[known] & np.uint64(self.m.shards - 1)).astype(np.int64)):
+            of = known[of]
+            rank = (words[of] // np.uint64(self.m.shards)).astype(np.int64)
+            out[of, COUNT] = _counts(self.file(f"words-{s}"), "count", rank)
+            if file := self.file(f"stats-{s}"):
+                for k in range(5):
+                    out[of, k] = _counts(file, f"stat{k}", rank)
+        return out
+
+    def grams(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What n-grams of 2 words up to all of them count; the statistics of their contexts of 2 words on, a
+        context once (the first level is unused); each n-gram's context."""
+        m, cols = self.m, np.atleast_2d(context)[::-1]
+        shard = _shard(cols[0], word, m.hot, m.shards)
+        by = _order([shard, *(np.where(x == UNKNOWN, 0, x) for x in cols)])
+        shard, cols, word = shard[by], cols[:, by], word[by]
+        new = _new(shard, *cols)
+        head, context = np.flatnonzero(new), np.cumsum(new) - 1
+        values, stats = np.zeros((len(cols), len(word)), np.int64), np.zeros((len(cols), len(head), 4), np.int64)
+        cuts = np.append(np.flatnonzero(_new(shard)), len(by))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            file = self.file(f"grams-{shard[a]}")
+            if not file:
+                continue
+            base, top = context[a], context[b - 1] + 1
+            places, there = _find(file["last"], cols[0, head[base:top]])
+            live = np.flatnonzero(there)
+            at, row, want = places[live], np.arange(a, b), word[a:b]
+            for j in range(len(cols)):
+                if j:
+                    start, end, _, _ = _span(file, f"wider{j}", at)
+                    places, there = _within(file[f"left{j}"], start, end, cols[j, head[base + live]])
+                    live, at = live[there], places[there]
+                start, end, many, place = _span(file, f"grams{j}", at)
+                if j:
+                    one = _counts(file, f"value{j}", start)
+                    stats[j, base + live] = np.stack([one, one == 1, one == 2, one > 2], axis=1)
+                    total, twice, more = (file[f"{name}{j}"][place[many]].astype(np.int64) for name in ("total", "twice", "more"))
+                    stats[j, base + live[many]] = np.stack([total, (end - start)[many] - twice - more, twice, more], axis=1)
+                span = np.zeros((2, top - base), np.int64)
+                span[:, live] = start, end
+                start, end = span[:, context[row] - base]
+                gram, there = _within(file[f"follower{j}"], start, end, want)
+                row, gram = row[there], gram[there]
+                values[j, row] = _counts(file, f"value{j}", gram)
+                want = (gram - start[there]).astype(np.uint64)
+        hot = np.flatnonzero(np.isin(cols[0, head], m.hot))
+        for j in range(1, len(cols)):
+            keys, back = np.unique(_key(cols[:j + 1, head[hot]]), return_inverse=True)
+            found = np.zeros((len(keys), 4), np.int64)
+            for s, of in _split(_low_shard(keys, m.shards)):
+                if file := self.file(f"hot{j}-{s}"):
+                    at, there = _find(file["keys"], keys[of])
+                    found[of[there]] = file["stats"][at[there]]
+            stats[j, hot] = found[back]
+        back = np.empty(len(by), np.int64)
+        back[by] = np.arange(len(by))
+        return values[:, back], stats, context[back]
 
     def pairs(self, *words: np.ndarray) -> np.ndarray:
         """Counts of n-grams of highest order."""
-        return self._found("pairs", "counts", _shard(np.stack(words), self.m.hot, self.m.shards), _key(np.stack(words)), 1)[:, 0]
-
-    def grams(self, words: np.ndarray) -> np.ndarray:
-        """Statistics of n-grams of a level between, each looked up once."""
-        key, some, back = np.unique(_key(words), return_index=True, return_inverse=True)
-        return self._found(f"grams{len(words)}", "stats", _low_shard(key, self.m.shards), key, COUNT)[back]
+        return self.grams(np.stack(words[:-1]), words[-1])[0][-1]
 
 
 def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``number_probabilities`` of tokens and contexts given by hash."""
+    return number_probabilities(reader, reader.ids(context), reader.ids(word))
+
+
+def number_probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token its probability after its context, its training count, and its add-one probability.
 
     Modified Kneser-Ney, interpolated: an n-gram's discounted share of its context, plus the context's
@@ -425,19 +624,14 @@ def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tupl
     else:
         low = np.full(len(words), even)
     of_word, of_context = number[:len(word)], number[len(word):]
-    p, of = low[of_word], stats[of_context]
-    for level, d in enumerate(m.gram_discounts, 2):
-        gram = np.concatenate([context[m.order - level:], word[None]])
-        if level == m.order:
-            _, some, back = np.unique(_key(gram), return_index=True, return_inverse=True)
-            count = reader.pairs(*gram[:, some])[back]
-        else:
-            count = reader.grams(gram)[:, CONTEXTS]
+    p = low[of_word]
+    counts, wider, of_wider = reader.grams(context, word)
+    for j, (d, count) in enumerate(zip(m.gram_discounts, counts)):
+        of, number = (wider[j], of_wider) if j else (stats, of_context)
         total, left = of[:, CONTEXT_TOTAL], of[:, ONCE] * d[1] + of[:, TWICE] * d[2] + of[:, MORE] * d[3]
         safe = np.maximum(total, 1)
-        p = np.where(total > 0, (count - d[np.minimum(count, 3)]) / safe + left / safe * p, p)
-        if level < m.order:
-            of = reader.grams(context[m.order - 1 - level:])
+        known, share = (total > 0)[number], (left / safe)[number]
+        p = np.where(known, (count - d[np.minimum(count, 3)]) / safe[number] + share * p, p)
     seen = stats[of_word, COUNT]
     return p, seen, (seen + 1) / (m.tokens + m.vocabulary + 1)
 
@@ -445,12 +639,12 @@ def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tupl
 def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: int = 16 << 20, flush: int = 5_000_000, order: int = 2) -> Model:
     """Model of the documents for which ``learn`` holds, of n-grams of ``order`` words.
 
-    Tasks count and fold the n-grams of their own tokens; an n-gram goes to its first word's shard. Words
-    that hold over a quarter of a shard's fair share (found first, at most ``8 * shards`` of them) are
-    dealt over all shards by n-gram. Shards write their n-grams as sorted hash arrays and pass on the
-    statistics of their prefixes and suffixes, which the shards of the level below sum, write and pass on
-    likewise, down to the words. Number of shards, files and shuffled bytes grow with the corpus; only
-    the discounts' sums come to the driver.
+    A first scan numbers the words. Then tasks count and fold the n-grams of their own tokens; an n-gram goes
+    to the shard of its last context word, which writes a tree of its n-grams and all shorter ones and passes
+    on what its words are as contexts and as followers. Words that hold over a quarter of a shard's fair share
+    (at most ``8 * shards`` of them) are dealt over all shards with the word that follows; of their longer
+    contexts each shard passes on its part. Number of shards, files and shuffled bytes grow with the
+    corpus; only the discounts' sums and the hot words come to the driver.
     """
     if order < 2:
         raise ValueError("order must be 2 or more")
@@ -458,21 +652,19 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: i
     texts = docs.where(learn).select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(4, 1 << (total * (order - 1) // shard_bytes).bit_length())
-    share = 1 / (4 * shards)
-    frequent = texts.mapInArrow(_frequent(share / 2), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    least = share * total / 12
-    hot = np.array(sorted(r["word"] for r in frequent.where(F.col("n") >= least).orderBy(F.col("n").desc()).limit(8 * shards).collect()), np.int64).view(np.uint64)
     folder = scratch_dir(spark, "ngram-model")
     folder = folder if "://" in folder else os.path.normpath(folder).replace("//", "/")
     dealt = lambda df: df.repartition(shards, "shard").sortWithinPartitions("shard")
-    counted = texts.mapInArrow(_count(order, shards, hot, 2 * flush // order), ROW)
-    rows = dealt(counted).mapInArrow(_pairs(folder, shards), ROW)
-    for level in range(order - 1, 1, -1):
-        rows = dealt(rows).mapInArrow(_middle(folder, shards, level), ROW)
-    sums = dealt(rows).mapInArrow(_words(folder, shards), "level int, " + ", ".join(f"{c} long" for c in "abcdefgh"))
-    got = {r["level"]: [r[f"sum({c})"] for c in "abcdefgh"] for r in sums.groupBy("level").sum(*"abcdefgh").collect()}
-    one, *more = (got.get(level, [0] * 8) for level in range(1, order + 1))
-    return Model(folder, shards, hot, tuple(_discounts(x[:4]) for x in more), _discounts(one[:4]), (one[0], one[1], one[4]), one[5], one[6], one[7], order)
+    tallied = dealt(texts.mapInArrow(_tally(shards, flush), ROW)).mapInArrow(_dictionary(folder, shards, total / (48 * shards)), "id long, n long")
+    found = tallied.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.col("id") >= 0, F.col("n").desc()).limit(8 * shards + 2).collect()
+    known = {r["id"]: r["n"] for r in found}
+    vocabulary, tokens = known.pop(-1, 0), known.pop(-2, 0)
+    model = Model(folder, shards, np.array(sorted(known), np.uint64), (), np.zeros(4), (0, 0, 0), 0, tokens, vocabulary, order)
+    rows = dealt(texts.mapInArrow(_count(model, 2 * flush // order), ROW)).mapInArrow(_pairs(folder, shards, model.hot), ROW)
+    sums = dealt(rows).mapInArrow(_words(model), "level int, " + ", ".join(f"{c} long" for c in "abcdef"))
+    got = {r["level"]: [r[f"sum({c})"] for c in "abcdef"] for r in sums.groupBy("level").sum(*"abcdef").collect()}
+    one, *more = (got.get(level, [0] * 6) for level in range(1, order + 1))
+    return replace(model, gram_discounts=tuple(_discounts(x[:4]) for x in more), word_discounts=_discounts(one[:4]), word_counts=(one[0], one[1], one[4]), contexts=one[5])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -483,12 +675,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     token is the unknown one, of probability 1.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, hashes = Reader(model), WordHashes()
+        reader = Reader(model)
+        numbers, ends = reader.numbers(), {"begin": reader.begin, "end": reader.end}
         for batch in batches:
             texts = enumerate(batch.column("text").to_pylist())
             sums = np.zeros((batch.num_rows, 4))
-            for number, context, word in token_blocks(texts, hashes, order=model.order):
-                p, seen, base = probabilities(reader, context, word)
+            for number, context, word in token_blocks(texts, numbers, order=model.order, **ends):
+                p, seen, base = number_probabilities(reader, context, word)
                 for k, x in enumerate((np.ones(len(word)), seen > 0, np.log10(base), np.log10(p))):
                     sums[:, k] += np.bincount(number, x, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(sums[:, k].astype(np.int64)) for k in (0, 1)), *(pa.array(sums[:, k]) for k in (2, 3))],

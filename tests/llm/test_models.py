@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -320,6 +321,19 @@ def test_pair_counts_beyond_32_bits(tmpdir_path):
     assert reader.pairs(np.array([5, 5, 5], np.uint64), np.array([7, 8, 9], np.uint64)).tolist() == [6_000_000_000, 8, 0]
 
 
+def test_model_takes_little_disk(spark):
+    rnd = np.random.default_rng(1)
+    numbers = np.minimum(rnd.zipf(1.2, (300, 400)), 50_000)
+    docs = spark.createDataFrame([(k, " ".join(f"w{x}" for x in row)) for k, row in enumerate(numbers)], "doc_id long, text string")
+    model = ngram_lm.train(docs, F.lit(True), shard_bytes=1 << 19, order=3)
+    whole = set()
+    for row in numbers.tolist():
+        whole.update(zip([-1, -1, *row], [-1, *row, -2], [*row, -2]))
+    files = [f"{model.folder}/{name}" for name in os.listdir(model.folder)]
+    assert len(files) <= 4 * model.shards  # words, their statistics, n-grams, contexts with a hot word
+    assert sum(map(os.path.getsize, files)) < 12 * len(whole)  # as hash arrays, a file per level, they took 22
+
+
 # ---- packing
 
 def _pieces_ok(rows, docs, encode):
