@@ -32,7 +32,7 @@ from .simhash import word_blocks
 from .tokens import WordHashes, mix
 
 BEGIN, END = (mix(np.array([n], np.uint64))[0] for n in (1, 2))
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Order of the registered query's model.
 ORDER = 3
 #: Number of a word that training has not seen.
@@ -130,7 +130,8 @@ def _order(cols: list[np.ndarray]) -> np.ndarray:
     for col in cols:
         bits = int(col.max()).bit_length() if len(col) else 0
         if joint and used + bits <= 64:
-            joint[-1] = joint[-1] << np.uint64(bits) | col.astype(np.uint64)
+            joint[-1] <<= np.uint64(bits)
+            joint[-1] |= col.astype(np.uint64, copy=False)
             used += bits
         else:
             joint.append(col.astype(np.uint64))
@@ -341,7 +342,13 @@ def _count(model: Model, flush: int):
         def out() -> pa.RecordBatch:
             grams = np.concatenate(held, axis=1)
             held.clear()
-            grams, counts = _fold(grams, np.ones(grams.shape[1], np.int64))
+            by = _order(list(grams))
+            for col in grams:
+                col[:] = col[by]
+            del by
+            first = np.flatnonzero(_new(*grams))
+            counts = np.diff(np.append(first, grams.shape[1]))
+            grams = grams[:, first]
             rows = []
             for s, of in _split(_shard(grams[0].astype(np.uint64), grams[-1].astype(np.uint64), model.hot, model.shards)):
                 lead = grams[0, of]
@@ -660,7 +667,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: i
     known = {r["id"]: r["n"] for r in found}
     vocabulary, tokens = known.pop(-1, 0), known.pop(-2, 0)
     model = Model(folder, shards, np.array(sorted(known), np.uint64), (), np.zeros(4), (0, 0, 0), 0, tokens, vocabulary, order)
-    rows = dealt(texts.mapInArrow(_count(model, 2 * flush // order), ROW)).mapInArrow(_pairs(folder, shards, model.hot), ROW)
+    rows = dealt(texts.mapInArrow(_count(model, flush // order), ROW)).mapInArrow(_pairs(folder, shards, model.hot), ROW)
     sums = dealt(rows).mapInArrow(_words(model), "level int, " + ", ".join(f"{c} long" for c in "abcdef"))
     got = {r["level"]: [r[f"sum({c})"] for c in "abcdef"] for r in sums.groupBy("level").sum(*"abcdef").collect()}
     one, *more = (got.get(level, [0] * 6) for level in range(1, order + 1))
@@ -678,7 +685,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         reader = Reader(model)
         numbers, ends = reader.numbers(), {"begin": reader.begin, "end": reader.end}
         for batch in batches:
-            texts = enumerate(batch.column("text").to_pylist())
+            texts = ((k, t.as_py()) for k, t in enumerate(batch.column("text")))
             sums = np.zeros((batch.num_rows, 4))
             for number, context, word in token_blocks(texts, numbers, order=model.order, **ends):
                 p, seen, base = number_probabilities(reader, context, word)

@@ -31,7 +31,7 @@ class WordHashes:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
-            size = 1 << (n - 1).bit_length()
+            size = n + n // 8
             steps = lambda b: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64)
             self.powers, self.inverses = steps(BASE), steps(INVERSE)
 
@@ -45,7 +45,9 @@ class WordHashes:
             edge = np.concatenate(([0], edge))
         starts, ends = edge[0::2], edge[1::2]
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[:len(data)], out=sums[1:])
+        np.add(data, np.uint64(1), out=sums[1:])
+        sums[1:] *= self.powers[:len(data)]
+        np.cumsum(sums[1:], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * self.inverses[starts])
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         bounds = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
