@@ -90,6 +90,15 @@ def _flips(value: Column, width: int, unset_only: bool) -> Column:
     return F.transform(bits, lambda bit: value.bitwiseXOR(bit))
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df``, to be dealt by key in the join that follows, never broadcast.
+
+    Spark sizes an exploded table by its rows before (a fingerprint has some 66 probes), and a stored one by its
+    compressed files, so it may take either for small enough to be gathered by the driver.
+    """
+    return df.hint("merge")
+
+
 def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints ``fp`` that join all pairs within ``max_bits``.
 
@@ -119,8 +128,8 @@ def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
     sizes = table.groupBy("seg", "key").agg(F.count("*").alias("size"))
     full = sizes.where(F.col("size") > crowded) if max_bits <= 2 else sizes.limit(0)
     few = (sizes.where(F.col("size") <= crowded) if max_bits <= 2 else sizes).drop("size")
-    entries = table.join(few, ["seg", "key"]).select("seg", "key", F.col("fp").alias("b"))
-    pairs = (probes.select("seg", "key", "own", F.col("fp").alias("a")).join(entries, ["seg", "key"])
+    entries = _dealt(table).join(few, ["seg", "key"]).select("seg", "key", F.col("fp").alias("b"))
+    pairs = (_dealt(probes.select("seg", "key", "own", F.col("fp").alias("a"))).join(entries, ["seg", "key"])
              .where((~F.col("own") | (F.col("a") < F.col("b"))) & (_distance(F.col("a"), F.col("b")) <= max_bits)).select("a", "b"))
     if max_bits > 2:
         return pairs
@@ -132,7 +141,7 @@ def links(fps: DataFrame, max_bits: int = 2, crowded: int = 16) -> DataFrame:
     moved = F.coalesce(*[F.when(F.col("seg") == s, fp.bitwiseXOR(F.shiftleft(_segment(fp, *cut).bitwiseXOR(F.col("key")), cut[0])))
                          for s, cut in enumerate(segments)])
     points = F.when(F.col("own"), F.concat(F.array(fp), near)).otherwise(F.array(moved))
-    second = probes.join(full.drop("size"), ["seg", "key"]).select("seg", "fp", F.explode(points).alias("point"))
+    second = _dealt(probes).join(full.drop("size"), ["seg", "key"]).select("seg", "fp", F.explode(points).alias("point"))
     center = F.array_min("fps") if max_bits == 2 else F.col("point")  # at one bit, links lead to the point itself
     stars = (second.groupBy("seg", "point").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
              .where(F.array_contains("fps", center)).select(center.alias("a"), F.explode("fps").alias("b"))
@@ -155,7 +164,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(of_root, "root").select("fp", "component_id")
-    return prints.join(of_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _dealt(prints).join(of_fp, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_least(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **args) -> DataFrame:

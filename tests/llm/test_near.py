@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -94,6 +95,27 @@ def test_links_join_all_pairs(spark, bits, crowded):
     assert {frozenset(f for f in fps if find(f) == r) for r in map(find, fps)} == {frozenset(f for f in fps if want[f] == r) for r in want.values()}
 
 
+@pytest.mark.parametrize("crowded", [16, 1])
+def test_exploded_tables_are_not_broadcast(spark, crowded):
+    """Spark sizes 66 probes of a fingerprint as one or two, so under its threshold they went to the driver."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.getrandbits(63),) for _ in range(300)] + [(k,) for k in range(20)], "fp long")
+    plan = simhash.links(df, crowded=crowded)
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline" in final and "SortMergeJoin" in final and "BroadcastExchange" not in final
+
+
+def test_stored_fingerprints_are_not_broadcast(spark):
+    docs = spark.createDataFrame([(k, f"w{k % 7} x{k % 3} y") for k in range(100)], "doc_id long, text string")
+    plan = simhash.simhash_groups(docs)
+    assert plan.count() == 100
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"BroadcastExchange(?:(?!Exchange|Aggregate|Join).)*FileScan parquet", final, re.S)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (200, 201), (201, 200), (200, 201), (-5, 3)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
