@@ -9,9 +9,11 @@ context its followers, above level 2 as places among the followers of the contex
 from __future__ import annotations
 
 import json
+import mmap
 import os
 import pickle
 import shutil
+import sys
 import tempfile
 import uuid
 from collections import OrderedDict
@@ -33,8 +35,12 @@ from .tokens import WordHashes, mix
 
 BEGIN, END = (mix(np.array([n], np.uint64))[0] for n in (1, 2))
 CHUNK = 1 << 20
+#: Rows of a group, and searches in it, from which it is searched by itself.
+OFTEN = 16
 #: Order of the registered query's model.
 ORDER = 3
+#: A mapping needs no open file from Python 3.13 on, so that a reader may keep many.
+UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
 #: Number of a word that training has not seen.
 UNKNOWN = np.uint64(2**64 - 1)
 #: Columns of the statistics of a word: as context its occurrences and followers seen once, twice, more
@@ -148,6 +154,56 @@ def _new(*cols: np.ndarray) -> np.ndarray:
     return new
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, sorted; of each row its value's place among them; the rows in order.
+
+    Value and row are sorted as one number, which takes a quarter of an ``argsort``. Where they don't fit 64 bits
+    together, values that differ in the lowest bits alone come in any order, and then may come more than once.
+    """
+    values = values.astype(np.uint64, copy=False)
+    bits = len(values).bit_length()
+    spare = max(0, int(values.max(initial=0)).bit_length() + bits - 64)
+    packed = values >> np.uint64(spare) << np.uint64(bits)
+    packed |= np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    by = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    have = values[by] if spare else packed >> np.uint64(bits)
+    del packed
+    new = _new(have)
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(new) - 1
+    return have[new], number, by
+
+
+def _local(rows: np.ndarray, key=lambda ids: ids) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of the words of n-grams, sorted, and the n-grams as places among them.
+
+    N-grams mostly follow each other in a text: a context word that is the word of the row before takes that one's place.
+    """
+    word, n = rows[-1], rows.shape[1]
+    odd = []
+    for back, col in enumerate(rows[-2::-1], 1):
+        odd.append(np.concatenate([np.arange(min(back, n)), np.flatnonzero(col[back:] != word[:-back]) + back]))
+    have, place, _ = _distinct(key(np.concatenate([word, *(col[some] for col, some in zip(rows[-2::-1], odd))])))
+    out = np.empty(rows.shape, np.int32 if len(place) < 1 << 31 else np.int64)
+    out[-1] = place[:n]
+    at = n
+    for back, some in enumerate(odd, 1):
+        out[-1 - back, back:] = out[-1, :-back]
+        out[-1 - back, some] = place[at:at + len(some)]
+        at += len(some)
+    return have, out
+
+
+def _bits(*cols: np.ndarray) -> np.ndarray:
+    """Small columns as one, the first above all."""
+    out = cols[0].astype(np.uint64)
+    for col in cols[1:]:
+        out <<= np.uint64(int(col.max(initial=0)).bit_length())
+        out |= col.astype(np.uint64, copy=False)
+    return out
+
+
 def _fold(cols: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows, sorted, and the sums of their values."""
     if not len(values):
@@ -202,10 +258,20 @@ def _span(file: dict, name: str, of: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _within(values: np.ndarray, start: np.ndarray, end: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the wanted in sorted groups of an array, and whether they are there."""
+    """Places of the wanted in sorted groups of an array, and whether they are there.
+
+    A large group that is asked often in a row is searched in one call, the others step by step all at once.
+    """
     place, size = start.copy(), end - start
-    some = size > 0
-    todo = np.flatnonzero(size > 1)
+    some, left = size > 0, size > 1
+    first = np.flatnonzero(_new(start, end))
+    last = np.append(first[1:], len(start))
+    often = np.flatnonzero((last - first >= OFTEN) & (size[first] > OFTEN))
+    narrow = np.minimum(want, np.uint64(np.iinfo(values.dtype).max)).astype(values.dtype) if len(often) else want
+    for a, b, low, high in zip(*(x[often].tolist() for x in (first, last, start[first], end[first]))):
+        place[a:b] = np.searchsorted(values[low:high - 1], narrow[a:b]) + low
+        left[a:b] = False
+    todo = np.flatnonzero(left)
     low, left, of = place[todo], size[todo], want[todo]
     while len(todo):
         half = left >> 1
@@ -240,7 +306,8 @@ def _map(folder: str, name: str) -> dict[str, np.ndarray]:
     """A raw file's arrays, memory-mapped. From a remote store a copy is mapped, which has no name and
     goes with its mapping."""
     if "://" not in folder:
-        data = np.memmap(f"{folder}/{name}", np.uint8, "r")
+        with open(f"{folder}/{name}", "rb") as f:
+            data = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **UNTRACKED), np.uint8)
     else:
         store, path = fs.FileSystem.from_uri(f"{folder}/{name}")
         with store.open_input_stream(path) as f, tempfile.TemporaryFile() as copy:
@@ -340,26 +407,40 @@ def _count(model: Model, flush: int):
         size = 0
 
         def out() -> pa.RecordBatch:
-            grams = np.concatenate(held, axis=1)
+            words, grams = _local(np.concatenate(held, axis=1))
             held.clear()
-            by = _order(list(grams))
-            for col in grams:
-                col[:] = col[by]
-            del by
-            first = np.flatnonzero(_new(*grams))
-            counts = np.diff(np.append(first, grams.shape[1]))
-            grams = grams[:, first]
+            wide = max(1, (len(words) - 1).bit_length())
+            grams = [*grams[-2::-1], grams[-1]]
+            if wide * model.order <= 64:
+                packed = grams[0].astype(np.uint64)
+                for col in grams[1:]:
+                    packed <<= np.uint64(wide)
+                    packed |= col.astype(np.uint64)
+                packed.sort()
+                first = np.flatnonzero(_new(packed))
+                counts = np.diff(np.append(first, len(packed)))
+                packed = packed[first]
+                grams = np.stack([(packed >> np.uint64(wide * k) & np.uint64((1 << wide) - 1)).astype(np.int32) for k in reversed(range(model.order))])
+            else:
+                by = _order(grams)
+                grams = np.stack([col[by] for col in grams])
+                first = np.flatnonzero(_new(*grams))
+                counts = np.diff(np.append(first, grams.shape[1]))
+                grams = grams[:, first]
+            shard = (words & np.uint64(model.shards - 1)).astype(np.int64)[grams[0]]
+            some = np.flatnonzero(np.isin(words, model.hot)[grams[0]])
+            shard[some] = _shard(words[grams[0, some]], words[grams[-1, some]], model.hot, model.shards)
             rows = []
-            for s, of in _split(_shard(grams[0].astype(np.uint64), grams[-1].astype(np.uint64), model.hot, model.shards)):
+            for s, of in _split(shard):
                 lead = grams[0, of]
                 new = np.flatnonzero(_new(lead))
-                words, number = np.unique(grams[1:, of], return_inverse=True)
-                rows.append((s, _pack(_narrow(lead[new]), _narrow(np.diff(np.append(new, len(of)))), _narrow(words),
+                have, number, _ = _distinct(grams[1:, of].ravel())
+                rows.append((s, _pack(_narrow(words[lead[new]]), _narrow(np.diff(np.append(new, len(of)))), _narrow(words[have.astype(np.int64)]),
                                       *map(_narrow, number.reshape(model.order - 1, -1)), _narrow(counts[of]))))
             return _rows(rows)
 
-        for _, context, word in token_blocks(_texts(batches), reader.numbers(), order=model.order, begin=reader.begin, end=reader.end):
-            held.append(_narrow(np.concatenate([np.atleast_2d(context)[::-1], word[None]])))
+        for _, context, word in token_blocks(_texts(batches), reader.numbers(), model.chunk, model.order, reader.begin, reader.end):
+            held.append(_narrow(np.concatenate([np.atleast_2d(context), word[None]])))
             size += len(word)
             if size >= flush:
                 yield out()
@@ -484,12 +565,18 @@ class Model:
     vocabulary: int
     order: int = 2
 
+    @property
+    def chunk(self) -> int:
+        """Bytes of text that are looked up at once: every block goes to all files, so more for more files."""
+        return min(max(CHUNK, self.shards << 15), 8 * CHUNK)
+
 
 class Reader:
     """Looks words and n-grams up in the model's mapped arrays; keeps a bounded number of files open."""
 
-    def __init__(self, model: Model, files: int = 512):
-        self.m, self.files, self.open_ = model, files, OrderedDict()
+    def __init__(self, model: Model, files: int | None = None):
+        self.m, self.open_ = model, OrderedDict()
+        self.files = files or (512 if "://" in model.folder or not UNTRACKED else 1 << 14)
 
     def file(self, name: str) -> dict[str, np.ndarray] | None:
         if name not in self.present():
@@ -512,7 +599,7 @@ class Reader:
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words given by hash."""
-        keys, back = np.unique(hashes, return_inverse=True)
+        keys, back, _ = _distinct(np.ravel(hashes))
         out = np.full(len(keys), UNKNOWN)
         for s, of in _split(_low_shard(keys, self.m.shards)):
             if file := self.file(f"words-{s}"):
@@ -529,14 +616,31 @@ class Reader:
         return self.ids(np.array([END]))[0]
 
     def numbers(self):
-        """Numbers of the words of texts, as ``WordHashes`` gives hashes."""
+        """Numbers of the words of texts, as ``WordHashes`` gives hashes: hashed in blocks, looked up at once."""
         hashes = WordHashes()
 
-        def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            words, n = hashes(texts)
-            return self.ids(words), n
-
-        return of
+        def parts(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+            held, of, size = [], [], 0
+            for k, text in enumerate(texts):
+                for part in word_blocks(text, CHUNK) if len(text) > CHUNK else (text,):
+                    held.append(part)
+                    of.append(k)
+                    size += len(part)
+                    if size >= CHUNK:
+                        yield held, np.array(of)
+                        held, of, size = [], [], 0
+            if held:
+                yield held, np.array(of)
+
+        def numbers(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            words, n = [], np.zeros(len(texts), np.int64)
+            for held, of in parts(texts):
+                found, each = hashes(held)
+                words.append(found)
+                np.add.at(n, of, each)
+            return self.ids(np.concatenate(words)), n
+
+        return numbers
 
     def words(self, words: np.ndarray) -> np.ndarray:
         """Statistics of words."""
@@ -551,59 +655,112 @@ class Reader:
                     out[of, k] = _counts(file, f"stat{k}", rank)
         return out
 
-    def grams(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What n-grams of 2 words up to all of them count; the statistics of their contexts of 2 words on, a
-        context once (the first level is unused); each n-gram's context."""
-        m, cols = self.m, np.atleast_2d(context)[::-1]
-        shard = _shard(cols[0], word, m.hot, m.shards)
-        by = _order([shard, *(np.where(x == UNKNOWN, 0, x) for x in cols)])
-        shard, cols, word = shard[by], cols[:, by], word[by]
-        new = _new(shard, *cols)
-        head, context = np.flatnonzero(new), np.cumsum(new) - 1
-        values, stats = np.zeros((len(cols), len(word)), np.int64), np.zeros((len(cols), len(head), 4), np.int64)
-        cuts = np.append(np.flatnonzero(_new(shard)), len(by))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            file = self.file(f"grams-{shard[a]}")
+    def numbered(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words by shard and rank, the unknown one last, and rows of their places."""
+        m, bits = self.m, np.uint64(self.m.shards.bit_length() - 1)
+        low, wide = np.uint64(m.shards - 1), np.uint64(max(0, int(rows.max(where=rows != UNKNOWN, initial=0)).bit_length() - int(bits)))
+        keys, number = _local(rows, lambda ids: np.where(ids == UNKNOWN, np.uint64(m.shards) << wide, (ids & low) << wide | ids >> bits))
+        words = (keys & ((np.uint64(1) << wide) - np.uint64(1))) << bits | keys >> wide
+        words[keys >= np.uint64(m.shards) << wide] = UNKNOWN
+        return words, number
+
+    def grams(self, words: np.ndarray, context: np.ndarray, word: np.ndarray) -> tuple[tuple, list[tuple]]:
+        """What n-grams of 2 words up to all of them count; words are places in ``words`` as ``numbered`` gives them.
+
+        Of the pairs, each once: their last context words, words, counts and each n-gram's pair. Of every further
+        level the n-grams' counts, their contexts' statistics, a context once, and each n-gram's context.
+        """
+        m, cols = self.m, context[::-1]
+        # a last context word in a shard: one, but for hot words
+        hot = np.isin(words, m.hot)
+        own = np.where(words == UNKNOWN, 0, words) & np.uint64(m.shards - 1)
+        shard = own[cols[0]]
+        if hot.any():
+            some = np.flatnonzero(hot[cols[0]])
+            shard[some] = _shard(words[cols[0, some]], words[word[some]], m.hot, m.shards)
+        where, at, by = _distinct(_bits(shard, cols[0]))
+        wide = np.uint64(int(cols[0].max(initial=0)).bit_length())
+        last = (where & ((np.uint64(1) << wide) - np.uint64(1))).astype(np.int64)
+        shards = (where >> wide).astype(np.int64)
+        inner = lambda keys, lower: (keys >> (bits := np.uint64(int(lower.max(initial=0)).bit_length())), keys & ((np.uint64(1) << bits) - np.uint64(1)))
+        keys, pair, _ = _distinct(_bits(at, word))
+        pair_last, pair_word = (x.astype(np.int64) for x in inner(keys, word))
+        number, of, left = [at], [np.arange(len(where))], [last]
+        top = [np.arange(len(where))]
+        for col in cols[1:]:
+            keys, place, by = _distinct(_bits(number[-1], col))
+            shorter, word_of = (x.astype(np.int64) for x in inner(keys, col))
+            number.append(place)
+            of.append(shorter)
+            left.append(word_of)
+            top.append(top[-1][shorter])
+        depth = len(cols)
+        pairs, gone = np.zeros(len(pair_last), np.int64), -1
+        place = np.full(len(pair_last), gone)
+        values = np.zeros((depth - 1, len(word)), np.int64)
+        stats = [np.zeros((len(x), 4), np.int64) for x in of]
+        begin = np.append(np.flatnonzero(_new(shards)), len(shards))
+        cut = [np.searchsorted(x, begin) for x in top]  # contexts of each level, shard by shard
+        cut_pairs, cut_rows = np.searchsorted(pair_last, begin), np.searchsorted(number[-1][by], cut[-1])
+        for k, (a, b) in enumerate(zip(begin[:-1], begin[1:])):
+            file = self.file(f"grams-{shards[a]}")
             if not file:
                 continue
-            base, top = context[a], context[b - 1] + 1
-            places, there = _find(file["last"], cols[0, head[base:top]])
+            found, there = _find(file["last"], words[last[a:b]])
             live = np.flatnonzero(there)
-            at, row, want = places[live], np.arange(a, b), word[a:b]
-            for j in range(len(cols)):
-                if j:
-                    start, end, _, _ = _span(file, f"wider{j}", at)
-                    places, there = _within(file[f"left{j}"], start, end, cols[j, head[base + live]])
-                    live, at = live[there], places[there]
-                start, end, many, place = _span(file, f"grams{j}", at)
-                if j:
-                    one = _counts(file, f"value{j}", start)
-                    stats[j, base + live] = np.stack([one, one == 1, one == 2, one > 2], axis=1)
-                    total, twice, more = (file[f"{name}{j}"][place[many]].astype(np.int64) for name in ("total", "twice", "more"))
-                    stats[j, base + live[many]] = np.stack([total, (end - start)[many] - twice - more, twice, more], axis=1)
-                span = np.zeros((2, top - base), np.int64)
+            mine = slice(cut_pairs[k], cut_pairs[k + 1])
+            span = self.spans(file, "grams0", found, live)
+            start, end = span[:, pair_last[mine] - a]
+            gram, there = _within(file["follower0"], start, end, words[pair_word[mine]])
+            some = np.flatnonzero(there)
+            pairs[mine.start + some] = _counts(file, "value0", gram[some])
+            place[mine.start + some] = gram[some] - start[some]
+            row = by[cut_rows[k]:cut_rows[k + 1]]
+            want = place[pair[row]]
+            row, want = row[want >= 0], want[want >= 0]
+            for j in range(1, depth):
+                a, b = cut[j][k], cut[j][k + 1]
+                wider = self.spans(file, f"wider{j}", found, live)
+                start, end = wider[:, of[j][a:b] - cut[j - 1][k]]
+                found, there = _within(file[f"left{j}"], start, end, words[left[j][a:b]])
+                live = np.flatnonzero(there)
+                start, end, many, more_at = _span(file, f"grams{j}", found[live])
+                one = _counts(file, f"value{j}", start)
+                stats[j][a + live] = np.stack([one, one == 1, one == 2, one > 2], axis=1)
+                total, twice, more = (file[f"{name}{j}"][more_at[many]].astype(np.int64) for name in ("total", "twice", "more"))
+                stats[j][a + live[many]] = np.stack([total, (end - start)[many] - twice - more, twice, more], axis=1)
+                span = np.zeros((2, b - a), np.int64)
                 span[:, live] = start, end
-                start, end = span[:, context[row] - base]
-                gram, there = _within(file[f"follower{j}"], start, end, want)
-                row, gram = row[there], gram[there]
-                values[j, row] = _counts(file, f"value{j}", gram)
-                want = (gram - start[there]).astype(np.uint64)
-        hot = np.flatnonzero(np.isin(cols[0, head], m.hot))
-        for j in range(1, len(cols)):
-            keys, back = np.unique(_key(cols[:j + 1, head[hot]]), return_inverse=True)
-            found = np.zeros((len(keys), 4), np.int64)
-            for s, of in _split(_low_shard(keys, m.shards)):
+                start, end = span[:, number[j][row] - a]
+                gram, there = _within(file[f"follower{j}"], start, end, want.astype(np.uint64))
+                some = np.flatnonzero(there)
+                row, gram = row[some], gram[some]
+                values[j - 1, row] = _counts(file, f"value{j}", gram)
+                want = gram - start[some]
+        key = [words[last]]
+        for j in range(1, depth):
+            key = [x[of[j]] for x in key] + [words[left[j]]]
+            some = np.flatnonzero(hot[last[top[j]]])
+            keys, back = np.unique(_key(np.stack(key)[:, some]), return_inverse=True)
+            sums = np.zeros((len(keys), 4), np.int64)
+            for s, at in _split(_low_shard(keys, m.shards)):
                 if file := self.file(f"hot{j}-{s}"):
-                    at, there = _find(file["keys"], keys[of])
-                    found[of[there]] = file["stats"][at[there]]
-            stats[j, hot] = found[back]
-        back = np.empty(len(by), np.int64)
-        back[by] = np.arange(len(by))
-        return values[:, back], stats, context[back]
+                    where, there = _find(file["keys"], keys[at])
+                    sums[at[there]] = file["stats"][where[there]]
+            stats[j][some] = sums[back]
+        return (last[pair_last], pair_word, pairs, pair), list(zip(values, stats[1:], number[1:]))
+
+    def spans(self, file: dict, name: str, found: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """Starts and ends of the groups of those of the found that are live, zeros for the others."""
+        span = np.zeros((2, len(found)), np.int64)
+        span[:, live] = _span(file, name, found[live])[:2]
+        return span
 
     def pairs(self, *words: np.ndarray) -> np.ndarray:
         """Counts of n-grams of highest order."""
-        return self.grams(np.stack(words[:-1]), words[-1])[0][-1]
+        have, number = self.numbered(np.stack(words))
+        (_, _, counts, pair), longer = self.grams(have, number[:-1], number[-1])
+        return longer[-1][0] if longer else counts[pair]
 
 
 def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -611,6 +768,14 @@ def probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tupl
     return number_probabilities(reader, reader.ids(context), reader.ids(word))
 
 
+def _interpolated(p: np.ndarray, count: np.ndarray, of: np.ndarray, number: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Probabilities one level up: n-grams' discounted shares of their contexts, ``number`` in ``of``, plus what these leave."""
+    total, left = of[:, CONTEXT_TOTAL], of[:, ONCE] * d[1] + of[:, TWICE] * d[2] + of[:, MORE] * d[3]
+    safe = np.maximum(total, 1)
+    known, share = (total > 0)[number], (left / safe)[number]
+    return np.where(known, (count - d[np.minimum(count, 3)]) / safe[number] + share * p, p)
+
+
 def number_probabilities(reader: Reader, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each token its probability after its context, its training count, and its add-one probability.
 
@@ -619,8 +784,8 @@ def number_probabilities(reader: Reader, context: np.ndarray, word: np.ndarray)
     n-gram counts by its different contexts; a word's share of all different pairs gets those discounts
     spread evenly over the vocabulary and one unknown word. ``context`` is as in ``token_blocks``.
     """
-    m, context = reader.m, np.atleast_2d(context)
-    words, number = np.unique(np.concatenate([word, context[-1]]), return_inverse=True)
+    m = reader.m
+    words, number = reader.numbered(np.concatenate([np.atleast_2d(context), word[None]]))
     stats = reader.words(words)
     kinds = stats[:, CONTEXTS]
     even = 1.0 / (m.vocabulary + 1)
@@ -630,15 +795,11 @@ def number_probabilities(reader: Reader, context: np.ndarray, word: np.ndarray)
         low = (kinds - m.word_discounts[np.minimum(kinds, 3)]) / m.contexts + spread * even
     else:
         low = np.full(len(words), even)
-    of_word, of_context = number[:len(word)], number[len(word):]
-    p = low[of_word]
-    counts, wider, of_wider = reader.grams(context, word)
-    for j, (d, count) in enumerate(zip(m.gram_discounts, counts)):
-        of, number = (wider[j], of_wider) if j else (stats, of_context)
-        total, left = of[:, CONTEXT_TOTAL], of[:, ONCE] * d[1] + of[:, TWICE] * d[2] + of[:, MORE] * d[3]
-        safe = np.maximum(total, 1)
-        known, share = (total > 0)[number], (left / safe)[number]
-        p = np.where(known, (count - d[np.minimum(count, 3)]) / safe[number] + share * p, p)
+    (last, follower, count, pair), longer = reader.grams(words, number[:-1], number[-1])
+    p = _interpolated(low[follower], count, stats, last, m.gram_discounts[0])[pair]
+    for d, (count, wider, of_wider) in zip(m.gram_discounts[1:], longer):
+        p = _interpolated(p, count, wider, of_wider, d)
+    of_word = number[-1]
     seen = stats[of_word, COUNT]
     return p, seen, (seen + 1) / (m.tokens + m.vocabulary + 1)
 
@@ -667,7 +828,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", shard_bytes: i
     known = {r["id"]: r["n"] for r in found}
     vocabulary, tokens = known.pop(-1, 0), known.pop(-2, 0)
     model = Model(folder, shards, np.array(sorted(known), np.uint64), (), np.zeros(4), (0, 0, 0), 0, tokens, vocabulary, order)
-    rows = dealt(texts.mapInArrow(_count(model, flush // order), ROW)).mapInArrow(_pairs(folder, shards, model.hot), ROW)
+    rows = dealt(texts.mapInArrow(_count(model, flush // 2), ROW)).mapInArrow(_pairs(folder, shards, model.hot), ROW)
     sums = dealt(rows).mapInArrow(_words(model), "level int, " + ", ".join(f"{c} long" for c in "abcdef"))
     got = {r["level"]: [r[f"sum({c})"] for c in "abcdef"] for r in sums.groupBy("level").sum(*"abcdef").collect()}
     one, *more = (got.get(level, [0] * 6) for level in range(1, order + 1))
@@ -687,7 +848,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             texts = ((k, t.as_py()) for k, t in enumerate(batch.column("text")))
             sums = np.zeros((batch.num_rows, 4))
-            for number, context, word in token_blocks(texts, numbers, order=model.order, **ends):
+            for number, context, word in token_blocks(texts, numbers, chunk=model.chunk, order=model.order, **ends):
                 p, seen, base = number_probabilities(reader, context, word)
                 for k, x in enumerate((np.ones(len(word)), seen > 0, np.log10(base), np.log10(p))):
                     sums[:, k] += np.bincount(number, x, batch.num_rows)

@@ -334,6 +334,56 @@ def test_model_takes_little_disk(spark):
     assert sum(map(os.path.getsize, files)) < 12 * len(whole)  # as hash arrays, a file per level, they took 22
 
 
+def test_reader_opens_each_file_once(tmpdir_path, monkeypatch):
+    """A model of 6 GB has over 512 files of a kind; every block of text asks them all."""
+    for k in range(600):
+        ngram_lm._write(tmpdir_path, f"words-{k}", {"keys": np.array([k], np.uint64)})
+    opened, real = [], ngram_lm._map
+    monkeypatch.setattr(ngram_lm, "_map", lambda folder, name: opened.append(name) or real(folder, name))
+    model = ngram_lm.Model(tmpdir_path, 1024, np.zeros(0, np.uint64), (np.zeros(4),) * 2, np.zeros(4), (0, 0, 0), 0, 0, 0, 3)
+    reader = ngram_lm.Reader(model)
+    for _ in range(2):
+        assert [int(reader.file(f"words-{k}")["keys"][0]) for k in range(600)] == list(range(600))
+    assert len(opened) == 600
+
+
+def test_blocks_of_lookup_grow_with_the_files(tmpdir_path):
+    """Texts are hashed in small blocks, but their words are looked up at once: each lookup goes to all files."""
+    model = lambda shards: ngram_lm.Model(tmpdir_path, shards, np.zeros(0, np.uint64), (), np.zeros(4), (0, 0, 0), 0, 0, 0, 3)
+    assert model(4).chunk < model(128).chunk < model(2048).chunk <= 8 << 20
+    reader, asked = ngram_lm.Reader(model(2048)), []
+    reader.ids = lambda hashes: asked.append(len(hashes)) or hashes
+    texts = [b"a b c " * 200_000, b"", b"d e f " * 100_000, b"g"]
+    words, n = reader.numbers()(texts)
+    want, each = ngram_lm.WordHashes()(texts)
+    assert len(asked) == 1 and (words == want).all() and (n == each).all()
+
+
+def test_distinct_and_places_of_ngrams():
+    rnd = np.random.default_rng(4)
+    for high in (1, 50, 1 << 45, 1 << 62, 1 << 63):
+        values = rnd.choice(rnd.integers(0, high, 300).astype(np.uint64), 2000)
+        have, number, by = ngram_lm._distinct(values)
+        assert (have[number] == values).all() and set(have) == set(values) and (number[by] == np.sort(number)).all()
+        if high <= 1 << 45:
+            assert (have == np.unique(values)).all()
+    assert [len(x) for x in ngram_lm._distinct(np.zeros(0, np.uint64))] == [0, 0, 0]
+    word = rnd.integers(0, 40, 500).astype(np.uint64)
+    rows = np.stack([np.concatenate([np.full(k, 99, np.uint64), word[:len(word) - k]]) for k in (2, 1, 0)])
+    rows[:2, 100], rows[0, 101] = 77, 77
+    for n in (0, 1, 2, 500):
+        have, number = ngram_lm._local(rows[:, :n])
+        assert (have[number] == rows[:, :n]).all() and (have == np.unique(rows[:, :n])).all()
+    values = np.concatenate([np.sort(rnd.choice(5000, size, replace=False)) for size in (1, 2, 17, 400)]).astype(np.uint16)
+    ends = np.cumsum([1, 2, 17, 400])
+    group = np.sort(rnd.integers(0, 4, 600))
+    want = np.append(rnd.integers(0, 5001, 599).astype(np.uint64), ngram_lm.UNKNOWN)
+    start, end = (np.append(0, ends[:-1]))[group], ends[group]
+    place, there = ngram_lm._within(values, start, end, want)
+    assert there.tolist() == [w in set(values[a:b].tolist()) for a, b, w in zip(start, end, want.tolist())]
+    assert (values[place[there]] == want[there]).all() and ((place >= start) & (place < end))[there].all()
+
+
 # ---- packing
 
 def _pieces_ok(rows, docs, encode):
